@@ -1 +1,186 @@
+"""Text search (TX) and the search page (RD-1): benchmark texts are the queries, documents the corpus."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog.projections import DISPLAY
+from catalog.registry import query, sql_text
+from catalog.relational import FILTER_SQL, FILTERS
+from catalog.scalars import fold_sql
+from catalog.views import source_table, table
+from docmill.functions import french
+from docmill.functions.text import has_text
+from docmill.operators.layout import spread
+from docmill.plans import reports, search
+
+_STOP = "[" + ", ".join(sql_text(w) for w in sorted(set(french.STOP_WORDS))) + "]"
+_TOKEN = sql_text(french.TOKEN)
+_ELISION = sql_text(french.ELISION.replace(r"\A", "^"))
+
+
+def terms_sql(body: str) -> str:
+    """List of index terms of a text, stemmer off."""
+    lowered = f"list_transform(regexp_extract_all({body}, {_TOKEN}), lambda t: lower(regexp_replace(t, {_ELISION}, '')))"
+    kept = f"list_filter({lowered}, lambda w: w <> '' AND NOT list_contains({_STOP}, w))"
+    return f"list_transform({kept}, lambda w: {fold_sql('w')})"
+
+
+CORPUS_SQL = f"""
+  fields AS (
+    SELECT source || '|' || external_id AS doc_key, 'title' AS field, {terms_sql('title')} AS terms FROM v_decisions
+    UNION ALL SELECT source || '|' || external_id, 'text', {terms_sql('text')} FROM v_decisions),
+  post AS (SELECT doc_key, field, term, count(*) AS tf FROM (SELECT doc_key, field, unnest(terms) AS term FROM fields) x
+    GROUP BY doc_key, field, term),
+  lens AS (SELECT doc_key, field, len(terms) AS dl FROM fields WHERE len(terms) > 0),
+  fst AS (SELECT field, count(*) AS n, avg(dl) AS a FROM lens GROUP BY field),
+  tst AS (SELECT field, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total_tf FROM post GROUP BY field, term)"""
+BENCH_SQL = "ask AS (SELECT item_id AS query_id, text AS query FROM benchmark)"
+
+
+def scores_sql(allowed: str = "") -> str:
+    """Field scores of the queries in ``ask``; ``allowed`` restricts documents."""
+    return f"""{CORPUS_SQL},
+  qt AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, unnest({terms_sql('query')}) AS term FROM ask) x
+    GROUP BY query_id, term),
+  sc AS (SELECT qt.query_id, post.doc_key, post.field,
+      sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / a))) AS score
+    FROM post JOIN qt USING (term) JOIN tst USING (field, term) JOIN fst USING (field) JOIN lens USING (doc_key, field)
+    {allowed} GROUP BY qt.query_id, post.doc_key, post.field)"""
+
+
+BEST_SQL = """best AS (SELECT query_id, doc_key, round(max(CASE field WHEN 'title' THEN 2.0 ELSE 1.0 END * score), 6) AS score
+    FROM sc GROUP BY query_id, doc_key),
+  top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_key) AS rank,
+      count(*) OVER (PARTITION BY query_id) AS total_hits FROM best)"""
+
+
+def corpus(spark, sf):
+    return table(spark, sf, "v_decisions").withColumn("doc_key", F.concat_ws("|", "source", "external_id"))
+
+
+def index(spark, sf):
+    return search.build_index(corpus(spark, sf))
+
+
+def bench_queries(spark, sf):
+    return source_table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+
+
+@query("tx_analyze_tokens", f"""
+SELECT doc_id, len(terms) AS n_terms, md5(array_to_string(terms, ' ')) AS terms
+FROM (SELECT doc_id, {terms_sql('text')} AS terms FROM documents) x
+""")
+def tx_analyze_tokens(spark, sf):
+    docs = spread(source_table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", french.terms(F.col("text")).alias("t"))
+    return docs.select("doc_id", F.size("t").alias("n_terms"), F.md5(F.array_join("t", " ")).alias("terms"))
+
+
+@query("tx_stem_vocabulary")
+def tx_stem_vocabulary(spark, sf):
+    """The whole chain with the light stemmer: each stem and how many words it joins."""
+    texts = spread(source_table(spark, sf, "documents").select("text"))
+    vocabulary = texts.select(F.explode(french.terms(F.col("text"))).alias("word")).distinct()
+    return french.with_stem(vocabulary.withColumnRenamed("word", "stem"), "stem").groupBy("stem").agg(
+        F.count("*").alias("n_words"))
+
+
+@query("tx_postings", f"WITH {CORPUS_SQL} SELECT doc_key, field, term, tf, dl FROM post JOIN lens USING (doc_key, field)")
+def tx_postings(spark, sf):
+    return search.postings(search.analysed(corpus(spark, sf)), stem=False).select(
+        "doc_key", "field", "term", "tf", "dl")
+
+
+@query("tx_term_stats", f"WITH {CORPUS_SQL} SELECT field, term, df, total_tf FROM tst")
+def tx_term_stats(spark, sf):
+    return search.term_stats(search.postings(search.analysed(corpus(spark, sf)), stem=False))
+
+
+@query("tx_field_stats", f"WITH {CORPUS_SQL} SELECT field, n AS n_docs, a AS avg_dl FROM fst")
+def tx_field_stats(spark, sf):
+    return search.field_stats(search.analysed(corpus(spark, sf)))
+
+
+@query("tx_exact_number", f"""
+WITH n AS (SELECT {fold_sql('decision_number')} AS number_key, source || '|' || external_id AS doc_key FROM v_decisions
+    WHERE decision_number IS NOT NULL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY number_key ORDER BY doc_key) AS rank,
+      count(*) OVER (PARTITION BY number_key) AS total_hits FROM n)
+SELECT d.doc_id AS query_id, r.doc_key, r.rank, r.total_hits
+FROM v_decisions d JOIN r ON r.number_key = {fold_sql('d.decision_number')} WHERE r.rank <= 10
+""")
+def tx_exact_number(spark, sf):
+    """Every document's number, written in lower case, is searched."""
+    docs = corpus(spark, sf)
+    asked = docs.select(F.col("doc_id").alias("query_id"), F.lower("decision_number").alias("number"))
+    return search.exact_number(docs, asked).drop("score")
+
+
+@query("tx_bm25_best_field", f"""
+WITH {BENCH_SQL}, {scores_sql()}, {BEST_SQL} SELECT query_id, doc_key, score, rank, total_hits FROM top WHERE rank <= 10
+""")
+def tx_bm25_best_field(spark, sf):
+    return search.search(index(spark, sf), bench_queries(spark, sf), stem=False)
+
+
+@query("tx_bm25_stemmed")
+def tx_bm25_stemmed(spark, sf):
+    """The same search with the whole analysis chain."""
+    return search.search(index(spark, sf), bench_queries(spark, sf))
+
+
+@query("tx_total_hits", f"""
+WITH {BENCH_SQL}, {scores_sql()}, {BEST_SQL} SELECT query_id, max(total_hits) AS total_hits FROM top GROUP BY query_id
+""")
+def tx_total_hits(spark, sf):
+    found = search.search(index(spark, sf), bench_queries(spark, sf), stem=False)
+    return found.groupBy("query_id").agg(F.max("total_hits").alias("total_hits"))
+
+
+@query("tx_filtered_search", f"""
+WITH {BENCH_SQL}, {scores_sql(f"WHERE post.doc_key IN (SELECT source || '|' || external_id FROM v_decisions WHERE {FILTER_SQL})")},
+  {BEST_SQL} SELECT query_id, doc_key, score, rank, total_hits FROM top WHERE rank <= 10
+""")
+def tx_filtered_search(spark, sf):
+    docs = corpus(spark, sf)
+    return search.search(search.build_index(docs), bench_queries(spark, sf), allowed=search.filtered(docs, FILTERS), stem=False)
+
+
+@query("tx_highlight")
+def tx_highlight(spark, sf):
+    """Highlights of the first page of every query."""
+    docs, asked = corpus(spark, sf), bench_queries(spark, sf)
+    page = reports.ranking.page_per_group(search.search(search.build_index(docs), asked), 1, 3)
+    hits = page.select("query_id", "doc_key").join(docs.select("doc_key", "title", "text"), "doc_key").join(
+        asked, "query_id")
+    return search.highlight(hits)
+
+
+@query("tx_boost_grid", f"""
+WITH {BENCH_SQL}, {scores_sql()},
+  best AS (SELECT query_id, b AS title_boost, doc_key, round(max(CASE field WHEN 'title' THEN b ELSE 1.0 END * score), 6) AS score
+    FROM sc, (VALUES (CAST(1 AS DOUBLE)), (2), (3)) x(b) GROUP BY query_id, b, doc_key),
+  top AS (SELECT *, row_number() OVER (PARTITION BY query_id, title_boost ORDER BY score DESC, doc_key) AS rank,
+      count(*) OVER (PARTITION BY query_id, title_boost) AS total_hits FROM best)
+SELECT query_id, title_boost, doc_key, score, rank, total_hits FROM top WHERE rank <= 10
+""")
+def tx_boost_grid(spark, sf):
+    scores = search.score_queries(index(spark, sf), bench_queries(spark, sf), stem=False)
+    return search.ranked(search.best_field_grid(scores, [1, 2, 3]), by=["query_id", "title_boost"])
+
+
+@query("rd_search_page", f"""
+WITH {BENCH_SQL}, {scores_sql(f"WHERE post.doc_key IN (SELECT source || '|' || external_id FROM v_decisions WHERE {FILTER_SQL})")},
+  {BEST_SQL}
+SELECT query_id, rank, total_hits, score, source, external_id, decision_number, decision_date, {DISPLAY} AS display_title,
+  sectors_text AS sectors, regexp_matches(text, '[^\\s]') AS has_text, '/decisions/' || source || '?id=' || external_id AS detail_path
+FROM top JOIN v_decisions d ON doc_key = source || '|' || external_id WHERE rank BETWEEN 6 AND 10
+""")
+def rd_search_page(spark, sf):
+    """Second page of five, filtered."""
+    docs = corpus(spark, sf)
+    found = search.search(search.build_index(docs), bench_queries(spark, sf), allowed=search.filtered(docs, FILTERS), stem=False)
+    shown = reports.search_page(docs.withColumn("has_text", has_text(F.col("text"))), found, 2, 5)
+    return shown.select(
+        "query_id", "rank", "total_hits", "score", "source", "external_id", "decision_number", "decision_date",
+        "display_title", F.array_join("sectors", "|").alias("sectors"), "has_text", "detail_path")

@@ -105,18 +105,18 @@ SELECT run_id, checked_at, check_name, source, value FROM (
 """
 
 # Events as index history: one rebuild per day; large values are rejected documents,
-# and a version counts as published when fewer than one in forty was rejected.
+# and a version counts as published when fewer than one in twenty was rejected.
 VIEWS["v_index_stats"] = """
 SELECT run_id, 'decisions_' || replace(CAST(d AS STRING), '-', '') || '_020000' AS index_name, source,
   silver_count, silver_count - rejected_count AS indexed_count, rejected_count,
-  day_rejected * 40 < day_count AS alias_switched, CAST(d AS TIMESTAMP) + INTERVAL '2' HOUR AS created_at
+  day_rejected * 20 < day_count AS alias_switched, CAST(d AS TIMESTAMP) + INTERVAL '2' HOUR AS created_at
 FROM (
   SELECT s.*, t.day_rejected, t.day_count FROM (
     SELECT CAST(year(d) * 372 + month(d) * 31 + day(d) AS BIGINT) AS run_id, d, source,
-      CAST(count(*) AS BIGINT) AS silver_count, CAST(count(CASE WHEN value > 120 THEN 1 END) AS BIGINT) AS rejected_count
+      CAST(count(*) AS BIGINT) AS silver_count, CAST(count(CASE WHEN value > 150 THEN 1 END) AS BIGINT) AS rejected_count
     FROM (SELECT CAST(ts AS DATE) AS d, event_type AS source, value FROM events) e0 GROUP BY d, source
   ) s JOIN (
-    SELECT CAST(ts AS DATE) AS d, CAST(count(CASE WHEN value > 120 THEN 1 END) AS BIGINT) AS day_rejected,
+    SELECT CAST(ts AS DATE) AS d, CAST(count(CASE WHEN value > 150 THEN 1 END) AS BIGINT) AS day_rejected,
       CAST(count(*) AS BIGINT) AS day_count FROM events GROUP BY CAST(ts AS DATE)
   ) t ON s.d = t.d
 ) j

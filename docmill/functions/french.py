@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.functions.text import fold
@@ -48,19 +48,21 @@ def tokens(c: Column) -> Column:
 
 
 def without_article(token: Column) -> Column:
-    return F.regexp_replace(token, ELISION, "")
+    apostrophe = F.contains(token, F.lit("'")) | F.contains(token, F.lit("’"))
+    return F.when(apostrophe, F.regexp_replace(token, ELISION, "")).otherwise(token)
 
 
-def term(token: Column, stem: bool = True) -> Column:
-    """Index term of one token, NULL for a stop word."""
-    lowered = F.lower(without_article(token))
-    kept = F.when(~lowered.isin(*STOP_WORDS) & (lowered != ""), fold(lowered))
-    return light_stem(kept) if stem else kept
+def term(token: Column) -> Column:
+    """Index term of one token before stemming, NULL for a stop word."""
+    lowered = without_article(F.lower(token))
+    ascii_only = F.length(lowered) == F.octet_length(lowered)
+    kept = ~lowered.isin(*STOP_WORDS) & (lowered != "")
+    return F.when(kept & ascii_only, lowered).when(kept, fold(lowered))
 
 
-def terms(c: Column, stem: bool = True) -> Column:
-    """Index terms of a text, repeats kept (they are the term frequency)."""
-    found = F.transform(tokens(c), lambda t: term(t, stem))
+def terms(c: Column) -> Column:
+    """Index terms of a text before stemming, repeats kept (they are the term frequency)."""
+    found = F.transform(tokens(c), term)
     return F.coalesce(F.array_compact(found), F.array().cast("array<string>"))
 
 
@@ -69,58 +71,48 @@ def _cut(word: Column, n: int) -> Column:
 
 
 def _rules(word: Column, table: tuple) -> Column:
-    """NULL when no rule of the table applies."""
+    """Outcome of the first rule that applies, NULL when none does."""
     out = None
     for suffix, shortest, replacement in table:
-        hit = (F.length(word) >= shortest) & F.endswith(word, F.lit(suffix))
+        hit = F.endswith(word, F.lit(suffix)) & (F.length(word) >= shortest)
         value = F.concat(_cut(word, len(suffix)), F.lit(replacement))
         out = F.when(hit, value) if out is None else out.when(hit, value)
     return out
 
 
-def _plural(word: Column) -> Column:
-    aux = (F.length(word) > 5) & F.endswith(word, F.lit("aux")) & ~F.endswith(word, F.lit("eaux"))
-    long_x = (F.length(word) > 5) & F.endswith(word, F.lit("x"))
-    one = (
-        F.when(aux, F.concat(_cut(word, 2), F.lit("l")))
-        .when(long_x, _cut(word, 1)).otherwise(word)
-    )
-    two = F.when((F.length(one) > 3) & F.endswith(one, F.lit("x")), _cut(one, 1)).otherwise(one)
-    return F.when((F.length(two) > 3) & F.endswith(two, F.lit("s")), _cut(two, 1)).otherwise(two)
-
-
-def _normalise(word: Column) -> Column:
-    plain = F.when(
-        F.length(word) > 4,
-        F.regexp_replace(F.translate(word, *STEM_ACCENTS), r"(\p{L})\1+", "$1"),
-    ).otherwise(word)
-    ie = F.when((F.length(plain) > 4) & F.endswith(plain, F.lit("ie")), _cut(plain, 2)).otherwise(plain)
-    tail = F.regexp_replace(ie, r"r?\z", "")
-    tail = F.regexp_replace(tail, r"e{1,2}\z", "")
-    tail = F.regexp_replace(tail, r"(\p{L})\1\z", "$1")
-    return F.when(F.length(ie) > 4, tail).otherwise(ie)
-
-
-def _let(value: Column, body) -> Column:
-    """Name an intermediate value inside an expression, so that it is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def light_stem(c: Column) -> Column:
-    """Light French stem of a lower-case word."""
-
-    def after_trice(word: Column) -> Column:
-        ete = (F.length(word) > 4) & F.endswith(word, F.lit("ète"))
-        one = F.when(ete, F.concat(_cut(word, 3), F.lit("et"))).otherwise(word)
-        ique = (F.length(one) > 8) & F.endswith(one, F.lit("ique"))
-        two = F.when(ique, _cut(one, 4)).otherwise(one)
-        return _let(two, lambda w: F.coalesce(_rules(w, FINAL_SUFFIXES_C), w))
-
-    def after_plural(word: Column) -> Column:
-        trice = (F.length(word) > 6) & F.endswith(word, F.lit("trice"))
-        agent = F.when(trice, F.concat(_cut(word, 4), F.lit("eur"))).otherwise(word)
-        later = _let(agent, lambda w: F.coalesce(_rules(w, FINAL_SUFFIXES_B), after_trice(w)))
-        return F.coalesce(_rules(word, FINAL_SUFFIXES_A), later)
-
-    suffixed = _let(_plural(c), after_plural)
-    return _let(suffixed, _normalise)
+def with_stem(df: DataFrame, column: str = "term") -> DataFrame:
+    """Replace a column of lower-case words by their light French stems.
+
+    One projection per step: each step is computed once per row inside generated code, where a
+    single nested expression would repeat its inner parts many times.
+    """
+    w, done = F.col(column), F.col("_done")
+
+    def longer(n: int) -> Column:
+        return F.length(w) > n
+
+    def ends(suffix: str) -> Column:
+        return F.endswith(w, F.lit(suffix))
+
+    def step(df: DataFrame, condition: Column, value: Column) -> DataFrame:
+        return df.withColumn(column, F.when(condition, value).otherwise(w))
+
+    # Plural and feminine endings.
+    out = df.withColumn(
+        column,
+        F.when(ends("aux") & ~ends("eaux") & longer(5), F.concat(_cut(w, 2), F.lit("l")))
+        .when(ends("x") & longer(5), _cut(w, 1)).otherwise(w))
+    out = step(out, ends("x") & longer(3), _cut(w, 1))
+    out = step(out, ends("s") & longer(3), _cut(w, 1))
+    # Suffix rules: a final rule settles the word, the others prepare the next ones.
+    out = out.withColumn("_done", _rules(w, FINAL_SUFFIXES_A))
+    out = step(out, done.isNull() & ends("trice") & longer(6), F.concat(_cut(w, 4), F.lit("eur")))
+    out = out.withColumn("_done", F.coalesce(done, _rules(w, FINAL_SUFFIXES_B)))
+    out = step(out, done.isNull() & ends("ète") & longer(4), F.concat(_cut(w, 3), F.lit("et")))
+    out = step(out, done.isNull() & ends("ique") & longer(8), _cut(w, 4))
+    out = out.withColumn(column, F.coalesce(done, _rules(w, FINAL_SUFFIXES_C), w)).drop("_done")
+    # Normalisation of what is left.
+    out = step(out, longer(4), F.regexp_replace(F.translate(w, *STEM_ACCENTS), r"(\p{L})\1+", "$1"))
+    out = step(out, ends("ie") & longer(4), _cut(w, 2))
+    bare = F.regexp_replace(w, r"e{0,2}r?\z", "")
+    return step(out, longer(4), F.regexp_replace(bare, r"(\p{L})\1\z", "$1"))

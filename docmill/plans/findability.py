@@ -54,54 +54,41 @@ def for_mode(rows: DataFrame, mode: str, titled_source: str) -> DataFrame:
     raise ValueError(f"unknown mode: {mode}")
 
 
-def target_ranks(hits: DataFrame, by: list[str]) -> DataFrame:
-    """Rank of the target in its own list: matches ranking above it are counted, not listed.
-
-    ``hits`` holds ``by``, ``query_id`` (the target's id), ``doc_key`` and ``score``. The result has
-    the exact total and the rank, NULL outside the first ten.
-    """
-    group = [*by, "query_id"]
-    own = hits.filter(F.col("doc_key") == F.col("query_id")).select(
-        *group, F.col("score").alias("_own"))
-    above = (F.col("score") > F.col("_own")) | (
-        (F.col("score") == F.col("_own")) & (F.col("doc_key") < F.col("query_id")))
-    return (
-        hits.join(own, group, "left").groupBy(*group)
-        .agg(F.count("*").alias("total_hits"), F.count_if(above).alias("_above"),
-             F.max("_own").alias("_found"))
-        .select(*group, "total_hits",
-                F.when(F.col("_found").isNotNull() & (F.col("_above") < search.TOP_K),
-                       F.col("_above") + 1).cast("int").alias("rank"))
-    )
-
-
 def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: list[float],
              stem: bool = True) -> DataFrame:
     """One row per target and evaluation: ``mode, title_boost, doc_id, flags, rank, total_hits``.
 
-    All targets of a mode are searched at once; all title weights share one scoring.
+    Targets with the same number or the same title ask the same question, which is answered
+    once; all title weights share one scoring. The rank is NULL outside the first ten.
     """
     docs = silver.withColumn("doc_key", F.concat_ws("|", "source", "external_id"))
-    by_number = for_mode(rows, "number", titled_source)
-    by_title = for_mode(rows, "title", titled_source)
-    number_hits = search.exact_number(
-        docs, by_number.select(F.col("doc_id").alias("query_id"), F.col("decision_number").alias("number")))
-    number_ranks = target_ranks(number_hits, []).withColumn(
+    numbered = for_mode(rows, "number", titled_source).withColumn(
+        "query_id", search.fold_keyword(F.col("decision_number")))
+    lists = search.by_number(docs).withColumnRenamed("number_key", "query_id")
+    number_rows = _ranks(numbered, lists, ["query_id"]).withColumn(
         "title_boost", F.lit(None).cast("double"))
-    scores = search.score_queries(
-        docs, by_title.select(F.col("doc_id").alias("query_id"), F.col("title").alias("query")), stem=stem)
-    title_ranks = target_ranks(search.best_field_grid(scores, boosts), ["title_boost"])
-    title_targets = by_title.withColumn(
-        "title_boost", F.explode(F.array(*[F.lit(float(b)) for b in boosts])))
-
-    def finish(found: DataFrame, ranks: DataFrame, on: list[str], mode: str) -> DataFrame:
-        return found.join(ranks.withColumnRenamed("query_id", "doc_id"), on, "left").select(
-            F.lit(mode).alias("mode"), F.col("title_boost").cast("double").alias("title_boost"),
-            "doc_id", "decision_number", "title", *FLAGS, "rank",
-            F.coalesce("total_hits", F.lit(0)).alias("total_hits"))
-
-    return finish(by_number, number_ranks, ["doc_id"], "number").unionByName(
-        finish(title_targets, title_ranks, ["doc_id", "title_boost"], "title"))
+
+    titled = for_mode(rows, "title", titled_source).withColumn("query_id", F.sha2("title", 256))
+    questions = titled.groupBy("query_id").agg(F.min("title").alias("query"))
+    scores = search.score_queries(search.build_index(docs), questions, stem=stem)
+    by = ["query_id", "title_boost"]
+    lists = search.ranked(search.best_field_grid(scores, boosts), by=by)
+    weights = F.array(*[F.lit(float(b)) for b in boosts])
+    title_rows = _ranks(titled.withColumn("title_boost", F.explode(weights)), lists, by)
+
+    columns = ["title_boost", "doc_id", "decision_number", "title", *FLAGS, "rank", "total_hits"]
+    return number_rows.select(F.lit("number").alias("mode"), *columns).unionByName(
+        title_rows.select(F.lit("title").alias("mode"), *columns))
+
+
+def _ranks(found: DataFrame, lists: DataFrame, by: list[str]) -> DataFrame:
+    """Position of each target in the list of its question, and the question's total."""
+    totals = lists.groupBy(*by).agg(F.max("total_hits").alias("total_hits"))
+    positions = lists.select(*by, F.col("doc_key").alias("doc_id"), "rank")
+    return (
+        found.join(positions, [*by, "doc_id"], "left").join(totals, by, "left")
+        .withColumn("total_hits", F.coalesce("total_hits", F.lit(0)))
+    )
 
 
 def metrics(results: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from docmill.functions import french
 from docmill.functions.text import fold_keyword, html_escape
 from docmill.operators.filters import SearchFilters
+from docmill.operators.layout import spread
 from docmill.operators.ranking import top_k_per_group
+from docmill.session import work_dir
 
 TOP_K = 10
 K1, B = 1.2, 0.75
@@ -23,30 +25,46 @@ TITLE_BOOST = 2.0
 FRAGMENT_SIZE, FRAGMENTS = 150, 3
 # Ways a term's postings are spread when they are joined with queries.
 SALTS = 16
+FIELDS = {"title": "title", "text": "text"}
 
 
-def analysed(docs: DataFrame, fields: Mapping[str, str], stem: bool = True) -> DataFrame:
-    """``doc_key, field, terms, dl``: the terms of each field, one narrow pass."""
+def analysed(docs: DataFrame, fields: Mapping[str, str] = FIELDS) -> DataFrame:
+    """``doc_key, field, terms, dl``: the terms of each field before stemming, one narrow pass."""
     parts = F.array(*[
         F.struct(F.lit(name).alias("field"), F.col(column).alias("body")) for name, column in fields.items()
     ])
-    long = docs.select("doc_key", F.inline(parts))
-    return long.select("doc_key", "field", french.terms(F.col("body"), stem).alias("terms")).withColumn(
+    long = spread(docs.select("doc_key", *fields.values())).select("doc_key", F.inline(parts))
+    return long.select("doc_key", "field", french.terms(F.col("body")).alias("terms")).withColumn(
         "dl", F.size("terms"))
 
 
-def postings(fields: DataFrame) -> DataFrame:
-    """``term, doc_key, field, tf, dl``. Partial counts shrink repeats before the shuffle, and
-    the grouping key holds the document, so a frequent word is spread over all tasks."""
-    return (
-        fields.select("doc_key", "field", "dl", F.explode("terms").alias("term"))
-        .groupBy("doc_key", "field", "dl", "term").agg(F.count("*").alias("tf"))
-    )
+def build_index(docs: DataFrame, fields: Mapping[str, str] = FIELDS) -> DataFrame:
+    """The analysed fields as a written table: texts are read and cut into words once, and every
+    statistic and search after that reads only the columns it needs."""
+    spark = docs.sparkSession
+    path = work_dir(spark, "index")
+    parts = analysed(docs, fields)
+    parts.write.parquet(path)
+    return spark.read.schema(parts.schema).parquet(path)
 
 
-def field_stats(fields: DataFrame) -> DataFrame:
+def postings(index: DataFrame, stem: bool = True, wanted: DataFrame | None = None) -> DataFrame:
+    """``term, doc_key, field, tf, dl``, of the wanted terms only when these are given.
+
+    Partial counts shrink repeats before the shuffle, and the grouping key holds the document,
+    so a frequent word is spread over all tasks.
+    """
+    words = index.select("doc_key", "field", "dl", F.explode("terms").alias("term"))
+    if stem:
+        words = french.with_stem(words)
+    if wanted is not None:
+        words = words.join(wanted.select("term").distinct(), "term", "left_semi")
+    return words.groupBy("doc_key", "field", "dl", "term").agg(F.count("*").alias("tf"))
+
+
+def field_stats(index: DataFrame) -> DataFrame:
     """Documents holding the field and their average length, over the whole corpus."""
-    return fields.filter("dl > 0").groupBy("field").agg(
+    return index.filter("dl > 0").groupBy("field").agg(
         F.count("*").alias("n_docs"), F.avg("dl").alias("avg_dl"))
 
 
@@ -58,10 +76,10 @@ def term_stats(post: DataFrame) -> DataFrame:
 
 def query_terms(queries: DataFrame, stem: bool = True) -> DataFrame:
     """``query_id, term, qtf`` from ``query_id, query``."""
-    return (
-        queries.select("query_id", F.explode(french.terms(F.col("query"), stem)).alias("term"))
-        .groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
-    )
+    words = queries.select("query_id", F.explode(french.terms(F.col("query"))).alias("term"))
+    if stem:
+        words = french.with_stem(words)
+    return words.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
 def bm25(tf: Column, dl: Column, avg_dl: Column, df: Column, n: Column) -> Column:
@@ -127,33 +145,43 @@ def ranked(hits: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> Data
     return top.join(totals, by)
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = TOP_K, boosts: Mapping[str, float] | None = None,
-           allowed: DataFrame | None = None, stem: bool = True, fields: Mapping[str, str] | None = None,
-           ) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, boosts: Mapping[str, float] | None = None,
+           allowed: DataFrame | None = None, stem: bool = True) -> DataFrame:
     """Ranked documents of every query: ``query_id, doc_key, score, rank, total_hits``."""
-    return ranked(best_field(score_queries(docs, queries, allowed, stem, fields), boosts), k)
+    return ranked(best_field(score_queries(index, queries, allowed, stem), boosts), k)
 
 
-def score_queries(docs: DataFrame, queries: DataFrame, allowed: DataFrame | None = None,
-                  stem: bool = True, fields: Mapping[str, str] | None = None) -> DataFrame:
-    """Field scores straight from documents: only the words some query uses are counted."""
-    parts = analysed(docs, fields or {"title": "title", "text": "text"}, stem)
+def score_queries(index: DataFrame, queries: DataFrame, allowed: DataFrame | None = None,
+                  stem: bool = True) -> DataFrame:
+    """Field scores of every query; only the words some query uses are counted."""
     wanted = query_terms(queries, stem)
-    tokens = parts.select("doc_key", "field", "dl", F.explode("terms").alias("term"))
-    used = tokens.join(wanted.select("term").distinct(), "term", "left_semi")
-    post = used.groupBy("doc_key", "field", "dl", "term").agg(F.count("*").alias("tf"))
-    return field_scores(post, weighted_terms(wanted, term_stats(post), field_stats(parts)), allowed)
+    post = postings(index, stem, wanted)
+    return field_scores(post, weighted_terms(wanted, term_stats(post), field_stats(index)), allowed)
 
 
 def filtered(docs: DataFrame, filters: SearchFilters) -> DataFrame:
     return docs.filter(filters.condition()).select("doc_key")
 
 
-def exact_number(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """Documents whose number equals the query's, both folded; equal scores, ties by key."""
-    left = queries.select("query_id", fold_keyword(F.col("number")).alias("_n"))
-    right = docs.select("doc_key", fold_keyword(F.col("decision_number")).alias("_n"))
-    return left.join(right, "_n").select("query_id", "doc_key", F.lit(1.0).alias("score"))
+def by_number(docs: DataFrame, k: int = TOP_K) -> DataFrame:
+    """``number_key, doc_key, rank, total_hits``: what a search for each number returns.
+
+    All matches of a number score alike, so its first k keys are the answer. Numbers are ranked
+    once, whatever the number of queries: a number shared by very many documents and searched by
+    very many queries never multiplies the two.
+    """
+    numbered = docs.select(fold_keyword(F.col("decision_number")).alias("number_key"), "doc_key").filter(
+        F.col("number_key").isNotNull())
+    top = top_k_per_group(numbered, ["number_key"], [F.col("doc_key")], k)
+    totals = numbered.groupBy("number_key").agg(F.count("*").alias("total_hits"))
+    return top.join(totals, "number_key")
+
+
+def exact_number(docs: DataFrame, queries: DataFrame, k: int = TOP_K) -> DataFrame:
+    """First k documents whose number equals the query's, both folded."""
+    wanted = queries.select("query_id", fold_keyword(F.col("number")).alias("number_key"))
+    return wanted.join(by_number(docs, k), "number_key").select(
+        "query_id", "doc_key", F.lit(1.0).alias("score"), "rank", "total_hits")
 
 
 def highlight(hits: DataFrame, stem: bool = True) -> DataFrame:
@@ -161,35 +189,38 @@ def highlight(hits: DataFrame, stem: bool = True) -> DataFrame:
     page only): matching words, elided article included, inside <mark>; everything HTML-escaped.
 
     The text is cut at token borders into pieces of about FRAGMENT_SIZE characters; the pieces
-    with most matches are kept, first ones first among equals.
+    with most matches are kept, first ones first among equals. The title is kept whole.
     """
-    wanted = F.array_distinct(french.terms(F.col("query"), stem))
-    pieces = F.regexp_extract_all("body", F.lit(rf"(?s){french.TOKEN}|.[^\p{{L}}\p{{N}}_]*"), F.lit(0))
-    rows = hits.select(
-        "query_id", "doc_key", wanted.alias("_wanted"),
-        F.inline(F.array(
-            F.struct(F.lit("title").alias("field"), F.col("title").alias("body")),
-            F.struct(F.lit("text").alias("field"), F.col("text").alias("body")),
-        )),
-    ).select("query_id", "doc_key", "_wanted", "field", F.posexplode(pieces).alias("pos", "piece"))
-    found = F.coalesce(F.array_contains("_wanted", french.term(F.col("piece"), stem)), F.lit(False))
-    marked = rows.select(
-        "query_id", "doc_key", "field", "pos", found.alias("hit"), F.length("piece").alias("n"),
-        F.when(found, F.concat(F.lit("<mark>"), html_escape(F.col("piece")), F.lit("</mark>")))
-        .otherwise(html_escape(F.col("piece"))).alias("out"),
-    )
+    pieces = F.regexp_extract_all("body", F.lit(rf"(?s){french.TOKEN}|[^\p{{L}}\p{{N}}_]+|."), F.lit(0))
+    both = F.array(
+        F.struct(F.lit("title").alias("field"), F.col("title").alias("body")),
+        F.struct(F.lit("text").alias("field"), F.col("text").alias("body")))
+    words = spread(hits.select("query_id", "doc_key", "title", "text")).select(
+        "query_id", "doc_key", F.inline(both)).select(
+        "query_id", "doc_key", "field", F.posexplode(pieces).alias("pos", "piece"))
+    words = words.withColumn("term", french.term(F.col("piece")))
+    if stem:
+        words = french.with_stem(words)
+    wanted = query_terms(hits.select("query_id", "query").distinct(), stem).select(
+        "query_id", "term", F.lit(True).alias("_hit"))
+    found = words.join(wanted, ["query_id", "term"], "left").select(
+        "query_id", "doc_key", "field", "pos", F.coalesce("_hit", F.lit(False)).alias("hit"),
+        F.length("piece").alias("n"), html_escape(F.col("piece")).alias("safe"))
+    marked = found.withColumn(
+        "out", F.when(F.col("hit"), F.concat(F.lit("<mark>"), "safe", F.lit("</mark>"))).otherwise(F.col("safe")))
+    # One document's field is the largest group here, and its pieces are numbered in order.
     before = Window.partitionBy("query_id", "doc_key", "field").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("n").over(before), F.lit(0))
+    whole = F.when(F.col("field") == "text", F.floor(start / FRAGMENT_SIZE)).otherwise(F.lit(0))
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "out")))
     fragments = (
-        marked.withColumn("fragment", F.when(F.col("field") == "text", F.floor(start / FRAGMENT_SIZE))
-                          .otherwise(0))
+        marked.withColumn("fragment", whole)
         .groupBy("query_id", "doc_key", "field", "fragment")
         .agg(F.count_if("hit").alias("n_hits"),
-             F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "out"))),
-                                      lambda x: x["out"]), "").alias("html"))
+             F.array_join(F.transform(ordered, lambda x: x["out"]), "").alias("html"))
         .filter("n_hits > 0")
     )
     best = top_k_per_group(
-        fragments, ["query_id", "doc_key", "field"], [F.desc("n_hits"), F.col("fragment")], FRAGMENTS, "n")
-    return best.select("query_id", "doc_key", "field", F.col("n").alias("position"), "html", "n_hits")
+        fragments, ["query_id", "doc_key", "field"], [F.desc("n_hits"), F.col("fragment")], FRAGMENTS, "position")
+    return best.select("query_id", "doc_key", "field", "position", "html", "n_hits")
