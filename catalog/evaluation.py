@@ -10,6 +10,7 @@ from catalog.scalars import fold_sql, strip_sql
 from catalog.text_search import scores_sql
 from catalog.views import TITLED, WHOLE, table
 from docmill.plans import findability
+from docmill.session import written
 
 BOOSTS = [1.0, 2.0]
 _TARGETS = f"""{SAMPLE_SQL},
@@ -43,7 +44,7 @@ _RANKS = f"""{_TARGETS},
 def evaluated(spark, sf):
     docs = table(spark, sf, "v_decisions")
     rows = findability.targets(docs, findability.sample(docs, TITLED, WHOLE))
-    return findability.evaluate(docs, rows, TITLED, BOOSTS, stem=False)
+    return written(findability.evaluate(docs, rows, TITLED, BOOSTS, stem=False), "evaluation")
 
 
 @query("fd_sample", f"WITH {_TARGETS} SELECT source, external_id, decision_number, md5(title) AS title, has_text FROM targets")

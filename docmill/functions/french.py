@@ -23,23 +23,23 @@ quels quelle quelles sans soi
 """.split())
 ELISION = rf"(?i)\A(?:{'|'.join(ARTICLES)})['’]"
 
-# Ordered suffix rules (suffix, shortest word, replacement); the first that applies
-# ends the suffix step. After them come the rules that let later ones apply.
-FINAL_SUFFIXES_A = (
-    ("issement", 10, "ir"), ("issant", 9, "ir"), ("ivement", 8, "if"), ("ement", 7, "e"),
-    ("ficatrice", 12, "fier"), ("ficateur", 11, "fier"), ("catrice", 10, "quer"),
-    ("cateur", 9, "quer"), ("atrice", 9, "er"), ("ateur", 8, "er"),
+# Light stemming of lower-case words without accents, as ordered (shortest word,
+# ending, replacement) rules. Each plural rule applies in turn.
+PLURALS = ((6, "x"), (4, "x"), (4, "s"))
+# The first final rule that applies settles the word; the other two prepare later rules.
+FINAL, PREPARE = True, False
+SUFFIXES = (
+    (10, "issement", "ir", FINAL), (9, "issant", "ir", FINAL), (8, "ivement", "if", FINAL),
+    (7, "ement", "e", FINAL), (12, "ficatrice", "fier", FINAL), (11, "ficateur", "fier", FINAL),
+    (10, "catrice", "quer", FINAL), (9, "cateur", "quer", FINAL), (9, "atrice", "er", FINAL),
+    (8, "ateur", "er", FINAL), (7, "trice", "teur", PREPARE), (8, "teuse", "ter", FINAL),
+    (7, "teur", "ter", FINAL), (6, "euse", "eu", FINAL), (8, "ive", "if", FINAL),
+    (5, "folle", "fou", FINAL), (5, "molle", "mou", FINAL), (10, "nnelle", "n", FINAL),
+    (10, "nnel", "n", FINAL), (9, "ique", "", PREPARE), (9, "esse", "e", FINAL),
+    (8, "inage", "in", FINAL), (13, "ualisation", "uel", FINAL), (10, "isation", "", FINAL),
+    (10, "isateur", "", FINAL), (9, "ation", "", FINAL), (9, "ition", "", FINAL),
 )
-FINAL_SUFFIXES_B = (
-    ("ième", 6, ""), ("teuse", 8, "ter"), ("teur", 7, "ter"), ("euse", 6, "eu"), ("ère", 9, "er"),
-    ("ive", 8, "if"), ("folle", 5, "fou"), ("molle", 5, "mou"), ("nnelle", 10, "n"),
-    ("nnel", 10, "n"),
-)
-FINAL_SUFFIXES_C = (
-    ("esse", 9, "e"), ("inage", 8, "in"), ("ualisation", 13, "uel"), ("isation", 10, ""),
-    ("isateur", 10, ""), ("ation", 9, ""), ("ition", 9, ""),
-)
-STEM_ACCENTS = ("àáâôèéêùûîç", "aaaoeeeuuic")
+_SETTLED = "\x01"
 
 
 def tokens(c: Column) -> Column:
@@ -66,53 +66,24 @@ def terms(c: Column) -> Column:
     return F.coalesce(F.array_compact(found), F.array().cast("array<string>"))
 
 
-def _cut(word: Column, n: int) -> Column:
-    return F.substring(word, F.lit(1), F.length(word) - n)
-
-
-def _rules(word: Column, table: tuple) -> Column:
-    """Outcome of the first rule that applies, NULL when none does."""
-    out = None
-    for suffix, shortest, replacement in table:
-        hit = F.endswith(word, F.lit(suffix)) & (F.length(word) >= shortest)
-        value = F.concat(_cut(word, len(suffix)), F.lit(replacement))
-        out = F.when(hit, value) if out is None else out.when(hit, value)
-    return out
+def _ending(word: Column, shortest: int, ending: str, replacement: str) -> Column:
+    pattern = rf"\A(.{{{shortest - len(ending)},}}){ending}\z"
+    return F.regexp_replace(word, pattern, f"$1{replacement}")
 
 
 def with_stem(df: DataFrame, column: str = "term") -> DataFrame:
-    """Replace a column of lower-case words by their light French stems.
+    """Replace a column of terms (lower case, accents folded) by their light French stems.
 
-    One projection per step: each step is computed once per row inside generated code, where a
-    single nested expression would repeat its inner parts many times.
+    Every step reads its input once, so the expression stays as long as the list of rules; a
+    settled word carries a mark at its end, which no later rule matches.
     """
-    w, done = F.col(column), F.col("_done")
-
-    def longer(n: int) -> Column:
-        return F.length(w) > n
-
-    def ends(suffix: str) -> Column:
-        return F.endswith(w, F.lit(suffix))
-
-    def step(df: DataFrame, condition: Column, value: Column) -> DataFrame:
-        return df.withColumn(column, F.when(condition, value).otherwise(w))
-
-    # Plural and feminine endings.
-    out = df.withColumn(
-        column,
-        F.when(ends("aux") & ~ends("eaux") & longer(5), F.concat(_cut(w, 2), F.lit("l")))
-        .when(ends("x") & longer(5), _cut(w, 1)).otherwise(w))
-    out = step(out, ends("x") & longer(3), _cut(w, 1))
-    out = step(out, ends("s") & longer(3), _cut(w, 1))
-    # Suffix rules: a final rule settles the word, the others prepare the next ones.
-    out = out.withColumn("_done", _rules(w, FINAL_SUFFIXES_A))
-    out = step(out, done.isNull() & ends("trice") & longer(6), F.concat(_cut(w, 4), F.lit("eur")))
-    out = out.withColumn("_done", F.coalesce(done, _rules(w, FINAL_SUFFIXES_B)))
-    out = step(out, done.isNull() & ends("ète") & longer(4), F.concat(_cut(w, 3), F.lit("et")))
-    out = step(out, done.isNull() & ends("ique") & longer(8), _cut(w, 4))
-    out = out.withColumn(column, F.coalesce(done, _rules(w, FINAL_SUFFIXES_C), w)).drop("_done")
-    # Normalisation of what is left.
-    out = step(out, longer(4), F.regexp_replace(F.translate(w, *STEM_ACCENTS), r"(\p{L})\1+", "$1"))
-    out = step(out, ends("ie") & longer(4), _cut(w, 2))
-    bare = F.regexp_replace(w, r"e{0,2}r?\z", "")
-    return step(out, longer(4), F.regexp_replace(bare, r"(\p{L})\1\z", "$1"))
+    word = F.regexp_replace(F.col(column), r"\A(.{2,}[^e])aux\z", "$1al")
+    for shortest, ending in PLURALS:
+        word = _ending(word, shortest, ending, "")
+    for shortest, ending, replacement, final in SUFFIXES:
+        word = _ending(word, shortest, ending, replacement + (_SETTLED if final else ""))
+    out = df.withColumn(column, F.replace(word, F.lit(_SETTLED), F.lit("")))
+    w = F.col(column)
+    single = F.when(F.length(w) > 4, F.regexp_replace(w, r"(\p{L})\1+", "$1")).otherwise(w)
+    bare = F.regexp_replace(single, r"\A(.{3,})ie\z", "$1")
+    return out.withColumn(column, F.regexp_replace(bare, r"\A(?=.{5,}\z)(.*?)e{0,2}r?\z", "$1"))

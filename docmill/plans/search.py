@@ -16,7 +16,7 @@ from docmill.functions.text import fold_keyword, html_escape
 from docmill.operators.filters import SearchFilters
 from docmill.operators.layout import spread
 from docmill.operators.ranking import top_k_per_group
-from docmill.session import work_dir
+from docmill.session import written
 
 TOP_K = 10
 K1, B = 1.2, 0.75
@@ -41,11 +41,7 @@ def analysed(docs: DataFrame, fields: Mapping[str, str] = FIELDS) -> DataFrame:
 def build_index(docs: DataFrame, fields: Mapping[str, str] = FIELDS) -> DataFrame:
     """The analysed fields as a written table: texts are read and cut into words once, and every
     statistic and search after that reads only the columns it needs."""
-    spark = docs.sparkSession
-    path = work_dir(spark, "index")
-    parts = analysed(docs, fields)
-    parts.write.parquet(path)
-    return spark.read.schema(parts.schema).parquet(path)
+    return written(analysed(docs, fields), "index")
 
 
 def postings(index: DataFrame, stem: bool = True, wanted: DataFrame | None = None) -> DataFrame:
@@ -55,13 +51,25 @@ def postings(index: DataFrame, stem: bool = True, wanted: DataFrame | None = Non
     so a frequent word is spread over all tasks.
     """
     words = index.select("doc_key", "field", "dl", F.explode("terms").alias("term"))
-    if stem:
-        words = french.with_stem(words)
     if wanted is not None:
-        words = words.join(wanted.select("term").distinct(), "term", "left_semi")
+        words = words.join(_forms(index, wanted, stem), "term").drop("term").withColumnRenamed(
+            "stem", "term")
+    elif stem:
+        words = french.with_stem(words)
     return words.groupBy("doc_key", "field", "dl", "term").agg(F.count("*").alias("tf"))
 
 
+def _forms(index: DataFrame, wanted: DataFrame, stem: bool) -> DataFrame:
+    """``term, stem``: the words of the corpus that stand for a wanted term. Stems are computed
+    once per distinct word; what is left is as small as the queries."""
+    stems = wanted.select(F.col("term").alias("stem")).distinct()
+    if not stem:
+        return stems.withColumn("term", F.col("stem"))
+    vocabulary = index.select(F.explode("terms").alias("term")).distinct()
+    stemmed = french.with_stem(vocabulary.withColumn("stem", F.col("term")), "stem")
+    return stemmed.join(stems, "stem", "left_semi")
+
+
 def field_stats(index: DataFrame) -> DataFrame:
     """Documents holding the field and their average length, over the whole corpus."""
     return index.filter("dl > 0").groupBy("field").agg(
@@ -195,15 +203,20 @@ def highlight(hits: DataFrame, stem: bool = True) -> DataFrame:
     both = F.array(
         F.struct(F.lit("title").alias("field"), F.col("title").alias("body")),
         F.struct(F.lit("text").alias("field"), F.col("text").alias("body")))
-    words = spread(hits.select("query_id", "doc_key", "title", "text")).select(
-        "query_id", "doc_key", F.inline(both)).select(
+    hits = written(hits.select("query_id", "doc_key", "query", "title", "text"), "hits")
+    # Dealt out by document: the running lengths below need no further shuffle.
+    tasks = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = hits.select("query_id", "doc_key", "title", "text").repartition(
+        tasks, "query_id", "doc_key").select("query_id", "doc_key", F.inline(both)).select(
         "query_id", "doc_key", "field", F.posexplode(pieces).alias("pos", "piece"))
     words = words.withColumn("term", french.term(F.col("piece")))
-    if stem:
-        words = french.with_stem(words)
     wanted = query_terms(hits.select("query_id", "query").distinct(), stem).select(
-        "query_id", "term", F.lit(True).alias("_hit"))
-    found = words.join(wanted, ["query_id", "term"], "left").select(
+        "query_id", F.col("term").alias("stem"))
+    forms = words.select("term").distinct().withColumn("stem", F.col("term"))
+    if stem:
+        forms = french.with_stem(forms, "stem")
+    marks = forms.join(wanted, "stem").select("query_id", "term", F.lit(True).alias("_hit"))
+    found = words.join(marks, ["query_id", "term"], "left").select(
         "query_id", "doc_key", "field", "pos", F.coalesce("_hit", F.lit(False)).alias("hit"),
         F.length("piece").alias("n"), html_escape(F.col("piece")).alias("safe"))
     marked = found.withColumn(

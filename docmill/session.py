@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -35,3 +35,15 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="docmill-", dir="/tmp")
         spark.conf.set(CHECKPOINT_KEY, base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Store an intermediate result in the shared folder and read it back.
+
+    For results used several times: they are computed once, and losing an executor later costs
+    nothing, as the files stay.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
