@@ -45,8 +45,8 @@ def src_json_snapshot(spark, sf):
         outer("type_decision").alias("type_kind"), outer("secteur_activite").alias("sectors_kind"))
 
 
-def landed_pages(spark, sf):
-    """Cursor pages of orders, written as JSON and read back with VARIANT results."""
+def landed_pages_path(spark, sf):
+    """Cursor pages of orders, written as JSON."""
     path = work_dir(spark, "pages")
     orders = source_table(spark, sf, "orders").select(
         F.col("o_orderstatus").alias("scan"), F.floor(F.col("o_orderkey") / PAGE).alias("page"),
@@ -58,7 +58,12 @@ def landed_pages(spark, sf):
         "scan", "page",
         F.when(F.col("page") < F.col("last"), F.concat(F.lit("page="), (F.col("page") + 1).cast("string")))
         .alias("next_batch"), "results").write.json(path)
-    return spark.read.schema(landed.PAGE_SCHEMA).json(path)
+    return path
+
+
+def landed_pages(spark, sf):
+    """The pages read back, their results as VARIANT."""
+    return spark.read.schema(landed.PAGE_SCHEMA).json(landed_pages_path(spark, sf))
 
 
 @query("src_paged_batches", f"""

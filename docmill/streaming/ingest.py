@@ -33,6 +33,16 @@ def read_table_stream(spark: SparkSession, path: str, schema: str, files_per_tri
     )
 
 
+def append_to(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Append a stream to a table until all available input is read; a restart goes on where the
+    checkpoint stands and writes nothing twice."""
+    query = (
+        stream.writeStream.format("parquet").outputMode("append").option("path", path)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
 def drop_rereads(records: DataFrame, moment: str, key: list[str], overlap: str = OVERLAP) -> DataFrame:
     """Drop versions read again inside the overlap of two windows.
 
