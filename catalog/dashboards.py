@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from catalog.relational import END, RANGE, RESULTS_SQL, START, STEPS, _WIDE, check_results, shown
-from catalog.views import AS_OF, table
+from catalog.views import AS_OF, now, table
 from docmill.plans import reports
 from docmill.session import written
 
-NOW = F.lit(AS_OF).cast("timestamp")
 DURATION = "CAST(epoch_us(finished_at) - epoch_us(started_at) AS DOUBLE) / 1000000"
 
 
@@ -41,7 +40,7 @@ def db_run_durations(spark, sf):
 
 @query("db_hours_wide", f"SELECT {_WIDE} FROM v_runs WHERE status = 'success'")
 def db_hours_wide(spark, sf):
-    return reports.hours_wide(runs(spark, sf), NOW, STEPS)
+    return reports.hours_wide(runs(spark, sf), now(), STEPS)
 
 
 @query("db_run_history", f"""

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from catalog import checks as dq
 from catalog.registry import query
 from catalog.relational import BLOCKED, EXPECT_SQL, RESULTS_SQL, check_results, listing_and_dataset, shown
-from catalog.views import AS_OF, AS_OF_DATE, TITLED, table
+from catalog.views import AS_OF, AS_OF_DATE, TITLED, now, table, today
 from docmill.functions.urls import normalize_url
 from docmill.operators import aggregates
 from docmill.plans import quality
 from docmill.session import work_dir, written
 
-NOW = F.lit(AS_OF).cast("timestamp")
 RESULT_COLUMNS = "run_id, check_name, dimension, source, value, expected, severity, status, error"
 _OPS = {"==": "=", "<=": "<=", ">=": ">=", "<": "<", ">": ">"}
 
@@ -99,7 +98,7 @@ def qe_history(spark, sf):
     results = written(check_results(spark, sf).drop("run_id", "checked_at"), "results")
     path = work_dir(spark, "history")
     for run_id in (1, 2):
-        quality.append_history(results, run_id, NOW, path)
+        quality.append_history(results, run_id, now(), path)
     return spark.read.parquet(path).groupBy("run_id", "check_name", "checked_at").agg(F.count("*").alias("n"))
 
 
@@ -177,10 +176,10 @@ def qe_suite(spark, sf):
         "duplicate_number": quality.duplicate_number(docs, TITLED),
         "duplicate_json_key": quality.duplicate_json_key(docs, "src1", "$.ecli"),
         "number_year_mismatch": quality.number_year_mismatch(docs, TITLED),
-        "hours_since_success": quality.hours_since_success(runs, NOW, ["click", "error", "view"]),
+        "hours_since_success": quality.hours_since_success(runs, now(), ["click", "error", "view"]),
         "missing_from_dataset": quality.missing_from_dataset(
             listed, known, normalize_url(F.col("url")), normalize_url(F.col("external_id")), "site"),
-    }).unionByName(quality.silver_counts_one_pass(docs, TITLED, dq.FOUNDED, F.lit(AS_OF_DATE).cast("date")))
+    }).unionByName(quality.silver_counts_one_pass(docs, TITLED, dq.FOUNDED, today()))
     # A handful of rows per check, stored once: judging them reads these rows, not the tables.
     judged = quality.evaluate(written(values, "suite"), quality.expectations(spark, SUITE))
     return shown(judged).drop("error")

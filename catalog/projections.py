@@ -9,15 +9,15 @@ from catalog.payloads import (
 )
 from catalog.registry import pick, query
 from catalog.sources import listing_pages
-from catalog.views import AS_OF, table
+from catalog.views import AS_OF, now, table
 from docmill.functions.display import display_title
 from docmill.functions.text import has_text
-from docmill.functions.variants import field, main_and_subtypes, text_value
+from docmill.functions.variants import field, text_value
 from docmill.model import DOCUMENT_FIELDS
+from docmill.operators.polymorphic import with_fields, with_main_type
 from docmill.plans import reports, silver
 from docmill.sources.listing import listing_payload, parse_listing
 
-NOW = F.lit(AS_OF).cast("timestamp")
 _PART = {
     "type": pick([c[1] for c in TYPES], index("p_partkey", TYPES)),
     "subtypes": pick([c[2] for c in TYPES], index("p_partkey", TYPES)),
@@ -73,7 +73,7 @@ FROM customer WHERE c_nationkey <> 24
 """)
 def prj_court_to_silver(spark, sf):
     rows = silver.court("court")(court_records(spark, sf).select("external_id", "payload"))
-    return silver.silver_rows(rows, NOW).select(
+    return silver.silver_rows(rows, now()).select(
         "source", "external_id", "decision_number", "issuer", "decision_type", "decision_date", "title", "text",
         F.size("sectors").alias("n_sectors"), "url")
 
@@ -87,7 +87,7 @@ FROM part WHERE p_size <> 50
 """)
 def prj_authority_to_silver(spark, sf):
     rows = silver.authority("authority")(authority_records(spark, sf).select("external_id", "payload"))
-    return silver.silver_rows(rows, NOW).select(
+    return silver.silver_rows(rows, now()).select(
         "source", "external_id", "decision_number", "issuer", "decision_type", "decision_date", "title", "text",
         F.array_join("sectors", ";").alias("sectors"), "url")
 
@@ -104,9 +104,9 @@ FROM part
 """)
 def prj_type_parse(spark, sf):
     rows = authority_records(spark, sf).select("p_partkey", F.try_parse_json("payload").alias("v"))
-    label, subtypes, anomaly = main_and_subtypes(field(F.col("v"), "type_decision"), silver.AUTHORITY_TYPES)
-    return rows.select("p_partkey", label.alias("decision_type"), F.array_join(subtypes, ";").alias("subtypes"),
-                       anomaly.alias("anomaly"))
+    rows = with_fields(rows, "v", {"f": "type_decision"})
+    rows = with_main_type(rows, "f", silver.AUTHORITY_TYPES, ("decision_type", "items", "anomaly"))
+    return rows.select("p_partkey", "decision_type", F.array_join("items", ";").alias("subtypes"), "anomaly")
 
 
 @query("prj_code_lookup", f"""

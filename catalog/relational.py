@@ -10,7 +10,7 @@ from catalog.payloads import authority_records, court_records
 from catalog.projections import REGISTRY, raw_layer
 from catalog.registry import query
 from catalog.sinks import batch, stored
-from catalog.views import AS_OF, TITLED, WHOLE, source_table, table
+from catalog.views import AS_OF, TITLED, WHOLE, now, source_table, table
 from docmill.functions import text
 from docmill.functions.dates import number_year
 from docmill.functions.urls import normalize_url
@@ -19,7 +19,6 @@ from docmill.operators import aggregates, filters, keys, ranking
 from docmill.plans import findability, publish, quality, reports, silver
 from catalog.scalars import strip_sql
 
-NOW = F.lit(AS_OF).cast("timestamp")
 START, END = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
 RANGE = f"BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"
 FILTERS = filters.SearchFilters(
@@ -308,26 +307,26 @@ def ag_ambiguous_keys(spark, sf):
 
 @query("ag_freshness", f"""
 SELECT source, max(finished_at) AS last_end,
-  round(CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(finished_at)) AS DOUBLE) / 1000000 / 3600) AS hours
+  round(CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(finished_at)) AS DOUBLE) / 1000000 / 3600) + 0.0 AS hours
 FROM v_runs WHERE status = 'success' GROUP BY source
 """)
 def ag_freshness(spark, sf):
     done = table(spark, sf, "v_runs").filter(F.col("status") == "success")
     last = done.groupBy("source").agg(F.max("finished_at").alias("last_end"))
-    return last.join(quality.hours_since_success(table(spark, sf, "v_runs"), NOW), "source").withColumnRenamed(
+    return last.join(quality.hours_since_success(table(spark, sf, "v_runs"), now()), "source").withColumnRenamed(
         "value", "hours")
 
 
 STEPS = ["click", "error", "purchase", "signup", "view", "ghost"]
 _WIDE = ", ".join(
     f"round(CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max(finished_at) FILTER (WHERE source = '{s}')) AS DOUBLE)"
-    f" / 1000000 / 3600, 1) AS {s}" for s in STEPS)
+    f" / 1000000 / 3600, 1) + 0.0 AS {s}" for s in STEPS)
 
 
 @query("ag_conditional_pivot", f"SELECT {_WIDE} FROM v_runs WHERE status = 'success'")
 def ag_conditional_pivot(spark, sf):
     done = table(spark, sf, "v_runs").filter(F.col("status") == "success")
-    return aggregates.hours_since_wide(done, "finished_at", NOW, STEPS)
+    return aggregates.hours_since_wide(done, "finished_at", now(), STEPS)
 
 
 @query("ag_bool_share", """
@@ -505,7 +504,7 @@ SELECT source, count(*) AS n FROM (
 GROUP BY source
 """)
 def so_silver_union(spark, sf):
-    rows = silver.silver_rows(silver.transform_all(raw_layer(spark, sf), REGISTRY), NOW)
+    rows = silver.silver_rows(silver.transform_all(raw_layer(spark, sf), REGISTRY), now())
     return rows.groupBy("source").agg(F.count("*").alias("n"))
 
 

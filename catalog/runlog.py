@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from catalog.projections import DISPLAY
 from catalog.registry import query
 from catalog.relational import BLOCKED, RESULTS_SQL, _RANKS, _STATUS_COLUMNS, check_results, shown
-from catalog.sinks import HASH, NOW, RUN, batch, stored
-from catalog.views import AS_OF_DATE, source_table, table
+from catalog.sinks import HASH, RUN, batch, stored
+from catalog.views import AS_OF_DATE, now, source_table, table, today
 from docmill.operators import upsert
 from docmill.plans import reports, runs
 from docmill.session import written
 
-TODAY = F.lit(AS_OF_DATE).cast("date")
 
 
 @query("rl_run_collapse", """
@@ -62,8 +61,8 @@ def rl_compute_window(spark, sf):
     asked = F.when(F.col("source") == "view", F.lit("2024-01-15").cast("date"))
     wanted = log.select("source", F.coalesce("date_type", F.lit("never")).alias("date_type")).distinct()
     rows = wanted.join(runs.last_successful_end(log), ["source", "date_type"], "left")
-    since, until = runs.window(F.col("last_end"), TODAY, start=asked)
-    tight, _ = runs.window(F.col("last_end"), TODAY, lookback=0, start=asked)
+    since, until = runs.window(F.col("last_end"), today(), start=asked)
+    tight, _ = runs.window(F.col("last_end"), today(), lookback=0, start=asked)
     return rows.select("source", "date_type", since.alias("window_start"), until.alias("window_end"),
                        tight.alias("start_without_overlap"), (tight > until).alias("nothing_to_do"))
 
@@ -74,7 +73,7 @@ FROM (SELECT source, external_id, arg_max({HASH}, seq) FROM v_batch GROUP BY sou
 """)
 def rl_overlap_idempotent(spark, sf):
     """The stored table after a batch, and the last version of every record read once more."""
-    after = written(upsert.upsert(stored(spark, sf), batch(spark, sf), RUN, NOW), "after")
+    after = written(upsert.upsert(stored(spark, sf), batch(spark, sf), RUN, now()), "after")
     again = upsert.last_per_key(batch(spark, sf)).withColumn("seq", F.lit(1).cast("bigint")).drop("low_hash", "high_hash")
     return upsert.ingest_counts(upsert.sequential_status(after, again), ["source"])
 

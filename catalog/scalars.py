@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from catalog.payloads import DATES, LISTS, TEXTS, authority_records, index
 from catalog.registry import pick, query
-from catalog.views import AS_OF, source_table, table
+from catalog.views import AS_OF, now, source_table, table
 from docmill.functions import dates, text, urls, variants
 
-NOW = F.lit(AS_OF).cast("timestamp")
 SPACE = r"[\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
@@ -145,12 +144,12 @@ def fn_two_digit_year(spark, sf):
 
 @query("fn_elapsed", f"""
 SELECT run_id, CAST(epoch_us(finished_at) - epoch_us(started_at) AS DOUBLE) / 1000000 AS seconds,
-  round(CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(finished_at) AS DOUBLE) / 1000000 / 3600) AS hours FROM v_runs
+  round(CAST(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(finished_at) AS DOUBLE) / 1000000 / 3600) + 0.0 AS hours FROM v_runs
 """)
 def fn_elapsed(spark, sf):
     return table(spark, sf, "v_runs").select(
         "run_id", dates.elapsed_seconds(F.col("finished_at"), F.col("started_at")).alias("seconds"),
-        F.round(dates.elapsed_hours(NOW, F.col("finished_at"))).alias("hours"))
+        F.round(dates.elapsed_hours(now(), F.col("finished_at"))).alias("hours"))
 
 
 @query("fn_json_field", "SELECT doc_id, json_extract_string(attributes, '$.ecli') AS ecli FROM v_decisions")

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from catalog.views import AS_OF, table
+from catalog.views import AS_OF, now, table
 from docmill.functions.variants import payload_hash
 from docmill.operators import upsert
 from docmill.plans import publish
 from docmill.session import work_dir
 
-NOW = F.lit(AS_OF).cast("timestamp")
 RUN = 2
 # Reference form of the hash: keys in order, no spaces.
 HASH = "sha256(payload)"
@@ -59,7 +58,7 @@ SELECT source, external_id, CASE WHEN differs THEN lp ELSE sp END AS payload,
 FROM j
 """)
 def snk_upsert_bronze(spark, sf):
-    return upsert.upsert(stored(spark, sf), batch(spark, sf), RUN, NOW)
+    return upsert.upsert(stored(spark, sf), batch(spark, sf), RUN, now())
 
 
 @query("snk_upsert_status_seq", f"WITH {_STATUS} SELECT * FROM st")
@@ -87,7 +86,7 @@ def snk_silver_rebuild(spark, sf):
     root, version = work_dir(spark, "rebuild"), "decisions_20240131_000000"
     rows = table(spark, sf, "v_decisions").select("source", "external_id", "decision_number", "text")
     path = publish.write_version(rows, root, version)
-    publish.publish(spark, f"{root}/versions", "decisions", version, path, NOW)
+    publish.publish(spark, f"{root}/versions", "decisions", version, path, now())
     current = publish.current_path(spark, f"{root}/versions", "decisions")
     return spark.read.schema(rows.schema).parquet(current).groupBy("source").agg(
         F.count("*").alias("n"), F.count("decision_number").alias("n_numbers"), F.lit(version).alias("version"))
@@ -180,7 +179,7 @@ WITH {_GATE} SELECT {RUN} AS run_id, 'decisions_20240131_000000' AS index_name,
 """)
 def snk_index_stats(spark, sf):
     """History rows of a refused publication, appended and read back."""
-    rows = publish.index_stats_rows(RUN, "decisions_20240131_000000", gate_rows(spark, sf), F.lit(False), NOW)
+    rows = publish.index_stats_rows(RUN, "decisions_20240131_000000", gate_rows(spark, sf), F.lit(False), now())
     path = work_dir(spark, "index-stats")
     rows.write.mode("append").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

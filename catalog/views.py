@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = (
@@ -152,6 +152,15 @@ SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title
 """
 
 
+def now() -> Column:
+    """The moment every query takes as the present."""
+    return F.lit(AS_OF).cast("timestamp")
+
+
+def today() -> Column:
+    return F.lit(AS_OF_DATE).cast("date")
+
+
 def source_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,13 +7,14 @@ import ast
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from docmill.functions.text import strip, strip_or_none
 
 # Escapes that mean the same in a list literal and in JSON.
 _ESC = r"""\\(?:['"\\nrtbf]|u[0-9a-fA-F]{4})"""
 _ITEM = rf"""(?:'(?:[^'\\\r\n]|{_ESC})*+'|"(?:[^"\\\r\n]|{_ESC})*+")"""
-_LIST_TEXT = rf"\A\s*\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*,?)?\s*\]\s*\z"
+LIST_TEXT = rf"\A\s*\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*,?)?\s*\]\s*\z"
 
 
 def field(doc: Column, name: str) -> Column:
@@ -39,7 +40,7 @@ def is_json_null(v: Column) -> Column:
     return v.isNull() | F.is_variant_null(v)
 
 
-def _clean(items: Column) -> Column:
+def clean_items(items: Column) -> Column:
     return F.filter(F.transform(items, strip), lambda x: x != "")
 
 
@@ -47,11 +48,11 @@ def clean_str_list(v: Column) -> Column:
     """Trimmed non-blank items of a list made of strings only; NULL otherwise."""
     items = F.try_variant_get(v, "$", "array<string>")
     whole = F.coalesce(~F.exists(items, lambda x: x.isNull()), F.lit(False))
-    return F.when(kind(v).isin("ARRAY<STRING>", "ARRAY<VOID>") & whole, _clean(items))
+    return F.when(kind(v).isin("ARRAY<STRING>", "ARRAY<VOID>") & whole, clean_items(items))
 
 
-@F.pandas_udf("array<string>")
-def _literal_list(texts: pd.Series) -> pd.Series:
+@F.pandas_udf(ArrayType(StringType()))
+def escaped_list(texts: pd.Series) -> pd.Series:
     """Escaped list literals only: the one shape the JSON reader cannot take."""
 
     def read(text: str) -> list[str] | None:
@@ -65,23 +66,31 @@ def _literal_list(texts: pd.Series) -> pd.Series:
     return texts.map(read, na_action="ignore")
 
 
+def EMPTY_LIST() -> Column:  # noqa: N802 - reads as a constant
+    return F.array().cast("array<string>")
+
+
+def list_text_items(c: Column) -> Column:
+    """Items of list text that fits LIST_TEXT."""
+    return F.from_json(
+        F.regexp_replace(c, r",\s*\]\s*\z", "]"),
+        "array<string>",
+        {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"},
+    )
+
+
 def parse_list_text(c: Column, escapes: bool = False) -> Column:
     """List literal held in text, items trimmed, blanks dropped; NULL when malformed.
 
     Plain quoted items are read natively. ``escapes=True`` adds an Arrow-batched branch for
     texts the native pattern refuses although they begin like a list.
     """
-    native = F.from_json(
-        F.regexp_replace(c, r",\s*\]\s*\z", "]"),
-        "array<string>",
-        {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"},
-    )
-    plain = c.rlike(_LIST_TEXT)
-    items = F.when(plain, native)
+    plain = c.rlike(LIST_TEXT)
+    items = F.when(plain, list_text_items(c))
     if escapes:
         residue = F.when(~plain & F.startswith(strip(c), F.lit("[")), c)
-        items = F.coalesce(items, _literal_list(residue))
-    return _clean(items)
+        items = F.coalesce(items, escaped_list(residue))
+    return clean_items(items)
 
 
 def parse_str_list(v: Column, escapes: bool = False) -> Column:
@@ -89,35 +98,9 @@ def parse_str_list(v: Column, escapes: bool = False) -> Column:
     return F.coalesce(clean_str_list(v), parse_list_text(text_value(v), escapes))
 
 
-def main_and_subtypes(v: Column, labels: dict[str, str]) -> tuple[Column, Column, Column]:
-    """(label, subtypes, anomaly) of a value that is a label, a list, or a list held in text.
-
-    An unknown label is never mapped to a known one.
-    """
-    text = strip(text_value(v))
-    looks_list = F.coalesce(F.startswith(text, F.lit("[")), F.lit(False))
-    listed = F.when(looks_list, F.try_parse_json(text)).otherwise(v)
-    is_list = F.coalesce(looks_list | F.startswith(kind(v), F.lit("ARRAY")), F.lit(False))
-    items = F.when(kind(listed) == "ARRAY<STRING>", F.try_variant_get(listed, "$", "array<string>"))
-    sound = F.coalesce((F.size(items) > 0) & ~F.exists(items, lambda x: x.isNull()), F.lit(False))
-    malformed = is_list & ~sound
-    main = F.when(is_list, strip(F.get(items, F.lit(0)))).otherwise(text)
-    table = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
-    label = F.when(~malformed, F.try_element_at(table, main))
-    subtypes = F.when(
-        is_list & sound,
-        F.transform(F.slice(items, F.lit(2), F.greatest(F.size(items) - 1, F.lit(0))), strip),
-    ).otherwise(F.array().cast("array<string>"))
-    anomaly = (
-        F.when(malformed, F.lit("malformed_type_decision"))
-        .when(label.isNull(), F.lit("unknown_decision_type"))
-    )
-    return label, subtypes, anomaly
-
-
-def yes_no(v: Column, yes: str, no: str) -> Column:
+def yes_no(text: Column, yes: str, no: str) -> Column:
     """Boolean behind two fixed words; NULL for anything else."""
-    text = strip(text_value(v))
+    text = strip(text)
     return F.when(text == yes, F.lit(True)).when(text == no, F.lit(False))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -16,3 +17,12 @@ def spread(scan: DataFrame) -> DataFrame:
     if scan.rdd.getNumPartitions() >= wanted:
         return scan
     return scan.repartition(wanted)
+
+
+def explode_once(df: DataFrame, keep: list[str], items: Column, alias: str) -> DataFrame:
+    """One row per array item, the array being computed once.
+
+    A plain explode lets the optimizer derive a filter on the size of the array and push it down
+    to the scan, where a costly array expression would be computed a second time.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(alias)).filter(F.col(alias).isNotNull())

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from docmill.functions import french
 from docmill.functions.text import fold_keyword, html_escape
 from docmill.operators.filters import SearchFilters
-from docmill.operators.layout import spread
+from docmill.operators.layout import explode_once, spread
 from docmill.operators.ranking import top_k_per_group
 from docmill.session import written
 
@@ -50,7 +50,7 @@ def postings(index: DataFrame, stem: bool = True, wanted: DataFrame | None = Non
     Partial counts shrink repeats before the shuffle, and the grouping key holds the document,
     so a frequent word is spread over all tasks.
     """
-    words = index.select("doc_key", "field", "dl", F.explode("terms").alias("term"))
+    words = explode_once(index, ["doc_key", "field", "dl"], F.col("terms"), "term")
     if wanted is not None:
         words = words.join(_forms(index, wanted, stem), "term").drop("term").withColumnRenamed(
             "stem", "term")
@@ -65,7 +65,7 @@ def _forms(index: DataFrame, wanted: DataFrame, stem: bool) -> DataFrame:
     stems = wanted.select(F.col("term").alias("stem")).distinct()
     if not stem:
         return stems.withColumn("term", F.col("stem"))
-    vocabulary = index.select(F.explode("terms").alias("term")).distinct()
+    vocabulary = explode_once(index, [], F.col("terms"), "term").distinct()
     stemmed = french.with_stem(vocabulary.withColumn("stem", F.col("term")), "stem")
     return stemmed.join(stems, "stem", "left_semi")
 
@@ -84,7 +84,7 @@ def term_stats(post: DataFrame) -> DataFrame:
 
 def query_terms(queries: DataFrame, stem: bool = True) -> DataFrame:
     """``query_id, term, qtf`` from ``query_id, query``."""
-    words = queries.select("query_id", F.explode(french.terms(F.col("query"))).alias("term"))
+    words = explode_once(queries, ["query_id"], french.terms(F.col("query")), "term")
     if stem:
         words = french.with_stem(words)
     return words.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
@@ -208,7 +208,7 @@ def highlight(hits: DataFrame, stem: bool = True) -> DataFrame:
     tasks = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = hits.select("query_id", "doc_key", "title", "text").repartition(
         tasks, "query_id", "doc_key").select("query_id", "doc_key", F.inline(both)).select(
-        "query_id", "doc_key", "field", F.posexplode(pieces).alias("pos", "piece"))
+        "query_id", "doc_key", "field", F.posexplode_outer(pieces).alias("pos", "piece"))
     words = words.withColumn("term", french.term(F.col("piece")))
     wanted = query_terms(hits.select("query_id", "query").distinct(), stem).select(
         "query_id", F.col("term").alias("stem"))

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from docmill.functions.dates import parse_iso_date
 from docmill.functions.text import strip, strip_or_none
-from docmill.functions.variants import (
-    field, is_json_null, kind, main_and_subtypes, parse_str_list, strip_text, text_value, yes_no,
-)
+from docmill.functions.variants import EMPTY_LIST, field, kind, strip_text, text_value, yes_no
+from docmill.operators.layout import explode_once
+from docmill.operators.polymorphic import with_fields, with_main_type, with_str_lists
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -36,6 +36,7 @@ AUTHORITY_COLUMNS = (
     "id_decision", "type_decision", "date_decision_datetime", "titre_decision",
     "texte_complet_decision", "secteur_activite", "url_site",
 )
+COMPANIES, SIMPLIFIED = "entreprises_concernees", "decision_simplifiee"
 YES, NO = "Oui", "Non"
 COLUMNS = (
     "source", "external_id", "decision_number", "issuer", "decision_type", "decision_date",
@@ -87,35 +88,24 @@ def fixed_attributes(v: Column, type_attribute: str = "source_type") -> Column:
     return F.to_json(F.to_variant_object(full))
 
 
-def open_attributes(v: Column, subtypes: Column, companies: Column | None = None) -> tuple[Column, Column, Column]:
-    """(JSON of every field without a column of its own, two possible anomalies)."""
-    listed, simplified = field(v, "entreprises_concernees"), field(v, "decision_simplifiee")
-    company_list = parse_str_list(listed) if companies is None else companies
-    flag = yes_no(simplified, YES, NO)
-    bad_companies = F.when(
-        ~is_json_null(listed) & company_list.isNull(), F.lit("malformed_entreprises"))
-    bad_flag = F.when(~is_json_null(simplified) & flag.isNull(), F.lit("invalid_decision_simplifiee"))
-
+def open_attributes(doc: Column, companies: Column, flag: Column, subtypes: Column) -> Column:
+    """JSON of every payload field without a column of its own: strings trimmed, the company list
+    and the yes/no field replaced by their parsed values, the rest as it is."""
     null = F.expr(NULL_VARIANT)
-    empty = F.array().cast("array<string>")
 
     def clean(name: Column, value: Column) -> Column:
-        as_companies = F.when(F.is_variant_null(value), null).otherwise(
-            F.to_variant_object(F.coalesce(company_list, empty)))
-        as_flag = F.coalesce(flag.cast("variant"), null)
-        as_text = strip(text_value(value)).cast("variant")
         return (
-            F.when(name == "entreprises_concernees", as_companies)
-            .when(name == "decision_simplifiee", as_flag)
-            .when(kind(value) == "STRING", as_text)
+            F.when(name == COMPANIES, F.when(F.is_variant_null(value), null).otherwise(
+                F.to_variant_object(F.coalesce(companies, EMPTY_LIST()))))
+            .when(name == SIMPLIFIED, F.coalesce(flag.cast("variant"), null))
+            .when(kind(value) == "STRING", strip(text_value(value)).cast("variant"))
             .otherwise(value)
         )
 
-    fields = F.try_variant_get(v, "$", "map<string,variant>")
+    fields = F.try_variant_get(doc, "$", "map<string,variant>")
     kept = F.map_filter(fields, lambda k, _: ~k.isin(*AUTHORITY_COLUMNS, "subtypes"))
-    cleaned = F.transform_values(kept, clean)
     extra = F.create_map(F.lit("subtypes"), F.to_variant_object(subtypes))
-    return F.to_json(F.to_variant_object(F.map_concat(cleaned, extra))), bad_companies, bad_flag
+    return F.to_json(F.to_variant_object(F.map_concat(F.transform_values(kept, clean), extra)))
 
 
 def court(source: str, url_prefix: str = COURT_URL,
@@ -123,25 +113,26 @@ def court(source: str, url_prefix: str = COURT_URL,
     """Court decisions: no type, no title, no sectors; the address follows a template."""
 
     def transform(raw: DataFrame) -> DataFrame:
-        v = F.col("v")
-        ext = F.col("ext")
-        number = first_valid_number(field(v, "numbers"))
-        issuer = code_label(text_value(field(v, "jurisdiction")), COURTS)
-        decided = parse_iso_date(text_value(field(v, "decision_date")))
+        v, ext = F.col("v"), F.col("ext")
         rows = raw.select(
             F.try_parse_json("payload").alias("v"), strip_or_none(F.col("external_id")).alias("ext"))
+        rows = rows.withColumns({
+            "number": first_valid_number(field(v, "numbers")),
+            "issuer": code_label(text_value(field(v, "jurisdiction")), COURTS),
+            "decided": parse_iso_date(text_value(field(v, "decision_date"))),
+        })
         none = F.lit(None).cast("string")
         return rows.select(
             F.lit(source).alias("source"), ext.alias("external_id"),
-            number.alias("decision_number"), issuer.alias("issuer"), none.alias("decision_type"),
-            decided.alias("decision_date"), none.alias("title"),
-            text_value(field(v, "text")).alias("text"),
-            F.array().cast("array<string>").alias("sectors"),
+            F.col("number").alias("decision_number"), "issuer", none.alias("decision_type"),
+            F.col("decided").alias("decision_date"), none.alias("title"),
+            text_value(field(v, "text")).alias("text"), EMPTY_LIST().alias("sectors"),
             F.concat(F.lit(url_prefix), ext).alias("url"),
             fixed_attributes(v, type_attribute).alias("attributes"),
             _anomalies(
-                ext, _missing(number, "invalid_decision_number"),
-                _missing(issuer, "unknown_jurisdiction"), _missing(decided, "invalid_decision_date"),
+                ext, _missing(F.col("number"), "invalid_decision_number"),
+                _missing(F.col("issuer"), "unknown_jurisdiction"),
+                _missing(F.col("decided"), "invalid_decision_date"),
             ).alias("anomalies"),
         )
 
@@ -153,34 +144,34 @@ def authority(source: str, issuer: str = AUTHORITY_ISSUER,
     """Authority decisions: polymorphic type and lists, every other field kept as attribute."""
 
     def transform(raw: DataFrame) -> DataFrame:
-        v = F.col("v")
-        ext = F.col("ext")
-        label, subtypes, type_anomaly = main_and_subtypes(field(v, "type_decision"), dict(labels))
-        decided = parse_iso_date(text_value(field(v, "date_decision_datetime")))
-        sector_field = field(v, "secteur_activite")
-        sectors = F.col("_sectors")
-        attributes, bad_companies, bad_flag = open_attributes(v, subtypes, F.col("_companies"))
         rows = raw.select(
-            F.try_parse_json("payload").alias("v"), strip_or_none(F.col("external_id")).alias("ext")
-        ).select(
-            "v", "ext",
-            parse_str_list(field(v, "secteur_activite"), escapes=True).alias("_sectors"),
-            parse_str_list(field(v, "entreprises_concernees"), escapes=True).alias("_companies"),
-        )
+            F.try_parse_json("payload").alias("v"), strip_or_none(F.col("external_id")).alias("ext"))
+        rows = with_fields(rows, "v", {
+            "f_type": "type_decision", "f_date": "date_decision_datetime", "f_sectors": "secteur_activite",
+            "f_companies": COMPANIES, "f_flag": SIMPLIFIED,
+        })
+        rows = with_str_lists(rows, {"f_sectors": "sector_list", "f_companies": "company_list"})
+        rows = with_main_type(rows, "f_type", labels, ("label", "subtypes", "type_anomaly"))
+        rows = rows.withColumns({
+            "decided": parse_iso_date(F.col("f_date_t")), "flag": yes_no(F.col("f_flag_t"), YES, NO)})
+        ext, v = F.col("ext"), F.col("v")
+        bad = lambda f, value, name: F.when(
+            (F.col(f"{f}_k") != "VOID") & F.col(value).isNull(), F.lit(name))
         return rows.select(
             F.lit(source).alias("source"), ext.alias("external_id"),
             strip_text(field(v, "id_decision")).alias("decision_number"),
-            F.lit(issuer).alias("issuer"), label.alias("decision_type"),
-            decided.alias("decision_date"),
+            F.lit(issuer).alias("issuer"), F.col("label").alias("decision_type"),
+            F.col("decided").alias("decision_date"),
             strip_text(field(v, "titre_decision")).alias("title"),
             text_value(field(v, "texte_complet_decision")).alias("text"),
-            F.coalesce(sectors, F.array().cast("array<string>")).alias("sectors"),
+            F.coalesce("sector_list", EMPTY_LIST()).alias("sectors"),
             strip_text(field(v, "url_site")).alias("url"),
-            attributes.alias("attributes"),
+            open_attributes(v, F.col("company_list"), F.col("flag"), F.col("subtypes")).alias("attributes"),
             _anomalies(
-                ext, type_anomaly, _missing(decided, "invalid_decision_date"),
-                F.when(~is_json_null(sector_field) & sectors.isNull(), F.lit("malformed_sectors")),
-                bad_companies, bad_flag,
+                ext, F.col("type_anomaly"), _missing(F.col("decided"), "invalid_decision_date"),
+                bad("f_sectors", "sector_list", "malformed_sectors"),
+                bad("f_companies", "company_list", "malformed_entreprises"),
+                bad("f_flag", "flag", "invalid_decision_simplifiee"),
             ).alias("anomalies"),
         )
 
@@ -213,7 +204,5 @@ def row_counts(transformed: DataFrame) -> DataFrame:
 
 
 def anomaly_counts(transformed: DataFrame) -> DataFrame:
-    return (
-        transformed.select("source", F.explode("anomalies").alias("kind"))
-        .groupBy("source", "kind").agg(F.count("*").alias("n"))
-    )
+    kinds = explode_once(transformed, ["source"], F.col("anomalies"), "kind")
+    return kinds.groupBy("source", "kind").agg(F.count("*").alias("n"))
