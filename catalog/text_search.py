@@ -82,8 +82,8 @@ def corpus(spark, sf):
     return table(spark, sf, "v_decisions").withColumn("doc_key", F.concat_ws("|", "source", "external_id"))
 
 
-def index(spark, sf):
-    return search.build_index(corpus(spark, sf))
+def index(spark, sf, stem=False):
+    return search.build_index(corpus(spark, sf), stem, keep=())
 
 
 def bench_queries(spark, sf):
@@ -113,18 +113,18 @@ def tx_stem_vocabulary(spark, sf):
 
 @query("tx_postings", f"WITH {CORPUS_SQL} SELECT doc_key, field, term, tf, dl FROM post JOIN lens USING (doc_key, field)")
 def tx_postings(spark, sf):
-    return search.postings(search.analysed(corpus(spark, sf)), stem=False).select(
+    return search.postings(search.analysed(corpus(spark, sf), False, keep=())).select(
         "doc_key", "field", "term", "tf", "dl")
 
 
 @query("tx_term_stats", f"WITH {CORPUS_SQL} SELECT field, term, df, total_tf FROM tst")
 def tx_term_stats(spark, sf):
-    return search.term_stats(search.postings(search.analysed(corpus(spark, sf)), stem=False))
+    return search.term_stats(search.postings(search.analysed(corpus(spark, sf), False, keep=())))
 
 
 @query("tx_field_stats", f"WITH {CORPUS_SQL} SELECT field, n AS n_docs, a AS avg_dl FROM fst")
 def tx_field_stats(spark, sf):
-    return search.field_stats(search.analysed(corpus(spark, sf)))
+    return search.field_stats(search.analysed(corpus(spark, sf), False, keep=()))
 
 
 @query("tx_exact_number", f"""
@@ -167,7 +167,7 @@ WITH {BENCH_SQL}, {CORPUS_SQL}, {_STEMMED}, {BEST_SQL} SELECT query_id, doc_key,
 """)
 def tx_bm25_stemmed(spark, sf):
     """The same search with the whole analysis chain."""
-    return search.search(index(spark, sf), bench_queries(spark, sf))
+    return search.search(index(spark, sf, True), bench_queries(spark, sf))
 
 
 @query("tx_total_hits", f"""
@@ -184,7 +184,7 @@ WITH {BENCH_SQL}, {scores_sql(f"WHERE post.doc_key IN (SELECT source || '|' || e
 """)
 def tx_filtered_search(spark, sf):
     docs = corpus(spark, sf)
-    return search.search(search.build_index(docs), bench_queries(spark, sf), allowed=search.filtered(docs, FILTERS), stem=False)
+    return search.search(search.build_index(docs, False), bench_queries(spark, sf), filters=FILTERS, stem=False)
 
 
 @query("tx_highlight")
@@ -220,7 +220,7 @@ FROM top JOIN v_decisions d ON doc_key = source || '|' || external_id WHERE rank
 def rd_search_page(spark, sf):
     """Second page of five, filtered."""
     docs = corpus(spark, sf)
-    found = search.search(search.build_index(docs), bench_queries(spark, sf), allowed=search.filtered(docs, FILTERS), stem=False)
+    found = search.search(search.build_index(docs, False), bench_queries(spark, sf), filters=FILTERS, stem=False)
     shown = reports.search_page(docs.withColumn("has_text", has_text(F.col("text"))), found, 2, 5)
     return shown.select(
         "query_id", "rank", "total_hits", "score", "source", "external_id", "decision_number", "decision_date",

@@ -71,19 +71,29 @@ def _ending(word: Column, shortest: int, ending: str, replacement: str) -> Colum
     return F.regexp_replace(word, pattern, f"$1{replacement}")
 
 
-def with_stem(df: DataFrame, column: str = "term") -> DataFrame:
-    """Replace a column of terms (lower case, accents folded) by their light French stems.
-
-    Every step reads its input once, so the expression stays as long as the list of rules; a
-    settled word carries a mark at its end, which no later rule matches.
-    """
-    word = F.regexp_replace(F.col(column), r"\A(.{2,}[^e])aux\z", "$1al")
+def _suffixes(c: Column) -> Column:
+    """Plural and suffix rules; every step reads its input once, so the expression stays as long
+    as the list of rules. A settled word carries a mark at its end, which no later rule matches."""
+    word = F.regexp_replace(c, r"\A(.{2,}[^e])aux\z", "$1al")
     for shortest, ending in PLURALS:
         word = _ending(word, shortest, ending, "")
     for shortest, ending, replacement, final in SUFFIXES:
         word = _ending(word, shortest, ending, replacement + (_SETTLED if final else ""))
-    out = df.withColumn(column, F.replace(word, F.lit(_SETTLED), F.lit("")))
-    w = F.col(column)
+    return F.replace(word, F.lit(_SETTLED), F.lit(""))
+
+
+def _last_letters(w: Column) -> Column:
     single = F.when(F.length(w) > 4, F.regexp_replace(w, r"(\p{L})\1+", "$1")).otherwise(w)
     bare = F.regexp_replace(single, r"\A(.{3,})ie\z", "$1")
-    return out.withColumn(column, F.regexp_replace(bare, r"\A(?=.{5,}\z)(.*?)e{0,2}r?\z", "$1"))
+    return F.regexp_replace(bare, r"\A(?=.{5,}\z)(.*?)e{0,2}r?\z", "$1")
+
+
+def stems(words: Column) -> Column:
+    """Light French stems of an array of terms (lower case, accents folded)."""
+    return F.transform(F.transform(words, _suffixes), _last_letters)
+
+
+def with_stem(df: DataFrame, column: str = "term") -> DataFrame:
+    """Replace a column of terms by their light French stems."""
+    out = df.withColumn(column, _suffixes(F.col(column)))
+    return out.withColumn(column, _last_letters(F.col(column)))

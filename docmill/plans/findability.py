@@ -70,7 +70,7 @@ def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: lis
 
     titled = for_mode(rows, "title", titled_source).withColumn("query_id", F.sha2("title", 256))
     questions = titled.groupBy("query_id").agg(F.min("title").alias("query"))
-    scores = search.score_queries(search.build_index(docs), questions, stem=stem)
+    scores = search.score_queries(search.build_index(docs, stem, keep=()), questions, stem=stem)
     by = ["query_id", "title_boost"]
     lists = search.ranked(search.best_field_grid(scores, boosts), by=by)
     weights = F.array(*[F.lit(float(b)) for b in boosts])

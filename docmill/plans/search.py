@@ -6,7 +6,7 @@ shuffle: postings carry keys, terms and counts, display columns are joined after
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,51 +23,45 @@ K1, B = 1.2, 0.75
 # Fixed value: default weight of the title field.
 TITLE_BOOST = 2.0
 FRAGMENT_SIZE, FRAGMENTS = 150, 3
-# Ways a term's postings are spread when they are joined with queries.
-SALTS = 16
 FIELDS = {"title": "title", "text": "text"}
+FILTERABLE = ("source", "decision_type", "decision_date", "sectors")
 
 
-def analysed(docs: DataFrame, fields: Mapping[str, str] = FIELDS) -> DataFrame:
-    """``doc_key, field, terms, dl``: the terms of each field before stemming, one narrow pass."""
+def analysed(docs: DataFrame, stem: bool = True, fields: Mapping[str, str] = FIELDS,
+             keep: Sequence[str] = FILTERABLE) -> DataFrame:
+    """Index rows ``doc_key, <filter columns>, field, dl, postings``: one row per document field.
+
+    Narrow from end to end: words are sorted inside their row and runs of equal words become
+    (term, tf) pairs, so building the index shuffles nothing, however frequent a word is.
+    """
     parts = F.array(*[
         F.struct(F.lit(name).alias("field"), F.col(column).alias("body")) for name, column in fields.items()
     ])
-    long = spread(docs.select("doc_key", *fields.values())).select("doc_key", F.inline(parts))
-    return long.select("doc_key", "field", french.terms(F.col("body")).alias("terms")).withColumn(
-        "dl", F.size("terms"))
-
-
-def build_index(docs: DataFrame, fields: Mapping[str, str] = FIELDS) -> DataFrame:
-    """The analysed fields as a written table: texts are read and cut into words once, and every
-    statistic and search after that reads only the columns it needs."""
-    return written(analysed(docs, fields), "index")
-
+    key = ["doc_key", *keep]
+    rows = spread(docs.select(*key, *fields.values())).select(*key, F.inline(parts))
+    words = french.terms(F.col("body"))
+    rows = rows.select(*key, "field", F.array_sort(french.stems(words) if stem else words).alias("_w"))
+    rows = rows.withColumn("dl", F.size("_w"))
+    places = F.filter(
+        F.sequence(F.lit(0), F.col("dl") - 1),
+        lambda i: (i == 0) | (F.get(F.col("_w"), i) != F.get(F.col("_w"), i - 1)))
+    rows = rows.withColumn("_s", F.when(F.col("dl") > 0, places))
+    runs = F.transform("_s", lambda p, j: F.struct(
+        F.get(F.col("_w"), p).alias("term"),
+        (F.coalesce(F.get(F.col("_s"), j + 1), F.col("dl")) - p).cast("bigint").alias("tf")))
+    return rows.select(*key, "field", "dl", runs.alias("postings"))
 
-def postings(index: DataFrame, stem: bool = True, wanted: DataFrame | None = None) -> DataFrame:
-    """``term, doc_key, field, tf, dl``, of the wanted terms only when these are given.
 
-    Partial counts shrink repeats before the shuffle, and the grouping key holds the document,
-    so a frequent word is spread over all tasks.
-    """
-    words = explode_once(index, ["doc_key", "field", "dl"], F.col("terms"), "term")
-    if wanted is not None:
-        words = words.join(_forms(index, wanted, stem), "term").drop("term").withColumnRenamed(
-            "stem", "term")
-    elif stem:
-        words = french.with_stem(words)
-    return words.groupBy("doc_key", "field", "dl", "term").agg(F.count("*").alias("tf"))
+def build_index(docs: DataFrame, stem: bool = True, keep: Sequence[str] = FILTERABLE) -> DataFrame:
+    """The index as a written table: texts are read and cut into words once, and every statistic
+    and search after that reads only the columns it needs."""
+    return written(analysed(docs, stem, keep=keep), "index")
 
 
-def _forms(index: DataFrame, wanted: DataFrame, stem: bool) -> DataFrame:
-    """``term, stem``: the words of the corpus that stand for a wanted term. Stems are computed
-    once per distinct word; what is left is as small as the queries."""
-    stems = wanted.select(F.col("term").alias("stem")).distinct()
-    if not stem:
-        return stems.withColumn("term", F.col("stem"))
-    vocabulary = explode_once(index, [], F.col("terms"), "term").distinct()
-    stemmed = french.with_stem(vocabulary.withColumn("stem", F.col("term")), "stem")
-    return stemmed.join(stems, "stem", "left_semi")
+def postings(index: DataFrame) -> DataFrame:
+    """``doc_key, field, dl, term, tf``."""
+    rows = explode_once(index, ["doc_key", "field", "dl"], F.col("postings"), "p")
+    return rows.select("doc_key", "field", "dl", "p.term", "p.tf")
 
 
 def field_stats(index: DataFrame) -> DataFrame:
@@ -95,50 +89,51 @@ def bm25(tf: Column, dl: Column, avg_dl: Column, df: Column, n: Column) -> Colum
     return idf * tf / (tf + K1 * (1 - B + B * dl / avg_dl))
 
 
-def weighted_terms(qterms: DataFrame, tstats: DataFrame, fstats: DataFrame) -> DataFrame:
-    """Query terms with what scoring needs of the corpus; terms absent from it drop out."""
-    return qterms.join(tstats.select("field", "term", "df"), "term").join(fstats, "field").select(
-        "query_id", "field", "term", "qtf", "df", "n_docs", "avg_dl")
+def weighted_terms(index: DataFrame, queries: DataFrame, stem: bool = True) -> DataFrame:
+    """Query terms with what scoring needs of the whole corpus; terms absent from it drop out.
 
+    Stored twice on the way: as a file, each set has a known size, and by that size Spark itself
+    decides whether it may be broadcast to the postings or must be joined by a shuffle (where
+    adaptive execution splits the partition of a very frequent word).
+    """
+    wanted = written(query_terms(queries, stem), "query-terms")
+    used = postings(index).join(wanted.select("term").distinct(), "term", "left_semi")
+    joined = wanted.join(term_stats(used), "term").join(field_stats(index), "field")
+    return written(joined.select("query_id", "field", "term", "qtf", "df", "n_docs", "avg_dl"), "weights")
 
-def field_scores(post: DataFrame, wterms: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
-    """BM25 per (query, document, field).
 
-    The join key is the term with a salt taken from the document: postings of a word found in a
-    third of all documents are spread over SALTS tasks, and the far smaller query side is
-    repeated once per salt. Spark broadcasts that side by itself when its measured size allows.
-    ``allowed(doc_key)`` restricts documents before scoring, never the statistics.
+def score_queries(index: DataFrame, queries: DataFrame, filters: SearchFilters | None = None,
+                  stem: bool = True) -> DataFrame:
+    """``query_id, doc_key, title, text``: BM25 of every matching document, per field.
+
+    Filters are pushed into the scan of the index and never touch the statistics. A document's
+    field is one index row, so the partial sums before the shuffle already hold its whole score:
+    what is shuffled is one row per (query, document), whatever the number of common words.
     """
-    kept = post if allowed is None else post.join(allowed.select("doc_key"), "doc_key", "left_semi")
-    salted = kept.withColumn("_salt", F.pmod(F.hash("doc_key"), F.lit(SALTS)))
-    spread = wterms.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    terms = weighted_terms(index, queries, stem)
+    scanned = index if filters is None else index.filter(filters.condition())
     score = F.col("qtf") * bm25(F.col("tf"), F.col("dl"), F.col("avg_dl"), F.col("df"), F.col("n_docs"))
-    return (
-        salted.join(spread, ["field", "term", "_salt"])
-        .groupBy("query_id", "doc_key", "field").agg(F.sum(score).alias("score"))
-    )
+    matched = postings(scanned).join(terms, ["field", "term"])
+    return matched.groupBy("query_id", "doc_key").agg(*[
+        F.sum(F.when(F.col("field") == name, score)).alias(name) for name in FIELDS
+    ])
+
 
+def _best(boost: Column) -> Column:
+    """Best field: the larger of weighted title and text, rounded so that the order does not
+    depend on the order of additions."""
+    return F.round(F.greatest(boost * F.col("title"), F.col("text")), 6)
 
-def best_field(scores: DataFrame, boosts: Mapping[str, float] | None = None) -> DataFrame:
-    """Best field per (query, document): the maximum of weight times score, rounded so that the
-    order does not depend on the order of additions."""
-    boosts = {"title": TITLE_BOOST} if boosts is None else boosts
-    weight = F.lit(1.0)
-    for name, value in boosts.items():
-        weight = F.when(F.col("field") == name, F.lit(float(value))).otherwise(weight)
-    return scores.groupBy("query_id", "doc_key").agg(
-        F.round(F.max(weight * F.col("score")), 6).alias("score"))
 
+def best_field(scores: DataFrame, boost: float = TITLE_BOOST) -> DataFrame:
+    return scores.select("query_id", "doc_key", _best(F.lit(float(boost))).alias("score"))
 
-def best_field_grid(scores: DataFrame, boosts: list[float]) -> DataFrame:
+
+def best_field_grid(scores: DataFrame, boosts: Sequence[float]) -> DataFrame:
     """One result set per title weight out of one scoring: the weights are a fixed short array."""
-    return (
-        scores.select("query_id", "doc_key", "field", "score",
-                      F.explode(F.array(*[F.lit(float(b)) for b in boosts])).alias("title_boost"))
-        .groupBy("query_id", "title_boost", "doc_key").agg(
-            F.round(F.max(F.when(F.col("field") == "title", F.col("title_boost")).otherwise(1.0)
-                          * F.col("score")), 6).alias("score"))
-    )
+    weights = F.array(*[F.lit(float(b)) for b in boosts])
+    return scores.withColumn("title_boost", F.explode(weights)).select(
+        "query_id", "title_boost", "doc_key", _best(F.col("title_boost")).alias("score"))
 
 
 def ranked(hits: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> DataFrame:
@@ -153,22 +148,10 @@ def ranked(hits: DataFrame, k: int = TOP_K, by: list[str] | None = None) -> Data
     return top.join(totals, by)
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, boosts: Mapping[str, float] | None = None,
-           allowed: DataFrame | None = None, stem: bool = True) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = TOP_K, boost: float = TITLE_BOOST,
+           filters: SearchFilters | None = None, stem: bool = True) -> DataFrame:
     """Ranked documents of every query: ``query_id, doc_key, score, rank, total_hits``."""
-    return ranked(best_field(score_queries(index, queries, allowed, stem), boosts), k)
-
-
-def score_queries(index: DataFrame, queries: DataFrame, allowed: DataFrame | None = None,
-                  stem: bool = True) -> DataFrame:
-    """Field scores of every query; only the words some query uses are counted."""
-    wanted = query_terms(queries, stem)
-    post = postings(index, stem, wanted)
-    return field_scores(post, weighted_terms(wanted, term_stats(post), field_stats(index)), allowed)
-
-
-def filtered(docs: DataFrame, filters: SearchFilters) -> DataFrame:
-    return docs.filter(filters.condition()).select("doc_key")
+    return ranked(best_field(score_queries(index, queries, filters, stem), boost), k)
 
 
 def by_number(docs: DataFrame, k: int = TOP_K) -> DataFrame:
