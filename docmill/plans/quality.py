@@ -74,15 +74,18 @@ def row_problems(values: DataFrame, run: list[str]) -> DataFrame:
 
 
 def evaluate(values: DataFrame, expected: DataFrame, run: list[str] | None = None,
-             runs: DataFrame | None = None, failures: DataFrame | None = None) -> DataFrame:
+             runs: DataFrame | None = None, failures: DataFrame | None = None,
+             catalogue: DataFrame | None = None) -> DataFrame:
     """Results of checks: pass, fail, unchecked, no_data, query_error.
 
     ``values`` holds ``check_name, source, value`` and the columns of ``run`` when several runs
     are judged together (``runs`` then lists them). ``failures(check_name, error)`` are checks
-    that could not be computed at all.
+    that could not be computed at all; ``catalogue(check_name, dimension, severity)`` is needed
+    only for checks without any expectation.
     """
     run = run or []
-    checks = expected.select("check_name", "dimension", "severity").distinct()
+    checks = catalogue if catalogue is not None else expected.select(
+        "check_name", "dimension", "severity").distinct()
     problems = row_problems(values, run)
     if failures is not None:
         problems = problems.unionByName(failures)
@@ -118,7 +121,7 @@ def evaluate(values: DataFrame, expected: DataFrame, run: list[str] | None = Non
     results = (
         judged.unionByName(absent).withColumn("error", F.lit(None).cast("string")).unionByName(broken)
     )
-    return results.join(checks, "check_name").select(
+    return results.join(checks, "check_name", "left").select(
         *run, "check_name", "dimension", "source", "value",
         F.nullif("_text", F.lit("")).alias("expected"), "severity", "status", "error",
     )
@@ -157,7 +160,9 @@ def run_checks(spark: SparkSession, checks: list[Check], tables: Mapping[str, Da
     schema = f"check_name STRING, source STRING, value {VALUE}"
     values = spark.read.schema(schema).parquet(*written) if written else spark.createDataFrame([], schema)
     failures = spark.createDataFrame(failed, "check_name STRING, error STRING")
-    return evaluate(values, expectations(spark, checks), failures=failures)
+    catalogue = spark.createDataFrame(
+        [(c.name, c.dimension, c.severity) for c in checks], "check_name STRING, dimension STRING, severity STRING")
+    return evaluate(values, expectations(spark, checks), failures=failures, catalogue=catalogue)
 
 
 def shape_problem(result: DataFrame) -> str | None:
