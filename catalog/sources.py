@@ -84,8 +84,8 @@ CARDS = 20
 
 def listing_pages(spark, sf):
     """Listing pages of twenty cards each, written from the given pages."""
-    rows = table(spark, sf, "v_listing").select("page_id", "url", F.substring(
-        F.regexp_replace("title", r"[&<>;]", " "), 1, 10_000).alias("title"))
+    rows = table(spark, sf, "v_listing").select(
+        "page_id", "url", F.regexp_replace("title", r"[&<>;]", " ").alias("title"))
     number = F.col("page_id").cast("string")
     card = F.concat(
         F.lit('<div class="views-row"><div class="search-index" data-history-node-id="'), number,

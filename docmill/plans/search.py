@@ -84,9 +84,14 @@ def query_terms(queries: DataFrame, stem: bool = True) -> DataFrame:
     return words.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
 
 
-def bm25(tf: Column, dl: Column, avg_dl: Column, df: Column, n: Column) -> Column:
-    idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
-    return idf * tf / (tf + K1 * (1 - B + B * dl / avg_dl))
+def term_weight(qtf: Column, df: Column, n: Column) -> Column:
+    """Part of BM25 that depends on the query term only."""
+    return qtf * F.log(1 + (n - df + 0.5) / (df + 0.5))
+
+
+def saturation(tf: Column, dl: Column, avg_dl: Column) -> Column:
+    """Part of BM25 that depends on the document."""
+    return tf / (tf + K1 * (1 - B + B * dl / avg_dl))
 
 
 def weighted_terms(index: DataFrame, queries: DataFrame, stem: bool = True) -> DataFrame:
@@ -99,7 +104,8 @@ def weighted_terms(index: DataFrame, queries: DataFrame, stem: bool = True) -> D
     wanted = written(query_terms(queries, stem), "query-terms")
     used = postings(index).join(wanted.select("term").distinct(), "term", "left_semi")
     joined = wanted.join(term_stats(used), "term").join(field_stats(index), "field")
-    return written(joined.select("query_id", "field", "term", "qtf", "df", "n_docs", "avg_dl"), "weights")
+    weight = term_weight(F.col("qtf"), F.col("df"), F.col("n_docs"))
+    return written(joined.select("query_id", "field", "term", weight.alias("weight"), "avg_dl"), "weights")
 
 
 def score_queries(index: DataFrame, queries: DataFrame, filters: SearchFilters | None = None,
@@ -112,7 +118,7 @@ def score_queries(index: DataFrame, queries: DataFrame, filters: SearchFilters |
     """
     terms = weighted_terms(index, queries, stem)
     scanned = index if filters is None else index.filter(filters.condition())
-    score = F.col("qtf") * bm25(F.col("tf"), F.col("dl"), F.col("avg_dl"), F.col("df"), F.col("n_docs"))
+    score = F.col("weight") * saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"))
     matched = postings(scanned).join(terms, ["field", "term"])
     return matched.groupBy("query_id", "doc_key").agg(*[
         F.sum(F.when(F.col("field") == name, score)).alias(name) for name in FIELDS
