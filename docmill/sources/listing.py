@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.functions.dates import parse_iso_date
 from docmill.functions.urls import absolute_url
 
+# The parser travels with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Class names of the card markup.
 ROW, CARD, ID, FOOTER, SECTORS = (
     "views-row", "search-index", "field--name-field-id", "search-index__footer",
