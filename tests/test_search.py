@@ -156,3 +156,13 @@ def test_registered_queries_match_their_sql(spark, name):
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(columns, cursor.fetchall())
+
+
+def test_misses_keep_documents_absent_once(spark):
+    rows = spark.createDataFrame(
+        [("title", 1.0, "a", 1), ("title", 2.0, "a", None), ("title", 1.0, "b", 2), ("title", 2.0, "b", 1),
+         ("title", 1.0, "c", None), ("title", 2.0, "c", None)], "mode string, title_boost double, doc_id string, rank int")
+    rows = rows.withColumn("decision_number", F.lit(None).cast("string")).withColumn("title", F.lit("x" * 100))
+    got = findability.misses(rows, [("title", 1.0), ("title", 2.0)]).collect()
+    assert {r.doc_id: (r["title_1.0"], r["title_2.0"]) for r in got} == {"a": (1, None), "c": (None, None)}
+    assert {r.title for r in got} == {"x" * 79 + "…"}
