@@ -1,12 +1,10 @@
-"""Helpers shared by the operators: Arrow maps with a schema, crc32 folds, the labelled sample."""
+"""Helpers shared by the operators: schemas, crc32 folds, the labelled sample."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows a classifier is fitted on at most; scoring and every count still cover all rows.
 SAMPLE_ROWS = 2000
@@ -21,8 +19,12 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def with_fields(df: DataFrame, added: dict[str, str]) -> T.StructType:
+    """The schema of df and more columns."""
+    fields = T.StructType(list(df.schema))
+    for name, kind in added.items():
+        fields = fields.add(name, kind)
+    return fields
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, folds: int = 0, held: int = 0, rows: int = SAMPLE_ROWS) -> DataFrame:

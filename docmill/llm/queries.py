@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import quality_fm
+from docmill.llm import quality_fm, quality_rules, url_filter
 from docmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,15 @@ def query(name: str, sql: str | None = None):
 @query("op8_quality_classifier")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_fm.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_url_filters", url_filter.sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_rules.train(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs.select("doc_id", "text"), model).drop("text")
