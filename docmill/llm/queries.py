@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import quality_fm, quality_rules, url_filter
+from docmill.llm import decontaminate, quality_fm, quality_rules, url_filter
 from docmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_rules.train(docs, table(spark, sf_dir, "labels"))
     return quality_rules.judge(docs.select("doc_id", "text"), model).drop("text")
+
+
+@query("op10_benchmark_decontamination", decontaminate.SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("n_near_items")
