@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import decontaminate, quality_fm, quality_rules, simhash, url_filter
+from docmill.llm import decontaminate, quality_fm, quality_rules, secrets, simhash, url_filter
 from docmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_simhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_secret_scans", secrets.sql())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"))
