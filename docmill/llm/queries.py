@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import decontaminate, license_scan, quality_fm, quality_rules, secrets, simhash, url_filter
+from docmill.llm import decontaminate, license_scan, packing, quality_fm, quality_rules, secrets, simhash, url_filter
 from docmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_license_scans", license_scan.sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
