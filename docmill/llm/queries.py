@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import decontaminate, license_scan, packing, quality_fm, quality_rules, secrets, simhash, url_filter
+from docmill.llm import decontaminate, license_scan, packing, quality_fm, quality_rules, secrets, simhash, token_codec, url_filter
 from docmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op4_token_output")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_codec.round_trip(table(spark, sf_dir, "documents"))
