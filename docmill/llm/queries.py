@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import decontaminate, license_scan, packing, quality_fm, quality_rules, secrets, simhash, token_codec, url_filter
+from docmill.llm import decontaminate, license_scan, lm_score, packing, quality_fm, quality_rules, secrets, simhash, token_codec, url_filter
 from docmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_output")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codec.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op1_lm_scoring")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.scores(table(spark, sf_dir, "documents"))
