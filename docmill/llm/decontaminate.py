@@ -30,8 +30,8 @@ from docmill.session import work_dir
 WINDOW = 10
 BLOCK_BYTES = 1 << 21
 QUERY_WINDOWS = 100_000
-INDEX = "block long, doc_ids array<long>, first binary, terms binary, starts binary, postings binary"
-HITS = "block long, doc_no int, doc_id long, n_words long, covered array<int>, items array<string>, near_items array<string>"
+INDEX = "block long, doc_ids array<long>, text_keys array<long>, first binary, terms binary, starts binary, postings binary"
+HITS = "block long, doc_no int, doc_id long, text_key long, n_words long, covered array<int>, items array<string>, near_items array<string>"
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def build_index(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
             for part in slices(batch.column("text"), lower=True, limit=BLOCK_BYTES):
                 part.words(ALNUM)
                 order = np.argsort(part.hash, kind="stable").astype(np.uint32)
@@ -47,12 +47,12 @@ def build_index(docs: DataFrame) -> DataFrame:
                 begin = np.flatnonzero(np.r_[True, sorted_hash[1:] != sorted_hash[:-1]]) if len(order) else np.zeros(0, np.int64)
                 blobs = [part.first.astype(np.int64), sorted_hash[begin], np.r_[begin, len(order)].astype(np.int64), order]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([0], pa.int64()), pa.array([ids[part.lo : part.hi]], pa.list_(pa.int64())), *(pa.array([b.tobytes()], pa.binary()) for b in blobs)],
-                    ["block", "doc_ids", "first", "terms", "starts", "postings"],
+                    [pa.array([0], pa.int64()), *(pa.array([x[part.lo : part.hi]], pa.list_(pa.int64())) for x in (ids, keys)), *(pa.array([b.tobytes()], pa.binary()) for b in blobs)],
+                    ["block", "doc_ids", "text_keys", "first", "terms", "starts", "postings"],
                 )
 
     path = work_dir(docs.sparkSession, "postings")
-    made = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, INDEX)
+    made = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, INDEX)
     made.withColumn("block", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(INDEX).parquet(path)
 
@@ -166,9 +166,9 @@ def find(index: DataFrame, rows: list[tuple[str | None, bytes]], near: int | Non
                         near_items[d].append(q.items[w])
                 yield pa.RecordBatch.from_arrays([
                     pa.array([batch.column("block")[row].as_py()] * len(ids), pa.int64()), pa.array(range(len(ids)), pa.int32()), pa.array(ids, pa.int64()),
-                    pa.array(np.diff(first)), pa.array(covered, pa.list_(pa.int32())), pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())),
+                    batch.column("text_keys")[row].values, pa.array(np.diff(first)), pa.array(covered, pa.list_(pa.int32())), pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())),
                     pa.array([sorted(set(x)) for x in near_items], pa.list_(pa.string())),
-                ], ["block", "doc_no", "doc_id", "n_words", "covered", "items", "near_items"])
+                ], ["block", "doc_no", "doc_id", "text_key", "n_words", "covered", "items", "near_items"])
 
     return index.mapInArrow(run, HITS)
 
@@ -188,7 +188,7 @@ def search(index: DataFrame, items: DataFrame, size: int = WINDOW, near: int | N
     for more in found[1:]:
         every = every.unionByName(more)
     return every.groupBy("block", "doc_no").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("covered")).alias("covered"),
+        F.first("doc_id").alias("doc_id"), F.first("text_key").alias("text_key"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("covered")).alias("covered"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.array_distinct(F.flatten(F.collect_list("near_items"))).alias("near_items"),
     )
 
@@ -209,6 +209,13 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, near: i
     )
 
 
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The rows that hold no window of any item; rows are told apart by id and text."""
+    hit = search(build_index(docs), items, size).where(F.size("covered") > 0).select(F.col("doc_id").alias("hit_id"), "text_key").distinct()
+    keyed = docs.withColumn("text_key_", F.xxhash64("text"))
+    return keyed.join(hit, keyed["doc_id"].eqNullSafe(hit["hit_id"]) & (keyed["text_key_"] == hit["text_key"]), "left_anti").select(*docs.columns)
+
+
 #: DuckDB: every window of every document joined with every window of every item.
 WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 SQL = f"""

@@ -149,11 +149,12 @@ def redacted(docs: DataFrame) -> DataFrame:
         ),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"], F.length(text) - acc["at"] + 1)),
     )
-    hit = F.size("secret_spans") > 0
-    changed = {"text": F.when(hit, merged).otherwise(F.col("text"))}
+    # A column of its own first: next to a new `text`, the lambdas would read that one.
+    found = scan(docs).withColumn("redacted_", F.when(F.size("secret_spans") > 0, merged))
+    changed = {"text": F.coalesce("redacted_", "text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(hit, F.length(merged).cast("long")).otherwise(F.col("n_chars"))
-    return scan(docs).withColumns(changed).select(*docs.columns)
+        changed["n_chars"] = F.coalesce(F.length("redacted_").cast("long"), "n_chars")
+    return found.withColumns(changed).select(*docs.columns)
 
 
 def sql() -> str:

@@ -170,18 +170,25 @@ def fingerprint_classes(prints: DataFrame) -> DataFrame:
     return written(found.join(least, "root").select("bits", "low", "root", "component_id"), "classes")
 
 
+def _prints(docs: DataFrame) -> DataFrame:
+    """Write (doc_id, text_key, bits) of every row; equal texts have equal keys."""
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    return written(with_fingerprint(keyed).select("doc_id", "text_key", F.col("fingerprint_bits").alias("bits")), "prints")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document."""
-    prints = written(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", F.col("fingerprint_bits").alias("bits")), "prints")
+    prints = _prints(docs)
     classes = fingerprint_classes(prints).select("bits", "component_id")
     return prints.join(classes, "bits", "left").select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One whole row per component: that of its smallest id (of equal ids the smallest fingerprint; of equal rows any one)."""
-    marked = with_fingerprint(docs)
-    prints = written(with_fingerprint(docs.select("doc_id", "text")).select("doc_id", F.col("fingerprint_bits").alias("bits")), "prints")
-    classes = fingerprint_classes(prints)
-    chosen = classes.where(F.col("low").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("bits").alias("keep_bits"), F.first("component_id").alias("keep_id"))
-    kept = marked.join(chosen.drop("root"), F.col("fingerprint_bits").eqNullSafe(F.col("keep_bits")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    return kept.dropDuplicates(["keep_bits", "keep_id"]).select(*docs.columns)
+    """One whole row per component: that of its smallest id (of rows with this id the smallest text key; of equal rows any one)."""
+    prints = _prints(docs)
+    classes = fingerprint_classes(prints).select("bits", "root", "component_id")
+    heads = prints.join(classes, "bits").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = heads.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("head")).select(F.col("head.doc_id").alias("keep_id"), F.col("head.text_key").alias("keep_key"))
+    marked = docs.withColumn("text_key_", F.xxhash64("text"))
+    kept = marked.join(chosen, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_key_") == F.col("keep_key")))
+    return kept.dropDuplicates(["keep_id", "keep_key"]).select(*docs.columns)
