@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from catalog.relational import END, RANGE, RESULTS_SQL, START, STEPS, _WIDE, check_results, shown
+from catalog.relational import END, RANGE, RESULTS_SQL, START, STEPS, _WIDE, check_results, shown, series_sql
 from catalog.views import AS_OF, now, table
 from docmill.plans import reports
 from docmill.session import written
@@ -92,20 +92,8 @@ def db_last_deviations(spark, sf):
     return shown(reports.last_deviations(written(check_results(spark, sf), "history")))
 
 
-def _series_sql(check: str) -> str:
-    return f"""
-WITH {RESULTS_SQL}
-SELECT checked_at AS time, source || ' : valeur' AS metric, value FROM results
-WHERE check_name = '{check}' AND source IS NOT NULL AND checked_at {RANGE}
-UNION ALL
-SELECT checked_at, source || ' : attendu (' || split_part(expected, ' ', 1) || ')',
-  CAST(regexp_extract(expected, '-?[0-9]+(?:\\.[0-9]+)?', 0) AS DOUBLE) FROM results
-WHERE check_name = '{check}' AND source IS NOT NULL AND expected IS NOT NULL AND checked_at {RANGE}
-"""
-
-
 def _series(name: str, check: str) -> None:
-    @query(name, _series_sql(check))
+    @query(name, series_sql(check))
     def db_value_threshold(spark, sf):
         return shown(reports.value_threshold(check_results(spark, sf), check, START, END))
 

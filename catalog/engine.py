@@ -35,9 +35,9 @@ WITH v AS (SELECT run_id, check_name, source, value FROM v_check_values
     UNION ALL SELECT run_id, 'blank_source', CASE WHEN source = 'view' THEN ' ' ELSE source END, value FROM v_check_values
       WHERE check_name = 'low_value'
     UNION ALL SELECT run_id, 'twice', source, value FROM v_check_values WHERE check_name IN ('low_value', 'high_key'))
-SELECT run_id, check_name, CASE WHEN count(CASE WHEN trim(source, ' ') = '' THEN 1 END) > 0 THEN 'invalid source'
-  WHEN count(value) < count(*) THEN 'source ' || min(CASE WHEN value IS NULL THEN source END) || ': non-numeric value'
-  ELSE 'source ' || min(source) || ': returned more than once' END AS error
+SELECT run_id, check_name, CASE WHEN count(CASE WHEN trim(source, ' ') = '' THEN 1 END) > 0 THEN 'blank source name'
+  WHEN count(value) < count(*) THEN 'no value for source ' || min(CASE WHEN value IS NULL THEN source END)
+  ELSE 'several rows for source ' || min(source) END AS error
 FROM v GROUP BY run_id, check_name
 HAVING count(CASE WHEN trim(source, ' ') = '' THEN 1 END) > 0 OR count(value) < count(*) OR count(*) > count(DISTINCT source)
 """)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from catalog.relational import METRICS_SQL, SAMPLE_SQL, _NUMBER_KEY, _TITLE_KEY
 from catalog.scalars import fold_sql, strip_sql
-from catalog.text_search import scores_sql
+from catalog.text_search import cores, scores_sql
 from catalog.views import TITLED, WHOLE, table
 from docmill.plans import findability
 from docmill.session import written
@@ -44,7 +44,7 @@ _RANKS = f"""{_TARGETS},
 def evaluated(spark, sf):
     docs = table(spark, sf, "v_decisions")
     rows = findability.targets(docs, findability.sample(docs, TITLED, WHOLE))
-    return written(findability.evaluate(docs, rows, TITLED, BOOSTS, stem=False), "evaluation")
+    return written(findability.evaluate(docs, rows, TITLED, BOOSTS, stem=False, tasks=cores(spark)), "evaluation")
 
 
 @query("fd_sample", f"WITH {_TARGETS} SELECT source, external_id, decision_number, md5(title) AS title, has_text FROM targets")
@@ -81,12 +81,14 @@ WITH {_RANKS},
   grid AS (SELECT mode, title_boost, f AS "group", b AS value FROM (SELECT DISTINCT mode, title_boost FROM ranks),
     (VALUES ('has_text'), ('ambiguous_title'), ('ambiguous_number')) x(f), (VALUES (TRUE), (FALSE)) y(b)),
   m AS (SELECT mode, title_boost, "group", value, {METRICS_SQL} FROM g GROUP BY mode, title_boost, "group", value)
-SELECT grid.mode, grid.title_boost, grid."group", grid.value, coalesce(sample_size, 0) AS sample_size, hit_at_1, hit_at_10, mrr
+SELECT grid.mode, grid.title_boost, grid."group", grid.value, coalesce(sample_size, 0) AS sample_size,
+  round(hit_at_1, 4) AS hit_at_1, round(hit_at_10, 4) AS hit_at_10, round(mrr, 4) AS mrr
 FROM grid LEFT JOIN m ON grid.mode = m.mode AND grid.title_boost IS NOT DISTINCT FROM m.title_boost
   AND grid."group" = m."group" AND grid.value = m.value
 """)
 def fd_group_metrics(spark, sf):
-    return findability.group_metrics(evaluated(spark, sf))
+    found = findability.group_metrics(evaluated(spark, sf))
+    return found.withColumns({c: F.round(c, 4) for c in ("hit_at_1", "hit_at_10", "mrr")})
 
 
 @query("fd_misses_pivot", f"""
@@ -94,10 +96,32 @@ WITH {_RANKS},
   p AS (SELECT doc_id, decision_number, title, max(CASE WHEN title_boost = 1 THEN rank END) AS "title_1.0",
       max(CASE WHEN title_boost = 2 THEN rank END) AS "title_2.0" FROM ranks WHERE mode = 'title'
     GROUP BY doc_id, decision_number, title)
-SELECT doc_id, decision_number, CASE WHEN length({strip_sql('title')}) <= 80 THEN {strip_sql('title')}
-  ELSE substring({strip_sql('title')}, 1, 79) || '…' END AS title, "title_1.0", "title_2.0"
+SELECT doc_id, decision_number, title, CASE WHEN length({strip_sql('title')}) <= 80 THEN {strip_sql('title')}
+  ELSE substring({strip_sql('title')}, 1, 79) || '…' END AS shown_title, "title_1.0", "title_2.0"
 FROM p WHERE "title_1.0" IS NULL OR "title_2.0" IS NULL
 """)
 def fd_misses_pivot(spark, sf):
     rows = evaluated(spark, sf).filter(F.col("mode") == "title")
     return findability.misses(rows, [("title", b) for b in BOOSTS])
+
+
+# The last word of a title alone: many documents share it, so many targets are missed.
+_HARD_RANKS = _RANKS.replace("sha256(title) AS query_id", "sha256(regexp_extract(title, '[^ ]*$')) AS query_id").replace(
+    "SELECT DISTINCT query_id, title AS query FROM tt", "SELECT DISTINCT query_id, regexp_extract(title, '[^ ]*$') AS query FROM tt")
+
+
+@query("fd_misses_hard", f"""
+WITH {_HARD_RANKS},
+  p AS (SELECT doc_id, decision_number, title, max(CASE WHEN mode = 'number' THEN rank END) AS number,
+      max(CASE WHEN title_boost = 1 THEN rank END) AS "title_1.0", max(CASE WHEN title_boost = 2 THEN rank END) AS "title_2.0"
+    FROM ranks GROUP BY doc_id, decision_number, title)
+SELECT doc_id, decision_number, title, number, "title_1.0", "title_2.0"
+FROM p WHERE number IS NULL OR "title_1.0" IS NULL OR "title_2.0" IS NULL
+""")
+def fd_misses_hard(spark, sf):
+    """Misses of searches by number and by the last word of the title."""
+    docs = table(spark, sf, "v_decisions")
+    rows = findability.targets(docs, findability.sample(docs, TITLED, WHOLE))
+    last = F.regexp_extract("title", "[^ ]*$", 0)
+    found = written(findability.evaluate(docs, rows, TITLED, BOOSTS, stem=False, tasks=cores(spark), asked=last), "evaluation")
+    return findability.misses(found, [("number", None), *(("title", b) for b in BOOSTS)]).drop("shown_title")

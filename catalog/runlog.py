@@ -21,7 +21,7 @@ SELECT run_id, source, date_type, date_start, date_end, started_at, finished_at,
   CASE WHEN finished_at IS NULL THEN 0 ELSE nb_fetched END AS nb_fetched,
   CASE WHEN finished_at IS NULL THEN 0 ELSE nb_new END AS nb_new,
   CASE WHEN finished_at IS NULL THEN 0 ELSE nb_changed END AS nb_changed,
-  substring(CASE WHEN status = 'failed' THEN repeat(error, 90) END, 1, 1000) AS error FROM v_runs
+  CASE WHEN status = 'failed' THEN repeat(error, 90) END AS error FROM v_runs
 """)
 def rl_run_collapse(spark, sf):
     """Start and finish events of every run, folded back into one row each."""
@@ -68,7 +68,7 @@ def rl_compute_window(spark, sf):
 
 
 @query("rl_overlap_idempotent", f"""
-SELECT source, count(*) AS fetched, 0 AS new, 0 AS changed, count(*) AS unchanged, 0 AS missing_id
+SELECT source, count(*) AS fetched, 0 AS new, 0 AS changed, count(*) AS unchanged, 0 AS quarantined, 0 AS missing_id
 FROM (SELECT source, external_id, arg_max({HASH}, seq) FROM v_batch GROUP BY source, external_id) x GROUP BY source
 """)
 def rl_overlap_idempotent(spark, sf):

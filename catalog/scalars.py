@@ -104,15 +104,24 @@ def fn_normalize_url(spark, sf):
     return source_table(spark, sf, "pages").select("page_id", urls.normalize_url(padded).alias("url"))
 
 
+# Every link as it stands, and once more behind a dot segment of its page's folder.
 @query("fn_url_join", r"""
-SELECT page_id, link, CASE WHEN link LIKE '/%' THEN regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || link
-  ELSE regexp_extract(url, '^([a-z]+://[^?#]*/)', 1) || link END AS target
-FROM (SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^":]*)"', 1)) AS link FROM pages) x
+WITH links AS (SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link FROM pages),
+  every AS (SELECT page_id, url, link, link AS plain FROM links UNION ALL
+    SELECT page_id, url, './x/../' || link, link FROM links WHERE NOT regexp_matches(link, '^[/#?]|^[A-Za-z][A-Za-z0-9+.-]*:') AND link <> '')
+SELECT page_id, link, CASE WHEN plain = '' THEN url WHEN regexp_matches(plain, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN plain
+  WHEN plain LIKE '//%' THEN split_part(url, '//', 1) || plain
+  WHEN plain LIKE '/%' THEN regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || plain
+  WHEN plain LIKE '#%' THEN split_part(url, '#', 1) || plain WHEN plain LIKE '?%' THEN regexp_extract(url, '^[^?#]*') || plain
+  ELSE regexp_extract(url, '^([a-z]+://[^?#]*/)', 1) || plain END AS target
+FROM every
 """)
 def fn_url_join(spark, sf):
     links = source_table(spark, sf, "pages").select(
-        "page_id", "url", F.explode(F.regexp_extract_all("html", F.lit('href="([^":]*)"'), F.lit(1))).alias("link"))
-    return links.select("page_id", "link", urls.absolute_url(F.col("url"), F.col("link")).alias("target"))
+        "page_id", "url", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("link"))
+    relative = links.filter("link <> ''").filter(~F.col("link").rlike("^[/#?]|^[A-Za-z][A-Za-z0-9+.-]*:"))
+    both = links.unionByName(relative.withColumn("link", F.concat(F.lit("./x/../"), "link")))
+    return both.select("page_id", "link", urls.absolute_url(F.col("url"), F.col("link")).alias("target"))
 
 
 @query("fn_title_key", f"""

@@ -68,7 +68,7 @@ def landed_pages(spark, sf):
 
 @query("src_paged_batches", f"""
 SELECT o_orderstatus AS scan, o_orderkey AS id, CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
-  CAST(floor(o_orderkey / {PAGE}) AS BIGINT) * 1000000 + row_number() OVER (
+  CAST(floor(o_orderkey / {PAGE}) AS BIGINT) * 4294967296 + row_number() OVER (
     PARTITION BY o_orderstatus, floor(o_orderkey / {PAGE}) ORDER BY o_orderkey) - 1 AS seq
 FROM orders
 """)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from catalog.sinks import HASH, batch, stored
+from catalog.sinks import batch, stored
 from catalog.sources import landed_pages_path
 from catalog.views import source_table
 from docmill.session import work_dir
@@ -31,16 +31,17 @@ def st_ingest(spark, sf):
 
 @query("st_dedup_overlap", "SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, sha256(props) AS hash FROM events")
 def st_dedup_overlap(spark, sf):
-    """All events, then those of the last 14 days read again: every version comes out once."""
+    """All events, then those of the last 14 days read again, one file a micro-batch: every version
+    comes out once, however late it is."""
     rows = source_table(spark, sf, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), F.sha2("props", 256).alias("hash"))
     path = work_dir(spark, "reads")
     latest = rows.agg(F.max("ts")).scalar()
-    rows.write.mode("append").parquet(path)
+    rows.repartition(3, "hash").write.mode("append").parquet(path)
     rows.filter(F.col("ts") > latest - F.expr("INTERVAL 14 DAYS")).write.mode("append").parquet(path)
-    stream = ingest.read_table_stream(spark, path, "event_id BIGINT, ts TIMESTAMP, hash STRING")
+    stream = ingest.read_table_stream(spark, path, "event_id BIGINT, ts TIMESTAMP, hash STRING", files_per_trigger=1)
     out = work_dir(spark, "once")
-    ingest.append_to(ingest.drop_rereads(stream, "ts", ["event_id", "hash"]), out, work_dir(spark, "once-state"))
+    ingest.append_to(ingest.drop_rereads(stream, ["event_id", "hash"]), out, work_dir(spark, "once-state"))
     return spark.read.schema(rows.schema).parquet(out)
 
 
@@ -59,6 +60,3 @@ def st_upsert(spark, sf):
     stream = ingest.read_table_stream(spark, path, BATCH)
     ingest.start_upsert(stream, log, work_dir(spark, "log-state")).awaitTermination()
     return ingest.current_state(spark, log).select("source", "external_id", "payload", "payload_hash")
-
-
-__all__ = ["HASH"]

@@ -11,7 +11,7 @@ from catalog.scalars import fold_sql
 from catalog.views import source_table, table
 from docmill.functions import french
 from docmill.functions.text import has_text
-from docmill.operators.layout import explode_once, spread
+from docmill.operators.layout import deal_out, explode_once
 from docmill.plans import reports, search
 
 _STOP = "[" + ", ".join(sql_text(w) for w in sorted(set(french.STOP_WORDS))) + "]"
@@ -83,7 +83,12 @@ def corpus(spark, sf):
 
 
 def index(spark, sf, stem=False):
-    return search.build_index(corpus(spark, sf), stem, keep=())
+    return search.build_index(corpus(spark, sf), stem, keep=(), tasks=cores(spark))
+
+
+def cores(spark):
+    """The given documents may be one file of one row group: they are dealt out to be cut into words."""
+    return spark.sparkContext.defaultParallelism
 
 
 def bench_queries(spark, sf):
@@ -95,7 +100,7 @@ SELECT doc_id, len(terms) AS n_terms, md5(array_to_string(terms, ' ')) AS terms
 FROM (SELECT doc_id, {terms_sql('text')} AS terms FROM documents) x
 """)
 def tx_analyze_tokens(spark, sf):
-    docs = spread(source_table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", french.terms(F.col("text")).alias("t"))
+    docs = deal_out(source_table(spark, sf, "documents").select("doc_id", "text"), cores(spark)).select("doc_id", french.terms(F.col("text")).alias("t"))
     return docs.select("doc_id", F.size("t").alias("n_terms"), F.md5(F.array_join("t", " ")).alias("terms"))
 
 
@@ -105,7 +110,7 @@ SELECT stem, count(*) AS n_words FROM stems GROUP BY stem
 """)
 def tx_stem_vocabulary(spark, sf):
     """The whole chain with the light stemmer: each stem and how many words it joins."""
-    texts = spread(source_table(spark, sf, "documents").select("text"))
+    texts = deal_out(source_table(spark, sf, "documents").select("text"), cores(spark))
     vocabulary = explode_once(texts, [], french.terms(F.col("text")), "word").distinct()
     return french.with_stem(vocabulary.withColumnRenamed("word", "stem"), "stem").groupBy("stem").agg(
         F.count("*").alias("n_words"))
@@ -113,18 +118,18 @@ def tx_stem_vocabulary(spark, sf):
 
 @query("tx_postings", f"WITH {CORPUS_SQL} SELECT doc_key, field, term, tf, dl FROM post JOIN lens USING (doc_key, field)")
 def tx_postings(spark, sf):
-    return search.postings(search.analysed(corpus(spark, sf), False, keep=())).select(
+    return search.postings(search.analysed(corpus(spark, sf), False, keep=(), tasks=cores(spark))).select(
         "doc_key", "field", "term", "tf", "dl")
 
 
 @query("tx_term_stats", f"WITH {CORPUS_SQL} SELECT field, term, df, total_tf FROM tst")
 def tx_term_stats(spark, sf):
-    return search.term_stats(search.postings(search.analysed(corpus(spark, sf), False, keep=())))
+    return search.term_stats(search.postings(search.analysed(corpus(spark, sf), False, keep=(), tasks=cores(spark))))
 
 
 @query("tx_field_stats", f"WITH {CORPUS_SQL} SELECT field, n AS n_docs, a AS avg_dl FROM fst")
 def tx_field_stats(spark, sf):
-    return search.field_stats(search.analysed(corpus(spark, sf), False, keep=()))
+    return search.field_stats(search.analysed(corpus(spark, sf), False, keep=(), tasks=cores(spark)))
 
 
 @query("tx_exact_number", f"""
@@ -184,14 +189,14 @@ WITH {BENCH_SQL}, {scores_sql(f"WHERE post.doc_key IN (SELECT source || '|' || e
 """)
 def tx_filtered_search(spark, sf):
     docs = corpus(spark, sf)
-    return search.search(search.build_index(docs, False), bench_queries(spark, sf), filters=FILTERS, stem=False)
+    return search.search(search.build_index(docs, False, tasks=cores(spark)), bench_queries(spark, sf), filters=FILTERS, stem=False)
 
 
 @query("tx_highlight")
 def tx_highlight(spark, sf):
-    """Highlights of the first page of every query."""
+    """Highlights of the first page of ten of every query."""
     docs, asked = corpus(spark, sf), bench_queries(spark, sf)
-    page = reports.ranking.page_per_group(search.search(search.build_index(docs), asked), 1, 3)
+    page = reports.ranking.page_per_group(search.search(search.build_index(docs, tasks=cores(spark)), asked), 1, 10)
     hits = page.select("query_id", "doc_key").join(docs.select("doc_key", "title", "text"), "doc_key").join(
         asked, "query_id")
     return search.highlight(hits)
@@ -210,18 +215,31 @@ def tx_boost_grid(spark, sf):
     return search.ranked(search.best_field_grid(scores, [1, 2, 3]), by=["query_id", "title_boost"])
 
 
-@query("rd_search_page", f"""
-WITH {BENCH_SQL}, {scores_sql(f"WHERE post.doc_key IN (SELECT source || '|' || external_id FROM v_decisions WHERE {FILTER_SQL})")},
+_FILTERED = f"WHERE post.doc_key IN (SELECT source || '|' || external_id FROM v_decisions WHERE {FILTER_SQL})"
+
+
+def _page_sql(first: int, last: int, filtered: bool) -> str:
+    return f"""
+WITH {BENCH_SQL}, {scores_sql(_FILTERED if filtered else "")},
   {BEST_SQL}
 SELECT query_id, rank, total_hits, score, source, external_id, decision_number, decision_date, {DISPLAY} AS display_title,
   sectors_text AS sectors, regexp_matches(text, '[^\\s]') AS has_text, '/decisions/' || source || '?id=' || external_id AS detail_path
-FROM top JOIN v_decisions d ON doc_key = source || '|' || external_id WHERE rank BETWEEN 6 AND 10
-""")
-def rd_search_page(spark, sf):
-    """Second page of five, filtered."""
-    docs = corpus(spark, sf)
-    found = search.search(search.build_index(docs, False), bench_queries(spark, sf), filters=FILTERS, stem=False)
-    shown = reports.search_page(docs.withColumn("has_text", has_text(F.col("text"))), found, 2, 5)
-    return shown.select(
-        "query_id", "rank", "total_hits", "score", "source", "external_id", "decision_number", "decision_date",
-        "display_title", F.array_join("sectors", "|").alias("sectors"), "has_text", "detail_path")
+FROM top JOIN v_decisions d ON doc_key = source || '|' || external_id WHERE rank BETWEEN {first} AND {last}
+"""
+
+
+def _page(name: str, number: int, size: int, filtered: bool = True) -> None:
+    @query(name, _page_sql((number - 1) * size + 1, number * size, filtered))
+    def rd_search_page(spark, sf):
+        docs = corpus(spark, sf)
+        shown = reports.search_documents(docs.withColumn("has_text", has_text(F.col("text"))))
+        page = reports.search_page(
+            shown, search.build_index(docs, False, tasks=cores(spark)), bench_queries(spark, sf), number, size, filters=FILTERS if filtered else None, stem=False)
+        return page.select(
+            "query_id", "rank", "total_hits", "score", "source", "external_id", "decision_number", "decision_date",
+            "display_title", F.array_join("sectors", "|").alias("sectors"), "has_text", "detail_path")
+
+
+_page("rd_search_page", 2, 5)
+_page("rd_search_page_third", 3, 5)
+_page("rd_search_page_late", 20, 5, filtered=False)

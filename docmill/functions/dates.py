@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 from docmill.functions.text import strip
 
-_TIME = r"[T ](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d(?:[.,]\d+)?)?)?(?:Z|[+-]\d{2}:?\d{2}(?::?\d{2})?)?"
+# Any one character may stand between date and time; an offset is below 24 hours.
+_TIME = (
+    r"(?s:.)(?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d(?:[.,]\d+)?)?)?"
+    r"(?:Z|[+-](?:[01]\d|2[0-3]):?[0-5]\d(?::?[0-5]\d)?)?"
+)
 _EXTENDED = rf"\A\d{{4}}-\d{{2}}-\d{{2}}(?:{_TIME})?\z"
 _COMPACT = rf"\A\d{{8}}(?:{_TIME})?\z"
-_WEEK = rf"\A\d{{4}}-?W\d{{2}}-?[1-7](?:{_TIME})?\z"
+# Without a weekday a week means its Monday; no time can follow then.
+_WEEK = rf"\A\d{{4}}(?:-W\d{{2}}(?:-[1-7](?:{_TIME})?)?|W\d{{2}}(?:[1-7](?:{_TIME})?)?)\z"
 
 
 def _valid_date(year: Column, month: Column, day: Column) -> Column:
@@ -25,10 +30,10 @@ def parse_iso_date(c: Column) -> Column:
         s.rlike(_COMPACT),
         _valid_date(F.substring(s, 1, 4), F.substring(s, 5, 2), F.substring(s, 7, 2)),
     )
-    digits = F.regexp_replace(s, "[-W]", "")
+    digits = F.regexp_replace(F.substring(s, 1, 10), "[-W]", "")
     year = F.substring(digits, 1, 4).try_cast("int")
     week = F.substring(digits, 5, 2).try_cast("int")
-    weekday = F.substring(digits, 7, 1).try_cast("int")
+    weekday = F.coalesce(F.nullif(F.regexp_extract(s, r"\A\d{4}-?W\d{2}-?([1-7])", 1), F.lit("")).try_cast("int"), F.lit(1))
     january_4 = F.make_date(year, F.lit(1), F.lit(4))
     monday = F.date_sub(january_4, F.weekday(january_4))
     day = F.date_add(monday, (week - 1) * 7 + weekday - 1)
@@ -37,7 +42,8 @@ def parse_iso_date(c: Column) -> Column:
     iso_week = F.when(
         s.rlike(_WEEK) & year.between(1, 9999) & (week >= 1) & (F.year(thursday) == year), day
     )
-    return F.coalesce(extended, compact, iso_week)
+    found = F.coalesce(extended, compact, iso_week)
+    return F.when(F.year(found) >= 1, found)
 
 
 def elapsed_seconds(end: Column, start: Column) -> Column:

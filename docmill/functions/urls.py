@@ -25,13 +25,28 @@ def absolute_url(base: Column, link: Column) -> Column:
         F.when(link == "", base)
         .when(link.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(origin, link))
+        .when(link.startswith("/"), F.concat(origin, without_dots(link)))
         .when(link.startswith("#"), F.concat(page, link))
         .when(link.startswith("?"), F.concat(F.regexp_replace(page, r"\?.*\z", ""), link))
-        .otherwise(F.concat(folder, link))
+        .otherwise(F.concat(origin, without_dots(F.concat(F.substring(folder, F.length(origin) + 1, F.length(folder)), link))))
     )
 
 
+def without_dots(target: Column) -> Column:
+    """A path (query and fragment left alone) with its ``.`` and ``..`` segments resolved."""
+    path = F.regexp_extract(target, r"\A([^?#]*)", 1)
+    rest = F.substring(target, F.length(path) + 1, F.length(target))
+    segments = F.split(F.substring(path, 2, F.length(path)), "/")
+    folded = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+        .when(s == ".", kept).otherwise(F.concat(kept, F.array(s))))
+    # A path that ends in a dot segment names a folder.
+    closed = F.when(F.element_at(segments, -1).isin(".", "..") & (F.size(folded) > 0), F.lit("/")).otherwise(F.lit(""))
+    plain = F.concat(F.lit("/"), F.array_join(folded, "/"), closed)
+    return F.when(path.rlike(r"/\.{1,2}(?:/|\z)"), F.concat(plain, rest)).otherwise(target)
+
+
 def percent_encode(c: Column) -> Column:
     """Percent-encoding with no safe character but letters, digits and _ . - ~"""
     out = F.url_encode(c)

@@ -6,17 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a heavy narrow step enough tasks when its input has few splits.
-
-    A large table already has more splits than cores and is returned as it is, so its texts are
-    never shuffled; only a small input (one file, one row group) is dealt out over the cores.
-    Meant for scans and other narrow plans: counting their splits runs nothing.
-    """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= wanted:
-        return scan
-    return scan.repartition(wanted)
+def deal_out(df: DataFrame, tasks: int | None) -> DataFrame:
+    """Rows dealt out over so many tasks before a heavy narrow step; None leaves them where the scan
+    puts them. A table of many splits needs none; one file of one row group does."""
+    return df if tasks is None else df.repartition(tasks)
 
 
 def explode_once(df: DataFrame, keep: list[str], items: Column, alias: str) -> DataFrame:

@@ -25,17 +25,22 @@ def hash_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.md5(key), key).limit(n)
 
 
-def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFrame:
-    """One page of an ordered result; past the end it is empty."""
+def page_end(number: int, size: int) -> int:
+    """Last rank of a page; pages past MAX_WINDOW ranks or over MAX_PAGE rows are refused."""
     if number < 1 or not 1 <= size <= MAX_PAGE or number * size > MAX_WINDOW:
         raise ValueError("page outside the result window")
-    first = (number - 1) * size
+    return number * size
+
+
+def page(df: DataFrame, order: list[Column], number: int, size: int) -> DataFrame:
+    """One page of an ordered result; past the end it is empty."""
+    first = page_end(number, size) - size
     return df.orderBy(*order).limit(first + size).offset(first)
 
 
 def page_per_group(ranked: DataFrame, number: int, size: int, rank: str = "rank") -> DataFrame:
-    """The same page of every query of a ranked table."""
-    first = (number - 1) * size
+    """The same page of every query of a table ranked down to page_end(number, size) at least."""
+    first = page_end(number, size) - size
     return ranked.filter(F.col(rank).between(first + 1, first + size))
 
 

@@ -1,7 +1,8 @@
 """Idempotent upsert with change detection.
 
 A batch row is ``source, external_id, seq, payload, payload_hash``; the stored table follows
-``model.RAW``. Nothing is ever deleted, ``first_seen_run`` never moves.
+``model.RAW``. Nothing is ever deleted, ``first_seen_run`` never moves. A row without hash has a
+payload that cannot be read: it is counted as quarantined and stores nothing.
 """
 
 from __future__ import annotations
@@ -14,13 +15,17 @@ KEY = ["source", "external_id"]
 SEQ_SPAN = 100_000
 
 
+def readable(batch: DataFrame) -> DataFrame:
+    return batch.filter(F.col("payload_hash").isNotNull())
+
+
 def last_per_key(batch: DataFrame) -> DataFrame:
-    """One row per key: the last payload, and the smallest and largest hash the batch brought.
+    """One row per key: the last readable payload, and the smallest and largest hash the batch brought.
 
     An aggregate, so a key repeated millions of times is reduced before the shuffle.
     """
     last = F.max_by(F.struct("payload", "payload_hash"), F.col("seq"))
-    return batch.groupBy(*KEY).agg(
+    return readable(batch).groupBy(*KEY).agg(
         last.alias("last"),
         F.min("payload_hash").alias("low_hash"),
         F.max("payload_hash").alias("high_hash"),
@@ -74,11 +79,13 @@ def previous_in_key(batch: DataFrame, value: str, alias: str) -> DataFrame:
 
 
 def sequential_status(stored: DataFrame, batch: DataFrame) -> DataFrame:
-    """new / changed / unchanged for every batch row, each against the state just before it."""
+    """new / changed / unchanged for every batch row, each against the state just before it;
+    quarantined for unreadable rows, which leave that state as it is."""
+    refused = batch.filter(F.col("payload_hash").isNull()).withColumn("status", F.lit("quarantined"))
     hashes = stored.select(*KEY, F.col("payload_hash").alias("_stored"))
     before = F.coalesce(F.col("_previous"), F.col("_stored"))
     return (
-        previous_in_key(batch, "payload_hash", "_previous")
+        previous_in_key(readable(batch), "payload_hash", "_previous")
         .join(hashes, KEY, "left")
         .withColumn(
             "status",
@@ -87,13 +94,14 @@ def sequential_status(stored: DataFrame, batch: DataFrame) -> DataFrame:
             .otherwise("unchanged"),
         )
         .drop("_previous", "_stored")
+        .unionByName(refused)
     )
 
 
 def ingest_counts(statuses: DataFrame, by: list[str]) -> DataFrame:
-    """fetched / new / changed / unchanged / missing_id; rows without id have no status."""
+    """fetched / new / changed / unchanged / quarantined / missing_id; rows without id have no status."""
     return statuses.groupBy(*by).agg(
         F.count("*").alias("fetched"),
-        *[F.count_if(F.col("status") == s).alias(s) for s in ("new", "changed", "unchanged")],
+        *[F.count_if(F.col("status") == s).alias(s) for s in ("new", "changed", "unchanged", "quarantined")],
         F.count_if(F.col("status").isNull()).alias("missing_id"),
     )

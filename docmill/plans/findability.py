@@ -55,11 +55,12 @@ def for_mode(rows: DataFrame, mode: str, titled_source: str) -> DataFrame:
 
 
 def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: list[float],
-             stem: bool = True) -> DataFrame:
+             stem: bool = True, tasks: int | None = None, asked: Column | None = None) -> DataFrame:
     """One row per target and evaluation: ``mode, title_boost, doc_id, flags, rank, total_hits``.
 
     Targets with the same number or the same title ask the same question, which is answered
-    once; all title weights share one scoring. The rank is NULL outside the first ten.
+    once; all title weights share one scoring. The rank is NULL outside the first ten. ``asked``:
+    what of a title is searched (all of it by default).
     """
     docs = silver.withColumn("doc_key", F.concat_ws("|", "source", "external_id"))
     numbered = for_mode(rows, "number", titled_source).withColumn(
@@ -68,9 +69,10 @@ def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: lis
     number_rows = _ranks(numbered, lists, ["query_id"]).withColumn(
         "title_boost", F.lit(None).cast("double"))
 
-    titled = for_mode(rows, "title", titled_source).withColumn("query_id", F.sha2("title", 256))
-    questions = titled.groupBy("query_id").agg(F.min("title").alias("query"))
-    scores = search.score_queries(search.build_index(docs, stem, keep=()), questions, stem=stem)
+    titled = for_mode(rows, "title", titled_source).withColumn(
+        "query", F.col("title") if asked is None else asked).withColumn("query_id", F.sha2("query", 256))
+    questions = titled.groupBy("query_id").agg(F.min("query").alias("query"))
+    scores = search.score_queries(search.build_index(docs, stem, keep=(), tasks=tasks), questions, stem=stem)
     by = ["query_id", "title_boost"]
     lists = search.ranked(search.best_field_grid(scores, boosts), by=by)
     weights = F.array(*[F.lit(float(b)) for b in boosts])
@@ -110,7 +112,7 @@ def misses(results: DataFrame, evaluations: list[tuple[str, float | None]]) -> D
         .groupBy("doc_id", "decision_number", "title").pivot("_eval", labels).agg(F.max("rank"))
     )
     missed = reduce(lambda a, b: a | b, [F.col(f"`{x}`").isNull() for x in labels])
-    return wide.filter(missed).withColumn("title", shorten(F.col("title")))
+    return wide.filter(missed).withColumn("shown_title", shorten(F.col("title")))
 
 
 def label(mode: str, boost: float | None) -> str:

@@ -64,11 +64,11 @@ def row_problems(values: DataFrame, run: list[str]) -> DataFrame:
         F.min(F.when(F.col("_n") > 1, F.col("source"))).alias("_twice"),
     )
     error = (
-        F.when(F.col("_blank") > 0, "invalid source")
+        F.when(F.col("_blank") > 0, "blank source name")
         .when(F.col("_null_source").isNotNull(),
-              F.concat(F.lit("source "), "_null_source", F.lit(": non-numeric value")))
+              F.concat(F.lit("no value for source "), "_null_source"))
         .when(F.col("_twice").isNotNull(),
-              F.concat(F.lit("source "), "_twice", F.lit(": returned more than once")))
+              F.concat(F.lit("several rows for source "), "_twice"))
     )
     return reasons.select(*run, "check_name", error.alias("error")).filter(F.col("error").isNotNull())
 
@@ -168,13 +168,13 @@ def run_checks(spark: SparkSession, checks: list[Check], tables: Mapping[str, Da
 def shape_problem(result: DataFrame) -> str | None:
     """Why a result is not (source, value) with a text source and a numeric value."""
     if result.columns != ["source", "value"]:
-        return f"expected columns (source, value), got ({', '.join(result.columns)})"
+        return f"a check gives source and value; this one gives {', '.join(result.columns)}"
     types = dict(result.dtypes)
     if types["source"] not in ("string", "void"):
-        return "source is not text"
+        return f"its source is of type {types['source']}, not text"
     numeric = types["value"].startswith("decimal") or types["value"] in (
         "tinyint", "smallint", "int", "bigint", "float", "double", "void")
-    return None if numeric else f"non-numeric value of type {types['value']}"
+    return None if numeric else f"its value is of type {types['value']}, not a number"
 
 
 # The thirteen checks of the catalogue, as DataFrame plans. Sources are parameters.

@@ -13,6 +13,8 @@ from docmill.functions.display import display_title
 from docmill.functions.text import expectation_bound, expectation_operator, has_text, number_label
 from docmill.functions.urls import detail_path
 from docmill.operators import aggregates, filters, ranking
+from docmill.plans import search
+from docmill.session import written
 
 DAY = "dd/MM/yyyy"
 # Labels of the dashboards.
@@ -42,11 +44,19 @@ def hit_fields(docs: DataFrame) -> DataFrame:
     )
 
 
-def search_page(docs: DataFrame, ranked: DataFrame, number: int, size: int) -> DataFrame:
-    """One page of every query; display columns join after the cut, so texts stay in the scan."""
-    rows = ranking.page_per_group(ranked, number, size)
-    shown = docs.join(rows.select("doc_key").distinct(), "doc_key", "left_semi")
-    return rows.join(hit_fields(shown).withColumn("doc_key", F.concat_ws("|", "source", "external_id")), "doc_key")
+def search_documents(docs: DataFrame) -> DataFrame:
+    """Display fields of every document as a written table with its key: what pages are read from.
+    Texts are looked at once, here."""
+    rows = hit_fields(docs).withColumn("doc_key", F.concat_ws("|", "source", "external_id"))
+    return written(rows, "search-documents")
+
+
+def search_page(shown: DataFrame, index: DataFrame, queries: DataFrame, number: int, size: int, **how) -> DataFrame:
+    """One page of every query, ranked as deep as the page needs; the page's rows are stored before
+    the display fields of ``search_documents`` join them."""
+    found = search.search(index, queries, ranking.page_end(number, size), **how)
+    rows = written(ranking.page_per_group(found, number, size), "page")
+    return rows.join(shown, "doc_key")
 
 
 def decision_lookup(silver: DataFrame, wanted: DataFrame) -> DataFrame:

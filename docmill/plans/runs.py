@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 DEFAULT_DAYS = 7
 DEFAULT_LOOKBACK = 14
-MAX_ERROR = 1000
 
 
 def collapse(events: DataFrame) -> DataFrame:
@@ -29,7 +28,7 @@ def collapse(events: DataFrame) -> DataFrame:
         F.col("s.at").alias("started_at"), F.col("f.at").alias("finished_at"),
         F.coalesce("f.status", F.lit("running")).alias("status"),
         *[F.coalesce(f"f.{c}", F.lit(0)).alias(c) for c in ("nb_fetched", "nb_new", "nb_changed")],
-        F.substring("f.error", 1, MAX_ERROR).alias("error"),
+        F.col("f.error").alias("error"),
     )
 
 

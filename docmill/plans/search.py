@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from docmill.functions import french
 from docmill.functions.text import fold_keyword, html_escape
 from docmill.operators.filters import SearchFilters
-from docmill.operators.layout import explode_once, spread
+from docmill.operators.layout import deal_out, explode_once
 from docmill.operators.ranking import top_k_per_group
 from docmill.session import written
 
@@ -28,7 +28,7 @@ FILTERABLE = ("source", "decision_type", "decision_date", "sectors")
 
 
 def analysed(docs: DataFrame, stem: bool = True, fields: Mapping[str, str] = FIELDS,
-             keep: Sequence[str] = FILTERABLE) -> DataFrame:
+             keep: Sequence[str] = FILTERABLE, tasks: int | None = None) -> DataFrame:
     """Index rows ``doc_key, <filter columns>, field, dl, postings``: one row per document field.
 
     Narrow from end to end: words are sorted inside their row and runs of equal words become
@@ -38,7 +38,7 @@ def analysed(docs: DataFrame, stem: bool = True, fields: Mapping[str, str] = FIE
         F.struct(F.lit(name).alias("field"), F.col(column).alias("body")) for name, column in fields.items()
     ])
     key = ["doc_key", *keep]
-    rows = spread(docs.select(*key, *fields.values())).select(*key, F.inline(parts))
+    rows = deal_out(docs.select(*key, *fields.values()), tasks).select(*key, F.inline(parts))
     words = french.terms(F.col("body"))
     rows = rows.select(*key, "field", F.array_sort(french.stems(words) if stem else words).alias("_w"))
     rows = rows.withColumn("dl", F.size("_w"))
@@ -52,10 +52,10 @@ def analysed(docs: DataFrame, stem: bool = True, fields: Mapping[str, str] = FIE
     return rows.select(*key, "field", "dl", runs.alias("postings"))
 
 
-def build_index(docs: DataFrame, stem: bool = True, keep: Sequence[str] = FILTERABLE) -> DataFrame:
+def build_index(docs: DataFrame, stem: bool = True, keep: Sequence[str] = FILTERABLE, tasks: int | None = None) -> DataFrame:
     """The index as a written table: texts are read and cut into words once, and every statistic
     and search after that reads only the columns it needs."""
-    return written(analysed(docs, stem, keep=keep), "index")
+    return written(analysed(docs, stem, keep=keep, tasks=tasks), "index")
 
 
 def postings(index: DataFrame) -> DataFrame:

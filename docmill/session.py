@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_own_folders: dict[str, str] = {}
+_written: list[str] = []
 
 
 def local_session(cores: str = "8", name: str = "docmill") -> SparkSession:
@@ -28,13 +32,31 @@ def local_session(cores: str = "8", name: str = "docmill") -> SparkSession:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """New folder for written intermediate tables, under the shared folder of the cluster.
 
-    Only a session that names no shared folder (tests) gets one of its own.
+    A local session that names no shared folder (tests) gets one of its own, removed when the
+    process ends. Elsewhere such a session is an error: executors would write to their own disks.
     """
-    base = spark.conf.get(CHECKPOINT_KEY, None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="docmill-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_KEY, base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get(CHECKPOINT_KEY, None) or _own_folder(spark)
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def _own_folder(spark: SparkSession) -> str:
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="docmill-", dir="/tmp")
+        atexit.register(shutil.rmtree, _own_folders[application], ignore_errors=True)
+    return _own_folders[application]
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete all work folders of this process, in whatever store they are. For the end of a job:
+    frames that read them can no longer be used."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

@@ -35,7 +35,8 @@ def page_records(pages: DataFrame) -> DataFrame:
         pages.join(stops, "scan")
         .filter(F.col("_stop").isNull() | (F.col("page") <= F.col("_stop")))
         .select("scan", "page", F.posexplode("results").alias("pos", "v"))
-        .withColumn("seq", F.col("page") * F.lit(1_000_000) + F.col("pos"))
+        # Positions are 32-bit, so pages never overlap, however many records one holds.
+        .withColumn("seq", F.shiftleft(F.col("page"), 32) + F.col("pos"))
     )
 
 

@@ -10,9 +10,10 @@ from docmill.functions.urls import host, path_and_query
 
 def rule_regex(pattern: Column) -> Column:
     """Anchored regular expression of a rule pattern, where * is any text and a final $ the end."""
-    escaped = F.regexp_replace(pattern, r"([.+?^(){}|\[\]\\])", r"\\$1")
+    body = F.regexp_replace(pattern, r"\$\z", "")
+    escaped = F.regexp_replace(body, r"([.+?^$(){}|\[\]\\])", r"\\$1")
     starred = F.replace(escaped, F.lit("*"), F.lit(".*"))
-    return F.concat(F.lit(r"\A"), F.regexp_replace(starred, r"\$\z", r"\\z"))
+    return F.concat(F.lit(r"(?s)\A"), starred, F.when(pattern.endswith("$"), F.lit(r"\z")).otherwise(F.lit("")))
 
 
 def allowed_urls(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:

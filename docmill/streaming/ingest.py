@@ -11,13 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docmill.operators.upsert import KEY, last_per_key, sequential_status
+from docmill.operators.upsert import KEY, last_per_key
 
 LOG = (
     "source STRING, external_id STRING, payload STRING, payload_hash STRING, run_id BIGINT, "
     "status STRING"
 )
-OVERLAP = "14 days"
 
 
 def read_pages(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -43,13 +42,15 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def drop_rereads(records: DataFrame, moment: str, key: list[str], overlap: str = OVERLAP) -> DataFrame:
-    """Drop versions read again inside the overlap of two windows.
+def drop_rereads(records: DataFrame, key: list[str]) -> DataFrame:
+    """Drop versions that were read before, in this micro-batch or any earlier one.
 
-    A pre-filter only: content that changes and then reverts inside the overlap loses its last
-    version here, so the upsert below is authoritative and does not need this step.
+    There is no watermark, so a late record is never dropped; a micro-batch costs in proportion to
+    itself, and the keys seen are kept as state (with the RocksDB provider, on executors' disks
+    and in the checkpoint). A pre-filter only: content that changes and then reverts loses its
+    last version here, so the upsert below is authoritative and does not need this step.
     """
-    return records.withWatermark(moment, overlap).dropDuplicatesWithinWatermark(key)
+    return records.dropDuplicates(key)
 
 
 def _log_before(spark: SparkSession, log_path: str, batch_id: int) -> DataFrame:
@@ -104,9 +105,3 @@ def current_state(spark: SparkSession, log_path: str) -> DataFrame:
         F.max("run_id").alias("last_seen_run"),
         F.max(F.when(wrote, F.col("run_id"))).alias("changed_run"),
     ).select(*KEY, "last.payload", "last.payload_hash", "first_seen_run", "last_seen_run", "changed_run")
-
-
-__all__ = [
-    "append_changes", "current_state", "drop_rereads", "read_pages", "read_table_stream",
-    "sequential_status", "start_upsert", "stored_hashes",
-]
