@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmill.llm.subwords import Encoder, default_vocabulary
-from docmill.session import work_dir
+from docmill.session import work_dir, written
 
 BLOCK = 4096
 LANES = 1536
@@ -341,7 +341,8 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read(spark, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, decoded from the files."""
     files = spark.read.schema(FILES).parquet(path)
-    pieces = files.mapInArrow(_pieces, "file_no long, block_no long, doc_no long, doc_id long, place long, n long, crc long")
+    # Stored, so that every block is decoded once.
+    pieces = written(files.mapInArrow(_pieces, "file_no long, block_no long, doc_no long, doc_id long, place long, n long, crc long"), "pieces")
     # A piece without a number belongs to the last document of a block before it; whole runs of such blocks are looked up.
     starts = files.select("file_no", "block_no", F.array_max("doc_nos").alias("last_no"))
     before = starts.withColumn("open_no", F.max("last_no").over(Window.partitionBy("file_no").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)))
