@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +30,18 @@ def with_fields(df: DataFrame, added: dict[str, str]) -> T.StructType:
     return fields
 
 
+@contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so few rows for the jobs run inside; for tables whose rows are megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, folds: int = 0, held: int = 0, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Texts of at most `rows` labelled documents, chosen by a hash of the id; `label` is 0 or 1.
 

@@ -113,6 +113,17 @@ def sums_by(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, one place of each, and for every value its number among them."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    number = np.empty(len(values), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], number
+
+
 def repeated(key: np.ndarray) -> np.ndarray:
     """Which values occur twice or more."""
     order = np.argsort(key, kind="stable")
