@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 
-#: Cached parts at most; beyond them the cache starts afresh (ids do not depend on it).
-CACHE_ROWS = 600_000
+#: Entries a cache holds, twice: when the younger half is full, it takes the elder one's place (ids do not depend on it).
+CACHE_ROWS = 300_000
+LONGEST = 40
 #: A blank after white space and before more of it, or before the end.
 _GROUPED = re.compile(r"\s (?!\S)")
 
@@ -23,20 +26,34 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: ASCII signs that stand in one piece after a word.
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 class _Cache(dict):
-    def __init__(self, encoder: Encoder, prefix: str):
+    def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.encoder, self.prefix = encoder, prefix
+        self.make, self.elder = make, {}
 
     def __missing__(self, part: str) -> bytes:
-        found = self.encoder.encode_part(self.prefix + part)
-        if len(part) <= 40:
+        found = self.elder.get(part)
+        if found is None:
+            found = self.make(part)
+        if len(part) <= LONGEST:
             if len(self) >= CACHE_ROWS:
+                self.elder = dict(self)
                 self.clear()
             self[part] = found
         return found
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for bytes: printable Latin-1 as it is, the others from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Ids of texts; one for each vocabulary file and Python worker."""
 
@@ -52,8 +69,9 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size()
         plain = self.tokenizer.normalizer is None and self.tokenizer.post_processor is None and isinstance(self.tokenizer.pre_tokenizer, ByteLevel)
         self.splits = self.tokenizer.pre_tokenizer.pre_tokenize_str if plain else None
-        self.head, self.tail = _Cache(self, ""), _Cache(self, " ")
-        self.pieces: dict[str, bytes] = {}
+        self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
+        self.piece = _Cache(lambda piece: array("I", [t.id for t in self.merge(piece)]).tobytes())
+        self.head, self.tail = _Cache(self.encode_part), _Cache(self.encode_tail)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -61,19 +79,27 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Free what a worker keeps, where later tasks need no tokenizer."""
+        cls._made.clear()
+
     def encode_part(self, text: str) -> bytes:
         if self.splits is None:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        out = []
-        for piece, _ in self.splits(text):
-            if (ids := self.pieces.get(piece)) is None:
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
-                if len(self.pieces) >= CACHE_ROWS:
-                    self.pieces.clear()
-                if len(piece) <= 40:
-                    self.pieces[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join([self.piece[piece] for piece, _ in self.splits(text)])
+
+    def encode_tail(self, part: str) -> bytes:
+        """Ids of a blank and what follows it. Letters alone, or letters and then signs, are split without the tokenizer."""
+        word = part.rstrip(SIGNS)
+        if self.splits is None or not word.isalpha():
+            return self.encode_part(" " + part)
+        if not word.isascii():
+            written = word.encode().decode("latin-1").translate(self.letters)
+        else:
+            written = word
+        ids = self.piece[self.letters[32] + written]
+        return ids if len(word) == len(part) else ids + self.piece[part[len(word) :]]
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Ids as unsigned 32-bit integers; null is an empty text."""
