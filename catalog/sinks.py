@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from catalog.views import AS_OF, now, table
+from catalog.views import AS_OF, now, source_table, table
 from docmill.functions.variants import payload_hash
 from docmill.operators import upsert
 from docmill.plans import publish
@@ -159,14 +159,29 @@ def snk_publish_gate(spark, sf):
 WITH {_GATE}
 SELECT sum(expected) > 0 AND count(CASE WHEN NOT accepted THEN 1 END) = 0 AS publish,
   CAST(sum(expected) AS BIGINT) AS n_expected, count(CASE WHEN NOT accepted THEN 1 END) AS n_mismatched,
-  CASE WHEN sum(expected) = 0 THEN 'nothing to publish' WHEN count(CASE WHEN NOT accepted THEN 1 END) > 0
-    THEN 'counts differ for ' || count(CASE WHEN NOT accepted THEN 1 END) || ' source(s)' END AS reason
+  CASE WHEN sum(expected) = 0 THEN 'nothing to publish' WHEN bool_or(NOT accepted) THEN 'counts differ: ' || string_agg(
+    printf('%s (expected %d, indexed %d, rejected %d)', source, expected, indexed, rejected), '; ' ORDER BY source) FILTER (NOT accepted) END AS reason
 FROM g
 """)
 def snk_publish_verdict(spark, sf):
     return publish.gate(gate_rows(spark, sf))
 
 
+@query("snk_retention_after", r"""
+WITH v AS (SELECT DISTINCT o_orderstatus AS dataset, 'decisions_' || replace(CAST(CAST(o_orderdate AS DATE) AS STRING), '-', '') || '_020000' AS version,
+    day(o_orderdate) <> 3 AS published FROM orders WHERE day(o_orderdate) <= 3 AND month(o_orderdate) = 1),
+  k AS (SELECT dataset, version, row_number() OVER (PARTITION BY dataset ORDER BY version DESC) AS rn FROM v WHERE published)
+SELECT v.dataset, v.version, CASE WHEN rn <= 2 THEN 'keep' ELSE 'drop' END AS action FROM v LEFT JOIN k USING (dataset, version)
+""")
+def snk_retention_after(spark, sf):
+    """Builds of every third of January were refused: the newest name is not the live version."""
+    day = F.col("o_orderdate").cast("date")
+    found = source_table(spark, sf, "orders").filter((F.day(day) <= 3) & (F.month(day) == 1)).select(
+        F.col("o_orderstatus").alias("dataset"), F.concat(F.lit("decisions_"), F.date_format(day, "yyyyMMdd"), F.lit("_020000")).alias("version"), day.alias("day")).distinct()
+    published = found.filter(F.day("day") != 3).select("dataset", "version", F.col("day").cast("timestamp").alias("published_at"))
+    return publish.retention_after(found.drop("day"), published)
+
+
 @query("snk_retention_plan", r"""
 WITH v AS (SELECT DISTINCT o_orderstatus AS dataset,
     CASE WHEN o_orderpriority = '5-LOW' AND month(o_orderdate) = 1 AND day(o_orderdate) = 1 THEN 'manual_copy' ELSE

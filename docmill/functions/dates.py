@@ -14,8 +14,8 @@ _TIME = (
 )
 _EXTENDED = rf"\A\d{{4}}-\d{{2}}-\d{{2}}(?:{_TIME})?\z"
 _COMPACT = rf"\A\d{{8}}(?:{_TIME})?\z"
-# Without a weekday a week means its Monday; no time can follow then.
-_WEEK = rf"\A\d{{4}}(?:-W\d{{2}}(?:-[1-7](?:{_TIME})?)?|W\d{{2}}(?:[1-7](?:{_TIME})?)?)\z"
+# Without a weekday a week means its Monday.
+_WEEK = rf"\A\d{{4}}(?:-W\d{{2}}(?:-[1-7])?|W\d{{2}}[1-7]?)(?:{_TIME})?\z"
 
 
 def _valid_date(year: Column, month: Column, day: Column) -> Column:
@@ -33,7 +33,7 @@ def parse_iso_date(c: Column) -> Column:
     digits = F.regexp_replace(F.substring(s, 1, 10), "[-W]", "")
     year = F.substring(digits, 1, 4).try_cast("int")
     week = F.substring(digits, 5, 2).try_cast("int")
-    weekday = F.coalesce(F.nullif(F.regexp_extract(s, r"\A\d{4}-?W\d{2}-?([1-7])", 1), F.lit("")).try_cast("int"), F.lit(1))
+    weekday = F.coalesce(F.nullif(F.regexp_extract(s, r"\A\d{4}-?W\d{2}-?([1-7])(?:\z|(?s:.)\d{2})", 1), F.lit("")).try_cast("int"), F.lit(1))
     january_4 = F.make_date(year, F.lit(1), F.lit(4))
     monday = F.date_sub(january_4, F.weekday(january_4))
     day = F.date_add(monday, (week - 1) * 7 + weekday - 1)

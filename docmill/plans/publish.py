@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from docmill.operators.keys import merge_counts
 from docmill.operators.ranking import top_k_per_group
+from docmill.session import written
 
 VERSIONS = "dataset STRING, version STRING, path STRING, published_at TIMESTAMP"
 # Fixed value: version names are the dataset name and a UTC moment.
@@ -52,32 +53,54 @@ def gate_rows(expected: DataFrame, indexed: DataFrame, rejected: DataFrame) -> D
 
 
 def gate(rows: DataFrame) -> DataFrame:
-    """One row: publish only a non-empty set whose sources all agree, with the reason if not.
-
-    Sources are reported one by one by ``gate_rows``; the reason counts them.
-    """
+    """One row: publish only a non-empty set whose sources all agree, with the reason if not: each
+    source that disagrees, with its three counts (there are as many as sources, a handful)."""
+    told = F.concat_ws(
+        " ", "source", F.concat(F.lit("(expected "), F.col("expected").cast("string"), F.lit(", indexed "),
+                                F.col("indexed").cast("string"), F.lit(", rejected "), F.col("rejected").cast("string"), F.lit(")")))
+    named = F.array_join(F.array_sort(F.collect_list(F.when(~F.col("accepted"), told))), "; ")
     bad = F.count_if(~F.col("accepted"))
     total = F.coalesce(F.sum("expected"), F.lit(0))
     return rows.agg(
         ((total > 0) & (bad == 0)).alias("publish"), total.alias("n_expected"),
         bad.alias("n_mismatched"),
         F.when(total == 0, "nothing to publish")
-        .when(bad > 0, F.concat(F.lit("counts differ for "), bad.cast("string"), F.lit(" source(s)")))
+        .when(bad > 0, F.concat(F.lit("counts differ: "), named))
         .alias("reason"),
     )
 
 
 def rebuild(spark: SparkSession, documents: DataFrame, expected: DataFrame, rejected: DataFrame,
             root: str, dataset: str, version: str, now: Column) -> DataFrame:
-    """Build, count, gate and publish; returns the gate rows with the outcome."""
+    """Build, count, gate and publish; returns the gate rows with the outcome. A refused version's
+    folder is deleted; readers never saw it."""
     path = write_version(documents, root, version)
     indexed = spark.read.schema(documents.schema).parquet(path).groupBy("source").agg(
         F.count("*").alias("n"))
-    rows = gate_rows(expected, indexed, rejected)
-    allowed = bool(gate(rows).first()["publish"])
-    if allowed:
+    rows = written(gate_rows(expected, indexed, rejected), "gate")
+    outcome = gate(rows).first()
+    if outcome["publish"]:
         publish(spark, f"{root}/versions", dataset, version, path, now)
-    return rows.withColumn("published", F.lit(allowed))
+    else:
+        discard(spark, path)
+    return rows.withColumn("published", F.lit(bool(outcome["publish"]))).withColumn("reason", F.lit(outcome["reason"]).cast("string"))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a version's folder, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def retention_after(folders: DataFrame, published: DataFrame, keep: int = 2, pattern: str = VERSION_PATTERN) -> DataFrame:
+    """Which of the found folders (dataset, version) stay: the last ``keep`` published ones of each
+    dataset. Refused ones go, however new their names; foreign names are left alone."""
+    order = [F.desc("published_at"), F.desc("version")]
+    live = top_k_per_group(published, ["dataset"], order, keep, "_rn").select("dataset", "version", F.lit(True).alias("_keep"))
+    return folders.join(live, ["dataset", "version"], "left").select(
+        "dataset", "version",
+        F.when(~F.col("version").rlike(pattern), "ignored").when(F.col("_keep"), "keep").otherwise("drop").alias("action"),
+    )
 
 
 def retention_plan(versions: DataFrame, keep: int = 2, pattern: str = VERSION_PATTERN) -> DataFrame:

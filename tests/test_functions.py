@@ -1,7 +1,7 @@
 """Literal cases of the scalar functions and the per-source transforms."""
 
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,3 +143,27 @@ def test_window(spark):
         (date(2026, 9, 28), date(2026, 9, 27)), (date(2026, 1, 1), date(2026, 9, 27))]
     with pytest.raises(ValueError):
         runs.window(last, today, -1)
+
+
+def test_dates_as_the_standard_library_reads_them(spark):
+    cases = [
+        "2026-W30", "2026-W30-1", "2026W301", "2026W30", "2026-W54", "2026-07-17x12:00:00", "2026-07-17 12:00:00+23:59", "2026-07-17T12:00:00+99:99", "0000-01-01",
+        "2026-07-17T", "20260717T12", "2026-W30-8", "2026-W30 12:00", "2026W30T12:00", "2026-W30-1-12:00",
+        "2026-W30-5", "2026-W30-22:00", "2026-W30512:00", "2026W30-1", "2026-W301", "2026-07-17T24:00",
+    ]
+    want = []
+    for c in cases:
+        try:
+            want.append(datetime.fromisoformat(c).date() if c != "2026-07-17T24:00" else None)
+        except ValueError:
+            want.append(None)
+    assert column(spark, cases, dates.parse_iso_date) == want
+
+
+def test_links_with_dot_segments(spark):
+    from urllib.parse import urljoin
+
+    base = "https://h.org/a/b/c?q=1"
+    links = ["../x", "./x", "/x/../y", "..", ".", "../../../x", "x/./y/../z?p=../q#../r", "../", "x/..", "/./", "...", "/a/..b/c", "https://o/../x"]
+    got = column(spark, links, lambda c: urls.absolute_url(F.lit(base), c))
+    assert got == [urljoin(base, link) for link in links]

@@ -1,6 +1,7 @@
 """Upsert, publication, quality engine and streaming."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,7 +74,9 @@ def test_rebuild_publishes_only_when_counts_agree(spark):
     docs = spark.createDataFrame([("a", 1), ("a", 2)], "source string, x int")
     none, now = counts(spark, {}), F.lit(NOW).cast("timestamp")
     publish.rebuild(spark, docs, counts(spark, {"a": 2}), none, root, "decisions", "decisions_20260101_000000", now)
-    publish.rebuild(spark, docs, counts(spark, {"a": 3}), none, root, "decisions", "decisions_20260102_000000", now)
+    refused = publish.rebuild(spark, docs, counts(spark, {"a": 3}), none, root, "decisions", "decisions_20260102_000000", now).first()
+    assert not refused.published and refused.reason == "counts differ: a (expected 3, indexed 2, rejected 0)"
+    assert not Path(root.removeprefix("file:"), "decisions_20260102_000000").exists()
     assert publish.current_path(spark, f"{root}/versions", "decisions").endswith("decisions_20260101_000000")
 
 
@@ -173,3 +176,45 @@ def test_stream_restart(spark):
         ingest.start_upsert(ingest.read_table_stream(spark, path, BATCH), log, state).awaitTermination()
     rows = {r.external_id: r for r in ingest.current_state(spark, log).collect()}
     assert rows["a"].payload == "2" and rows["a"].first_seen_run < rows["a"].last_seen_run and rows["b"].payload == "1"
+
+
+def test_unreadable_payloads_store_nothing(spark):
+    rows = [("s", "good", 1, "a", "a"), ("s", "good", 2, "{", None), ("s", "only", 1, "{", None), ("s", "kept", 1, "{", None)]
+    batch, stored = spark.createDataFrame(rows, BATCH), make_stored(spark, [("kept", "z")])
+    got = {r.external_id: (r.payload, r.last_seen_run) for r in apply(spark, stored, batch).collect()}
+    assert got == {"good": ("a", 2), "kept": ("z", 1)}
+    counts = upsert.ingest_counts(upsert.sequential_status(stored, batch), ["source"]).first()
+    assert (counts.fetched, counts.new, counts.quarantined, counts.missing_id) == (4, 1, 3, 0)
+
+
+def test_late_records_are_kept_once(spark):
+    """One file a micro-batch, newest first: nothing is late enough to be lost."""
+    path, out = work_dir(spark, "late"), work_dir(spark, "late-out")
+    for day in (28, 1, 15, 28):
+        spark.createDataFrame([(day, i) for i in range(5)], "day int, id int").selectExpr(
+            "id + 100 * day AS id", "make_timestamp(2026, 1, day, 0, 0, 0) AS ts").coalesce(1).write.mode("append").parquet(path)
+    stream = ingest.read_table_stream(spark, path, "id int, ts timestamp", files_per_trigger=1)
+    ingest.append_to(ingest.drop_rereads(stream, ["id", "ts"]), out, work_dir(spark, "late-state"))
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == sorted(i + 100 * d for d in (1, 15, 28) for i in range(5))
+
+
+def test_work_folder_without_shared_setting(spark, monkeypatch):
+    from docmill import session
+
+    class Bare:
+        """A session whose configuration names no shared folder."""
+
+        def __init__(self, master):
+            self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+
+    first, second = (session.work_dir(Bare("local[4]"), "x") for _ in range(2))
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(ValueError):
+        session.work_dir(Bare("spark://host:7077"), "x")
+
+
+def test_rule_with_a_dollar_inside(spark):
+    rules = spark.createDataFrame([("h.org", "/a$b"), ("h.org", "/c$")], "host string, pattern string")
+    pages = spark.createDataFrame([(u,) for u in ("http://h.org/a$b/x", "http://h.org/ab", "http://h.org/c", "http://h.org/cd")], "url string")
+    assert sorted(r.url for r in policy.allowed_urls(pages, rules).collect()) == ["http://h.org/ab", "http://h.org/cd"]

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from docmill.functions import french
-from docmill.plans import findability, search
+from docmill.operators import ranking
+from docmill.plans import findability, reports, search
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = [
@@ -165,4 +166,23 @@ def test_misses_keep_documents_absent_once(spark):
     rows = rows.withColumn("decision_number", F.lit(None).cast("string")).withColumn("title", F.lit("x" * 100))
     got = findability.misses(rows, [("title", 1.0), ("title", 2.0)]).collect()
     assert {r.doc_id: (r["title_1.0"], r["title_2.0"]) for r in got} == {"a": (1, None), "c": (None, None)}
-    assert {r.title for r in got} == {"x" * 79 + "…"}
+    assert {(r.title, r.shown_title) for r in got} == {("x" * 100, "x" * 79 + "…")}
+
+
+def test_pages_go_as_deep_as_the_window(spark):
+    docs = spark.createDataFrame([("s", f"{i:03d}", "commun", "texte " * (i + 1)) for i in range(60)], "source string, external_id string, title string, text string")
+    docs = docs.selectExpr("*", "concat_ws('|', source, external_id) AS doc_key", *(f"CAST(NULL AS {t}) AS {c}" for c, t in (
+        ("decision_number", "string"), ("issuer", "string"), ("decision_type", "string"), ("decision_date", "date"), ("sectors", "array<string>"), ("url", "string"), ("has_text", "boolean"))))
+    index, asked = search.build_index(docs), spark.createDataFrame([(1, "commun")], "query_id int, query string")
+    shown = reports.search_documents(docs)
+    pages = [sorted(r["rank"] for r in reports.search_page(shown, index, asked, n, 10).collect()) for n in (1, 4, 6, 7)]
+    assert pages == [list(range(1, 11)), list(range(31, 41)), list(range(51, 61)), []]
+    for number, size in ((0, 10), (1, 51), (201, 50)):
+        with pytest.raises(ValueError):
+            ranking.page_per_group(docs, number, size)
+
+
+def test_a_page_reads_no_text(spark):
+    plan = entry.queries()["rd_search_page"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and not any(re.search(r"[\[,]text#", line) for line in scans)
