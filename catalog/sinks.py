@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from catalog.views import AS_OF, now, source_table, table
 from docmill.functions.variants import payload_hash
+from docmill.model import RAW
 from docmill.operators import upsert
-from docmill.plans import publish
+from docmill.plans import ingestion, publish
 from docmill.session import work_dir
+from docmill.sources import landed
 
 RUN = 2
 # Reference form of the hash: keys in order, no spaces.
@@ -132,6 +134,59 @@ def snk_silver_rebuild(spark, sf):
         F.count("*").alias("n"), F.count("decision_number").alias("n_numbers"), F.lit(version).alias("version"))
 
 
+# Pages of orders: every 50th record comes without identifier, every 7th changes, every 20th cannot be read.
+_RUN_SQL = f"""
+  r AS (SELECT o_orderstatus AS source, o_orderkey AS k, CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS external_id FROM orders),
+  old AS (SELECT source, external_id FROM v_stored),
+  seen AS (SELECT r.source, r.k, r.external_id, old.external_id IS NOT NULL AS known, r.k % 20 = 3 AS broken FROM r
+    LEFT JOIN old ON old.source = r.source AND old.external_id = r.external_id)"""
+
+
+def ingested(spark, sf):
+    """The job over pages made of orders; what is stored already is what an earlier run got."""
+    orders = source_table(spark, sf, "orders")
+    body = lambda changed: F.concat(
+        F.lit('{"id":"'), F.col("o_orderkey"), F.lit('","n":'), F.when(changed, F.lit("2")).otherwise(F.lit("1")), F.lit("}"))
+    key, never = F.col("o_orderkey"), F.lit(False)
+    known = orders.join(table(spark, sf, "v_stored").select(F.col("source").alias("o_orderstatus"), F.col("external_id").cast("bigint").alias("o_orderkey")), ["o_orderstatus", "o_orderkey"], "left_semi")
+    before = known.select(F.col("o_orderstatus").alias("source"), key.cast("string").alias("external_id"), body(never).alias("payload")).withColumn("payload_hash", payload_hash(F.col("payload")))
+    before = before.withColumns({"first_seen_run": F.lit(1).cast("bigint"), "last_seen_run": F.lit(1).cast("bigint"), "updated_at": now()})
+    fields = [F.when(key % 50 != 0, key.cast("string")).alias("id"), F.when(key % 7 == 0, 2).otherwise(1).alias("n")]
+    path = work_dir(spark, "pages")
+    orders.groupBy(F.col("o_orderstatus").alias("scan"), F.floor(key / 1000).alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("results"), F.lit("more").alias("next_batch")).write.json(path)
+    batch = ingestion.batch_of_pages(spark.read.schema(landed.PAGE_SCHEMA).json(path), "id")
+    cut = (F.col("external_id").cast("bigint") % 20 == 3)
+    batch = batch.withColumn("payload_hash", F.when(cut, F.lit(None)).otherwise(F.col("payload_hash")))
+    root = work_dir(spark, "layer")
+    counters, rows = ingestion.ingest(batch, before, RUN, now(), now(), root, "raw", "raw_20240131_000000")
+    return counters, rows, publish.current_path(spark, f"{root}/versions", "raw")
+
+
+@query("snk_ingest_run", f"""
+WITH {_RUN_SQL}
+SELECT source, count(*) AS fetched, count(*) FILTER (external_id IS NOT NULL AND NOT broken AND NOT known) AS new,
+  count(*) FILTER (known AND NOT broken AND k % 7 = 0) AS changed, count(*) FILTER (known AND NOT broken AND k % 7 <> 0) AS unchanged,
+  count(*) FILTER (external_id IS NOT NULL AND broken) AS quarantined, count(*) FILTER (external_id IS NULL) AS missing_id
+FROM seen GROUP BY source
+""")
+def snk_ingest_run(spark, sf):
+    """Counters of one whole ingestion run."""
+    return ingested(spark, sf)[0]
+
+
+@query("snk_ingest_version", f"""
+WITH {_RUN_SQL}
+SELECT coalesce(seen.source, old.source) AS source, count(*) AS n, count(*) FILTER (external_id IS NOT NULL AND NOT broken) AS n_seen
+FROM (SELECT * FROM seen WHERE external_id IS NOT NULL AND (known OR NOT broken)) seen FULL OUTER JOIN old USING (source, external_id) GROUP BY ALL
+""")
+def snk_ingest_version(spark, sf):
+    """The published version after the run."""
+    _, rows, path = ingested(spark, sf)
+    return spark.read.schema(RAW).parquet(path).groupBy("source").agg(
+        F.count("*").alias("n"), F.count_if(F.col("last_seen_run") == RUN).alias("n_seen"))
+
+
 # Publication: documents without text are what the index lost, missing dates what it rejected.
 _GATE = """
   e AS (SELECT source, count(*) AS n FROM v_decisions GROUP BY source),

@@ -1,22 +1,26 @@
 """Continuous ingestion of landed records, with the same outcome as the batch upsert.
 
-State is an append-only change log, one folder per micro-batch: a new or changed record adds its
-payload, an unchanged one only the fact that it was seen. A micro-batch thus writes in proportion
-to itself, never to the stored table, and a replayed micro-batch overwrites its own folder only.
+State is an append-only change log, one folder per micro-batch, in it one per bucket of keys: a new
+or changed record adds its payload, an unchanged one only the fact that it was seen. A micro-batch
+thus writes in proportion to itself, and a replayed one overwrites its own folder only. It reads the
+buckets its keys fall into: the latest snapshot of their hashes (made every COMPACT micro-batches)
+and the few log folders after it, never the whole log.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docmill.operators.upsert import KEY, last_per_key
+from docmill.session import written
 
 LOG = (
     "source STRING, external_id STRING, payload STRING, payload_hash STRING, run_id BIGINT, "
     "status STRING"
 )
+BUCKETS, COMPACT = 64, 16
 
 
 def read_pages(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -53,38 +57,58 @@ def drop_rereads(records: DataFrame, key: list[str]) -> DataFrame:
     return records.dropDuplicates(key)
 
 
-def _log_before(spark: SparkSession, log_path: str, batch_id: int) -> DataFrame:
-    """Log of earlier micro-batches: the folder name is a partition column, so later or half
-    written folders are pruned."""
-    schema = f"{LOG}, batch_id BIGINT"
-    return spark.read.schema(schema).parquet(log_path).filter(F.col("batch_id") < batch_id)
+def bucket() -> Column:
+    return F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).cast("int")
 
 
-def stored_hashes(log: DataFrame) -> DataFrame:
-    """Current hash per key; reads the hash columns of the log only."""
-    return log.filter(F.col("payload_hash").isNotNull()).groupBy(*KEY).agg(
-        F.max_by("payload_hash", "batch_id").alias("payload_hash"))
+def _hashes(rows: DataFrame) -> DataFrame:
+    """Last hash per key, with the micro-batch that brought it; reads no payload."""
+    return rows.filter(F.col("payload_hash").isNotNull()).groupBy("bucket", *KEY).agg(
+        F.max_by("payload_hash", "batch_id").alias("payload_hash"), F.max("batch_id").alias("batch_id"))
+
+
+def stored_hashes(spark: SparkSession, log_path: str, batch_id: int, touched: list[int] | None = None) -> DataFrame:
+    """Hash per key before a micro-batch, of the touched buckets (all by default).
+
+    Folder names are partition columns: other buckets, later and half written folders are pruned.
+    Snapshots stand at fixed micro-batches, so none has to be looked for.
+    """
+    columns = ["bucket", *KEY, "payload_hash", "batch_id"]
+    base = (batch_id - 1) // COMPACT * COMPACT - 1
+    log = spark.read.schema(f"{LOG}, batch_id BIGINT, bucket INT").parquet(log_path).select(*columns)
+    rows = log.filter((F.col("batch_id") > base) & (F.col("batch_id") < batch_id))
+    if base >= 0:
+        kept = spark.read.schema("source STRING, external_id STRING, payload_hash STRING, batch_id BIGINT, bucket INT")
+        rows = rows.unionByName(kept.parquet(f"{log_path}-snapshots/upto={base}").select(*columns))
+    if touched is not None:
+        rows = rows.filter(F.col("bucket").isin(touched))
+    return _hashes(rows)
 
 
 def append_changes(spark: SparkSession, batch: DataFrame, batch_id: int, log_path: str) -> None:
     """Write the change log of one micro-batch (``source, external_id, seq, payload, payload_hash``)."""
-    last = last_per_key(batch)
-    known = stored_hashes(_log_before(spark, log_path, batch_id)).withColumnRenamed("payload_hash", "_h")
+    if batch_id and batch_id % COMPACT == 0:
+        stored_hashes(spark, log_path, batch_id).write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{log_path}-snapshots/upto={batch_id - 1}")
+    last = written(last_per_key(batch).withColumn("bucket", bucket()), "last")
+    touched = [r["bucket"] for r in last.select("bucket").distinct().collect()]  # BUCKETS at most
+    known = stored_hashes(spark, log_path, batch_id, touched).select("bucket", *KEY, F.col("payload_hash").alias("_h"))
     differs = F.col("_h").isNull() | (F.col("low_hash") != F.col("_h")) | (F.col("high_hash") != F.col("_h"))
-    changes = last.join(known, KEY, "left").select(
+    changes = last.join(known, ["bucket", *KEY], "left").select(
         *KEY,
         F.when(differs, F.col("payload")).alias("payload"),
         F.when(differs, F.col("payload_hash")).alias("payload_hash"),
         F.lit(batch_id).cast("bigint").alias("run_id"),
         F.when(F.col("_h").isNull(), "new").when(differs, "changed").otherwise("unchanged").alias("status"),
+        "bucket",
     )
-    changes.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+    changes.write.mode("overwrite").partitionBy("bucket").parquet(f"{log_path}/batch_id={batch_id}")
 
 
 def start_upsert(stream: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
     """Upsert every micro-batch of a record stream; stops when all available input is read."""
     spark = stream.sparkSession
-    spark.createDataFrame([], LOG).write.mode("ignore").parquet(f"{log_path}/batch_id=-1")
+    spark.createDataFrame([], LOG).write.mode("ignore").parquet(f"{log_path}/batch_id=-1/bucket=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         append_changes(spark, batch, batch_id, log_path)
@@ -97,7 +121,7 @@ def start_upsert(stream: DataFrame, log_path: str, checkpoint: str) -> Streaming
 
 def current_state(spark: SparkSession, log_path: str) -> DataFrame:
     """The stored table the log amounts to: same columns and values as the batch upsert gives."""
-    log = spark.read.schema(f"{LOG}, batch_id BIGINT").parquet(log_path)
+    log = spark.read.schema(f"{LOG}, batch_id BIGINT, bucket INT").parquet(log_path)
     wrote = F.col("payload_hash").isNotNull()
     return log.groupBy(*KEY).agg(
         F.max_by(F.struct("payload", "payload_hash"), F.when(wrote, F.col("batch_id"))).alias("last"),

@@ -157,7 +157,7 @@ def test_stream_equals_batch_and_survives_replay(spark):
     last micro-batch again, as after a lost driver, changes nothing."""
     landings = [[("a", 1, "1"), ("b", 1, "1")], [("a", 2, "2"), ("c", 2, "1")], [("a", 3, "1"), ("b", 3, "1")]]
     log = work_dir(spark, "log")
-    spark.createDataFrame([], ingest.LOG).write.parquet(f"{log}/batch_id=-1")
+    spark.createDataFrame([], ingest.LOG).write.parquet(f"{log}/batch_id=-1/bucket=-1")
     stored = make_stored(spark, [])
     for i, rows in enumerate(landings):
         ingest.append_changes(spark, make_batch(spark, rows), i, log)
@@ -218,3 +218,18 @@ def test_rule_with_a_dollar_inside(spark):
     rules = spark.createDataFrame([("h.org", "/a$b"), ("h.org", "/c$")], "host string, pattern string")
     pages = spark.createDataFrame([(u,) for u in ("http://h.org/a$b/x", "http://h.org/ab", "http://h.org/c", "http://h.org/cd")], "url string")
     assert sorted(r.url for r in policy.allowed_urls(pages, rules).collect()) == ["http://h.org/ab", "http://h.org/cd"]
+
+
+def test_snapshots_stand_in_for_the_log(spark, monkeypatch):
+    """Seven micro-batches, a snapshot every second one: every status as a plain loop gives it."""
+    monkeypatch.setattr(ingest, "COMPACT", 2)
+    rng, log, state = random.Random(3), work_dir(spark, "log"), {}
+    spark.createDataFrame([], ingest.LOG).write.parquet(f"{log}/batch_id=-1/bucket=-1")
+    for n in range(7):
+        rows = [(f"k{k}", 1, rng.choice("ab")) for k in rng.sample(range(8), 4)]
+        ingest.append_changes(spark, make_batch(spark, rows), n, log)
+        want = {k: "new" if k not in state else "unchanged" if state[k] == v else "changed" for k, _, v in rows}
+        state |= {k: v for k, _, v in rows}
+        wrote = spark.read.parquet(f"{log}/batch_id={n}").collect()
+        assert {r.external_id: r.status for r in wrote} == want
+    assert {r.external_id: r.payload for r in ingest.current_state(spark, log).collect()} == state
