@@ -8,9 +8,9 @@ from catalog.registry import query
 from catalog.relational import METRICS_SQL, SAMPLE_SQL, _NUMBER_KEY, _TITLE_KEY
 from catalog.scalars import fold_sql, strip_sql
 from catalog.text_search import cores, scores_sql
-from catalog.views import TITLED, WHOLE, table
+from catalog.views import TITLED, WHOLE, now, table
 from docmill.plans import findability
-from docmill.session import written
+from docmill.session import work_dir, written
 
 BOOSTS = [1.0, 2.0]
 _TARGETS = f"""{SAMPLE_SQL},
@@ -125,3 +125,19 @@ def fd_misses_hard(spark, sf):
     last = F.regexp_extract("title", "[^ ]*$", 0)
     found = written(findability.evaluate(docs, rows, TITLED, BOOSTS, stem=False, tasks=cores(spark), asked=last), "evaluation")
     return findability.misses(found, [("number", None), *(("title", b) for b in BOOSTS)]).drop("shown_title")
+
+
+@query("fd_history", f"""
+WITH {_RANKS}, m AS (SELECT mode, title_boost, {METRICS_SQL} FROM ranks GROUP BY mode, title_boost)
+SELECT 6 + row_number() OVER (ORDER BY mode, title_boost NULLS FIRST) AS eval_id, mode, CAST(title_boost AS DOUBLE) AS title_boost, sample_size,
+  round(hit_at_1, 4) AS hit_at_1, round(hit_at_10, 4) AS hit_at_10, round(mrr, 4) AS mrr, sample_size AS n_rows FROM m
+""")
+def fd_history(spark, sf):
+    """One evaluation run appended to the history, and read back with the rows behind each evaluation."""
+    root = work_dir(spark, "history")
+    evals, rows = findability.history(evaluated(spark, sf), 3, 7, "decisions_20240131_000000", now())
+    findability.append_history(evals, rows, root)
+    counted = spark.read.schema(rows.schema).parquet(f"{root}/eval_results").groupBy("eval_id").agg(F.count("*").alias("n_rows"))
+    figures = [F.col(c).cast("double").alias(c) for c in ("title_boost", "hit_at_1", "hit_at_10", "mrr")]
+    return spark.read.schema(evals.schema).parquet(f"{root}/evals").join(counted, "eval_id").select(
+        "eval_id", "mode", F.col("sample_size").cast("bigint").alias("sample_size"), *figures, "n_rows")

@@ -197,9 +197,7 @@ def tx_highlight(spark, sf):
     """Highlights of the first page of ten of every query."""
     docs, asked = corpus(spark, sf), bench_queries(spark, sf)
     page = reports.ranking.page_per_group(search.search(search.build_index(docs, tasks=cores(spark)), asked), 1, 10)
-    hits = page.select("query_id", "doc_key").join(docs.select("doc_key", "title", "text"), "doc_key").join(
-        asked, "query_id")
-    return search.highlight(hits)
+    return reports.highlighted(page, docs, asked)
 
 
 @query("tx_boost_grid", f"""
@@ -243,3 +241,18 @@ def _page(name: str, number: int, size: int, filtered: bool = True) -> None:
 _page("rd_search_page", 2, 5)
 _page("rd_search_page_third", 3, 5)
 _page("rd_search_page_late", 20, 5, filtered=False)
+
+
+@query("rd_number_page", f"""
+WITH n AS (SELECT {fold_sql('decision_number')} AS number_key, source || '|' || external_id AS doc_key, source, external_id, title FROM v_decisions
+    WHERE decision_number IS NOT NULL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY number_key ORDER BY doc_key) AS rank, count(*) OVER (PARTITION BY number_key) AS total_hits FROM n)
+SELECT d.doc_id AS query_id, r.rank, r.total_hits, r.source, r.external_id, '/decisions/' || r.source || '?id=' || r.external_id AS detail_path
+FROM v_decisions d JOIN r ON r.number_key = {fold_sql('d.decision_number')} WHERE r.rank = 2
+""")
+def rd_number_page(spark, sf):
+    """Second page of one of the search for every document's number."""
+    docs = corpus(spark, sf)
+    asked = docs.select(F.col("doc_id").alias("query_id"), F.upper("decision_number").alias("number"))
+    shown = reports.search_documents(docs.withColumn("has_text", has_text(F.col("text"))))
+    return reports.number_page(shown, docs, asked, 2, 1).select("query_id", "rank", "total_hits", "source", "external_id", "detail_path")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmill.functions.text import is_sql_blank, number_key, title_key
@@ -102,6 +102,30 @@ def group_metrics(results: DataFrame, by: list[str] | None = None) -> DataFrame:
     return aggregates.group_metrics(results, FLAGS, by or ["mode", "title_boost"])
 
 
+def history(results: DataFrame, run_id: int, first_eval_id: int, index_name: str, now: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows to append: one per evaluation with its metrics (NUMERIC(5,4)), one per target with the
+    evaluation's id. Evaluations (a mode and title weight each) are numbered in their order."""
+    asked = results.select("mode", "title_boost").distinct()
+    # A handful of evaluations: this window is over them, not over results.
+    numbered = asked.withColumn("eval_id", F.row_number().over(
+        Window.orderBy("mode", F.col("title_boost").asc_nulls_first())) + F.lit(first_eval_id - 1))
+    same = F.col("r.mode").eqNullSafe(F.col("e.mode")) & F.col("r.title_boost").eqNullSafe(F.col("e.title_boost"))
+    rows = results.alias("r").join(numbered.alias("e"), same).select(
+        F.col("eval_id").cast("bigint").alias("eval_id"), F.lit(run_id).cast("bigint").alias("run_id"), "r.mode",
+        F.col("r.title_boost").cast("decimal(5,2)").alias("title_boost"), "doc_id", *FLAGS,
+        F.col("rank").cast("int").alias("rank"), F.col("total_hits").cast("int").alias("total_hits"))
+    evals = metrics(rows, ["eval_id", "run_id", "mode", "title_boost"]).withColumns(
+        {c: F.round(c, 4).cast("decimal(5,4)") for c in ("hit_at_1", "hit_at_10", "mrr")}
+        | {"sample_size": F.col("sample_size").cast("int"), "index_name": F.lit(index_name), "created_at": now})
+    return evals, rows
+
+
+def append_history(evals: DataFrame, rows: DataFrame, root: str) -> None:
+    """Rows first: an evaluation is listed only once its targets are stored."""
+    rows.write.mode("append").parquet(f"{root}/eval_results")
+    evals.write.mode("append").parquet(f"{root}/evals")
+
+
 def misses(results: DataFrame, evaluations: list[tuple[str, float | None]]) -> DataFrame:
     """Documents absent from the top ten of at least one evaluation, one rank column each."""
     labels = [label(mode, boost) for mode, boost in evaluations]

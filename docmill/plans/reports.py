@@ -59,6 +59,19 @@ def search_page(shown: DataFrame, index: DataFrame, queries: DataFrame, number:
     return rows.join(shown, "doc_key")
 
 
+def number_page(shown: DataFrame, docs: DataFrame, queries: DataFrame, number: int, size: int) -> DataFrame:
+    """The same page of searches by decision number (``query_id, number``)."""
+    found = search.exact_number(docs, queries, ranking.page_end(number, size))
+    return ranking.page_per_group(found, number, size).join(shown, "doc_key")
+
+
+def highlighted(page: DataFrame, texts: DataFrame, queries: DataFrame, stem: bool = True) -> DataFrame:
+    """Marked titles and fragments of a page's hits; only their texts are fetched, by key."""
+    hits = written(page.select("query_id", "doc_key"), "hits")
+    bodies = texts.join(hits.select("doc_key").distinct(), "doc_key", "left_semi").select("doc_key", "title", "text")
+    return search.highlight(hits.join(bodies, "doc_key").join(queries, "query_id"), stem)
+
+
 def decision_lookup(silver: DataFrame, wanted: DataFrame) -> DataFrame:
     """Documents by exact key (nothing trimmed), with display title and text flag."""
     rows = silver.join(wanted.select("source", "external_id").distinct(),
