@@ -45,8 +45,9 @@ def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, folds: int = 0, held: int = 0, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Texts of at most `rows` labelled documents, chosen by a hash of the id; `label` is 0 or 1.
 
-    Rows whose fold is `held` are left out. A document with several labels keeps its smallest one. Ids are bounded by
-    `rows`, so they may be broadcast; the documents are not moved.
+    Rows whose fold is `held` are left out. A document with several labels keeps its smallest one, and an id with several
+    rows its smallest text, found by partial minima. Ids are bounded by `rows`, so they may be broadcast; no other document
+    is moved.
     """
     known = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull())
     if folds:
@@ -55,4 +56,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, folds: int
         known.groupBy("doc_id").agg(F.min(column).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    return docs.select("doc_id", "text", *([] if "n_chars" not in docs.columns else ["n_chars"])).join(F.broadcast(chosen), "doc_id")
+    columns = [c for c in ("text", "n_chars") if c in docs.columns]
+    found = docs.select("doc_id", *columns).join(F.broadcast(chosen), "doc_id")
+    least = found.groupBy("doc_id", "label").agg(F.min(F.struct(*columns)).alias("row"))
+    return least.select("doc_id", "label", "row.*")

@@ -28,10 +28,10 @@ from docmill.llm.subwords import Encoder, default_vocabulary
 from docmill.session import work_dir, written
 
 BLOCK = 4096
-LANES = 1536
+LANES = 1024
 END_ID = 2
 TOTAL_BITS = 16
-SLOTS2, SLOTS1, LEVELS, LENGTHS = 4096, 2048, 8, 17
+SLOTS2, SLOTS1, LEVELS, LENGTHS = 2048, 1024, 8, 17
 STEP, RATE = 32, 5
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 U16, U48 = np.uint64(16), np.uint64(48)
@@ -44,32 +44,36 @@ class Model:
     """The adaptive state of n blocks, one lane each."""
 
     def __init__(self, n: int):
-        self.id2, self.sure2 = np.zeros(n * SLOTS2, np.int32), np.zeros(n * SLOTS2, np.int32)
-        self.id1, self.sure1 = np.zeros(n * SLOTS1, np.int32), np.zeros(n * SLOTS1, np.int32)
+        # A guess and its confidence (the lower three bits) in one entry: one look into memory for both.
+        self.slots2, self.slots1 = np.zeros(n * SLOTS2, np.int32), np.zeros(n * SLOTS1, np.int32)
         start = np.array([256, *[6000 + 7000 * k for k in range(LEVELS - 1)]], np.int64)
         self.true2, self.true1 = np.tile(start, n), np.tile(start, n)
-        self.count = np.ones((n, LENGTHS), np.int64)
+        # Lengths by lanes, so that running sums go over whole rows of lanes.
+        self.count = np.ones((LENGTHS, n), np.int64)
         self.last, self.last2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        lane = np.arange(n, dtype=np.int64)
+        self.lane = lane = np.arange(n, dtype=np.int64)
         self.base2, self.base1, self.base = lane * SLOTS2, lane * SLOTS1, lane * LEVELS
-        self.row = lane * LENGTHS
-        self.flat = self.count.reshape(-1)
+        self.n, self.flat = n, self.count.reshape(-1)
 
     def predict(self, n: int) -> None:
         """Guesses of the first n lanes and the shares of the code range they get."""
         last = self.last[:n]
         self.at2 = self.base2[:n] + ((last * 40503 + self.last2[:n] * 30011) >> 4 & (SLOTS2 - 1))
         self.at1 = self.base1[:n] + (last * 40503 >> 5 & (SLOTS1 - 1))
-        self.guess2, self.guess1 = self.id2[self.at2], self.id1[self.at1]
-        self.level2, self.level1 = self.sure2[self.at2], self.sure1[self.at1]
+        held2, held1 = self.slots2.take(self.at2), self.slots1.take(self.at1)
+        self.guess2, self.guess1 = held2 >> 3, held1 >> 3
+        self.level2, self.level1 = held2 & 7, held1 & 7
         self.rate2, self.rate1 = self.base[:n] + self.level2, self.base[:n] + self.level1
         self.share2 = (self.true2[self.rate2] * 60000 >> 16) + 1
         rest = 65536 - self.share2
         self.share1 = (self.true1[self.rate1] * (rest - 64) >> 16) + 1
         self.begin = self.share2 + self.share1
         self.room = 65536 - self.begin - LENGTHS
-        self.sums = np.cumsum(self.count[:n], axis=1)
-        self.total = self.sums[:, -1]
+        self.sums = np.empty((LENGTHS, n), np.int64)
+        self.sums[0] = self.count[0, :n]
+        for k in range(1, LENGTHS):
+            np.add(self.sums[k - 1], self.count[k, :n], out=self.sums[k])
+        self.total = self.sums[-1]
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and width of each id's share, and how many lower bits follow evenly."""
@@ -77,9 +81,8 @@ class Model:
         self.hit2 = ids == self.guess2
         self.hit1 = (ids == self.guess1) & ~self.hit2
         self.length = BIT_LENGTH[ids].astype(np.int64)
-        at = self.row[:n] + self.length
-        high = self.sums.reshape(-1)[at]
-        low = high - self.flat[at]
+        high = self.sums.reshape(-1).take(self.length * n + self.lane[:n])
+        low = high - self.flat.take(self.length * self.n + self.lane[:n])
         start = self.begin + self.room * low // self.total + self.length
         width = self.begin + self.room * high // self.total + self.length + 1 - start
         start[self.hit1] = self.share2[self.hit1]
@@ -92,16 +95,20 @@ class Model:
 
     def find(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """What stands at a place of the code range: the id as far as known, and start and width of its share."""
-        inside = slot - self.begin
-        steps = np.arange(1, LENGTHS)
-        length = ((self.room[:, None] * self.sums[:, :-1]) < (inside[:, None] - steps + 1) * self.total[:, None]).sum(axis=1)
+        n, inside = len(slot), slot - self.begin
+        length = np.zeros(n, np.int64)
+        reach, begins, below = (inside + 1) * self.total, np.empty(n, np.int64), np.empty(n, bool)
+        for k in range(LENGTHS - 1):  # the share of length k + 1 begins at room * sums[k] // total + k + 1
+            reach -= self.total
+            np.multiply(self.room, self.sums[k], out=begins)
+            np.less(begins, reach, out=below)
+            length += below
         hit2, hit1 = slot < self.share2, slot < self.begin
         ids = np.where(length > 0, np.int64(1) << np.maximum(length - 1, 0), 0)
         ids = np.where(hit2, self.guess2, np.where(hit1, self.guess1, ids))
-        at = self.row[: len(slot)] + np.where(hit1, 0, length)
-        high = self.sums.reshape(-1)[at]
-        low = high - self.flat[at]
         length = np.where(hit1, 0, length)
+        high = self.sums.reshape(-1).take(length * n + self.lane[:n])
+        low = high - self.flat.take(length * self.n + self.lane[:n])
         start = self.begin + self.room * low // self.total + length
         width = self.begin + self.room * high // self.total + length + 1 - start
         start = np.where(hit2, 0, np.where(hit1, self.share2, start))
@@ -119,16 +126,18 @@ class Model:
         self.true2[self.rate2] = p + np.where(hit2, (62000 - p) >> RATE, -(p >> RATE))
         p = self.true1[self.rate1]
         self.true1[self.rate1] = p + np.where(miss2, np.where(hit1, (62000 - p) >> RATE, -(p >> RATE)), 0)
-        self.flat[self.row[:n] + BIT_LENGTH[ids]] += np.where(miss2 & ~hit1, STEP, 0)
-        weak = self.level2 <= 1
-        self.id2[self.at2] = np.where(weak, ids, self.guess2)
-        self.sure2[self.at2] = np.where(hit2, np.minimum(self.level2 + 1, LEVELS - 1), np.where(weak, 1, self.level2 >> 1))
-        weak = self.level1 <= 1
-        self.id1[self.at1] = np.where(weak, ids, self.guess1)
-        self.sure1[self.at1] = np.where(hit1, np.minimum(self.level1 + 1, LEVELS - 1), np.where(weak, 1, self.level1 >> 1))
+        self.flat[BIT_LENGTH.take(ids) * np.int64(self.n) + self.lane[:n]] += np.where(miss2 & ~hit1, STEP, 0)
+        self.slots2[self.at2] = self._entry(ids, hit2, self.guess2, self.level2)
+        self.slots1[self.at1] = self._entry(ids, hit1, self.guess1, self.level1)
         self.last2[:n] = self.last[:n]
         self.last[:n] = ids
 
+    @staticmethod
+    def _entry(ids, hit, guess, level):
+        """A right guess grows surer, a wrong one is halved, and an unsure wrong one gives way."""
+        weak = (level <= 1) & ~hit
+        return np.where(weak, ids << 3 | 1, guess << 3 | np.where(hit, np.minimum(level + 1, LEVELS - 1), level >> 1))
+
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Code words of each block of ids."""

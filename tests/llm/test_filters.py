@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from docmill.llm import decontaminate, license_scan, quality_fm, quality_rules, secrets, url_filter
+from docmill.llm.frames import labelled_sample
 from docmill.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -72,6 +73,14 @@ def test_quality_classifier_held_out(spark):
     assert np.mean([r.predicted == labels[r.doc_id] for r in held]) > 0.95
 
 
+def test_sample_is_bounded_by_ids(spark, frame):
+    docs = frame(["b", "a", None, "c"] * 50, [1, 1, 2, 3] * 50)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, None), (None, 1), (9, 1)], "doc_id long, quality int")
+    got = {r.doc_id: (r.text, r.label) for r in labelled_sample(docs, labels, "quality").collect()}
+    assert got == {1: ("a", 0), 2: (None, 1)}
+    assert labelled_sample(docs, labels, "quality", rows=1).count() <= 1
+
+
 def test_classifier_edge_cases(spark, frame):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     docs = frame([*ODD, "a"], [None, *range(len(ODD))])
