@@ -125,7 +125,7 @@ _SUITE_SQL = f"""
   vals AS (
     SELECT 'rows_missing_downstream' AS check_name, source, CAST(value AS DOUBLE) AS value FROM (
       SELECT b.source, count(CASE WHEN s.external_id IS NULL THEN 1 END) AS value FROM v_batch b
-      LEFT JOIN v_stored s ON s.source = b.source AND s.external_id = b.external_id WHERE b.source IN ('F', 'O') GROUP BY b.source) a
+      LEFT JOIN v_stored s ON s.source = b.source AND s.external_id = b.external_id GROUP BY b.source) a
     UNION ALL SELECT 'missing_decision_date', source, count(*) - count(decision_date) FROM v_decisions GROUP BY source
     UNION ALL SELECT 'missing_decision_type_pct', source, round(100.0 * (count(*) - count(decision_type)) / count(*), 2)
       FROM v_decisions GROUP BY source
@@ -169,7 +169,7 @@ def qe_suite(spark, sf):
     listed, known = listing_and_dataset(spark, sf)
     values = quality.suite_values({
         "rows_missing_downstream": quality.rows_missing_downstream(
-            table(spark, sf, "v_batch"), table(spark, sf, "v_stored"), dq.CONTENT),
+            table(spark, sf, "v_batch"), table(spark, sf, "v_stored")),
         "index_completeness": quality.index_completeness(runs, table(spark, sf, "v_index_stats")),
         "findability_by_number": quality.findability_number(evals),
         "findability_by_title": quality.findability_title(evals, results),

@@ -17,6 +17,7 @@ from docmill.functions.urls import normalize_url
 from docmill.model import SEVERITIES, STATUS_ORDER
 from docmill.operators import aggregates, filters, keys, ranking
 from docmill.plans import findability, publish, quality, reports, silver
+from docmill.session import written
 from catalog.scalars import strip_sql
 
 START, END = "2024-01-10 00:00:00", "2024-01-20 00:00:00"
@@ -69,8 +70,8 @@ BLOCKED = "severity = 'error' AND status IN ('fail', 'no_data', 'query_error')"
 
 
 def check_results(spark, sf):
-    """Judged check history with its moments."""
-    values = table(spark, sf, "v_check_values")
+    """Judged check history with its moments; the values are stored once for all uses."""
+    values = written(table(spark, sf, "v_check_values"), "check-values")
     runs = values.select("run_id", "checked_at").distinct()
     judged = quality.evaluate(
         values.select("run_id", "check_name", "source", "value"), quality.expectations(spark, CHECKS), ["run_id"],

@@ -37,12 +37,13 @@ def flag_shared(df: DataFrame, key: Column, alias: str, universe: DataFrame | No
     """Flag rows whose key is shared within the universe (the table itself by default).
 
     Counted with a partial aggregate and joined back: no window gathers a hot key in one task.
-    Keys may be long texts, so their digests travel instead.
+    Keys may be long texts, so their digests travel instead. Rows without a key are dealt out by all
+    their values (behind a mark that no digest has), however many they are.
     """
     universe, counted = (df, key) if universe is None else (universe, key if universe_key is None else universe_key)
     shared = shared_keys(universe, F.sha2(counted, 256)).select("key", F.lit(True).alias("_shared"))
     return (
-        df.withColumn("key", F.sha2(key, 256)).join(shared, "key", "left")
+        df.withColumn("key", F.coalesce(F.sha2(key, 256), F.concat(F.lit("-"), F.xxhash64(*df.columns)))).join(shared, "key", "left")
         .withColumn(alias, F.coalesce("_shared", F.lit(False)))
         .drop("key", "_shared")
     )
