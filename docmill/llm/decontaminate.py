@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmill.llm.frames import whole_row
 from docmill.llm.kernels import ALNUM, slices
 from docmill.session import work_dir
 
@@ -212,8 +213,8 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, near: i
 def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows that hold no window of any item; rows are told apart by id and text."""
     hit = search(build_index(docs), items, size).where(F.size("covered") > 0).select(F.col("doc_id").alias("hit_id"), "text_key").distinct()
-    keyed = docs.withColumn("text_key_", F.xxhash64("text"))
-    return keyed.join(hit, keyed["doc_id"].eqNullSafe(hit["hit_id"]) & (keyed["text_key_"] == hit["text_key"]), "left_anti").select(*docs.columns)
+    rows = docs.select(whole_row(docs), F.xxhash64("text").alias("own_key"))
+    return rows.join(hit, F.col("row.doc_id").eqNullSafe(F.col("hit_id")) & (F.col("own_key") == F.col("text_key")), "left_anti").select("row.*")
 
 
 #: DuckDB: every window of every document joined with every window of every item.

@@ -30,6 +30,11 @@ def with_fields(df: DataFrame, added: dict[str, str]) -> T.StructType:
     return fields
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct `row`: whatever their names, they meet no other column."""
+    return F.struct(*(df[c] for c in df.columns)).alias("row")
+
+
 @contextmanager
 def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of so few rows for the jobs run inside; for tables whose rows are megabytes."""

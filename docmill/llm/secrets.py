@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docmill.llm.frames import whole_row
 from docmill.session import work_dir
 
 
@@ -88,11 +89,11 @@ def candidates(postings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFram
 
 
 def rule_spans(rule: Rule, order: int) -> Column:
-    """A rule's spans in `text` as structs (start, rule, kind, end).
+    """A rule's spans in `row.text` as structs (start, rule, kind, end).
 
     What stands between matches and the matches themselves alternate, so positions are sums of their lengths.
     """
-    text = F.coalesce("text", F.lit(""))
+    text = F.coalesce("row.text", F.lit(""))
     pattern = F.lit(rule.pattern)
     gaps = F.transform(F.split(text, rule.pattern, -1), F.length)
     whole = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
@@ -115,13 +116,17 @@ def rule_spans(rule: Rule, order: int) -> Column:
     return F.when(wanted, found["spans"]).otherwise(none)
 
 
+def _found(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(row, secret_spans): every row as a struct and its spans."""
+    candidate = candidates(build_index(docs, rules), rules)
+    joined = docs.select(whole_row(docs)).join(candidate, F.col("row.doc_id").eqNullSafe(F.col("candidate_id")), "left")
+    spans = F.array_sort(F.concat(*(rule_spans(r, i) for i, r in enumerate(rules))))
+    return joined.select("row", spans.alias("secret_spans"))
+
+
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows with `secret_spans` added: structs (start, rule, kind, end) by start, then rule."""
-    docs = docs.drop("secret_spans", "candidate_id", "candidate_kinds")
-    found = candidates(build_index(docs, rules), rules)
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["candidate_id"]), "left")
-    spans = F.array_sort(F.concat(*(rule_spans(r, i) for i, r in enumerate(rules))))
-    return joined.withColumn("secret_spans", spans).drop("candidate_id", "candidate_kinds")
+    return _found(docs.drop("secret_spans"), rules).select("row.*", "secret_spans")
 
 
 def digest(spans: Column) -> Column:
@@ -139,7 +144,7 @@ def secrets(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The documents with every span (overlapping ones as one) replaced by [secret]; n_chars follows the text."""
-    text = F.coalesce("text", F.lit(""))
+    text = F.coalesce("row.text", F.lit(""))
     merged = F.aggregate(
         "secret_spans",
         F.struct(F.lit(1).alias("at"), F.lit("").cast("string").alias("out")),
@@ -149,12 +154,12 @@ def redacted(docs: DataFrame) -> DataFrame:
         ),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"], F.length(text) - acc["at"] + 1)),
     )
-    # A column of its own first: next to a new `text`, the lambdas would read that one.
-    found = scan(docs).withColumn("redacted_", F.when(F.size("secret_spans") > 0, merged))
-    changed = {"text": F.coalesce("redacted_", "text")}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.coalesce(F.length("redacted_").cast("long"), "n_chars")
-    return found.withColumns(changed).select(*docs.columns)
+    found = _found(docs).select("row", F.when(F.size("secret_spans") > 0, merged).alias("redacted"))
+    own = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    own["text"] = F.coalesce("redacted", own["text"])
+    if "n_chars" in own:
+        own["n_chars"] = F.coalesce(F.length("redacted").cast("long"), own["n_chars"])
+    return found.select(*(v.alias(c) for c, v in own.items()))
 
 
 def sql() -> str:

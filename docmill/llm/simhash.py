@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.components import components, stars
-from docmill.llm.frames import with_fields
+from docmill.llm.frames import whole_row, with_fields
 from docmill.session import written
 
 SHINGLE = 3
@@ -189,6 +189,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     classes = fingerprint_classes(prints).select("bits", "root", "component_id")
     heads = prints.join(classes, "bits").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = heads.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("head")).select(F.col("head.doc_id").alias("keep_id"), F.col("head.text_key").alias("keep_key"))
-    marked = docs.withColumn("text_key_", F.xxhash64("text"))
-    kept = marked.join(chosen, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_key_") == F.col("keep_key")))
-    return kept.dropDuplicates(["keep_id", "keep_key"]).select(*docs.columns)
+    rows = docs.select(whole_row(docs), F.xxhash64("text").alias("text_key"))
+    kept = rows.join(chosen, F.col("row.doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_key") == F.col("keep_key")))
+    return kept.dropDuplicates(["keep_id", "keep_key"]).select("row.*")

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docmill.llm.frames import whole_row
+
 TOKEN = r"[^0-9a-z]+"
 
 
@@ -110,8 +112,8 @@ def judge(pages: DataFrame, host_rules: tuple[Rule, ...] = HOST_RULES, patterns:
     method = _winner(fetched(urls, rule_frame(spark, patterns)), "method")
     found = listed.join(method, "url", "full")
     rest = pages.drop("host", "path", "rule", "method_rule", "verdict")
-    return rest.join(found, "url", "left").select(
-        *[rest[c] for c in rest.columns], host.alias("host"), path.alias("path"), F.col("list_rule").alias("rule"),
+    return rest.select(whole_row(rest), "url").join(found, "url", "left").select(
+        "row.*", host.alias("host"), path.alias("path"), F.col("list_rule").alias("rule"),
         F.col("method_rule"), F.coalesce("list_verdict", "method_verdict", F.lit(default)).alias("verdict"),
     )
 

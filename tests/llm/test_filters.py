@@ -152,6 +152,7 @@ def test_secrets_digest_and_redaction(spark, frame):
         assert got[i].spans == joined(spans)
         assert got[i].base_sha256 == hashlib.sha256(joined([s for s in spans if s[1] < 3]).encode()).hexdigest()
     for r in secrets.redacted(frame(SECRETS)).collect():
+        assert r.secret_spans == "z" and r.candidate_id == "own" and r.redacted == "own"
         text, at, out = SECRETS[r.doc_id], 0, ""
         for a, _, _, b in plain_spans(SECRETS[r.doc_id]):
             if a >= at:
@@ -173,7 +174,7 @@ def test_urls_against_every_rule(spark):
         "https://a.b.net/fr/", "https://a.net/frx", "http://a.org/?utm_source=1", "http://a.org/x?ref=x", "http://a.org/x?ref=xy", "http://1.2.3.4/x", "http://www.example.com/en/", "http://a.com",
         "http://a.org/?utm_source=1",
     ]
-    pages = spark.createDataFrame([(i, u, "p") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    pages = spark.createDataFrame([(i, u, "p", "r") for i, u in enumerate(urls)], "page_id long, url string, host string, list_rule string")
     got = {r.page_id: r for r in url_filter.judge(pages).collect()}
     assert len(got) == len(urls)
     for i, url in enumerate(urls):
@@ -218,4 +219,5 @@ def test_decontamination_edge_cases_and_proximity(spark, frame):
             assert r.items_sha256 == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
             assert r.n_near_items == len(close)
     kept = decontaminate.clean(frame([*texts, texts[-2]], [*range(len(texts)), 0]), bench).collect()
+    assert all(r.hit_id == "own" and r.row == "own" for r in kept)
     assert sorted(r.doc_id for r in kept) == sorted(d for d in got if not got[d].contaminated)
