@@ -8,11 +8,12 @@ from catalog.projections import DISPLAY
 from catalog.registry import query, sql_text
 from catalog.relational import FILTER_SQL, FILTERS
 from catalog.scalars import fold_sql
-from catalog.views import source_table, table
+from catalog.views import now, source_table, table
 from docmill.functions import french
 from docmill.functions.text import has_text
 from docmill.operators.layout import deal_out, explode_once
-from docmill.plans import reports, search
+from docmill.plans import publish, published, reports, search
+from docmill.session import work_dir
 
 _STOP = "[" + ", ".join(sql_text(w) for w in sorted(set(french.STOP_WORDS))) + "]"
 _TOKEN = sql_text(french.TOKEN)
@@ -256,3 +257,30 @@ def rd_number_page(spark, sf):
     asked = docs.select(F.col("doc_id").alias("query_id"), F.upper("decision_number").alias("number"))
     shown = reports.search_documents(docs.withColumn("has_text", has_text(F.col("text"))))
     return reports.number_page(shown, docs, asked, 2, 1).select("query_id", "rank", "total_hits", "source", "external_id", "detail_path")
+
+
+def published_index(spark, sf):
+    """Path of an index built from the documents, gated and published."""
+    docs, root = corpus(spark, sf), work_dir(spark, "index")
+    counted = docs.groupBy("source").agg(F.count("*").alias("n"))
+    published.rebuild_index(
+        docs, counted, counted.limit(0), root, "decisions", "decisions_20240131_000000", now(), stem=False, tasks=cores(spark))
+    return publish.current_path(spark, f"{root}/versions", "decisions")
+
+
+@query("tx_published_search", f"""
+WITH {BENCH_SQL}, {scores_sql()}, {BEST_SQL} SELECT query_id, doc_key, score, rank, total_hits FROM top WHERE rank <= 10
+""")
+def tx_published_search(spark, sf):
+    """All queries at once on the published index."""
+    return published.search_index(spark, published_index(spark, sf), bench_queries(spark, sf), stem=False)
+
+
+@query("tx_published_filtered", f"""
+WITH ask AS (SELECT item_id AS query_id, regexp_extract(text, '[^ ]+') AS query FROM benchmark), {scores_sql(_FILTERED)}, {BEST_SQL}
+SELECT query_id, doc_key, score, rank, total_hits FROM top WHERE rank <= 10
+""")
+def tx_published_filtered(spark, sf):
+    """The first word of every query, filtered, on the published index."""
+    asked = bench_queries(spark, sf).withColumn("query", F.regexp_extract("query", "[^ ]+", 0))
+    return published.search_index(spark, published_index(spark, sf), asked, filters=FILTERS, stem=False)

@@ -118,8 +118,12 @@ def score_queries(index: DataFrame, queries: DataFrame, filters: SearchFilters |
     """
     terms = weighted_terms(index, queries, stem)
     scanned = index if filters is None else index.filter(filters.condition())
+    return sum_scores(postings(scanned).join(terms, ["field", "term"]))
+
+
+def sum_scores(matched: DataFrame) -> DataFrame:
+    """Field scores per (query, document) of weighted postings."""
     score = F.col("weight") * saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"))
-    matched = postings(scanned).join(terms, ["field", "term"])
     return matched.groupBy("query_id", "doc_key").agg(*[
         F.sum(F.when(F.col("field") == name, score)).alias(name) for name in FIELDS
     ])

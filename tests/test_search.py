@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from docmill.functions import french
 from docmill.operators import ranking
-from docmill.plans import findability, reports, search
+from docmill.plans import findability, published, reports, search
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = [
@@ -186,3 +186,23 @@ def test_a_page_reads_no_text(spark):
     plan = entry.queries()["rd_search_page"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert scans and not any(re.search(r"[\[,]text#", line) for line in scans)
+
+
+def test_published_search_reads_its_terms_only(spark, tmp_path):
+    docs = spark.createDataFrame([(f"s|{i}", "s", f"titre {w}", f"texte {w} gaz", None, None, None) for i, w in enumerate(("alpha", "beta", "gamma", "delta"))],
+                                 "doc_key string, source string, title string, text string, decision_type string, decision_date date, sectors array<string>")
+    published.write_index(docs, str(tmp_path / "v"))
+    asked = spark.createDataFrame([(1, "beta"), (2, "gaz gamma"), (3, "absent")], "query_id int, query string")
+    columns = ["query_id", "doc_key", "score", "rank", "total_hits"]
+    got = sorted(map(tuple, published.search_index(spark, str(tmp_path / "v"), asked).select(*columns).collect()))
+    assert got == sorted(map(tuple, search.search(search.build_index(docs), asked).select(*columns).collect()))
+    wanted = search.query_terms(asked.limit(1))
+    plan = published.matches(spark, str(tmp_path / "v"), wanted)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*term", plan)
+
+
+def test_refused_index_is_deleted(spark, tmp_path):
+    docs = spark.createDataFrame([("s|1", "s", "t", "x", None, None, None)], "doc_key string, source string, title string, text string, decision_type string, decision_date date, sectors array<string>")
+    counts = spark.createDataFrame([("s", 2)], "source string, n bigint")
+    row = published.rebuild_index(docs, counts, counts.limit(0), str(tmp_path), "d", "d_20260101_000000", F.current_timestamp()).first()
+    assert not row.published and not (tmp_path / "d_20260101_000000").exists()
