@@ -20,7 +20,7 @@ LOG = (
     "source STRING, external_id STRING, payload STRING, payload_hash STRING, run_id BIGINT, "
     "status STRING"
 )
-BUCKETS, COMPACT = 64, 16
+BUCKETS, COMPACT = 16, 16
 
 
 def read_pages(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 1000) -> DataFrame:
