@@ -205,6 +205,16 @@ def test_chances_sum_to_one_and_look_back_only():
     assert np.allclose(h.reshape(shape)[:, :-1], again.reshape(shape)[:, :-1], atol=1e-5)
 
 
+def test_scorer_is_the_model():
+    weights = lm_score._split(lm_score.first_weights(np.full(lm_score.CLASSES, -np.log(lm_score.CLASSES))).astype(np.float32))
+    seen = np.random.default_rng(8).integers(0, lm_score.CLASSES + 1, (5, lm_score.SPAN))
+    for scale in (1, 60):  # the second leaves single precision's range
+        w = {k: v * np.float32(scale) for k, v in weights.items()}
+        odds, _, total = lm_score.chances(w, lm_score.attend(w, seen)[0])
+        got, sums = lm_score.Scorer(w)(seen)
+        assert np.allclose(got - np.log(sums)[:, None], odds - np.log(total)[:, None], rtol=1e-3, atol=1e-3)
+
+
 def test_gradient_is_the_slope():
     rng = np.random.default_rng(6)
     flat = lm_score.first_weights(np.full(lm_score.CLASSES, -np.log(lm_score.CLASSES)))
