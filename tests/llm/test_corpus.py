@@ -191,6 +191,22 @@ def test_scores_of_odd_texts(spark, frame):
     assert lm_score.scores(frame([])).count() == 0
 
 
+def test_every_window_is_trained_on(spark):
+    """Whatever a text's number in its block, and however few windows it has, a round's gradient sees each of its windows."""
+    vocabulary = default_vocabulary()
+    for n in range(1, 4):  # the last text alone is for training
+        rows = [(i, i < n, "one text of a single window") for i in range(n + 1)]
+        blocks = lm_score.build_blocks(spark.createDataFrame(rows, "doc_id long, held boolean, text string").coalesce(1), vocabulary)
+        of, _, log_shares = lm_score.classes(lm_score.subword_counts(blocks, Encoder.of(vocabulary).size))
+        assert not np.allclose(lm_score.train(blocks, of, log_shares), lm_score.first_weights(log_shares))
+    lens = np.array([1, 30, 100, 700])
+    first = np.concatenate([[0], np.cumsum(lens)])
+    words = {"first": first.tobytes(), "tokens": bytes(4 * int(first[-1])), "sub_lens": np.uint32(1).tobytes(), "sub_ids": np.uint32(0).tobytes()}
+    streams = lm_score.Streams(words, np.zeros(2, np.int64))
+    seen = np.concatenate([streams.windows(lm_score.ROUNDS, r)[1] for r in range(lm_score.ROUNDS)])
+    assert sorted(seen.tolist()) == sorted(streams.windows()[1].tolist())
+
+
 def test_chances_sum_to_one_and_look_back_only():
     """Each id's class chances sum to one, and a later id changes nothing before it."""
     weights = lm_score._split(lm_score.first_weights(np.full(lm_score.CLASSES, -np.log(lm_score.CLASSES))).astype(np.float32))
