@@ -9,7 +9,8 @@ what a task is given never grows with the benchmark. In an index block a window
 the others the rarest term's postings, moved back by its offset, are the candidate places, and the next rarer terms' postings
 are intersected with them. Places left after all terms are exact phrase matches. Proximity: an item is near a document if all
 terms of one of its windows stand in some stretch of `near` words there, in any order; only stretches around the rarest term's
-postings are looked at. Without `near` only exact matches are sought.
+postings are looked at. Proximity is asked for with `NEAR`, which leaves room for two more words in a window; exact columns are
+the same with and without it. Where `near` is None only exact matches are sought.
 
 Defined cases: null or empty texts have no words and are clean; an item without words has no window; items with a null id hit
 words but are not listed; equal items hit alike; repeated documents are judged one by one; an empty benchmark leaves all clean.
@@ -29,6 +30,7 @@ from docmill.llm.kernels import ALNUM, slices
 from docmill.session import work_dir
 
 WINDOW = 10
+NEAR = WINDOW + 2
 BLOCK_BYTES = 1 << 21
 QUERY_WINDOWS = 100_000
 INDEX = "block long, doc_ids array<long>, text_keys array<long>, first binary, terms binary, starts binary, postings binary"
@@ -200,19 +202,19 @@ def _hit_words(covered):
     return F.size(F.array_distinct(F.flatten(F.transform(steps, lambda i: F.sequence(F.get(covered, i), F.get(covered, i + 1) - 1))))).cast("long")
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, near: int | None = None) -> DataFrame:
-    """Per document: words, words hit, items with occurring windows and their digest, items near it, and the verdict."""
+def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, near: int | None = NEAR) -> DataFrame:
+    """Per document: words, words hit, items with occurring windows and their digest, the verdict, and the items near it."""
     found = search(build_index(docs), items, size, near)
     return found.select(
         "doc_id", "n_words", _hit_words(F.col("covered")).alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (F.size("covered") > 0).alias("contaminated"),
-        F.size("near_items").cast("long").alias("n_near_items"),
+        F.size("near_items").cast("long").alias("n_near_items"), F.array_sort("near_items").alias("near_items"),
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The rows that hold no window of any item; rows are told apart by id and text."""
-    hit = search(build_index(docs), items, size).where(F.size("covered") > 0).select(F.col("doc_id").alias("hit_id"), "text_key").distinct()
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW, near: int | None = None) -> DataFrame:
+    """The rows that hold no window of any item and, with `near`, are near none; rows are told apart by id and text."""
+    hit = search(build_index(docs), items, size, near).where((F.size("covered") > 0) | (F.size("near_items") > 0)).select(F.col("doc_id").alias("hit_id"), "text_key").distinct()
     rows = docs.select(whole_row(docs), F.xxhash64("text").alias("own_key"))
     return rows.join(hit, F.col("row.doc_id").eqNullSafe(F.col("hit_id")) & (F.col("own_key") == F.col("text_key")), "left_anti").select("row.*")
 

@@ -221,3 +221,23 @@ def test_decontamination_edge_cases_and_proximity(spark, frame):
     kept = decontaminate.clean(frame([*texts, texts[-2]], [*range(len(texts)), 0]), bench).collect()
     assert all(r.hit_id == "own" and r.row == "own" for r in kept)
     assert sorted(r.doc_id for r in kept) == sorted(d for d in got if not got[d].contaminated)
+
+
+def test_altered_passages_are_found_by_proximity(spark, frame, tmp_path):
+    """A word more in each window, or neighbours swapped: no exact match, one near item."""
+    words = [f"w{i}" for i in range(30)]
+    more = [x for i, w in enumerate(words) for x in ([w, "more"] if i % 5 == 4 else [w])]
+    swapped = [words[i ^ 1] for i in range(30)]
+    texts = [" ".join(words), "a b " + " ".join(more), " ".join(swapped), "a b " + " far far far far ".join(words), None, "w1 w2 w3"]
+    items = spark.createDataFrame([(7, texts[0]), (8, "nothing of the kind in here"), (None, texts[0])], "item_id long, text string")
+    docs = frame(texts)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    near = {r.doc_id: r for r in QUERIES["op10_benchmark_proximity"](spark, str(tmp_path)).collect()}
+    exact = QUERIES["op10_benchmark_decontamination"](spark, str(tmp_path))
+    assert [near[i].near_items for i in range(6)] == [["7"], ["7"], ["7"], [], [], []]
+    assert [near[i].n_near_items for i in range(6)] == [1, 1, 1, 0, 0, 0]
+    assert [near[i].contaminated for i in range(6)] == [True, *[False] * 5]
+    assert all(near[r.doc_id][c] == r[c] for r in exact.collect() for c in exact.columns)
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items, near=decontaminate.NEAR).collect()) == [3, 4, 5]
