@@ -1,12 +1,14 @@
 """License scan: exact set-similarity join of text blocks with license templates, by prefix, length and position.
 
-A block is a paragraph's line: text between line feeds with at least one word (letters, digits, everything beyond ASCII; A-Z
-lower-cased). A block meets a template of n distinct words if it holds at least ceil(`CONTAINMENT` * n) of them.
+A block is a run of words inside one paragraph (text between blank lines, whatever its line feeds; words are letters, digits,
+everything beyond ASCII; A-Z lower-cased). For a template of m words blocks have `SPREAD` * m words, one beginning at each word,
+so they overlap, a notice may be wrapped and interspersed, and words scattered over a long text are no notice. A block meets a
+template of n distinct words if it holds at least ceil(`CONTAINMENT` * n) of them; the best block tells the score.
 
 All templates' words are put in one global order, rarest first, by how often they stand in all documents. A block that meets a
-template must hold one of the first n - ceil(t n) + 1 of its words (its prefix), so only those index the templates. A block
-with fewer distinct template words than needed is out by length; a hit at prefix position i leaves at most n - i further
-words, which bounds what the pair can reach and is out by position if that is too few. What is left is counted in full.
+template must hold one of the first n - ceil(t n) + 1 of its words (its prefix), so slices and blocks without any are out. A
+block with fewer template words than needed is out by length. What is left is counted in full. Blocks that begin between two of
+the template's words hold no more than the one that begins at the next, so only those that begin at one are looked at.
 The template list is a parameter of bounded size; the documents are only scanned.
 
 Base phrases label a document wherever their words stand one after another, also across lines. Defined cases: null or empty
@@ -26,9 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.frames import with_fields
-from docmill.llm.kernels import ALNUM, Slice, slices, word_hash
+from docmill.llm.kernels import ALNUM, SPACE, Slice, slices, word_hash
 
 CONTAINMENT = 0.8
+#: Words of a block for each word of the template.
+SPREAD = 2
 #: Phrases and their labels, as fixed values.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Short public license notices.
@@ -47,13 +51,15 @@ MAX_TEMPLATE_BYTES = 1 << 20
 
 @dataclass
 class Templates:
-    """Words of all templates in the global order (rank: by their hash), and each template's words by rank, rarest first."""
+    """Words of all templates in the global order (rank: by their hash), each template's words by rank, rarest first, and the
+    words of its blocks."""
 
     labels: list[str]
     hashes: np.ndarray
     ranks: np.ndarray
     words: list[np.ndarray]
     need: np.ndarray
+    window: list[int]
 
 
 def _plain_words(text: str) -> list[bytes]:
@@ -101,51 +107,57 @@ def ordered(templates: dict[str, str], words: np.ndarray, count: np.ndarray, con
     """Templates with their words in the global order, rarest first (ties by hash)."""
     ranks = np.empty(len(words), np.int64)
     ranks[np.lexsort((words, count))] = np.arange(len(words))
-    sets, labels = [], []
+    sets, labels, window = [], [], []
     for label, text in templates.items():
-        own = np.array([word_hash(w) for w in set(_plain_words(text))], np.uint64)
+        every = _plain_words(text)
+        own = np.array([word_hash(w) for w in set(every)], np.uint64)
         if len(own):
             labels.append(label)
+            window.append(SPREAD * len(every))
             sets.append(np.sort(ranks[np.searchsorted(words, own)]))
-    return Templates(labels, words, ranks, sets, np.array([ceil(containment * len(s) - 1e-9) for s in sets], np.int64))
+    return Templates(labels, words, ranks, sets, np.array([ceil(containment * len(s) - 1e-9) for s in sets], np.int64), window)
 
 
-def join(t: Templates, block: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(block, template, share) of all pairs that meet the bound; block and rank list each block's distinct template words."""
+def join(t: Templates, place: np.ndarray, zone: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, template, share) of all blocks that meet the bound, by their first word; place, zone and rank list the template
+    words in order: where they stand, in which paragraph (ascending), and which they are."""
     none = np.zeros(0, np.int64)
-    if not len(block) or not t.labels:
-        return none, none, np.zeros(0)
-    size = np.bincount(block)
-    prefix: dict[int, list[tuple[int, int]]] = {}
+    whos, whiches, shares = [none], [none], [np.zeros(0)]
     for i, s in enumerate(t.words):
-        for at, r in enumerate(s[: len(s) - t.need[i] + 1]):
-            prefix.setdefault(int(r), []).append((i, at))
-    rows = [(r, i, at) for r, hits in prefix.items() for i, at in hits]
-    rows.sort()
-    table = np.array(rows, np.int64).reshape(-1, 3)
-    low, high = np.searchsorted(table[:, 0], rank), np.searchsorted(table[:, 0], rank, side="right")
-    n = high - low
-    if not n.sum():
-        return none, none, np.zeros(0)
-    who = np.repeat(block, n)
-    hit = table[np.repeat(low - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())]
-    which, at = hit[:, 1], hit[:, 2]
-    sizes = np.array([len(s) for s in t.words], np.int64)
-    stay = (size[who] >= t.need[which]) & (at + np.minimum(sizes[which] - at, size[who]) >= t.need[which]) & (sizes[which] - at >= t.need[which])
-    pair = np.unique(who[stay] * len(t.labels) + which[stay])
-    who, which = pair // len(t.labels), pair % len(t.labels)
-    member = np.zeros((len(t.labels), len(t.hashes)), bool)
-    for i, s in enumerate(t.words):
-        member[i, s] = True
-    begin = np.searchsorted(block, np.arange(len(size) + 1))
-    share = np.array([member[i, rank[begin[b] : begin[b + 1]]].sum() for b, i in zip(who, which, strict=True)], np.int64)
-    good = share >= t.need[which]
-    return who[good], which[good], share[good] / sizes[which[good]]
-
-
-def _lines(part: Slice) -> np.ndarray:
-    """Line number of each word, counted over the whole slice."""
-    return np.searchsorted(np.flatnonzero(part.data == 10), part.start)
+        need, member, prefix = t.need[i], np.zeros(len(t.hashes), bool), np.zeros(len(t.hashes), bool)
+        member[s], prefix[s[: len(s) - need + 1]] = True, True
+        if not prefix[rank].any():
+            continue
+        word = np.flatnonzero(member[rank])
+        own = rank[word]
+        key = place[word] + zone[word] * t.window[i]  # no block reaches into the next paragraph
+        end = np.searchsorted(key, key + t.window[i])
+        hits = np.r_[0, np.cumsum(prefix[own])]
+        begin = np.arange(len(word))
+        live = np.flatnonzero((end - begin >= need) & (hits[end] > hits[:-1]))
+        if not len(live):
+            continue
+        order = np.argsort(own, kind="stable")
+        before = np.full(len(own), -1, np.int64)  # the same word's last place
+        same = own[order[1:]] == own[order[:-1]]
+        before[order[1:][same]] = order[:-1][same]
+        got = np.zeros(len(live), np.int64)
+        for d in range(int((end[live] - live).max())):
+            inside = np.flatnonzero(live + d < end[live])
+            got[inside] += before[live[inside] + d] < live[inside]
+        good = got >= need
+        whos.append(word[live[good]])
+        whiches.append(np.full(int(good.sum()), i))
+        shares.append(got[good] / len(s))
+    return np.concatenate(whos), np.concatenate(whiches), np.concatenate(shares)
+
+
+def _zones(part: Slice) -> np.ndarray:
+    """Number of each word's paragraph, ascending over the whole slice."""
+    feeds = np.flatnonzero(part.data == 10)
+    full = np.r_[0, np.cumsum(~SPACE[part.data])]
+    blank = feeds[1:][full[feeds[1:]] == full[feeds[:-1]]]
+    return np.searchsorted(blank, part.start) + part.doc
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
@@ -179,17 +191,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict
                         last[d] = w if last[d] is None else max(last[d], w)
                 found = _known(words, part.hash)
                 held = np.flatnonzero(found < len(words))
-                line = _lines(part)[held]
-                width = max(len(words), 1)
-                pair = np.unique(line * width + known.ranks[found[held]]) if len(held) else held
-                lines, block = np.unique(pair // width, return_inverse=True)
-                who, which, share = join(known, block, pair % width)
-                doc_of = part.doc[held[np.searchsorted(line, lines)]] if len(lines) else lines
+                who, which, share = join(known, held, _zones(part)[held], known.ranks[found[held]])
                 labels, score = [set(x) for x in base], np.zeros(n)
                 score[places > 0] = 1.0
-                for b, i, s in zip(who.tolist(), which.tolist(), share.tolist(), strict=True):
-                    labels[doc_of[b]].add(known.labels[i])
-                    score[doc_of[b]] = max(score[doc_of[b]], s)
+                for b, i, s in zip(part.doc[held[who]].tolist(), which.tolist(), share.tolist(), strict=True):
+                    labels[b].add(known.labels[i])
+                    score[b] = max(score[b], s)
                 rows = batch.slice(part.lo, part.hi - part.lo)
                 yield pa.RecordBatch.from_arrays([
                     *rows.columns, pa.array(part.n_words.astype(np.int64)), pa.array(places), pa.array(first, pa.int64()), pa.array(last, pa.int64()),
@@ -200,7 +207,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict
 
 
 def sql() -> str:
-    """The same for DuckDB: every line against every template."""
+    """DuckDB: every line against every template; equal where each notice stands on a line and no long line holds its words apart."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     split = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     templates = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in TEMPLATES.items())

@@ -120,6 +120,33 @@ def test_licenses_match_every_line_with_every_template(spark, frame):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == plain_licenses(text)
 
 
+def test_licenses_in_wrapped_and_in_long_texts(spark, frame):
+    """Notices wrapped over lines are met, words of a template far apart or in two paragraphs are not; blocks as by brute force."""
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    mpl = "/* This Source Code Form is subject to the terms of the Mozilla Public\r\n * License, v. 2.0. If a copy */"
+    far = "it was released " + "by hand " * 40 + "under a tree " + "of the forest " * 40 + "without a license " * 3
+    rng = np.random.default_rng(5)
+    own = [w for t in license_scan.TEMPLATES.values() for w in t.split()]
+    mixed = ["".join(f"{rng.choice(own)}{rng.choice([' ', ' ', ' x ', chr(10), chr(10) * 2])}" for _ in range(300)) for _ in range(20)]
+    cut = ["".join(f"{w}{rng.choice([' ', chr(10), ' x '])}" for w in t.split()[rng.integers(0, 3) :]) for t in license_scan.TEMPLATES.values() for _ in range(4)]
+    texts = [bsd, mpl, far, "Released under\n \nthe MIT License", "Released under\nthe MIT License", *mixed, *cut]
+    got = {r.doc_id: r for r in license_scan.scan(frame(texts)).collect()}
+    assert [got[i].labels for i in range(5)] == ["bsd", "mpl-2.0", "", "", "mit"] and got[2].score == 0
+    for i, text in enumerate(texts):
+        base = plain_licenses(text)
+        labels, score = set(base[4].split(",")) - {""}, float(base[1] > 0)
+        for paragraph in re.split(r"\n[ \t\r\v\f]*(?=\n)", text):
+            words = WORD.findall(paragraph.translate(LOWER))
+            for name, template in license_scan.TEMPLATES.items():
+                every = WORD.findall(template.translate(LOWER))
+                need, size = set(every), license_scan.SPREAD * len(every)
+                best = max(len(need & set(words[k : k + size])) for k in range(max(len(words), 1)))
+                if best >= license_scan.CONTAINMENT * len(need) - 1e-9:
+                    labels.add(name)
+                    score = max(score, best / len(need))
+        assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), pytest.approx(score)), text
+
+
 def plain_spans(text):
     out = []
     for order, rule in enumerate(secrets.RULES):
