@@ -1,8 +1,8 @@
 """URL filter: pattern rules indexed by their rarest literal token; a URL's tokens fetch the rules worth running.
 
 DataFrame functions only. The token counts over all URLs decide which of its literal tokens indexes a rule; rules without a
-literal token are run on every URL. A rule is a regular expression over `host path` (one blank between; the path with its
-query and fragment cut off) or over the whole URL, so that only fetched rules run. Longest rule text wins; of equally long
+literal token are run on every URL. A rule is a regular expression over `host/path` (a slash between, as no host holds one; the
+path with its query and fragment cut off) or over the whole URL, so that only fetched rules run. Longest rule text wins; of equally long
 ones a blocking rule, then the greater text.
 
 Verdicts depend on the URL alone: each distinct URL is judged once and joined back, so a URL that fills a third of the table
@@ -43,7 +43,7 @@ def _quoted(text: str) -> str:
 def host_rule(verdict: str, host: str, path: str) -> Rule:
     """A host with all its subdomains and the start of a path. Only path tokens closed on both sides are certain to be there."""
     pieces = path.lower().split("/")[:-1]
-    return Rule(host + path, verdict, rf"^(?:[^ ]*\.)?{_quoted(host)} {_quoted(path)}", tuple(t for t in (*host.split("."), *pieces) if t.isascii() and t.isalnum()))
+    return Rule(host + path, verdict, rf"^(?:[^/]*\.)?{_quoted(host)}/{_quoted(path)}", tuple(t for t in (*host.split("."), *pieces) if t.isascii() and t.isalnum()))
 
 
 #: The rules of the list, as fixed values.
@@ -81,7 +81,7 @@ def rule_frame(spark, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def _fits(rule: Column | None = None) -> Column:
-    return F.expr("CASE WHEN whole THEN rlike(url, pattern) ELSE rlike(concat(host, ' ', path), pattern) END")
+    return F.expr("CASE WHEN whole THEN rlike(url, pattern) ELSE rlike(concat(host, '/', path), pattern) END")
 
 
 def _winner(hits: DataFrame, prefix: str) -> DataFrame:

@@ -216,6 +216,12 @@ def test_urls_against_every_rule(spark):
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule.text if rule else None, verdict), url
 
 
+def test_hosts_with_blanks_fit_host_rules(spark):
+    urls = {"http://my site.example.com/en/x": "example.com/en/", "http://a b.com/": "com/", "http://a .net/fr/": "net/fr/", "http://my siteexample.org/com/": None, "http://a.org /example.com/en/": None}
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r.url: r.rule for r in url_filter.judge(pages).collect()} == urls
+
+
 def windows_of(words, size):
     return [words[i : i + size] for i in range(max(len(words) - size + 1, min(len(words), 1)))]
 
