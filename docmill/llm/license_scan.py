@@ -7,7 +7,9 @@ template of n distinct words if it holds at least ceil(`CONTAINMENT` * n) of the
 
 All templates' words are put in one global order, rarest first, by how often they stand in all documents. A block that meets a
 template must hold one of the first n - ceil(t n) + 1 of its words (its prefix), so slices and blocks without any are out. A
-block with fewer template words than needed is out by length. What is left is counted in full. Blocks that begin between two of
+block with fewer template words than needed is out by length. Let a block's first common word in the global order stand at i of
+the template's n: it can reach 1 + min(n - i - 1, its template words after that one), and is out by position if that is too few.
+What is left is counted in full. Blocks that begin between two of
 the template's words hold no more than the one that begins at the next, so only those that begin at one are looked at.
 The template list is a parameter of bounded size; the documents are only scanned.
 
@@ -118,6 +120,18 @@ def ordered(templates: dict[str, str], words: np.ndarray, count: np.ndarray, con
     return Templates(labels, words, ranks, sets, np.array([ceil(containment * len(s) - 1e-9) for s in sets], np.int64), window)
 
 
+def bound(position: np.ndarray, begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Most distinct words of a template of n that the blocks [begin, end) can hold by the words after their first common one;
+    position: of each word in the template's order."""
+    first, after = np.full(len(begin), n), np.zeros(len(begin), np.int64)
+    steps = [np.flatnonzero(begin + d < end) for d in range(int((end - begin).max(initial=0)))]
+    for d, inside in enumerate(steps):
+        first[inside] = np.minimum(first[inside], position[begin[inside] + d])
+    for d, inside in enumerate(steps):
+        after[inside] += position[begin[inside] + d] > first[inside]
+    return 1 + np.minimum(n - first - 1, after)
+
+
 def join(t: Templates, place: np.ndarray, zone: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, template, share) of all blocks that meet the bound, by their first word; place, zone and rank list the template
     words in order: where they stand, in which paragraph (ascending), and which they are."""
@@ -135,6 +149,7 @@ def join(t: Templates, place: np.ndarray, zone: np.ndarray, rank: np.ndarray) ->
         hits = np.r_[0, np.cumsum(prefix[own])]
         begin = np.arange(len(word))
         live = np.flatnonzero((end - begin >= need) & (hits[end] > hits[:-1]))
+        live = live[bound(np.searchsorted(s, own), live, end[live], len(s)) >= need]
         if not len(live):
             continue
         order = np.argsort(own, kind="stable")

@@ -147,6 +147,17 @@ def test_licenses_in_wrapped_and_in_long_texts(spark, frame):
         assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), pytest.approx(score)), text
 
 
+def test_positional_filter_removes_blocks_and_loses_none():
+    rng = np.random.default_rng(9)
+    position = rng.integers(0, 6, 400)
+    begin = np.arange(390)
+    end = begin + rng.integers(1, 10, 390)
+    got = license_scan.bound(position, begin, end, 6)
+    held = np.array([len(set(position[a:b])) for a, b in zip(begin, end, strict=True)])
+    assert (got >= held).all() and ((got < 4) & (end - begin >= 4)).any()
+    assert license_scan.bound(np.array([0, 0, 0, 1, 4]), np.array([0]), np.array([5]), 5).tolist() == [3]
+
+
 def plain_spans(text):
     out = []
     for order, rule in enumerate(secrets.RULES):
