@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import decontaminate, filter_audit, license_scan, lm_score, packing, quality_fm, quality_rules, secrets, simhash, token_codec, url_filter
+from docmill.llm import decontaminate, filter_audit, license_scan, lm_score, packing, quality_fm, quality_rules, secrets, simhash, token_codec, url_filter, whitening
 from docmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_filter_interaction_audit", filter_audit.SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
