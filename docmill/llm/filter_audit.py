@@ -87,8 +87,10 @@ def unpack(total: int) -> np.ndarray:
 
 def shapley(removed: np.ndarray) -> np.ndarray:
     """For each step what its filter removes, summed over all orders."""
-    letter = np.array([FILTERS.index(order[step - 1]) for order, step in STEPS])
-    return np.bincount(letter, removed, len(FILTERS)).astype(np.int64)[letter] if removed.sum() < 1 << 52 else np.array([sum(int(x) for x in removed[letter == k]) for k in letter], np.int64)
+    total = dict.fromkeys(FILTERS, 0)
+    for (order, step), n in zip(STEPS, removed.tolist(), strict=True):
+        total[order[step - 1]] += n
+    return np.array([total[order[step - 1]] for order, step in STEPS], np.int64)
 
 
 _made: dict[tuple, int] = {}
@@ -102,8 +104,8 @@ def _sum_part(rows: pa.Table) -> pa.Table:
         if key not in _made:
             _made[key] = packed(*key)
         total, seen = total + n * _made[key], seen + n
-    if seen >= 1 << (WIDTH - 1):
-        raise OverflowError("more rows in a part than a field can count")
+    if seen * len(ORDERS) >= 1 << (WIDTH - 1):
+        raise OverflowError("more rows in a part than its sums can count")
     counts = unpack(total)
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     return pa.table([

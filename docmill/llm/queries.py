@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmill.llm import decontaminate, filter_audit, license_scan, lm_score, packing, quality_fm, quality_rules, secrets, simhash, token_codec, url_filter, whitening
+from docmill.llm import decontaminate, filter_audit, html_extraction, license_scan, lm_score, packing, quality_fm, quality_rules, secrets, simhash, token_codec, url_filter, whitening
 from docmill.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_embedding_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_html_extraction", html_extraction.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))

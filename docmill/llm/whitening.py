@@ -3,7 +3,7 @@
 Entries become whole numbers, so counts, sums and the scatter are exact whatever the partitioning or retries. Vectors are centred
 on the whole part of the mean before they are multiplied; what is left of the mean, less than one, is taken out of the
 sum of products in whole numbers too. Products are multiplied as doubles in blocks so small that they stay exact. Partial sums, a
-`dimensions x dimensions` matrix each, meet in `MERGERS` tasks, then in one; only the last matrix reaches the driver.
+`dimensions x dimensions` matrix each, meet in many tasks, then in one; only the last matrix reaches the driver.
 
 There the covariance V is factored once, V = L L' with the largest remaining pivot first; columns stop where what remains is
 rounding. Plane rotations then make the columns of L orthogonal to each other in place, without forming L' L: their squared
