@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from docmill.functions.text import is_sql_blank, number_key, title_key
 from docmill.operators import aggregates, keys, ranking
-from docmill.plans import search
+from docmill.plans import bounded, search
+from docmill.session import written
 
 KEY = ["source", "external_id"]
 FLAGS = ["has_text", "ambiguous_title", "ambiguous_number"]
@@ -54,41 +55,41 @@ def for_mode(rows: DataFrame, mode: str, titled_source: str) -> DataFrame:
     raise ValueError(f"unknown mode: {mode}")
 
 
-def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: list[float],
-             stem: bool = True, tasks: int | None = None, asked: Column | None = None) -> DataFrame:
+def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: list[float], index_path: str,
+             stem: bool = True, asked: Column | None = None) -> DataFrame:
     """One row per target and evaluation: ``mode, title_boost, doc_id, flags, rank, total_hits``.
 
-    Targets with the same number or the same title ask the same question, which is answered
-    once; all title weights share one scoring. The rank is NULL outside the first ten. ``asked``:
-    what of a title is searched (all of it by default).
+    Targets with the same number or the same title ask the same question, which is answered once on the published index,
+    for all title weights together. A target's own score is known first, and only documents that can reach it are scored
+    (``bounded``); so the work follows the targets, not targets times matches. The rank is NULL outside the first ten.
+    ``asked``: what of a title is searched (all of it by default).
     """
     docs = silver.withColumn("doc_key", F.concat_ws("|", "source", "external_id"))
     numbered = for_mode(rows, "number", titled_source).withColumn(
         "query_id", search.fold_keyword(F.col("decision_number")))
     lists = search.by_number(docs).withColumnRenamed("number_key", "query_id")
-    number_rows = _ranks(numbered, lists, ["query_id"]).withColumn(
+    totals = lists.groupBy("query_id").agg(F.max("total_hits").alias("total_hits"))
+    number_rows = _ranks(numbered, lists, totals, ["query_id"]).withColumn(
         "title_boost", F.lit(None).cast("double"))
 
-    titled = for_mode(rows, "title", titled_source).withColumn(
-        "query", F.col("title") if asked is None else asked).withColumn("query_id", F.sha2("query", 256))
+    titled = written(for_mode(rows, "title", titled_source).withColumn(
+        "query", F.col("title") if asked is None else asked).withColumn("query_id", F.sha2("query", 256)), "titled")
     questions = titled.groupBy("query_id").agg(F.min("query").alias("query"))
-    scores = search.score_queries(search.build_index(docs, stem, keep=(), tasks=tasks), questions, stem=stem)
-    by = ["query_id", "title_boost"]
-    lists = search.ranked(search.best_field_grid(scores, boosts), by=by)
+    run = bounded.Bounded(silver.sparkSession, index_path, questions, boosts, stem=stem)
+    floors = run.own_floors(titled.select("query_id", F.col("doc_id").alias("doc_key")))
     weights = F.array(*[F.lit(float(b)) for b in boosts])
-    title_rows = _ranks(titled.withColumn("title_boost", F.explode(weights)), lists, by)
+    title_rows = _ranks(titled.withColumn("title_boost", F.explode(weights)), run.first(floors=floors), run.totals(), ["query_id", "title_boost"])
 
     columns = ["title_boost", "doc_id", "decision_number", "title", *FLAGS, "rank", "total_hits"]
     return number_rows.select(F.lit("number").alias("mode"), *columns).unionByName(
         title_rows.select(F.lit("title").alias("mode"), *columns))
 
 
-def _ranks(found: DataFrame, lists: DataFrame, by: list[str]) -> DataFrame:
+def _ranks(found: DataFrame, lists: DataFrame, totals: DataFrame, by: list[str]) -> DataFrame:
     """Position of each target in the list of its question, and the question's total."""
-    totals = lists.groupBy(*by).agg(F.max("total_hits").alias("total_hits"))
     positions = lists.select(*by, F.col("doc_key").alias("doc_id"), "rank")
     return (
-        found.join(positions, [*by, "doc_id"], "left").join(totals, by, "left")
+        found.join(positions, [*by, "doc_id"], "left").join(totals, "query_id", "left")
         .withColumn("total_hits", F.coalesce("total_hits", F.lit(0)))
     )
 

@@ -86,6 +86,11 @@ def rebuild(spark: SparkSession, documents: DataFrame, expected: DataFrame, reje
     return rows.withColumn("published", F.lit(bool(outcome["publish"]))).withColumn("reason", F.lit(outcome["reason"]).cast("string"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a version's folder, in whatever store it is."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

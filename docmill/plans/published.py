@@ -1,34 +1,108 @@
-"""A published search index: postings by term with their statistics, built once and read by searches.
+"""A published search index: built once, gated by counts per source like any version, read by every search.
 
-Postings are range-partitioned and sorted by term, so a search for a few terms reads a few row groups. Document and field
-statistics stand beside them. A version is gated by counts per source like any other; readers resolve the last published one.
+Documents are numbered without gaps. Beside the postings stand what lets a search leave most of them unread:
+
+* ``terms`` holds, per term and field, the document frequency and the largest saturation of any document: times the query's
+  weight it bounds what the term can add to a score (``bounded``).
+* ``members``: for terms that at least one document in COMMON_SHARE holds, bitmaps of their documents, so totals are counted
+  without scoring. There are at most COMMON_SHARE times the words of a mean document of such terms.
+
+Every table of terms is partitioned by the hash of the term and sorted by term, postings also partitioned by ranges of documents: a search
+reads the folders and row groups of its terms, however many terms it has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docmill.operators.filters import SearchFilters
+from docmill.operators.layout import deal_out
+from docmill.operators.ranking import top_k_per_group
 from docmill.plans import publish, search
 from docmill.session import written
 
-POSTINGS, TERMS, FIELDS, DOCUMENTS = "postings", "terms", "fields", "documents"
-#: Terms asked at once that are named in the scan's filter; more are joined to it. The rows are the same.
-PUSHED_TERMS = 1000
+POSTINGS, TERMS, FIELDS, DOCUMENTS, MEMBERS = "postings", "terms", "fields", "documents", "members"
+#: Folders by term, documents of a part at least and parts at most (parts are whole numbers of bitmaps).
+SLOTS, PART_DOCS, PARTS = 16, 1 << 17, 64
+BITMAP_DOCS = 32768
+COMMON_SHARE = 32
+
+
+def slot(term: Column | str) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(SLOTS)).cast("int")
+
+
+def _numbered(index: DataFrame) -> DataFrame:
+    """Index rows with ``doc_no`` in place of ``row_id``: 0 to n - 1, by the task that numbered them."""
+    task = F.shiftright("row_id", 33)
+    per_task = index.filter(F.col("field") == "title").groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))
+    # One row per task of the numbering: this window is over tasks, not over documents.
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(per_task.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"), "numbers")
+    low = F.col("row_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return index.withColumn("_task", task).join(starts, "_task").withColumn("doc_no", F.col("_start") + low).drop("_task", "_start", "row_id")
 
 
-def write_index(docs: DataFrame, path: str, stem: bool = True, tasks: int | None = None) -> None:
-    """Write the index of documents (``doc_key, source, title, text`` and the filter columns)."""
+def write_index(docs: DataFrame, path: str, stem: bool = True, tasks: int | None = None, part_docs: int | None = None) -> None:
+    """Write the index of documents (``doc_key, source, title, text`` and the filter columns).
+
+    ``tasks``: over how many tasks a table of few splits is dealt out before its texts are cut into words."""
     spark = docs.sparkSession
-    index = search.build_index(docs, stem, tasks=tasks)
-    keep = ["doc_key", *search.FILTERABLE, "field", "dl"]
-    rows = search.explode_once(index, keep, F.col("postings"), "p").select(*keep, "p.term", "p.tf")
-    rows.repartitionByRange("term", "doc_key").sortWithinPartitions("term", "doc_key").write.parquet(f"{path}/{POSTINGS}")
-    stored = spark.read.schema(rows.schema).parquet(f"{path}/{POSTINGS}")
-    search.term_stats(stored).write.parquet(f"{path}/{TERMS}")
+    filters = list(search.FILTERABLE)
+    rows = deal_out(docs.select("doc_key", *filters, "title", "text"), tasks).withColumn("row_id", F.monotonically_increasing_id())
+    index = search.build_index(rows, stem, keep=[*filters, "row_id"])
+    numbered = _numbered(index)
+    numbered.filter(F.col("field") == "title").select("doc_no", "doc_key", *filters).write.parquet(f"{path}/{DOCUMENTS}")
+    if part_docs is None:
+        n = documents_read(spark, path).count()
+        part_docs = max(PART_DOCS, -(-n // (PARTS * BITMAP_DOCS)) * BITMAP_DOCS)
+    part = F.floor(F.col("doc_no") / part_docs).cast("int").alias("part")
+    keep = ["doc_no", *filters, "field", "dl"]
+    posts = search.explode_once(numbered, keep, F.col("postings"), "p").select(slot("p.term").alias("slot"), part, "p.term", "p.tf", *keep)
+    posts = posts.repartitionByRange("slot", "part", "term", "doc_no").sortWithinPartitions("slot", "part", "term", "doc_no")
+    posts.write.partitionBy("slot", "part").parquet(f"{path}/{POSTINGS}")
     search.field_stats(index).write.parquet(f"{path}/{FIELDS}")
-    docs.select("doc_key", "source").write.parquet(f"{path}/{DOCUMENTS}")
+    stored, fields = _read(spark, path, POSTINGS), _read(spark, path, FIELDS)
+    top = F.max(search.saturation(F.col("tf"), F.col("dl"), F.col("avg_dl")))
+    stats = stored.join(fields, "field").groupBy("slot", "term", "field").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("total_tf"), top.alias("top"))
+    _by_slot(stats, f"{path}/{TERMS}")
+    n_docs = F.broadcast(_read(spark, path, DOCUMENTS).agg(F.count("*").alias("_all")))  # one row
+    common = written(_read(spark, path, TERMS).groupBy("slot", "term").agg(F.max("df").alias("_df")).join(
+        n_docs, F.col("_df") * COMMON_SHARE >= F.col("_all")).select("slot", "term"), "common")
+    _by_slot(_bitmaps(stored.select("slot", "term", "doc_no").join(common, ["slot", "term"]), ["slot", "term"]), f"{path}/{MEMBERS}")
+
+
+def _by_slot(rows: DataFrame, path: str) -> None:
+    rows.repartitionByRange("slot", "term").sortWithinPartitions("slot", "term").write.partitionBy("slot").parquet(path)
+
+
+def _bitmaps(rows: DataFrame, by: list[str]) -> DataFrame:
+    """``by, bucket, bits``: the documents of rows as bitmaps of BITMAP_DOCS documents."""
+    bucket, place = F.bitmap_bucket_number("doc_no"), F.bitmap_bit_position("doc_no")
+    return rows.select(*by, bucket.alias("bucket"), place.alias("_place")).groupBy(*by, "bucket").agg(F.bitmap_construct_agg("_place").alias("bits"))
+
+
+#: Columns of the tables, so that no footer is read to find them out.
+SCHEMAS = {
+    POSTINGS: "term string, tf bigint, doc_no bigint, source string, decision_type string, decision_date date, sectors array<string>, "
+              "field string, dl int, slot int, part int",
+    TERMS: "term string, field string, df bigint, total_tf bigint, top double, slot int",
+    FIELDS: "field string, n_docs bigint, avg_dl double",
+    DOCUMENTS: "doc_no bigint, doc_key string, source string, decision_type string, decision_date date, sectors array<string>",
+    MEMBERS: "term string, bucket bigint, bits binary, slot int",
+}
+
+
+def _read(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{name}")
+
+
+def documents_read(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark, path, DOCUMENTS)
 
 
 def rebuild_index(docs: DataFrame, expected: DataFrame, rejected: DataFrame, root: str, dataset: str, version: str,
@@ -36,7 +110,7 @@ def rebuild_index(docs: DataFrame, expected: DataFrame, rejected: DataFrame, roo
     """Build, count, gate and publish; a refused index is deleted. Returns the gate rows with the outcome."""
     spark, path = docs.sparkSession, f"{root}/{version}"
     write_index(docs, path, stem, tasks)
-    indexed = spark.read.parquet(f"{path}/{DOCUMENTS}").groupBy("source").agg(F.count("*").alias("n"))
+    indexed = documents_read(spark, path).groupBy("source").agg(F.count("*").alias("n"))
     rows = written(publish.gate_rows(expected, indexed, rejected), "gate")
     outcome = publish.gate(rows).first()
     if outcome["publish"]:
@@ -46,23 +120,67 @@ def rebuild_index(docs: DataFrame, expected: DataFrame, rejected: DataFrame, roo
     return rows.withColumn("published", F.lit(bool(outcome["publish"]))).withColumn("reason", F.lit(outcome["reason"]).cast("string"))
 
 
+class Terms:
+    """The terms of some queries against an index: their weights, and the condition that finds their rows in its tables."""
+
+    def __init__(self, spark: SparkSession, path: str, wanted: DataFrame):
+        self.spark, self.path = spark, path
+        self.wanted = wanted.select("query_id", "term", "qtf", slot("term").alias("slot"))
+        edges = self.wanted.groupBy("slot").agg(F.min("term").alias("low"), F.max("term").alias("high")).collect()  # SLOTS rows at most
+        self.where = F.lit(False)
+        for r in sorted(edges):
+            self.where = self.where | ((F.col("slot") == r["slot"]) & F.col("term").between(r["low"], r["high"]))
+        weight = search.term_weight(F.col("qtf"), F.col("df"), F.col("n_docs"))
+        self.weights = written(
+            self.wanted.join(self.read(TERMS), ["slot", "term"]).join(_read(spark, path, FIELDS), "field")
+            .select("query_id", "slot", "field", "term", weight.alias("weight"), "avg_dl", "df", (weight * F.col("top")).alias("most")), "weights")
+
+    def read(self, name: str) -> DataFrame:
+        return _read(self.spark, self.path, name).filter(self.where)
+
+    def totals(self, filters: SearchFilters | None = None) -> DataFrame:
+        """``query_id, total_hits``: documents holding any term of the query (and passing the filters), from bitmaps alone.
+
+        Terms without stored bitmaps are in less than one document in COMMON_SHARE; theirs are made of their postings.
+        """
+        dense = self.read(MEMBERS).join(self.wanted.select("query_id", "slot", "term"), ["slot", "term"]).select("query_id", "bucket", "bits")
+        common = self.read(MEMBERS).select("slot", "term").distinct()
+        rare = self.wanted.select("query_id", "slot", "term").join(common, ["slot", "term"], "left_anti")
+        posts = self.read(POSTINGS).select("slot", "term", "doc_no").join(rare, ["slot", "term"])
+        any_term = dense.unionByName(_bitmaps(posts, ["query_id"])).groupBy("query_id", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        if filters is not None:
+            allowed = _bitmaps(documents_read(self.spark, self.path).filter(filters.condition()), []).withColumnRenamed("bits", "_allowed")
+            both = any_term.join(allowed, "bucket").select("query_id", "bucket", F.explode(F.array("bits", "_allowed")).alias("bits"))
+            any_term = both.groupBy("query_id", "bucket").agg(F.bitmap_and_agg("bits").alias("bits"))
+        return any_term.groupBy("query_id").agg(F.sum(F.bitmap_count("bits")).alias("total_hits")).filter("total_hits > 0")
+
+
 def matches(spark: SparkSession, path: str, wanted: DataFrame, filters: SearchFilters | None = None) -> DataFrame:
     """Postings of the wanted terms (``query_id, term, qtf``) with their weights."""
-    posts = spark.read.parquet(f"{path}/{POSTINGS}")
+    terms = Terms(spark, path, wanted)
+    posts = terms.read(POSTINGS)
     if filters is not None:
         posts = posts.filter(filters.condition())
-    named = [r["term"] for r in wanted.select("term").distinct().limit(PUSHED_TERMS + 1).collect()]
-    terms = spark.read.parquet(f"{path}/{TERMS}")
-    if len(named) <= PUSHED_TERMS:
-        posts, terms = posts.filter(F.col("term").isin(named)), terms.filter(F.col("term").isin(named))
-    weight = search.term_weight(F.col("qtf"), F.col("df"), F.col("n_docs"))
-    weights = wanted.join(terms, "term").join(spark.read.parquet(f"{path}/{FIELDS}"), "field").select(
-        "query_id", "field", "term", weight.alias("weight"), "avg_dl")
-    return posts.join(written(weights, "weights"), ["field", "term"])
+    return posts.join(terms.weights, ["slot", "field", "term"])
 
 
 def search_index(spark: SparkSession, path: str, queries: DataFrame, k: int = search.TOP_K, boost: float = search.TITLE_BOOST,
                  filters: SearchFilters | None = None, stem: bool = True) -> DataFrame:
-    """Ranked documents of every query, as ``search.search`` gives them."""
+    """Ranked documents of every query, as ``search.search`` gives them: all matches scored, so their count is the total."""
+    return search_grid(spark, path, queries, [boost], k, filters, stem).drop("title_boost")
+
+
+def search_grid(spark: SparkSession, path: str, queries: DataFrame, boosts: Sequence[float], k: int = search.TOP_K,
+                filters: SearchFilters | None = None, stem: bool = True) -> DataFrame:
+    """The same for several title weights (``title_boost``) out of one scoring."""
     wanted = written(search.query_terms(queries, stem), "query-terms")
-    return search.ranked(search.best_field(search.sum_scores(matches(spark, path, wanted, filters)), boost), k)
+    score = F.col("weight") * search.saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"))
+    fields = matches(spark, path, wanted, filters).groupBy("query_id", "doc_no").agg(*[
+        F.sum(F.when(F.col("field") == f, score)).alias(f) for f in search.FIELDS])
+    best = search.best_field_grid(fields.withColumnRenamed("doc_no", "doc_key"), boosts).withColumnRenamed("doc_key", "doc_no")
+    by = ["query_id", "title_boost"]
+    # Per query the first k and ties of the last of them; their keys decide the order.
+    near = best.withColumn("_at", F.rank().over(Window.partitionBy(*by).orderBy(F.desc("score")))).filter(F.col("_at") <= k).drop("_at")
+    keyed = near.join(documents_read(spark, path).select("doc_no", "doc_key"), "doc_no").drop("doc_no")
+    totals = best.groupBy(*by).agg(F.count("score").alias("total_hits"))
+    return top_k_per_group(keyed, by, [F.desc("score"), F.col("doc_key")], k).join(totals, by)

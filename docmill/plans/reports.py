@@ -13,7 +13,7 @@ from docmill.functions.display import display_title
 from docmill.functions.text import expectation_bound, expectation_operator, has_text, number_label
 from docmill.functions.urls import detail_path
 from docmill.operators import aggregates, filters, ranking
-from docmill.plans import search
+from docmill.plans import published, search
 from docmill.session import written
 
 DAY = "dd/MM/yyyy"
@@ -51,10 +51,15 @@ def search_documents(docs: DataFrame) -> DataFrame:
     return written(rows, "search-documents")
 
 
-def search_page(shown: DataFrame, index: DataFrame, queries: DataFrame, number: int, size: int, **how) -> DataFrame:
+def search_page(shown: DataFrame, index: DataFrame | str, queries: DataFrame, number: int, size: int, **how) -> DataFrame:
     """One page of every query, ranked as deep as the page needs; the page's rows are stored before
-    the display fields of ``search_documents`` join them."""
-    found = search.search(index, queries, ranking.page_end(number, size), **how)
+    the display fields of ``search_documents`` join them. ``index``: the path of a published index, or the
+    rows of one built for the occasion."""
+    depth = ranking.page_end(number, size)
+    if isinstance(index, str):
+        found = published.search_index(queries.sparkSession, index, queries, depth, **how)
+    else:
+        found = search.search(index, queries, depth, **how)
     rows = written(ranking.page_per_group(found, number, size), "page")
     return rows.join(shown, "doc_key")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from docmill.functions import french
 from docmill.operators import ranking
-from docmill.plans import findability, published, reports, search
+from docmill.plans import bounded, findability, published, reports, search
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = [
@@ -206,3 +206,92 @@ def test_refused_index_is_deleted(spark, tmp_path):
     counts = spark.createDataFrame([("s", 2)], "source string, n bigint")
     row = published.rebuild_index(docs, counts, counts.limit(0), str(tmp_path), "d", "d_20260101_000000", F.current_timestamp()).first()
     assert not row.published and not (tmp_path / "d_20260101_000000").exists()
+
+
+def published_docs(spark, texts, path, **how):
+    """An index of (title, text) rows with a source that alternates."""
+    rows = [(f"s{i % 2}|{i:04d}", f"s{i % 2}", title, text, None, None, None) for i, (title, text) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_key string, source string, title string, text string, decision_type string, decision_date date, sectors array<string>")
+    published.write_index(docs, path, **how)
+    return docs
+
+
+def drawn_texts(n, seed):
+    """Texts of words whose frequencies fall off, many of them equal."""
+    import random
+
+    rng = random.Random(seed)
+    vocabulary = [f"mot{i}" for i in range(120)]
+    weights = [1 / (i + 1) for i in range(120)]
+    texts = [(" ".join(rng.choices(vocabulary, weights, k=rng.randint(0, 5))), " ".join(rng.choices(vocabulary, weights, k=rng.randint(0, 30)))) for _ in range(n)]
+    return texts + texts[:20] + [(None, None), ("", "mot0"), ("mot0", None)]
+
+
+COLUMNS = ["query_id", "title_boost", "doc_key", "score", "rank", "total_hits"]
+
+
+@pytest.mark.parametrize("filtered", [False, True])
+def test_bounded_search_is_the_whole_search(spark, tmp_path, filtered):
+    import random
+
+    from docmill.operators.filters import SearchFilters
+
+    texts, rng = drawn_texts(160, 1), random.Random(5)
+    docs = published_docs(spark, texts, str(tmp_path / "v"))
+    asked = [(i, " ".join(rng.choices(f"{texts[i][0]} {texts[i][1]}".split() or ["mot1"], k=rng.randint(1, 7)))) for i in range(25)]
+    asked += [(100, texts[3][1]), (101, "absent"), (102, "mot0"), (103, "mot119 mot118"), (104, "")]
+    queries = spark.createDataFrame(asked, "query_id int, query string")
+    filters = SearchFilters(source=["s1"]) if filtered else None
+    boosts, k = [0.5, 1.0, 3.0], 4
+    index = search.build_index(docs)
+    want = search.ranked(search.best_field_grid(search.score_queries(index, queries, filters), boosts), k, ["query_id", "title_boost"])
+    want = sorted(map(tuple, want.select(*COLUMNS).collect()))
+    run = bounded.Bounded(spark, str(tmp_path / "v"), queries, boosts, filters)
+    assert sorted(map(tuple, run.top(k).select(*COLUMNS).collect())) == want and want
+    assert sorted(map(tuple, published.search_grid(spark, str(tmp_path / "v"), queries, boosts, k, filters).select(*COLUMNS).collect())) == want
+
+
+def test_totals_by_bitmaps_over_many_parts(spark, tmp_path, monkeypatch):
+    """Common and rare terms, filters, documents numbered over several tasks and bitmaps."""
+    texts = drawn_texts(300, 2)
+    docs = published_docs(spark, texts, str(tmp_path / "v"), tasks=5, part_docs=100)
+    numbers = [r.doc_no for r in published.documents_read(spark, str(tmp_path / "v")).collect()]
+    assert sorted(numbers) == list(range(len(texts)))
+    parts = {p.name for p in (tmp_path / "v" / "postings").glob("slot=*/part=*")}
+    assert parts == {f"part={i}" for i in range(-(-len(texts) // 100))}
+    queries = spark.createDataFrame([(i, f"mot{i} mot{i + 60}") for i in range(0, 60, 7)] + [(90, "mot0"), (91, "absent")], "query_id int, query string")
+    terms = published.Terms(spark, str(tmp_path / "v"), search.query_terms(queries))
+    members = {r.term for r in spark.read.parquet(str(tmp_path / "v" / "members")).collect()}
+    assert 0 < len(members) < 120
+    from docmill.operators.filters import SearchFilters
+
+    index = search.build_index(docs)
+    for filters in (None, SearchFilters(source=["s0"])):
+        scored = search.score_queries(index, queries, filters).groupBy("query_id").agg(F.count("*").alias("n")).collect()
+        assert {r.query_id: r.total_hits for r in terms.totals(filters).collect()} == {r.query_id: r.n for r in scored}
+
+
+def test_totals_score_nothing(spark):
+    plan = entry.queries()["tx_total_hits"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert "bitmap_or_agg" in plan and len(scans) >= 2 and not any(re.search(r"\btf#|\bdl#", line) for line in scans)
+    assert sum(bool(re.search(r"PartitionFilters: \[[^\]]*slot", line) and re.search(r"PushedFilters: \[[^\]]*term", line)) for line in scans) >= 2
+
+
+def test_evaluation_scores_few_documents(spark):
+    """Documents scored per target do not grow with the corpus as its matches do."""
+    from catalog import text_search
+    from catalog.views import TITLED, WHOLE, table
+
+    per_target, matched = [], []
+    for sf in (SMALL, "/root/testdata/sf0.01"):
+        docs, path = table(spark, sf, "v_decisions"), text_search.published_index(spark, sf)
+        titled = findability.for_mode(findability.targets(docs, findability.sample(docs, TITLED, WHOLE)), "title", TITLED)
+        titled = titled.select(F.sha2("title", 256).alias("query_id"), "title", F.col("doc_id").alias("doc_key"))
+        run = bounded.Bounded(spark, path, titled.groupBy("query_id").agg(F.min("title").alias("query")), [1.0, 2.0], stem=False)
+        part, _ = run.candidates(run.own_floors(titled).withColumnRenamed("floor", "threshold"))
+        n = titled.count()
+        per_target.append(part.count() / n)
+        matched.append(run.totals().agg(F.sum("total_hits")).first()[0] / n)
+    assert matched[1] > 3 * matched[0]
+    assert per_target[1] < 2.5 * per_target[0] and per_target[1] < matched[1] / 4, (per_target, matched)
