@@ -5,8 +5,8 @@ n-grams, hashed into buckets of their own; each kind's values are shares that su
 A fifth of the bounded labelled sample is kept back to calibrate the margins (Platt). A text is kept if no rule rejects it and
 its calibrated probability reaches `THRESHOLD`.
 
-Defined cases: a null or empty text has no words, fails and is not kept; repeated rows and ties are judged alike; no labels
-give probability 0.5; extra columns are left alone by `judge` (columns named like the added ones are replaced).
+Defined cases: a null or empty text has no words and no n-grams, fails and is not kept; repeated rows and ties are judged alike,
+whatever rows stand beside them; an empty table gives no row; no labels give probability 0.5; extra columns are left alone by `judge` (columns named like the added ones are replaced).
 """
 
 from __future__ import annotations
@@ -81,7 +81,13 @@ def grams(part: Slice) -> list[tuple[np.ndarray, np.ndarray]]:
     bounds = lead[part.bounds]
     triple = (points[:-2] * np.uint64(1 << 42) ^ points[1:-1] * np.uint64(1 << 21) ^ points[2:]) if len(points) > 2 else points[:0]
     triples = ((triple * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)
-    first = np.minimum(bounds, len(triples))
+    # A text's triples end before the line feed that closes it, so none reaches into the next text.
+    inside = np.ones(len(points), bool)
+    for back in range(3):
+        at = bounds[1:] - 1 - back
+        inside[at[at >= 0]] = False
+    triples = triples[inside[: len(triples)]]
+    first = np.concatenate([[0], np.cumsum(np.maximum(np.diff(bounds) - 3, 0))])
     return [
         ((part.hash % np.uint64(BUCKETS)).astype(np.int64), part.first),
         (pairs.astype(np.int64) + BUCKETS, np.searchsorted(part.doc[pair], np.arange(n + 1))),
@@ -94,8 +100,9 @@ def margins(model: Model, kinds: list[tuple[np.ndarray, np.ndarray]]) -> np.ndar
 
 
 def probabilities(model: Model, kinds: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Calibrated chance of each text, rounded so that it does not depend on the texts summed before it."""
     z = model.slope * margins(model, kinds) + model.shift
-    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+    return np.round(1 / (1 + np.exp(-np.clip(z, -500, 500))), 9)
 
 
 def _descend(rows, label, epochs: int = 30, batch: int = 64, rate: float = 0.3) -> Model:
