@@ -1,9 +1,11 @@
 """Secret scan: a trigram inverted index narrows the documents on which a rule's regular expression runs.
 
-DataFrame functions only. Each rule names the literals one of which every match must hold (A-Z lower-cased); their trigrams
-make a Boolean query: any literal, and of it all trigrams. The index is a written table of postings (trigram, doc_id) over the
-rules' trigrams. Postings of a rule's trigrams are intersected per document, and only the candidates are verified by
-the regular expression; a rule without a mandatory trigram is run on every document.
+DataFrame functions only. A rule's Boolean trigram query is derived from its pattern (`trigram_queries`): every match holds, of
+each clause, all trigrams of one alternative at least. The index is a written table of postings (trigram, doc_id): the trigrams of the
+lower-cased texts, cut out in one pass, that some query asks for, however many those are. Postings of a rule's trigrams are
+intersected per document, and only the candidates are verified by the regular expression; a rule without a mandatory trigram is
+run on every document. Candidates are stored, so their size is known: only by that size does Spark broadcast them to the
+texts; more of them are joined by a shuffle.
 
 A rule's matches are leftmost and do not overlap; the length bound applies afterwards, so a match that fails it still uses up
 its text. Positions are in code points, ends exclusive; spans are ordered by start, then by the order of the rules.
@@ -23,68 +25,62 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.frames import whole_row
-from docmill.session import work_dir
+from docmill.llm.trigrams import Query, derive
+from docmill.session import work_dir, written
 
 
 @dataclass(frozen=True)
 class Rule:
-    """kind, pattern, the group whose length is bounded, the least length, and literals one of which a match holds."""
+    """kind, pattern, the group whose length is bounded, and the least length."""
 
     kind: str
     pattern: str
     group: int
     least: int
-    literals: tuple[str, ...] = ()
 
 
 #: The base rules, as fixed values.
 BASE = (
-    Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12, ("password", "passwd", "secret", "token", "api_key", "apikey")),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 18, ("akia",)),
+    Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]{16,}", 0, 16),
 )
 #: More kinds of credentials, by their public prefixes.
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", 0, 1, ("private key-----",)),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15, ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1, ("eyj",)),
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", 0, 1),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
+    Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
 )
 RULES = BASE + MORE
 
 
-def trigrams(literal: str) -> tuple[str, ...]:
-    return tuple(dict.fromkeys(literal[i : i + 3] for i in range(len(literal) - 2)))
-
-
-def trigram_query(rule: Rule) -> list[tuple[str, ...]] | None:
-    """Any of these sets of trigrams, each in full; None if some match may hold no trigram."""
-    found = [trigrams(x.lower()) for x in rule.literals]
-    return found if found and all(found) else None
+def trigram_query(rule: Rule) -> Query | None:
+    """The rule's clauses; None if some match may hold no trigram."""
+    return derive(rule.pattern) or None
 
 
 def build_index(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Write the postings (trigram, doc_id) of the rules' trigrams to the shared folder and read them back."""
-    grams = list(dict.fromkeys(g for r in rules for q in trigram_query(r) or () for g in q))
-    lowered = docs.select("doc_id", F.lower("text").alias("lowered"))
-    there = F.array(*(F.when(F.contains("lowered", F.lit(g)), F.lit(g)) for g in grams))
+    grams = sorted({g for r in rules for clause in trigram_query(r) or () for way in clause for g in way})
+    # The look-ahead takes no text, so trigrams overlap; one expression cuts them all out of a text in one pass.
+    own = F.regexp_extract_all(F.lower("text"), F.lit("(?s)(?=(.{3}))"), F.lit(1))
+    there = F.array_intersect(own, F.array(*map(F.lit, grams)).cast("array<string>"))
     path = work_dir(docs.sparkSession, "trigrams")
-    lowered.select("doc_id", F.explode(F.array_compact(there)).alias("trigram")).write.parquet(path)
+    docs.select("doc_id", F.explode(there).alias("trigram")).write.parquet(path)
     return docs.sparkSession.read.schema(docs.select("doc_id").schema.add("trigram", "string")).parquet(path)
 
 
 def candidates(postings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per document that some rule's Boolean query selects, with the kinds of those rules."""
     queries = [(r.kind, q) for r in rules if (q := trigram_query(r)) is not None]
-    grams = list(dict.fromkeys(g for _, q in queries for s in q for g in s))
-    bit = {g: 1 << i for i, g in enumerate(grams)}
-    number = reduce(lambda c, g: c.when(F.col("trigram") == g, F.lit(bit[g])), grams[1:], F.when(F.col("trigram") == grams[0], F.lit(bit[grams[0]])))
-    seen = postings.select("doc_id", number.cast("long").alias("bit")).groupBy("doc_id").agg(F.bit_or("bit").alias("mask"))
+    seen = postings.groupBy("doc_id").agg(F.collect_set("trigram").alias("grams"))  # at most the trigrams of all rules
 
-    def holds(sets: list[tuple[str, ...]]) -> Column:
-        return reduce(operator.or_, (F.col("mask").bitwiseAND(F.lit(m)) == F.lit(m) for m in (sum(bit[g] for g in s) for s in sets)))
+    def holds(query: Query) -> Column:
+        has = lambda way: reduce(operator.and_, (F.array_contains("grams", g) for g in sorted(way)))
+        return reduce(operator.and_, (reduce(operator.or_, map(has, clause)) for clause in query))
 
-    kinds = F.array_compact(F.array(*(F.when(holds(q), F.lit(kind)) for kind, q in queries)))
+    kinds = F.array_compact(F.array(*(F.when(holds(q), F.lit(kind)) for kind, q in queries)).cast("array<string>"))
     return seen.select(F.col("doc_id").alias("candidate_id"), kinds.alias("candidate_kinds")).where(F.size("candidate_kinds") > 0)
 
 
@@ -118,7 +114,7 @@ def rule_spans(rule: Rule, order: int) -> Column:
 
 def _found(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(row, secret_spans): every row as a struct and its spans."""
-    candidate = candidates(build_index(docs, rules), rules)
+    candidate = written(candidates(build_index(docs, rules), rules), "candidates")
     joined = docs.select(whole_row(docs)).join(candidate, F.col("row.doc_id").eqNullSafe(F.col("candidate_id")), "left")
     spans = F.array_sort(F.concat(*(rule_spans(r, i) for i, r in enumerate(rules))))
     return joined.select("row", spans.alias("secret_spans"))
