@@ -1,7 +1,9 @@
 """Subword ids of whole texts by a public byte-level BPE, with a bounded cache of what stands between blanks.
 
-The tokenizer cuts a text before every blank that a non-blank follows, so the parts can be encoded one by one and joined; texts
-with white space that it would group otherwise are encoded in one piece. Ids are the tokenizer's own in either case.
+Texts of common characters (ASCII, Latin letters, usual punctuation) are cut into the tokenizer's own pieces by one regular
+expression over the whole text, and each distinct piece is merged once while it stays in the cache. Other texts are cut before
+every blank that a non-blank follows, where the tokenizer cuts too, and their parts are split by it; texts with white space that
+it would group otherwise are encoded in one piece. Ids are the tokenizer's own in every case.
 """
 
 from __future__ import annotations
@@ -20,6 +22,15 @@ LONGEST = 40
 _GROUPED = re.compile(r"\s (?!\S)")
 
 
+# Letters, digits and white space below U+0250, as Unicode has them, and what else counts as common.
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\\t\\n\\x0b\\x0c\\r \x85\xa0"
+_UNCOMMON = re.compile("[^\\t-\\r\\x20-\u024f\u2010-\u2027\u20ac]")
+#: The pieces of byte-level vocabularies, for common characters.
+PIECES = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+#: On these the pieces are compared with the tokenizer's, once a worker; one that splits otherwise is asked every time.
+_PROBES = ("It's  we'll\n\n a1 b22,c... 12é ñandú\t\tx  ", " \n x\xa0y \x85 ½x²3 “q”—z… 5€ 'S '", "\r\n\r\nA  B   c_d #$% ßß\u0130\u01c5")
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -72,6 +83,8 @@ class Encoder:
         self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
         self.piece = _Cache(lambda piece: array("I", [t.id for t in self.merge(piece)]).tobytes())
         self.head, self.tail = _Cache(self.encode_part), _Cache(self.encode_tail)
+        self.common = _Cache(self.encode_piece)
+        self.cut = PIECES.findall if self.splits is not None and all(self._agree(x) for x in _PROBES) else None
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -84,6 +97,15 @@ class Encoder:
         """Free what a worker keeps, where later tasks need no tokenizer."""
         cls._made.clear()
 
+    def _agree(self, probe: str) -> bool:
+        """Whether PIECES cuts a text where the tokenizer does."""
+        return [probe[a:b] for _, (a, b) in self.splits(probe)] == PIECES.findall(probe)
+
+    def encode_piece(self, piece: str) -> bytes:
+        """Ids of one piece as it stands in the text."""
+        written = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.merge(written)]).tobytes()
+
     def encode_part(self, text: str) -> bytes:
         if self.splits is None:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -91,6 +113,8 @@ class Encoder:
 
     def encode_tail(self, part: str) -> bytes:
         """Ids of a blank and what follows it. Letters alone, or letters and then signs, are split without the tokenizer."""
+        if self.cut is not None and not _UNCOMMON.search(part):
+            return b"".join(map(self.common.__getitem__, self.cut(" " + part)))
         word = part.rstrip(SIGNS)
         if self.splits is None or not word.isalpha():
             return self.encode_part(" " + part)
@@ -105,6 +129,8 @@ class Encoder:
         """Ids as unsigned 32-bit integers; null is an empty text."""
         if not text:
             return np.zeros(0, "<u4")
+        if self.cut is not None and not _UNCOMMON.search(text):
+            return np.frombuffer(b"".join(map(self.common.__getitem__, self.cut(text))), "<u4")
         if self.splits is None or _GROUPED.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         parts = text.split(" ")
