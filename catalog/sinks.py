@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from catalog.views import AS_OF, now, source_table, table
-from docmill.functions.variants import payload_hash
+from docmill.functions.variants import last_key_wins, payload_hash
 from docmill.model import RAW
 from docmill.operators import upsert
 from docmill.plans import ingestion, publish
-from docmill.session import work_dir
+from docmill.session import work_dir, written
 from docmill.sources import landed
 
 RUN = 2
@@ -27,7 +27,8 @@ _STATUS = f"""
 
 
 def stored(spark, sf):
-    return table(spark, sf, "v_stored").withColumn("payload_hash", payload_hash(F.col("payload")))
+    """The stored layer, as a table with its hashes."""
+    return written(table(spark, sf, "v_stored").withColumn("payload_hash", payload_hash(F.col("payload"))), "stored")
 
 
 def batch(spark, sf):
@@ -44,6 +45,16 @@ def snk_payload_hash(spark, sf):
     return rows.select("source", "external_id", "seq", payload_hash(turned).alias("payload_hash"))
 
 
+@query("snk_payload_last_wins", f"""
+SELECT source, external_id, seq, {HASH} AS payload_hash FROM v_batch
+""")
+def snk_payload_last_wins(spark, sf):
+    """A payload that names a field twice means its last value: it hashes like the payload with that value alone."""
+    last_key_wins(spark)
+    doubled = F.regexp_replace("payload", r"^\{", '{"priority":"none","cents":{"a":1,"a":2},')
+    return table(spark, sf, "v_batch").select("source", "external_id", "seq", payload_hash(doubled).alias("payload_hash"))
+
+
 @query("snk_upsert_bronze", f"""
 WITH b AS (SELECT *, {HASH} AS h FROM v_batch),
   l AS (SELECT source, external_id, arg_max(payload, seq) AS payload, arg_max(h, seq) AS h, min(h) AS lo, max(h) AS hi

@@ -41,8 +41,8 @@ def st_dedup_overlap(spark, sf):
     rows.filter(F.col("ts") > latest - F.expr("INTERVAL 14 DAYS")).write.mode("append").parquet(path)
     stream = ingest.read_table_stream(spark, path, "event_id BIGINT, ts TIMESTAMP, hash STRING", files_per_trigger=1)
     out = work_dir(spark, "once")
-    ingest.append_to(ingest.drop_rereads(stream, ["event_id", "hash"]), out, work_dir(spark, "once-state"))
-    return spark.read.schema(rows.schema).parquet(out)
+    ingest.append_once(stream, ["event_id", "ts", "hash"], "ts", out, work_dir(spark, "once-state"))
+    return spark.read.schema(rows.schema).parquet(out).select(*rows.columns)
 
 
 @query("st_upsert", f"""

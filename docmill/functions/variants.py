@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import ast
-
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from docmill.functions.text import strip, strip_or_none
 
@@ -51,19 +47,45 @@ def clean_str_list(v: Column) -> Column:
     return F.when(kind(v).isin("ARRAY<STRING>", "ARRAY<VOID>") & whole, clean_items(items))
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def escaped_list(texts: pd.Series) -> pd.Series:
-    """Escaped list literals only: the one shape the JSON reader cannot take."""
+# String literals of the list texts, their escapes, and what the one-letter escapes mean. Half of a surrogate pair
+# and characters by name are refused.
+_CODE = r"x[0-9a-fA-F]{2}|u(?![dD][89a-fA-F])[0-9a-fA-F]{4}|U(?:0010|000(?!0[dD][89a-fA-F])[0-9a-fA-F])[0-9a-fA-F]{4}|[0-7]{1,3}"
+_ESCAPE = rf"\\(?:{_CODE}|[^xuUN0-7])"
+_STRING = rf"""(?:[uU]?(?:'(?:[^'\\\r\n]|{_ESCAPE})*+'|"(?:[^"\\\r\n]|{_ESCAPE})*+")|[rR](?:'(?:[^'\\\r\n]|\\.)*+'|"(?:[^"\\\r\n]|\\.)*+"))"""
+_STRINGS = rf"{_STRING}(?:\s*{_STRING})*+"
+LIST_LITERAL = rf"(?s)\A\s*\[\s*(?:{_STRINGS}\s*(?:,\s*{_STRINGS}\s*)*+,?)?\s*\]\s*\z"
+LETTERS = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f", "a": "\a", "v": "\v", "\\": "\\", "'": "'", '"': '"', "\n": ""}
+
+
+def _unescaped(piece: Column) -> Column:
+    """A run of plain characters as it is, an escape as what it stands for; an unknown one stands for itself."""
+    letter, code = F.substring(piece, 2, 1), F.substring(piece, 3, 8)
+    of_code = lambda digits: F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+    letters = F.create_map(*[F.lit(x) for pair in LETTERS.items() for x in pair])
+    return (
+        F.when(~F.startswith(piece, F.lit("\\")), piece)
+        .when(letter.isin("x", "u", "U"), of_code(code))
+        .when(letter.between("0", "7"), of_code(F.conv(F.substring(piece, 2, 3), 8, 16)))
+        .otherwise(F.coalesce(F.try_element_at(letters, letter), piece)))
 
-    def read(text: str) -> list[str] | None:
-        try:
-            value = ast.literal_eval(text.strip())
-        except (ValueError, SyntaxError):
-            return None
-        ok = isinstance(value, list) and all(isinstance(item, str) for item in value)
-        return value if ok else None
 
-    return texts.map(read, na_action="ignore")
+def _string_value(token: Column) -> Column:
+    """The text of one string literal."""
+    body = F.regexp_extract(token, r"(?s)\A[uUrR]?.(.*).\z", 1)
+    pieces = F.regexp_extract_all(body, F.lit(rf"(?s){_ESCAPE}|[^\\]+"), F.lit(0))
+    plain = ~F.contains(token, F.lit("\\")) | F.substring(token, 1, 1).isin("r", "R")
+    return F.when(plain, body).otherwise(F.array_join(F.transform(pieces, _unescaped), ""))
+
+
+def list_literal(c: Column) -> Column:
+    """Items of a list literal of strings, whatever their escapes; NULL for any other text.
+
+    Strings beside each other are one item. Not read: strings in three quotes that hold quotes or line feeds, items in
+    parentheses, and comments.
+    """
+    items = F.regexp_extract_all(c, F.lit(rf"(?s){_STRINGS}"), F.lit(0))
+    of_item = lambda item: F.array_join(F.transform(F.regexp_extract_all(item, F.lit(rf"(?s){_STRING}"), F.lit(0)), _string_value), "")
+    return F.when(c.rlike(LIST_LITERAL), F.transform(items, of_item))
 
 
 def EMPTY_LIST() -> Column:  # noqa: N802 - reads as a constant
@@ -82,14 +104,13 @@ def list_text_items(c: Column) -> Column:
 def parse_list_text(c: Column, escapes: bool = False) -> Column:
     """List literal held in text, items trimmed, blanks dropped; NULL when malformed.
 
-    Plain quoted items are read natively. ``escapes=True`` adds an Arrow-batched branch for
-    texts the native pattern refuses although they begin like a list.
+    ``escapes=True`` reads every list literal of strings, otherwise only escapes that JSON has too.
     """
     plain = c.rlike(LIST_TEXT)
     items = F.when(plain, list_text_items(c))
     if escapes:
         residue = F.when(~plain & F.startswith(strip(c), F.lit("[")), c)
-        items = F.coalesce(items, escaped_list(residue))
+        items = F.coalesce(items, list_literal(residue))
     return clean_items(items)
 
 
@@ -112,3 +133,8 @@ def canonical_json(text: Column) -> Column:
 def payload_hash(text: Column) -> Column:
     """SHA-256 of the canonical form, so key order and spacing do not matter."""
     return F.sha2(canonical_json(text), 256)
+
+
+def last_key_wins(spark: SparkSession) -> None:
+    """From now on the session reads a repeated key of a JSON object as its last value, as common JSON readers do."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")

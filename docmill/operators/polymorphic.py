@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docmill.functions.text import strip
 from docmill.functions.variants import (
-    EMPTY_LIST, LIST_TEXT, clean_items, escaped_list, field, kind, list_text_items,
+    EMPTY_LIST, LIST_TEXT, clean_items, field, kind, list_literal, list_text_items,
 )
 
 
@@ -40,7 +40,7 @@ def with_str_lists(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
         f"{a}_i": F.coalesce(
             F.col(f"{a}_i"),
             F.when(F.col(f"{a}_p"), list_text_items(F.col(f"{a}_t"))),
-            escaped_list(F.when(~F.col(f"{a}_p") & F.col(f"{a}_t").contains("["), F.col(f"{a}_t"))))
+            list_literal(F.when(~F.col(f"{a}_p") & F.col(f"{a}_t").contains("["), F.col(f"{a}_t"))))
         for a in fields
     })
     return out.withColumns({

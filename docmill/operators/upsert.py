@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docmill.session import written
+
 KEY = ["source", "external_id"]
 # A key repeated without end is cut into ranges of this many sequence numbers.
 SEQ_SPAN = 100_000
@@ -32,26 +34,41 @@ def last_per_key(batch: DataFrame) -> DataFrame:
     ).select(*KEY, "last.payload", "last.payload_hash", "low_hash", "high_hash")
 
 
+def decisions(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """What becomes of each key of the batch, by keys and hashes alone: ``known`` (it is stored), ``differs`` (some row of the
+    batch differed from the stored hash, so it was updated at least once), and the last row's ``seq`` and hash."""
+    last = readable(batch).groupBy(*KEY).agg(
+        F.max(F.struct("seq", "payload_hash")).alias("last"), F.min("payload_hash").alias("low"), F.max("payload_hash").alias("high"))
+    old = F.col("_hash")
+    differs = old.isNull() | (F.col("low") != old) | (F.col("high") != old)
+    found = last.join(stored.select(*KEY, F.col("payload_hash").alias("_hash"), F.lit(True).alias("_known")), KEY, "left")
+    return found.select(
+        *KEY, F.col("last.seq").alias("seq"), F.col("last.payload_hash").alias("payload_hash"),
+        F.coalesce("_known", F.lit(False)).alias("known"), differs.alias("differs"))
+
+
 def upsert(stored: DataFrame, batch: DataFrame, run_id: int, now: Column) -> DataFrame:
-    """New version of the stored table after the batch."""
-    old, new = stored.alias("old"), last_per_key(batch).alias("new")
-    seen = F.col("new.payload_hash").isNotNull()
-    # Some row of the batch differed from the stored hash: it was updated at least once.
-    differs = seen & (
-        F.col("old.payload_hash").isNull()
-        | (F.col("new.low_hash") != F.col("old.payload_hash"))
-        | (F.col("new.high_hash") != F.col("old.payload_hash"))
-    )
-    run = F.lit(run_id).cast("bigint")
-    return old.join(new, KEY, "full_outer").select(
+    """New version of the stored table after the batch.
+
+    First the decisions, then payloads: only those of new and changed rows are fetched from the batch. Both results are stored, so
+    their size is known; while they may be broadcast by it, no payload is shuffled at all, neither of the batch nor of the table.
+    """
+    decided = written(decisions(stored, batch), "decisions")
+    moved = decided.filter("differs").select(*KEY, "seq", "payload_hash")
+    payloads = readable(batch).join(moved, [*KEY, "seq", "payload_hash"]).groupBy(*KEY).agg(F.max("payload").alias("payload"))
+    changes = written(decided.join(payloads, KEY, "left"), "changes")
+    new, old, run = changes.alias("new"), stored.alias("old"), F.lit(run_id).cast("bigint")
+    seen, differs = F.col("new.differs").isNotNull(), F.coalesce("new.differs", F.lit(False))
+    kept = old.join(new, KEY, "left").select(
         *KEY,
-        F.when(differs, F.col("new.payload")).otherwise(F.col("old.payload")).alias("payload"),
-        F.when(differs, F.col("new.payload_hash")).otherwise(F.col("old.payload_hash"))
-        .alias("payload_hash"),
-        F.coalesce("old.first_seen_run", run).alias("first_seen_run"),
+        *[F.when(differs, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in ("payload", "payload_hash")],
+        "old.first_seen_run",
         F.when(seen, run).otherwise(F.col("old.last_seen_run")).alias("last_seen_run"),
         F.when(differs, now).otherwise(F.col("old.updated_at")).alias("updated_at"),
     )
+    added = changes.filter(~F.col("known")).select(
+        *KEY, "payload", "payload_hash", run.alias("first_seen_run"), run.alias("last_seen_run"), now.alias("updated_at"))
+    return kept.unionByName(added)
 
 
 def previous_in_key(batch: DataFrame, value: str, alias: str) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docmill.functions.variants import last_key_wins
 from docmill.model import RUNS
 from docmill.operators import upsert
 from docmill.plans import publish
-from docmill.session import written
+from docmill.session import remove_written, work_dir, written, written_so_far
 from docmill.sources import landed
 
 
@@ -24,12 +25,15 @@ def ingest(batch: DataFrame, stored: DataFrame, run_id: int, started_at: Column,
     Records without identifier and unreadable payloads are counted and stored nowhere. The version
     is written once and read by key from then on; a failing write leaves the published one as it is.
     """
-    spark = batch.sparkSession
+    spark, mark = batch.sparkSession, written_so_far()
+    last_key_wins(spark)
     batch = written(batch, "batch")
     kept, missing = landed.split_missing_id(batch)
     statuses = upsert.sequential_status(stored, kept).select("source", "status").unionByName(
         missing.select("source", F.lit(None).cast("string").alias("status")))
-    counters = written(upsert.ingest_counts(statuses, ["source"]), "counters")
+    counted = work_dir(spark, "counters")
+    upsert.ingest_counts(statuses, ["source"]).write.parquet(counted)
+    counters = spark.read.parquet(counted)
     path = publish.write_version(upsert.upsert(stored, kept, run_id, now), root, version)
     publish.publish(spark, f"{root}/versions", dataset, version, path, now)
     rows = counters.select(
@@ -39,4 +43,5 @@ def ingest(batch: DataFrame, stored: DataFrame, run_id: int, started_at: Column,
         F.col("fetched").cast("int").alias("nb_fetched"), F.col("new").cast("int").alias("nb_new"),
         F.col("changed").cast("int").alias("nb_changed"), F.lit(None).cast("string").alias("error"))
     rows.write.mode("append").parquet(f"{root}/runs")
+    remove_written(spark, mark, keep=[root, counted])
     return counters, spark.read.schema(RUNS).parquet(f"{root}/runs").filter(F.col("run_id") == run_id)

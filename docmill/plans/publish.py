@@ -108,6 +108,21 @@ def retention_after(folders: DataFrame, published: DataFrame, keep: int = 2, pat
     )
 
 
+def apply_retention(spark: SparkSession, root: str, versions_path: str, dataset: str, keep: int = 2) -> list[str]:
+    """Delete the version folders under ``root`` that retention drops; returns their names. Readers resolve published versions
+    only, and the last ``keep`` of those stay."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [s.getPath().getName() for s in found if s.isDirectory() and s.getPath().getName().startswith(f"{dataset}_")]
+    folders = spark.createDataFrame([(dataset, n) for n in names], "dataset string, version string")
+    published = spark.read.schema(VERSIONS).parquet(versions_path).filter(F.col("dataset") == dataset)
+    plan = retention_after(folders, published.select("dataset", "version", "published_at"), keep)
+    dropped = sorted(r["version"] for r in plan.filter("action = 'drop'").collect())  # one row per folder
+    for name in dropped:
+        discard(spark, f"{root}/{name}")
+    return dropped
+
+
 def retention_plan(versions: DataFrame, keep: int = 2, pattern: str = VERSION_PATTERN) -> DataFrame:
     """Which versions stay: the newest ``keep`` of each dataset; foreign names are left alone."""
     named = versions.filter(F.col("version").rlike(pattern))

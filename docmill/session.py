@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,12 +52,18 @@ def _own_folder(spark: SparkSession) -> str:
     return _own_folders[application]
 
 
-def remove_written(spark: SparkSession) -> None:
-    """Delete all work folders of this process, in whatever store they are. For the end of a job:
-    frames that read them can no longer be used."""
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+def written_so_far() -> int:
+    """A mark for ``remove_written``."""
+    return len(_written)
+
+
+def remove_written(spark: SparkSession, since: int = 0, keep: Sequence[str] = ()) -> None:
+    """Delete the work folders of this process (those made since a mark, but for the kept ones), in whatever store they are.
+    For the end of a job or of a step: frames that read them can no longer be used."""
+    for folder in [p for p in _written[since:] if p not in keep]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _written.remove(folder)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

@@ -9,8 +9,11 @@ and the few log folders after it, never the whole log.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docmill.operators.upsert import KEY, last_per_key
@@ -50,13 +53,39 @@ def drop_rereads(records: DataFrame, key: list[str]) -> DataFrame:
     """Drop versions that were read before, in this micro-batch or any earlier one.
 
     There is no watermark, so a late record is never dropped; a micro-batch costs in proportion to
-    itself, and the keys seen are kept as state (with the RocksDB provider, on executors' disks
-    and in the checkpoint). A pre-filter only: content that changes and then reverts loses its
+    itself, and the keys seen are kept as state, in memory unless the session names another
+    provider; ``append_once`` needs none. A pre-filter only: content that changes and then reverts loses its
     last version here, so the upsert below is authoritative and does not need this step.
     """
     return records.dropDuplicates(key)
 
 
+def append_once(stream: DataFrame, key: list[str], moment: str, path: str, checkpoint: str) -> None:
+    """Append the versions (``key``) that were not stored before, in this micro-batch or any earlier one, however late they come.
+
+    What is stored is itself the memory: a micro-batch reads the keys of the days it touches (``moment`` belongs to the version, so
+    all its reads fall on one day), so nothing is held in executors' memory, and what it costs does not grow with what other days
+    hold. A replayed micro-batch overwrites its own folder.
+    """
+    spark = stream.sparkSession
+    stored = T.StructType(list(stream.schema)).add("batch_id", T.LongType()).add("day", T.DateType())
+    spark.createDataFrame([], stored).drop("batch_id").write.mode("ignore").parquet(f"{path}/batch_id=-1/day=1970-01-01")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = written(batch.dropDuplicates(key).withColumn("day", F.to_date(moment)), "versions")
+        days = [r["day"] for r in rows.select("day").distinct().collect()]  # of one micro-batch
+        touched = F.col("day").isin([d for d in days if d is not None])
+        if None in days:
+            touched = touched | F.col("day").isNull()
+        known = spark.read.schema(stored).parquet(path).filter((F.col("batch_id") < batch_id) & touched).select(*key)
+        same = [rows[k].eqNullSafe(known[k]) for k in key]
+        fresh = rows.join(known, reduce(lambda a, b: a & b, same), "left_anti")
+        fresh.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={batch_id}")
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def bucket() -> Column:
     return F.pmod(F.xxhash64(*KEY), F.lit(BUCKETS)).cast("int")
 

@@ -167,3 +167,42 @@ def test_links_with_dot_segments(spark):
     links = ["../x", "./x", "/x/../y", "..", ".", "../../../x", "x/./y/../z?p=../q#../r", "../", "x/..", "/./", "...", "/a/..b/c", "https://o/../x"]
     got = column(spark, links, lambda c: urls.absolute_url(F.lit(base), c))
     assert got == [urljoin(base, link) for link in links]
+
+
+def test_list_literals_are_read_as_the_language_reads_them(spark):
+    """Drawn list texts, with every kind of escape, against the language's own reader."""
+    import ast
+    import random
+    import warnings
+
+    rng = random.Random(4)
+    bits = ["a", "é", " ", ",", "[", "]", "日", "'", '"', "\\\\", "\\'", '\\"', "\\n", "\\t", "\\a", "\\v", "\\x41", "\\xe9", "\\u00e9", "\\u65e5", "\\U0001F600",
+            "\\101", "\\7", "\\0", "\\d", "\\ ", "\\x4", "\\u12", "\\U00110000", "\\\n", "\\"]
+
+    def literal():
+        quote = rng.choice("'\"")
+        body = "".join(b for b in rng.choices(bits, k=rng.randint(0, 6)) if b != quote)
+        return f"{rng.choice(['', '', '', 'r', 'u', 'R'])}{quote}{body}{quote}"
+
+    texts = ["[" + rng.choice([", ", ",", " , ", ",\n"]).join(" ".join(literal() for _ in range(rng.choice([1, 1, 1, 2]))) for _ in range(rng.randint(0, 4))) + rng.choice(["]", "]", ",]", " ] "]) for _ in range(900)]
+    texts += ["['a' 'b', r'\\d' \"c\"]", "[b'a']", "[f'a']", "['a', 1]", "[('a')]]", "[,]", "['a'", "[]", "[ ]", None, "['\\\\', '\\'']"]
+
+    def read(text):
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                value = ast.literal_eval(text.strip())
+        except (ValueError, SyntaxError, AttributeError):
+            return None
+        return value if isinstance(value, list) and all(isinstance(x, str) for x in value) else None
+
+    got = column(spark, texts, variants.list_literal)
+    wrong = [(t, g, read(t)) for t, g in zip(texts, got, strict=True) if g != read(t)]
+    assert not wrong, wrong[:5]
+    assert sum(g is None for g in got) > 100 and sum(bool(g) for g in got) > 300
+
+
+def test_repeated_keys_keep_the_last_value(spark):
+    variants.last_key_wins(spark)
+    got = column(spark, ['{"a":1,"b":2,"a":3}', '{"b":2,"a":3}', '{"a":{"x":1,"x":2}}', '{"a":{"x":2}}', "{"], variants.payload_hash)
+    assert got[0] == got[1] and got[2] == got[3] and got[4] is None

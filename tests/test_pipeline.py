@@ -233,3 +233,76 @@ def test_snapshots_stand_in_for_the_log(spark, monkeypatch):
         wrote = spark.read.parquet(f"{log}/batch_id={n}").collect()
         assert {r.external_id: r.status for r in wrote} == want
     assert {r.external_id: r.payload for r in ingest.current_state(spark, log).collect()} == state
+
+
+def test_upsert_moves_no_payload_of_unchanged_rows(spark):
+    """Small batches: the table's rows stay where they are, and so do the batch's payloads."""
+    import re
+
+    stored = make_stored(spark, [(f"k{i}", "a") for i in range(50)])
+    path = work_dir(spark, "layer")
+    stored.write.parquet(path)
+    batch = make_batch(spark, [(f"k{i}", 1, "b" if i == 3 else "a") for i in range(20)] + [("new", 1, "c"), ("new", 2, "d")])
+    out = apply(spark, spark.read.schema(stored.schema).parquet(path), batch)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(re.search(r"Exchange (hash|round|range)", line) for line in plan.splitlines()), plan
+    rows = {r.external_id: (r.payload, r.first_seen_run, r.last_seen_run, r.updated_at is not None) for r in out.collect()}
+    assert len(rows) == 51 and rows["new"] == ("d", 2, 2, True) and rows["k3"] == ("b", 1, 2, True)
+    assert all(rows[f"k{i}"] == ("a", 1, 2 if i < 20 else 1, False) for i in range(50) if i != 3)
+
+
+def test_upsert_is_a_plain_loop(spark):
+    rng, state = random.Random(8), {f"k{i}": "a" for i in range(12)}
+    stored = make_stored(spark, list(state.items()))
+    rows = [(f"k{rng.randrange(16)}", i, rng.choice("abc")) for i in range(60)]
+    touched = set()
+    for key, _, value in rows:
+        if state.get(key) != value:
+            touched.add(key)
+        state[key] = value
+    got = {r.external_id: r for r in apply(spark, stored, make_batch(spark, rows)).collect()}
+    assert {k: r.payload for k, r in got.items()} == state
+    assert {k for k, r in got.items() if r.updated_at is not None} == touched
+    assert {k for k, r in got.items() if r.last_seen_run == 2} == {k for k, _, _ in rows}
+
+
+def test_versions_are_appended_once(spark):
+    """One file a micro-batch, days in any order, repeats inside and across them, null keys and moments; a replay adds nothing."""
+    path, out, state = work_dir(spark, "reads"), work_dir(spark, "once"), work_dir(spark, "once-state")
+    rng, wanted = random.Random(2), set()
+    for _ in range(5):
+        rows = [(rng.choice([None, *range(6)]), rng.choice([None, *range(1, 6)])) for _ in range(30)]
+        wanted |= set(rows)
+        spark.createDataFrame(rows, "id int, day int").selectExpr("id", "day AS d", "make_timestamp(2026, 1, day, 0, 0, 0) AS ts").coalesce(1).write.mode("append").parquet(path)
+    stream = ingest.read_table_stream(spark, path, "id int, d int, ts timestamp", files_per_trigger=1)
+    ingest.append_once(stream, ["id", "d", "ts"], "ts", out, state)
+    got = [(r.id, r.d) for r in spark.read.schema("id int, d int, ts timestamp").parquet(out).collect()]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
+    ingest.append_once(stream, ["id", "d", "ts"], "ts", out, state)
+    assert spark.read.schema("id int, d int, ts timestamp").parquet(out).count() == len(wanted)
+
+
+def test_retention_deletes_what_it_drops(spark, tmp_path):
+    root = str(tmp_path)
+    names = [f"decisions_2026010{i}_020000" for i in range(1, 6)]
+    for i, name in enumerate(names):
+        (tmp_path / name).mkdir()
+        if i not in (1, 4):  # two builds were refused, the newest name among them
+            publish.publish(spark, f"{root}/versions", "decisions", name, f"{root}/{name}", F.lit(f"2026-01-0{i + 1} 02:00:00").cast("timestamp"))
+    (tmp_path / "decisions_copy").mkdir()
+    (tmp_path / "other_20260101_020000").mkdir()
+    assert publish.apply_retention(spark, root, f"{root}/versions", "decisions") == [names[0], names[1], names[4]]
+    assert {p.name for p in tmp_path.iterdir()} == {names[2], names[3], "decisions_copy", "other_20260101_020000", "versions"}
+
+
+def test_work_folders_are_removed(spark):
+    from docmill import session
+
+    first = session.work_dir(spark, "kept-before")
+    mark = session.written_so_far()
+    kept, gone = session.work_dir(spark, "kept"), session.work_dir(spark, "gone")
+    for path in (first, kept, gone):
+        spark.range(3).write.parquet(path)
+    session.remove_written(spark, mark, keep=[kept])
+    assert spark.read.parquet(first).count() == spark.read.parquet(kept).count() == 3
+    assert not publish.exists(spark, gone)

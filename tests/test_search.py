@@ -130,7 +130,7 @@ def test_survey_inventory_is_registered():
 
 
 NATIVE = ["prj_court_to_silver", "fn_parse_iso_date", "qe_evaluate", "jn_anti_normalized", "snk_upsert_bronze", "tx_total_hits",
-          "db_value_threshold", "fd_targets", "snk_publish_gate"]
+          "db_value_threshold", "fd_targets", "snk_publish_gate", "prj_authority_to_silver", "fn_parse_str_list", "so_silver_union"]
 
 
 @pytest.mark.parametrize("name", NATIVE)
