@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from docmill.llm.frames import whole_row
 from docmill.llm.kernels import ALNUM, slices
-from docmill.session import work_dir
+from docmill.session import work_dir, written
 
 WINDOW = 10
 NEAR = WINDOW + 2
@@ -184,9 +184,10 @@ def search(index: DataFrame, items: DataFrame, size: int = WINDOW, near: int | N
     asked = index.sparkSession.read.schema("item string, terms binary").parquet(path)
     blocks = max(1, -(-asked.count() // QUERY_WINDOWS))
     spread = F.pmod(F.xxhash64("item", "terms"), F.lit(blocks))
-    found = [find(index, [tuple(r) for r in asked.where(spread == b).collect()], near) for b in range(blocks)]
     if blocks == 1:
-        return found[0]
+        return find(index, [tuple(r) for r in asked.collect()], near)
+    # One block after another: its windows are collected, sent, matched and its hits stored before the next one's are collected.
+    found = [written(find(index, [tuple(r) for r in asked.where(spread == b).collect()], near), "hits") for b in range(blocks)]
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)

@@ -1,13 +1,11 @@
 """URL filter: pattern rules indexed by their rarest literal token; a URL's tokens fetch the rules worth running.
 
 DataFrame functions only. The token counts over all URLs decide which of its literal tokens indexes a rule; rules without a
-literal token are run on every URL. A rule is a regular expression over `host/path` (a slash between, as no host holds one; the
+literal token are run on every URL. The index is a map from tokens to rules in the expression itself: the rules are a parameter,
+and no row is moved for them. A rule is a regular expression over `host/path` (a slash between, as no host holds one; the
 path with its query and fragment cut off) or over the whole URL, so that only fetched rules run. Longest rule text wins; of equally long
 ones a blocking rule, then the greater text.
 
-Verdicts depend on the URL alone: each distinct URL is judged once and joined back, so a URL that fills a third of the table
-is one row of the work, and adaptive execution splits its rows in the join back.
-
 Defined cases: a null URL or one without `://` has an empty host and path and fits no rule; it is judged like any URL that no
 rule fits. Repeated rows each get their verdict; an empty table gives an empty result; other columns stay, and columns named
 like the added ones are replaced.
@@ -73,49 +71,49 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     )
 
 
-def rule_frame(spark, rules: tuple[Rule, ...]) -> DataFrame:
-    return spark.createDataFrame(
-        [(r.text, r.verdict, r.pattern, sorted(set(r.tokens)), r.whole) for r in rules],
-        "rule_text string, rule_verdict string, pattern string, literals array<string>, whole boolean",
-    )
-
-
-def _fits(rule: Column | None = None) -> Column:
-    return F.expr("CASE WHEN whole THEN rlike(url, pattern) ELSE rlike(concat(host, '/', path), pattern) END")
-
-
-def _winner(hits: DataFrame, prefix: str) -> DataFrame:
-    best = F.max(F.struct(F.length("rule_text").alias("n"), (F.col("rule_verdict") == "block").alias("b"), F.col("rule_text").alias("text"), F.col("rule_verdict").alias("verdict")))
-    return hits.groupBy("url").agg(best.alias("best")).select("url", F.col("best.text").alias(f"{prefix}_rule"), F.col("best.verdict").alias(f"{prefix}_verdict"))
-
-
-def fetched(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """(url, rule) rows that fit: a rule is tried where its rarest token stands in the URL, or everywhere if it has none."""
-    tokens = urls.withColumn("token", F.explode(F.array_distinct(F.split(F.lower("url"), TOKEN))))
-    literals = rules.select("rule_text", F.explode("literals").alias("token"))
-    counts = tokens.join(literals.select("token").distinct(), "token", "left_semi").groupBy("token").count()
-    indexed = literals.join(counts, "token", "left").groupBy("rule_text").agg(
-        F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token")).alias("rarest")
-    ).select("rule_text", F.col("rarest.token").alias("token"))
-    by_token = tokens.join(rules.drop("literals").join(indexed, "rule_text"), "token").drop("token")
-    bare = rules.where(F.size("literals") == 0).drop("literals").withColumn("every", F.lit(1))
-    everywhere = urls.withColumn("every", F.lit(1)).join(bare, "every").drop("every")
-    return by_token.unionByName(everywhere).where(_fits())
+def rarest_tokens(pages: DataFrame, rules: tuple[Rule, ...]) -> dict[str, str]:
+    """For each rule with literal tokens the one that stands in the fewest URLs (ties by name)."""
+    literals = sorted({t for r in rules for t in r.tokens})
+    there = F.array_intersect(F.split(F.lower("url"), TOKEN), F.array(*map(F.lit, literals)).cast("array<string>"))
+    counted = pages.select(F.explode(there).alias("token")).groupBy("token").count().collect()  # the rules' tokens at most
+    count = {r["token"]: r["count"] for r in counted}
+    return {r.text: min(r.tokens, key=lambda t: (count.get(t, 0), t)) for r in rules if r.tokens}
+
+
+def winner(rules: tuple[Rule, ...], rarest: dict[str, str], tokens: Column, url: Column, place: Column) -> Column:
+    """The winning rule (struct of text and verdict) of one URL: its tokens fetch rules by number, and only those run."""
+    numbered = sorted(rules, key=lambda r: (len(r.text), r.verdict == "block", r.text), reverse=True)
+    if not numbered:
+        return F.lit(None).cast("struct<text:string,verdict:string>")
+    by_token: dict[str, list[int]] = {}
+    for i, r in enumerate(numbered):
+        if r.tokens:
+            by_token.setdefault(rarest[r.text], []).append(i)
+    index = F.create_map(*[x for t, own in sorted(by_token.items()) for x in (F.lit(t), F.array(*map(F.lit, own)))]).cast("map<string,array<int>>")
+    listed = F.array(*[F.struct(F.lit(r.text).alias("text"), F.lit(r.verdict).alias("verdict"), F.lit(r.pattern).alias("pattern"), F.lit(r.whole).alias("whole")) for r in numbered])
+    everywhere = F.array(*[F.lit(i) for i, r in enumerate(numbered) if not r.tokens]).cast("array<int>")
+    fetched = F.flatten(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(index, t), F.array().cast("array<int>"))))
+    tried = F.array_sort(F.array_distinct(F.concat(everywhere, fetched)))  # in the order in which rules win
+    rule = lambda i: F.get(listed, i)
+    fits = F.filter(tried, lambda i: F.when(rule(i)["whole"], F.rlike(url, rule(i)["pattern"])).otherwise(F.rlike(place, rule(i)["pattern"])))
+    best = rule(F.get(fits, F.lit(0)))
+    return F.when(F.size(fits) > 0, F.struct(best["text"].alias("text"), best["verdict"].alias("verdict")))
 
 
 def judge(pages: DataFrame, host_rules: tuple[Rule, ...] = HOST_RULES, patterns: tuple[Rule, ...] = PATTERN_RULES, default: str = DEFAULT) -> DataFrame:
-    """The rows with host, path, rule (null where none of the list fits), method_rule and verdict added."""
-    spark = pages.sparkSession
-    host, path = url_parts(F.col("url"))
-    urls = pages.select("url").where(F.col("url").isNotNull()).distinct().withColumns({"host": host, "path": path})
-    listed = _winner(fetched(urls.where("host != ''"), rule_frame(spark, host_rules)), "list")
-    method = _winner(fetched(urls, rule_frame(spark, patterns)), "method")
-    found = listed.join(method, "url", "full")
+    """The rows with host, path, rule (null where none of the list fits), method_rule and verdict added; one pass, no shuffle."""
+    rarest = rarest_tokens(pages, (*host_rules, *patterns))
+    host, path = url_parts(F.col("row.url"))
     rest = pages.drop("host", "path", "rule", "method_rule", "verdict")
-    return rest.select(whole_row(rest), "url").join(found, "url", "left").select(
-        "row.*", host.alias("host"), path.alias("path"), F.col("list_rule").alias("rule"),
-        F.col("method_rule"), F.coalesce("list_verdict", "method_verdict", F.lit(default)).alias("verdict"),
-    )
+    rows = rest.select(whole_row(rest)).select(
+        "row", host.alias("host"), path.alias("path"), F.array_distinct(F.split(F.lower("row.url"), TOKEN)).alias("tokens"))
+    place = F.concat("host", F.lit("/"), "path")
+    rows = rows.select("row", "host", "path", *(
+        F.when(F.col("row.url").isNotNull() & sure, winner(rules, rarest, F.col("tokens"), F.col("row.url"), place)).alias(name)
+        for name, rules, sure in (("listed", host_rules, F.col("host") != ""), ("method", patterns, F.lit(True)))))
+    return rows.select(
+        "row.*", "host", "path", F.col("listed.text").alias("rule"), F.col("method.text").alias("method_rule"),
+        F.coalesce("listed.verdict", "method.verdict", F.lit(default)).alias("verdict"))
 
 
 def sql() -> str:
