@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docmill.llm import decontaminate, packing, quality_fm, secrets, simhash
 from docmill.llm.frames import table
-from docmill.session import work_dir
+from docmill.session import remove_written, work_dir, written_so_far
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), written_so_far()
     for name, stage in STAGES:
         path = work_dir(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        remove_written(spark, mark, keep=[path])  # the stage's input and what it wrote on the way
     return docs
