@@ -11,18 +11,24 @@ block with fewer template words than needed is out by length. Let a block's firs
 the template's n: it can reach 1 + min(n - i - 1, its template words after that one), and is out by position if that is too few.
 What is left is counted in full. Blocks that begin between two of
 the template's words hold no more than the one that begins at the next, so only those that begin at one are looked at.
-The template list is a parameter of bounded size; the documents are only scanned.
+
+Notices of different licenses share most of their words, so containment alone does not tell them apart. Each template names its
+telling phrases; a block is labelled only if each of them stands in it, word after word. A template without any takes every block.
+
+Templates are driver-side parameters. They are joined in parts of at most `PART_BYTES`, each part by one more narrow scan that adds
+its labels, so a list of any length is whole and what a task holds stays bounded.
 
 Base phrases label a document wherever their words stand one after another, also across lines. Defined cases: null or empty
 text has no words, labels or places and a score of 0; equal rows are each returned; ties between templates keep all labels;
-no template gives base labels only.
+no template gives base labels only; an empty table gives no row; other columns are kept, those named as an added one replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import ceil
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,24 +43,105 @@ CONTAINMENT = 0.8
 SPREAD = 2
 #: Phrases and their labels, as fixed values.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Short public license notices.
-TEMPLATES = {
-    "apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "mit": "Released under the MIT License",
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
-    "cc-by-nc": "Licensed under CC BY-NC 4.0",
-    "cc-by-sa": "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "public-domain": "This is free and unencumbered software released into the public domain",
-}
-MAX_TEMPLATE_BYTES = 1 << 20
+#: Bytes of the templates that one scan joins.
+PART_BYTES = 1 << 20
+
+
+class Notice(NamedTuple):
+    """A license notice: its label, its text and the phrases of it without which a block is another license's."""
+
+    label: str
+    text: str
+    telling: tuple[str, ...] = ()
+
+
+#: Public license notices, the paragraph that names or grants the license, as fixed values.
+TEMPLATES = (
+    Notice("apache-2.0", "Licensed under the Apache License, Version 2.0", ("apache license", "version 2 0")),
+    Notice(
+        "apache-2.0",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        ("apache license", "version 2 0"),
+    ),
+    Notice("mit", "Released under the MIT License", ("mit license",)),
+    Notice(
+        "mit",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+        "so, subject to the following conditions",
+        ("without restriction", "sublicense"),
+    ),
+    Notice(
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies",
+        ("with or without fee",),
+    ),
+    Notice(
+        "bsd",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        ("source and binary forms", "with or without"),
+    ),
+    Notice("cc-by-nc", "Licensed under CC BY-NC 4.0", ("cc by nc 4 0",)),
+    Notice("cc-by-nc-sa", "Licensed under CC BY-NC-SA 4.0", ("cc by nc sa 4 0",)),
+    Notice("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License", ("attribution 4 0",)),
+    Notice(
+        "cc-by-sa",
+        "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License",
+        ("creative commons", "attribution sharealike 4 0"),
+    ),
+    Notice(
+        "cc-by-nc",
+        "This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License",
+        ("creative commons", "attribution noncommercial 4 0"),
+    ),
+    Notice(
+        "cc-by-nc-sa",
+        "This work is licensed under a Creative Commons Attribution NonCommercial ShareAlike 4.0 International License",
+        ("creative commons", "attribution noncommercial sharealike 4 0"),
+    ),
+    Notice(
+        "gpl-3.0",
+        "This work is licensed under the GNU General Public License, version 3",
+        ("gnu general public license", "version 3"),
+    ),
+    Notice(
+        "gpl-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+        ("gnu general public license", "version 3"),
+    ),
+    Notice(
+        "lgpl-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+        ("gnu lesser general public license", "version 3"),
+    ),
+    Notice(
+        "agpl-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+        ("gnu affero general public license", "version 3"),
+    ),
+    Notice(
+        "mpl-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        ("mozilla public license", "v 2 0"),
+    ),
+    Notice(
+        "public-domain",
+        "This is free and unencumbered software released into the public domain",
+        ("unencumbered software", "public domain"),
+    ),
+)
 
 
 @dataclass
 class Templates:
-    """Words of all templates in the global order (rank: by their hash), each template's words by rank, rarest first, and the
-    words of its blocks."""
+    """Words of all templates in the global order (rank: by their hash), each template's words by rank, rarest first, the
+    words of its blocks and its telling phrases, as ranks in their order."""
 
     labels: list[str]
     hashes: np.ndarray
@@ -62,6 +149,7 @@ class Templates:
     words: list[np.ndarray]
     need: np.ndarray
     window: list[int]
+    telling: list[list[np.ndarray]]
 
 
 def _plain_words(text: str) -> list[bytes]:
@@ -71,11 +159,23 @@ def _plain_words(text: str) -> list[bytes]:
     return []
 
 
-def vocabulary(templates: dict[str, str]) -> np.ndarray:
+def parts(templates: Sequence[Notice], size: int = PART_BYTES) -> list[list[Notice]]:
+    """The templates in parts of at most so many bytes; a longer one is a part of its own."""
+    out, held = [], 0
+    for t in templates:
+        n = len(t.text.encode())
+        if not out or held + n > size:
+            out.append([])
+            held = 0
+        out[-1].append(t)
+        held += n
+    return out or [[]]
+
+
+def vocabulary(templates: Sequence[Notice]) -> np.ndarray:
     """Sorted hashes of the templates' words."""
-    if sum(len(t.encode()) for t in templates.values()) > MAX_TEMPLATE_BYTES:
-        raise ValueError(f"templates hold more than {MAX_TEMPLATE_BYTES} bytes; scan with a part of them at a time")
-    return np.unique(np.array([word_hash(w) for t in templates.values() for w in set(_plain_words(t))], np.uint64))
+    texts = [x for t in templates for x in (t.text, *t.telling)]
+    return np.unique(np.array([word_hash(w) for x in texts for w in set(_plain_words(x))], np.uint64))
 
 
 def frequencies(docs: DataFrame, words: np.ndarray) -> np.ndarray:
@@ -105,19 +205,20 @@ def _known(words: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(words[at] == h, at, len(words))
 
 
-def ordered(templates: dict[str, str], words: np.ndarray, count: np.ndarray, containment: float = CONTAINMENT) -> Templates:
+def ordered(templates: Sequence[Notice], words: np.ndarray, count: np.ndarray, containment: float = CONTAINMENT) -> Templates:
     """Templates with their words in the global order, rarest first (ties by hash)."""
     ranks = np.empty(len(words), np.int64)
     ranks[np.lexsort((words, count))] = np.arange(len(words))
-    sets, labels, window = [], [], []
-    for label, text in templates.items():
-        every = _plain_words(text)
-        own = np.array([word_hash(w) for w in set(every)], np.uint64)
-        if len(own):
-            labels.append(label)
-            window.append(SPREAD * len(every))
-            sets.append(np.sort(ranks[np.searchsorted(words, own)]))
-    return Templates(labels, words, ranks, sets, np.array([ceil(containment * len(s) - 1e-9) for s in sets], np.int64), window)
+
+    def ranked(every: list[bytes]) -> np.ndarray:
+        return ranks[np.searchsorted(words, np.array([word_hash(w) for w in every], np.uint64))]
+
+    known = [(t, _plain_words(t.text)) for t in templates]
+    known = [(t, every) for t, every in known if every]
+    sets = [np.unique(ranked(every)) for _, every in known]
+    telling = [[ranked(p) for p in map(_plain_words, t.telling) if p] for t, _ in known]
+    need = np.array([ceil(containment * len(s) - 1e-9) for s in sets], np.int64)
+    return Templates([t.label for t, _ in known], words, ranks, sets, need, [SPREAD * len(every) for _, every in known], telling)
 
 
 def bound(position: np.ndarray, begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
@@ -132,6 +233,15 @@ def bound(position: np.ndarray, begin: np.ndarray, end: np.ndarray, n: int) -> n
     return 1 + np.minimum(n - first - 1, after)
 
 
+def _phrase(place: np.ndarray, zone: np.ndarray, rank: np.ndarray, phrase: np.ndarray) -> np.ndarray:
+    """Where in the list of template words the phrase begins, its words one after another in one paragraph."""
+    size = max(len(rank) - len(phrase) + 1, 0)
+    at = np.flatnonzero(rank[:size] == phrase[0])
+    for k in range(1, len(phrase)):
+        at = at[(rank[at + k] == phrase[k]) & (place[at + k] == place[at] + k) & (zone[at + k] == zone[at])]
+    return at
+
+
 def join(t: Templates, place: np.ndarray, zone: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, template, share) of all blocks that meet the bound, by their first word; place, zone and rank list the template
     words in order: where they stand, in which paragraph (ascending), and which they are."""
@@ -142,6 +252,9 @@ def join(t: Templates, place: np.ndarray, zone: np.ndarray, rank: np.ndarray) ->
         member[s], prefix[s[: len(s) - need + 1]] = True, True
         if not prefix[rank].any():
             continue
+        told = [_phrase(place, zone, rank, p) for p in t.telling[i]]
+        if not all(len(at) for at in told):
+            continue
         word = np.flatnonzero(member[rank])
         own = rank[word]
         key = place[word] + zone[word] * t.window[i]  # no block reaches into the next paragraph
@@ -149,6 +262,10 @@ def join(t: Templates, place: np.ndarray, zone: np.ndarray, rank: np.ndarray) ->
         hits = np.r_[0, np.cumsum(prefix[own])]
         begin = np.arange(len(word))
         live = np.flatnonzero((end - begin >= need) & (hits[end] > hits[:-1]))
+        for p, at in zip(t.telling[i], told, strict=True):
+            spot = np.r_[place[at] + zone[at] * t.window[i], np.iinfo(np.int64).max]
+            ahead = spot[np.searchsorted(spot, key[live])]  # the phrase's next place from the block's first word on
+            live = live[ahead <= key[live] + t.window[i] - len(p)]
         live = live[bound(np.searchsorted(s, own), live, end[live], len(s)) >= need]
         if not len(live):
             continue
@@ -175,13 +292,43 @@ def _zones(part: Slice) -> np.ndarray:
     return np.searchsorted(blank, part.start) + part.doc
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+ADDED = {"n_words": "long", "n_base": "long", "first_word": "long", "last_word": "long", "base_labels": "string", "labels": "string", "score": "double"}
+
+
+def scan(
+    docs: DataFrame, templates: Sequence[Notice] | None = None, phrases: dict[str, str] | None = None,
+    containment: float = CONTAINMENT, part_bytes: int = PART_BYTES,
+) -> DataFrame:
     """The rows with n_words, n_base, first_word, last_word, base_labels, labels and score added."""
-    templates, phrases = TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases
-    added = {"n_words": "long", "n_base": "long", "first_word": "long", "last_word": "long", "base_labels": "string", "labels": "string", "score": "double"}
-    docs = docs.drop(*added)
+    first, *others = parts(TEMPLATES if templates is None else templates, part_bytes)
+    docs = docs.drop(*ADDED)
+    out = _base(docs, PHRASES if phrases is None else phrases, _known_templates(docs, first, containment))
+    for part in others:
+        out = _more(out, _known_templates(docs, part, containment))
+    return out
+
+
+def _known_templates(docs: DataFrame, templates: list[Notice], containment: float) -> Templates:
     words = vocabulary(templates)
-    known = ordered(templates, words, frequencies(docs, words), containment)
+    return ordered(templates, words, frequencies(docs, words), containment)
+
+
+def _met(known: Templates, part: Slice, labels: list[set[str]], score: np.ndarray) -> None:
+    """Add the labels of the templates that a slice's texts hold, and their shares to the score."""
+    found = _known(known.hashes, part.hash)
+    held = np.flatnonzero(found < len(known.hashes))
+    who, which, share = join(known, held, _zones(part)[held], known.ranks[found[held]])
+    for b, i, s in zip(part.doc[held[who]].tolist(), which.tolist(), share.tolist(), strict=True):
+        labels[b].add(known.labels[i])
+        score[b] = max(score[b], s)
+
+
+def _joined(labels: list[set[str]]) -> pa.Array:
+    return pa.array([",".join(sorted(x)) for x in labels], pa.string())
+
+
+def _base(docs: DataFrame, phrases: dict[str, str], known: Templates) -> DataFrame:
+    """Places and labels of the base phrases, and the labels of the first part of the templates."""
     wanted = [([np.uint64(word_hash(w)) for w in _plain_words(p)], label) for p, label in phrases.items()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,41 +351,64 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict
                         places[d] += 1
                         first[d] = w if first[d] is None else min(first[d], w)
                         last[d] = w if last[d] is None else max(last[d], w)
-                found = _known(words, part.hash)
-                held = np.flatnonzero(found < len(words))
-                who, which, share = join(known, held, _zones(part)[held], known.ranks[found[held]])
                 labels, score = [set(x) for x in base], np.zeros(n)
                 score[places > 0] = 1.0
-                for b, i, s in zip(part.doc[held[who]].tolist(), which.tolist(), share.tolist(), strict=True):
-                    labels[b].add(known.labels[i])
-                    score[b] = max(score[b], s)
+                _met(known, part, labels, score)
                 rows = batch.slice(part.lo, part.hi - part.lo)
                 yield pa.RecordBatch.from_arrays([
                     *rows.columns, pa.array(part.n_words.astype(np.int64)), pa.array(places), pa.array(first, pa.int64()), pa.array(last, pa.int64()),
-                    pa.array([",".join(sorted(x)) for x in base], pa.string()), pa.array([",".join(sorted(x)) for x in labels], pa.string()), pa.array(score),
-                ], [*rows.schema.names, *added])
+                    _joined(base), _joined(labels), pa.array(score),
+                ], [*rows.schema.names, *ADDED])
+
+    return docs.mapInArrow(run, with_fields(docs, ADDED))
 
-    return docs.mapInArrow(run, with_fields(docs, added))
+
+def _more(scanned: DataFrame, known: Templates) -> DataFrame:
+    """The scanned rows with the labels of a further part of the templates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column("text"), lower=True):
+                part.words(ALNUM)
+                rows = batch.slice(part.lo, part.hi - part.lo)
+                labels = [set(x.split(",")) - {""} for x in rows.column("labels").to_pylist()]
+                score = rows.column("score").to_numpy(zero_copy_only=False).copy()
+                _met(known, part, labels, score)
+                changed = {"labels": _joined(labels), "score": pa.array(score)}
+                yield pa.RecordBatch.from_arrays([changed.get(name, rows.column(name)) for name in rows.schema.names], rows.schema.names)
+
+    return scanned.mapInArrow(run, scanned.schema)
 
 
 def sql() -> str:
-    """DuckDB: every line against every template; equal where each notice stands on a line and no long line holds its words apart."""
+    """DuckDB: every paragraph that holds enough of a template, and in it every block that begins at one of the template's words."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     split = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-    templates = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in TEMPLATES.items())
+    many = lambda items: "[" + ", ".join(map(quote, items)) + "]"
+    templates = ", ".join(f"({i}, {quote(t.label)}, {quote(t.text)}, {many(t.telling)})" for i, t in enumerate(TEMPLATES))
     phrases = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in PHRASES.items())
+    spaced = "' ' || array_to_string({}, ' ') || ' '"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {split.format("coalesce(text, '')")} AS w FROM documents),
-phrases(p, label) AS (VALUES {phrases}), raw(label, t) AS (VALUES {templates}),
-templates AS (SELECT label, list_distinct({split.format('t')}) AS tw FROM raw),
+phrases(p, label) AS (VALUES {phrases}), raw(id, label, t, telling) AS (VALUES {templates}),
+templates AS (SELECT id, label, telling, list_distinct({split.format('t')}) AS tw, {SPREAD} * len({split.format('t')}) AS size FROM raw),
 places AS (
   SELECT doc_id, label, unnest(list_filter(range(1, len(w) + 1), lambda k: array_to_string(w[k:k + len(string_split(p, ' ')) - 1], ' ') = p)) - 1 AS pos
   FROM d, phrases WHERE contains(' ' || array_to_string(w, ' ') || ' ', ' ' || p || ' ')
 ),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d),
+split AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\n[\x20\x09-\x0D]*\n')) AS p FROM d),
+paragraphs AS (SELECT doc_id, {split.format('p')} AS w FROM split),
+near AS (
+  SELECT doc_id, w, id, label, telling, tw, size FROM paragraphs JOIN templates
+    ON len(list_intersect(tw, w)) >= ceil({CONTAINMENT} * len(tw) - 1e-9)
+  WHERE len(list_filter(telling, lambda p: NOT contains({spaced.format('w')}, ' ' || p || ' '))) = 0
+),
+starts AS (SELECT *, unnest(list_filter(range(1, len(w) + 1), lambda k: list_contains(tw, w[k]))) AS k FROM near),
+blocks AS (SELECT doc_id, label, telling, tw, w[k:k + size - 1] AS b FROM starts),
 met AS (
-  SELECT doc_id, label, len(list_intersect(tw, {split.format('l')})) / len(tw) AS share FROM lines, templates
-  WHERE len(list_intersect(tw, {split.format('l')})) >= ceil({CONTAINMENT} * len(tw) - 1e-9)
+  SELECT doc_id, label, len(list_intersect(tw, b)) / len(tw) AS share FROM blocks
+  WHERE len(list_intersect(tw, b)) >= ceil({CONTAINMENT} * len(tw) - 1e-9)
+    AND len(list_filter(telling, lambda p: NOT contains({spaced.format('b')}, ' ' || p || ' '))) = 0
 ),
 base AS (SELECT doc_id, count(*) AS n, min(pos) AS a, max(pos) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS l FROM places GROUP BY doc_id),
 labels AS (

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docmill.llm import decontaminate, license_scan, quality_fm, quality_rules, secrets, url_filter
 from docmill.llm.frames import labelled_sample
@@ -91,9 +92,18 @@ def test_classifier_edge_cases(spark, frame):
     assert kept.columns.count("quality_kept") == 1 and kept.count() == len(ODD) + 1
 
 
-def plain_licenses(text):
-    text = text or ""
-    words = WORD.findall(text.translate(LOWER))
+def plain_words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def holds(words, phrase):
+    p = plain_words(phrase)
+    return any(words[i : i + len(p)] == p for i in range(len(words)))
+
+
+def plain_licenses(text, templates=license_scan.TEMPLATES):
+    """Every paragraph's every block against every template, word by word."""
+    words = plain_words(text)
     places, labels = [], set()
     for phrase, label in license_scan.PHRASES.items():
         p = phrase.split()
@@ -101,50 +111,81 @@ def plain_licenses(text):
         places += hits
         labels |= {label} if hits else set()
     every, score = set(labels), float(bool(places))
-    for line in text.split("\n"):
-        own = set(WORD.findall(line.translate(LOWER)))
-        for name, template in license_scan.TEMPLATES.items():
-            need = set(WORD.findall(template.translate(LOWER)))
-            if len(own & need) >= license_scan.CONTAINMENT * len(need) - 1e-9:
-                every.add(name)
-                score = max(score, len(own & need) / len(need))
+    for paragraph in re.split(r"\n[ \t\r\v\f]*(?=\n)", text or ""):
+        own = plain_words(paragraph)
+        for t in templates:
+            template = plain_words(t.text)
+            need, size = set(template), license_scan.SPREAD * len(template)
+            for k in range(len(own)):
+                block = own[k : k + size]
+                share = len(need & set(block)) / len(need)
+                if share >= license_scan.CONTAINMENT - 1e-9 and all(holds(block, p) for p in t.telling):
+                    every.add(t.label)
+                    score = max(score, share)
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)), ",".join(sorted(every)), pytest.approx(score)
 
 
-def test_licenses_match_every_line_with_every_template(spark, frame):
+def scanned(row):
+    return row.n_words, row.n_base, row.first_word, row.last_word, row.base_labels, row.labels, row.score
+
+
+def test_licenses_by_brute_force(spark, frame):
     more = ["Licensed under CC\nBY license", "all rights reserved all rights reserved", "released under mit LICENSE the", "Licensed under the Apache License 2", "general public\x00license"]
     rows = [*ODD, *more, *(r.text for r in documents(spark).limit(80).collect())]
     got = {r.doc_id: r for r in license_scan.scan(frame(rows)).collect()}
     for i, text in enumerate(rows):
-        r = got[i]
-        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == plain_licenses(text)
+        assert scanned(got[i]) == plain_licenses(text)
 
 
-def test_licenses_in_wrapped_and_in_long_texts(spark, frame):
+def test_license_blocks_wrapped_mixed_and_cut(spark, frame):
     """Notices wrapped over lines are met, words of a template far apart or in two paragraphs are not; blocks as by brute force."""
     bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
     mpl = "/* This Source Code Form is subject to the terms of the Mozilla Public\r\n * License, v. 2.0. If a copy */"
     far = "it was released " + "by hand " * 40 + "under a tree " + "of the forest " * 40 + "without a license " * 3
     rng = np.random.default_rng(5)
-    own = [w for t in license_scan.TEMPLATES.values() for w in t.split()]
-    mixed = ["".join(f"{rng.choice(own)}{rng.choice([' ', ' ', ' x ', chr(10), chr(10) * 2])}" for _ in range(300)) for _ in range(20)]
-    cut = ["".join(f"{w}{rng.choice([' ', chr(10), ' x '])}" for w in t.split()[rng.integers(0, 3) :]) for t in license_scan.TEMPLATES.values() for _ in range(4)]
+    own = [w for t in license_scan.TEMPLATES for w in t.text.split()]
+    told = [p for t in license_scan.TEMPLATES for p in t.telling]
+    mixed = ["".join(f"{rng.choice(told if rng.random() < 0.1 else own)}{rng.choice([' ', ' ', ' x ', chr(10), chr(10) * 2])}" for _ in range(200)) for _ in range(10)]
+    cut = ["".join(f"{w}{rng.choice([' ', ' ', ' ', chr(10), ' x '])}" for w in t.text.split()[rng.integers(0, 3) :]) for t in license_scan.TEMPLATES for _ in range(4)]
     texts = [bsd, mpl, far, "Released under\n \nthe MIT License", "Released under\nthe MIT License", *mixed, *cut]
     got = {r.doc_id: r for r in license_scan.scan(frame(texts)).collect()}
     assert [got[i].labels for i in range(5)] == ["bsd", "mpl-2.0", "", "", "mit"] and got[2].score == 0
+    assert len({got[i].labels for i in range(15, len(texts))}) > 8
     for i, text in enumerate(texts):
-        base = plain_licenses(text)
-        labels, score = set(base[4].split(",")) - {""}, float(base[1] > 0)
-        for paragraph in re.split(r"\n[ \t\r\v\f]*(?=\n)", text):
-            words = WORD.findall(paragraph.translate(LOWER))
-            for name, template in license_scan.TEMPLATES.items():
-                every = WORD.findall(template.translate(LOWER))
-                need, size = set(every), license_scan.SPREAD * len(every)
-                best = max(len(need & set(words[k : k + size])) for k in range(max(len(words), 1)))
-                if best >= license_scan.CONTAINMENT * len(need) - 1e-9:
-                    labels.add(name)
-                    score = max(score, best / len(need))
-        assert (got[i].labels, got[i].score) == (",".join(sorted(labels)), pytest.approx(score)), text
+        assert scanned(got[i]) == plain_licenses(text), text
+
+
+def test_a_notice_of_another_license_gets_no_wrong_label(spark, frame):
+    cases = {
+        "Released under the Apache License": "",
+        "Released under the GPL License": "",
+        "Licensed under the Foo License, Version 2.0": "",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "cc-by-nc-sa",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+        "This work is licensed under the GNU Lesser General Public License, version 3": "gpl",
+        "This work is licensed under the GNU General Public License, version 2": "gpl",
+        "This work is licensed under the GNU General Public License, version 3": "gpl,gpl-3.0",
+        "Licensed under CC BY-NC-SA 4.0": "cc-by,cc-by-nc-sa",
+    }
+    rows = license_scan.scan(frame([*cases, *(t.text for t in license_scan.TEMPLATES)])).collect()
+    got = {r.doc_id: r for r in rows}
+    assert {text: got[i].labels for i, text in enumerate(cases)} == cases
+    for i, t in enumerate(license_scan.TEMPLATES, len(cases)):
+        assert set(got[i].labels.split(",")) - set(license_scan.PHRASES.values()) == {t.label} and got[i].score == 1
+
+
+def test_license_templates_in_parts_empty_tables_and_other_columns(spark, frame):
+    """Every template a part of its own gives the rows of one part; added columns replace equally named ones."""
+    texts = [*ODD, *(t.text for t in license_scan.TEMPLATES), "a " * 700_000 + "\nReleased under the MIT License"]
+    docs = frame(texts).withColumn("labels", F.lit(7)).withColumn("other", F.col("doc_id") + 1)
+    whole = {r.doc_id: r for r in license_scan.scan(docs).collect()}
+    cut = license_scan.scan(docs, part_bytes=1)
+    assert {r.doc_id: r for r in cut.collect()} == whole and len(whole) == len(texts)
+    assert all(r.other == r.doc_id + 1 for r in whole.values()) and whole[len(texts) - 1].labels == "mit"
+    assert [len(p) for p in license_scan.parts(license_scan.TEMPLATES, 200)][:3] == [1, 1, 1] and license_scan.parts([]) == [[]]
+    assert {r.labels for r in license_scan.scan(frame(["released under the mit license", "all rights reserved"]), []).collect()} == {"", "reserved"}
+    assert license_scan.scan(docs.limit(0)).collect() == [] and cut.columns == license_scan.scan(docs).columns
 
 
 def test_positional_filter_removes_blocks_and_loses_none():
