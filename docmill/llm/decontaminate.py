@@ -13,7 +13,8 @@ postings are looked at. Proximity is asked for with `NEAR`, which leaves room fo
 the same with and without it. Where `near` is None only exact matches are sought.
 
 Defined cases: null or empty texts have no words and are clean; an item without words has no window; items with a null id hit
-words but are not listed; equal items hit alike; repeated documents are judged one by one; an empty benchmark leaves all clean.
+words but are not listed; equal items hit alike; repeated documents are judged one by one; an empty benchmark leaves all clean; an empty table gives no row. Document
+ids are whole numbers (or null); `contamination` returns its own columns only, `clean` all of the rows', whatever their names.
 """
 
 from __future__ import annotations
@@ -220,7 +221,7 @@ def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW, near: int | Non
     return rows.join(hit, F.col("row.doc_id").eqNullSafe(F.col("hit_id")) & (F.col("own_key") == F.col("text_key")), "left_anti").select("row.*")
 
 
-#: DuckDB: every window of every document joined with every window of every item.
+#: DuckDB: every window of every document joined with every window of every item; for proximity, stretches around the rarest term.
 WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 SQL = f"""
 WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents), b AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
@@ -238,8 +239,28 @@ words AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(
 found AS (
   SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS joined
   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id
+),
+occurrences AS (SELECT doc_id, w, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS pos FROM d),
+rarity AS (SELECT term, count(*) AS n FROM occurrences GROUP BY term),
+sets AS (SELECT DISTINCT item_id, list_sort(list_distinct(string_split(p, ' '))) AS terms FROM asked),
+rarest AS (
+  SELECT item_id, terms, arg_min(term, n) AS term
+  FROM (SELECT item_id, terms, unnest(terms) AS term FROM sets) JOIN rarity USING (term) GROUP BY item_id, terms HAVING count(*) = len(terms)
+),
+around AS (
+  SELECT DISTINCT doc_id, item_id, terms, pos, w[greatest(pos - {NEAR} + 1, 1):pos + {NEAR} - 1] AS nearby
+  FROM occurrences JOIN rarest USING (term) WHERE list_has_all(w[greatest(pos - {NEAR} + 1, 1):pos + {NEAR} - 1], terms)
+),
+near AS (
+  SELECT doc_id, count(*) AS n_near, string_agg(i, ',' ORDER BY i) AS joined
+  FROM (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i
+    FROM (SELECT doc_id, item_id, terms, nearby, unnest(range(1, len(nearby) + 1)) AS k FROM around)
+    WHERE list_has_all(nearby[k:k + {NEAR} - 1], terms)
+  ) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(joined, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+  sha256(coalesce(found.joined, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+  coalesce(n_near, 0) AS n_near_items, coalesce(near.joined, '') AS near_items
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN near USING (doc_id)
 """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docmill.llm import decontaminate, filter_audit, html_extraction, license_scan, lm_score, packing, quality_fm, quality_rules, secrets, simhash, token_codec, url_filter, whitening
 from docmill.llm.frames import table
@@ -42,13 +43,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_benchmark_decontamination", decontaminate.SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=None)
-    return found.drop("n_near_items", "near_items")
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("near_items", F.array_join("near_items", ","))
 
 
 @query("op10_benchmark_proximity")
 def op10_near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All columns of op10_benchmark_decontamination, whose SQL has no others, and the items near each document."""
+    """The same rows with the items near each document as a list."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
