@@ -1,22 +1,28 @@
 """Continuous ingestion of landed records, with the same outcome as the batch upsert.
 
-State is an append-only change log, one folder per micro-batch, in it one per bucket of keys: a new
-or changed record adds its payload, an unchanged one only the fact that it was seen. A micro-batch
-thus writes in proportion to itself, and a replayed one overwrites its own folder only. It reads the
-buckets its keys fall into: the latest snapshot of their hashes (made every COMPACT micro-batches)
-and the few log folders after it, never the whole log.
+What comes out is an append-only change log, one folder per micro-batch: a new or changed record adds
+its payload, an unchanged one only the fact that it was seen. A micro-batch thus writes in proportion
+to itself, and a replayed one overwrites its own folder only.
+
+``start_upsert`` keeps the last hash of every key in Spark's state store (RocksDB on the executors'
+disks, changes in the checkpoint): a micro-batch looks up the keys it brings and reads nothing else,
+whatever was stored before. ``append_changes`` decides one batch without a stream or a store, from the
+log alone: in it one folder per bucket of keys, a snapshot of their hashes every COMPACT batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from docmill.operators.upsert import KEY, last_per_key
+from docmill.operators.upsert import KEY, last_per_key, readable
 from docmill.session import written
 
 LOG = (
@@ -134,23 +140,95 @@ def append_changes(spark: SparkSession, batch: DataFrame, batch_id: int, log_pat
     changes.write.mode("overwrite").partitionBy("bucket").parquet(f"{log_path}/batch_id={batch_id}")
 
 
+#: Settings of a stream with keyed state: states on disk, only their changes written to the checkpoint.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+REDUCED = f"{LOG.split(', run_id')[0]}, seq BIGINT, low_hash STRING, high_hash STRING"
+DECIDED = "source STRING, external_id STRING, payload STRING, payload_hash STRING, status STRING"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for what is started inside; a stream keeps those it was started with."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def reduce_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per key of every Arrow batch: its last row, the smallest and largest hash. Narrow, so a key that holds a third
+    of a micro-batch reaches its state as one row for each Arrow batch."""
+    for rows in frames:
+        hashes = rows.groupby(KEY, dropna=False)["payload_hash"]
+        rows = rows.assign(low_hash=hashes.transform("min"), high_hash=hashes.transform("max"))
+        last = rows.sort_values(["seq", "payload_hash"], kind="stable").drop_duplicates(KEY, keep="last")
+        yield last[[*KEY, "payload", "payload_hash", "seq", "low_hash", "high_hash"]]
+
+
+class LastHash(StatefulProcessor):
+    """The last hash of a key; what a micro-batch brings for it is told as one change."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "payload_hash STRING")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = self.known.get()
+        old = held[0] if held is not None else None
+        differs, last = old is None, None
+        for r in rows:
+            differs = differs or r.low_hash != old or r.high_hash != old
+            if last is None or (r.seq, r.payload_hash) > (last.seq, last.payload_hash):
+                last = r
+        if differs:
+            self.known.update((last.payload_hash,))
+        status = "new" if old is None else "changed" if differs else "unchanged"
+        yield Row(
+            source=key[0], external_id=key[1], payload=last.payload if differs else None,
+            payload_hash=last.payload_hash if differs else None, status=status)
+
+    def close(self) -> None:
+        pass
+
+
+def changes(stream: DataFrame) -> DataFrame:
+    """What becomes of each key of each micro-batch; unreadable records store nothing and are left out."""
+    rows = readable(stream).select(*KEY, "payload", "payload_hash", F.col("seq").cast("bigint").alias("seq"))
+    return rows.mapInPandas(reduce_batches, REDUCED).groupBy(*KEY).transformWithState(
+        statefulProcessor=LastHash(), outputStructType=DECIDED, outputMode="Append", timeMode="None")
+
+
 def start_upsert(stream: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Upsert every micro-batch of a record stream; stops when all available input is read."""
+    """Upsert every micro-batch of a record stream; stops when all available input is read.
+
+    The number of state partitions is that of shuffle partitions at the first start; the checkpoint keeps it.
+    """
     spark = stream.sparkSession
-    spark.createDataFrame([], LOG).write.mode("ignore").parquet(f"{log_path}/batch_id=-1/bucket=-1")
+    spark.createDataFrame([], LOG).write.mode("ignore").parquet(f"{log_path}/batch_id=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_changes(spark, batch, batch_id, log_path)
+        batch.select(*KEY, "payload", "payload_hash", F.lit(batch_id).cast("bigint").alias("run_id"), "status").write.mode(
+            "overwrite").parquet(f"{log_path}/batch_id={batch_id}")
 
-    return (
-        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    with settings(spark, STATE_STORE):
+        return (
+            changes(stream).writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
 
 
 def current_state(spark: SparkSession, log_path: str) -> DataFrame:
     """The stored table the log amounts to: same columns and values as the batch upsert gives."""
-    log = spark.read.schema(f"{LOG}, batch_id BIGINT, bucket INT").parquet(log_path)
+    log = spark.read.schema(f"{LOG}, batch_id BIGINT").parquet(log_path)
     wrote = F.col("payload_hash").isNotNull()
     return log.groupBy(*KEY).agg(
         F.max_by(F.struct("payload", "payload_hash"), F.when(wrote, F.col("batch_id"))).alias("last"),

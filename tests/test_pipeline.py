@@ -178,6 +178,34 @@ def test_stream_restart(spark):
     assert rows["a"].payload == "2" and rows["a"].first_seen_run < rows["a"].last_seen_run and rows["b"].payload == "1"
 
 
+def test_keyed_state_equals_batch_and_costs_what_a_batch_brings(spark):
+    """Random landings, a hot key among them, one file a micro-batch and a restart after each: statuses and stored rows are those of
+    the batch upsert, and a micro-batch touches the state of its own keys alone, on disk."""
+    rng = random.Random(4)
+    path, log, state = work_dir(spark, "in"), work_dir(spark, "log"), work_dir(spark, "state")
+    stored, touched, want = make_stored(spark, []), [], []
+    for n in range(4):
+        rows = [(f"k{rng.randrange(400 if n == 0 else 12)}", i, str(rng.randrange(3))) for i in range(500 if n == 0 else 8)]
+        rows += [("hot", 1000 + i, str(i % 2)) for i in range(300)] + [("torn", 1, None)]
+        batch = make_batch(spark, rows)
+        batch.coalesce(1).write.mode("append").parquet(path)
+        query = ingest.start_upsert(ingest.read_table_stream(spark, path, BATCH), log, state)
+        query.awaitTermination()
+        operators = query.lastProgress.stateOperators
+        assert any("rocksdb" in name for name in operators[0].customMetrics)
+        touched.append((operators[0].numRowsUpdated, len({k for k, _, v in rows if v is not None})))
+        keys = {r.external_id: r for r in upsert.decisions(stored, batch).collect()}
+        want += [(n, k, "new" if not r.known else "changed" if r.differs else "unchanged") for k, r in keys.items()]
+        stored = apply(spark, stored, batch, n)
+    seen = spark.read.schema(f"{ingest.LOG}, batch_id BIGINT").parquet(log)
+    assert sorted((r.batch_id, r.external_id, r.status) for r in seen.collect()) == sorted(want)
+    assert all(updated <= brought for updated, brought in touched) and touched[0][1] > 250 and max(b for _, b in touched[1:]) <= 13
+    columns = ["external_id", "payload", "payload_hash", "first_seen_run", "last_seen_run"]
+    now = sorted(tuple(r) for r in ingest.current_state(spark, log).select(*columns).collect())
+    assert now == sorted(tuple(r) for r in stored.select(*columns).collect())
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ingest.STATE_STORE["spark.sql.streaming.stateStore.providerClass"]
+
+
 def test_unreadable_payloads_store_nothing(spark):
     rows = [("s", "good", 1, "a", "a"), ("s", "good", 2, "{", None), ("s", "only", 1, "{", None), ("s", "kept", 1, "{", None)]
     batch, stored = spark.createDataFrame(rows, BATCH), make_stored(spark, [("kept", "z")])
