@@ -208,12 +208,56 @@ def tx_filtered_search(spark, sf):
     return published.search_index(spark, published_index(spark, sf), bench_queries(spark, sf), filters=FILTERS, stem=False)
 
 
-@query("tx_highlight")
+def _escaped_sql(body: str) -> str:
+    for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;"), ("/", "&#x2F;")):
+        body = f"replace({body}, {sql_text(raw)}, {sql_text(entity)})"
+    return body
+
+
+def highlight_sql(first: int, last: int) -> str:
+    """Marked fragments ``hl(query_id, doc_key, field, position, html, n_hits, n_terms)`` of the hits of these ranks, from lists of
+    tokens: every match opens a candidate, the best one is taken and what overlaps it dropped, as often as there are fragments."""
+    size, near = search.FRAGMENT_SIZE, search.reach(search.FRAGMENT_SIZE)
+    word = f"lower(regexp_replace(piece, {_ELISION}, ''))"
+    rounds = ""
+    for n in range(1, search.FRAGMENTS + 1):
+        taken = f"taken{n - 1}" if n > 1 else "candidates"
+        rounds += f"""
+  best{n} AS (SELECT query_id, doc_key, low, high FROM {taken}
+    QUALIFY row_number() OVER (PARTITION BY query_id, doc_key ORDER BY terms DESC, n DESC, begin_at) = 1),
+  taken{n} AS (SELECT c.* FROM {taken} c JOIN best{n} b USING (query_id, doc_key) WHERE c.low >= b.high OR c.high <= b.low),"""
+    picked = " UNION ALL ".join(f"SELECT query_id, doc_key, 'text' AS field, {n} AS position, low, high FROM best{n}" for n in range(1, search.FRAGMENTS + 1))
+    return f"""
+  bodies AS (SELECT query_id, doc_key, unnest(['title', 'text']) AS field, unnest([title, text]) AS body
+    FROM top JOIN v_decisions ON doc_key = source || '|' || external_id WHERE rank BETWEEN {first} AND {last}),
+  cut AS (SELECT query_id, doc_key, field, regexp_extract_all(body, {sql_text(search.PIECE)}) AS p FROM bodies),
+  pieces AS (SELECT query_id, doc_key, field, unnest(p) AS piece, unnest(range(1, len(p) + 1)) AS pos FROM cut),
+  worded AS (SELECT *, CASE WHEN {word} <> '' AND NOT list_contains({_STOP}, {word}) THEN {fold_sql(word)} END AS word FROM pieces),
+  asked AS (SELECT query_id, unnest({terms_sql('query')}) AS word FROM ask),
+  vocabulary AS (SELECT word FROM worded WHERE word IS NOT NULL UNION SELECT word FROM asked), {STEMS_SQL},
+  wanted AS (SELECT DISTINCT query_id, stem FROM asked JOIN stems USING (word)),
+  marked AS (SELECT r.query_id, doc_key, field, pos, piece, w.stem,
+      CAST(sum(length(piece)) OVER (PARTITION BY r.query_id, doc_key, field ORDER BY pos) AS BIGINT) AS end_at
+    FROM worded r LEFT JOIN stems s USING (word) LEFT JOIN wanted w ON w.query_id = r.query_id AND w.stem = s.stem),
+  matches AS (SELECT *, end_at - length(piece) AS begin_at FROM marked WHERE stem IS NOT NULL),
+  opened AS (SELECT query_id, doc_key, begin_at, len(list_distinct(list(stem) OVER f)) AS terms, count(*) OVER f AS n, max(end_at) OVER f AS last_at
+    FROM matches WHERE field = 'text'
+    WINDOW f AS (PARTITION BY query_id, doc_key ORDER BY begin_at RANGE BETWEEN CURRENT ROW AND {near - 1} FOLLOWING)),
+  candidates AS (SELECT *, begin_at - greatest(0, ({size} - (last_at - begin_at)) // 2) AS low,
+    last_at + greatest(0, ({size} - (last_at - begin_at)) // 2) AS high FROM opened),{rounds}
+  chosen AS ({picked} UNION ALL SELECT DISTINCT query_id, doc_key, 'title', 1, 0, 1000000000 FROM matches WHERE field = 'title'),
+  hl AS (SELECT query_id, doc_key, field, position,
+      string_agg(CASE WHEN stem IS NULL THEN {_escaped_sql('piece')} ELSE '<mark>' || {_escaped_sql('piece')} || '</mark>' END, '' ORDER BY pos) AS html,
+      count(stem) AS n_hits, count(DISTINCT stem) AS n_terms
+    FROM marked JOIN chosen USING (query_id, doc_key, field) WHERE end_at - length(piece) >= low AND end_at <= high
+    GROUP BY query_id, doc_key, field, position)"""
+
+
+@query("tx_highlight", f"WITH {BENCH_SQL}, {scores_sql()}, {BEST_SQL}, {highlight_sql(1, 10)} SELECT * FROM hl")
 def tx_highlight(spark, sf):
-    """Highlights of the first page of ten of every query."""
+    """Highlights of the first page of ten of every query; words are marked by their stems."""
     docs, asked = corpus(spark, sf), bench_queries(spark, sf)
-    page = reports.ranking.page_per_group(search.search(search.build_index(docs, tasks=cores(spark)), asked), 1, 10)
-    return reports.highlighted(page, docs, asked)
+    return reports.highlighted(published.search_index(spark, published_index(spark, sf), asked, stem=False), docs, asked)
 
 
 @query("tx_boost_grid", f"""
@@ -258,6 +302,22 @@ _page("rd_search_page_third", 3, 5)
 _page("rd_search_page_late", 20, 5, filtered=False)
 
 
+@query("rd_page_highlights", f"""
+WITH {BENCH_SQL}, {scores_sql(_FILTERED)}, {BEST_SQL}, {highlight_sql(1, 5)}
+SELECT t.query_id, t.rank, t.doc_key, {DISPLAY} AS display_title, max(CASE field WHEN 'title' THEN html END) AS title_html,
+  coalesce(string_agg(CASE field WHEN 'text' THEN html END, ' … ' ORDER BY position), '') AS fragments
+FROM top t JOIN v_decisions d ON t.doc_key = source || '|' || external_id LEFT JOIN hl USING (query_id, doc_key)
+WHERE t.rank <= 5 GROUP BY ALL
+""")
+def rd_page_highlights(spark, sf):
+    """The first filtered page with its marked titles and fragments."""
+    docs, asked = corpus(spark, sf), bench_queries(spark, sf)
+    shown = reports.search_documents(docs.withColumn("has_text", has_text(F.col("text"))))
+    page = reports.search_page(shown, published_index(spark, sf), asked, 1, 5, filters=FILTERS, stem=False)
+    return reports.with_highlights(page, docs, asked).select(
+        "query_id", "rank", "doc_key", "display_title", "title_html", F.array_join("fragments", " … ").alias("fragments"))
+
+
 @query("rd_number_page", f"""
 WITH n AS (SELECT {fold_sql('decision_number')} AS number_key, source || '|' || external_id AS doc_key, source, external_id, title FROM v_decisions
     WHERE decision_number IS NOT NULL),

@@ -70,11 +70,23 @@ def number_page(shown: DataFrame, docs: DataFrame, queries: DataFrame, number: i
     return ranking.page_per_group(found, number, size).join(shown, "doc_key")
 
 
-def highlighted(page: DataFrame, texts: DataFrame, queries: DataFrame, stem: bool = True) -> DataFrame:
+def highlighted(page: DataFrame, texts: DataFrame, queries: DataFrame, stem: bool = True, **fragments) -> DataFrame:
     """Marked titles and fragments of a page's hits; only their texts are fetched, by key."""
     hits = written(page.select("query_id", "doc_key"), "hits")
     bodies = texts.join(hits.select("doc_key").distinct(), "doc_key", "left_semi").select("doc_key", "title", "text")
-    return search.highlight(hits.join(bodies, "doc_key").join(queries, "query_id"), stem)
+    return search.highlight(hits.join(bodies, "doc_key").join(queries, "query_id"), stem, **fragments)
+
+
+def with_highlights(page: DataFrame, texts: DataFrame, queries: DataFrame, stem: bool = True, **fragments) -> DataFrame:
+    """A result page with ``title_html`` (NULL where no word of the title is asked for) and ``fragments``, best first."""
+    page = written(page, "page")
+    marked = highlighted(page, texts, queries, stem, **fragments)
+    of_text = F.array_sort(F.collect_list(F.when(F.col("field") == "text", F.struct("position", "html"))))
+    by_hit = marked.groupBy("query_id", "doc_key").agg(
+        F.max(F.when(F.col("field") == "title", F.col("html"))).alias("title_html"),
+        F.transform(of_text, lambda x: x["html"]).alias("fragments"))
+    return page.join(by_hit, ["query_id", "doc_key"], "left").withColumn(
+        "fragments", F.coalesce("fragments", F.array().cast("array<string>")))
 
 
 def decision_lookup(silver: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ TOP_K = 10
 K1, B = 1.2, 0.75
 # Fixed value: default weight of the title field.
 TITLE_BOOST = 2.0
+# Characters of a fragment, fragments of a text.
 FRAGMENT_SIZE, FRAGMENTS = 150, 3
 FIELDS = {"title": "title", "text": "text"}
 FILTERABLE = ("source", "decision_type", "decision_date", "sectors")
@@ -185,14 +186,18 @@ def exact_number(docs: DataFrame, queries: DataFrame, k: int = TOP_K) -> DataFra
         "query_id", "doc_key", F.lit(1.0).alias("score"), "rank", "total_hits")
 
 
-def highlight(hits: DataFrame, stem: bool = True) -> DataFrame:
-    """Marked title and text fragments of ``query_id, doc_key, query, title, text`` (the hits of a
-    page only): matching words, elided article included, inside <mark>; everything HTML-escaped.
+PIECE = rf"(?s){french.TOKEN}|[^\p{{L}}\p{{N}}_]+|."
 
-    The text is cut at token borders into pieces of about FRAGMENT_SIZE characters; the pieces
-    with most matches are kept, first ones first among equals. The title is kept whole.
-    """
-    pieces = F.regexp_extract_all("body", F.lit(rf"(?s){french.TOKEN}|[^\p{{L}}\p{{N}}_]+|."), F.lit(0))
+
+def reach(size: int) -> int:
+    """Characters after a match in which others belong to its fragment; the rest is context on both sides."""
+    return 2 * size // 3
+
+
+def marked_pieces(hits: DataFrame, stem: bool = True) -> DataFrame:
+    """Words of the hits' titles and texts and what stands between them, as a written table: ``query_id, doc_key, field, pos,
+    begin, fin`` (characters), ``stem`` (of a word the query asks for, else NULL) and ``out`` (escaped, marked if it is one).
+    Each distinct word of the page is stemmed once."""
     both = F.array(
         F.struct(F.lit("title").alias("field"), F.col("title").alias("body")),
         F.struct(F.lit("text").alias("field"), F.col("text").alias("body")))
@@ -201,32 +206,64 @@ def highlight(hits: DataFrame, stem: bool = True) -> DataFrame:
     tasks = int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = hits.select("query_id", "doc_key", "title", "text").repartition(
         tasks, "query_id", "doc_key").select("query_id", "doc_key", F.inline(both)).select(
-        "query_id", "doc_key", "field", F.posexplode_outer(pieces).alias("pos", "piece"))
+        "query_id", "doc_key", "field", F.posexplode_outer(F.regexp_extract_all("body", F.lit(PIECE), F.lit(0))).alias("pos", "piece"))
     words = words.withColumn("term", french.term(F.col("piece")))
     wanted = query_terms(hits.select("query_id", "query").distinct(), stem).select(
         "query_id", F.col("term").alias("stem"))
     forms = words.select("term").distinct().withColumn("stem", F.col("term"))
     if stem:
         forms = french.with_stem(forms, "stem")
-    marks = forms.join(wanted, "stem").select("query_id", "term", F.lit(True).alias("_hit"))
-    found = words.join(marks, ["query_id", "term"], "left").select(
-        "query_id", "doc_key", "field", "pos", F.coalesce("_hit", F.lit(False)).alias("hit"),
-        F.length("piece").alias("n"), html_escape(F.col("piece")).alias("safe"))
-    marked = found.withColumn(
-        "out", F.when(F.col("hit"), F.concat(F.lit("<mark>"), "safe", F.lit("</mark>"))).otherwise(F.col("safe")))
+    marks = forms.join(wanted, "stem").select("query_id", "term", "stem")
     # One document's field is the largest group here, and its pieces are numbered in order.
-    before = Window.partitionBy("query_id", "doc_key", "field").orderBy("pos").rowsBetween(
-        Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("n").over(before), F.lit(0))
-    whole = F.when(F.col("field") == "text", F.floor(start / FRAGMENT_SIZE)).otherwise(F.lit(0))
+    so_far = Window.partitionBy("query_id", "doc_key", "field").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    fin = F.sum(F.length("piece")).over(so_far)
+    safe = html_escape(F.col("piece"))
+    out = F.when(F.col("stem").isNotNull(), F.concat(F.lit("<mark>"), safe, F.lit("</mark>"))).otherwise(safe)
+    return written(words.join(marks, ["query_id", "term"], "left").select(
+        "query_id", "doc_key", "field", "pos", (fin - F.length("piece")).alias("begin"), fin.alias("fin"), "stem", out.alias("out"),
+    ), "pieces")
+
+
+def best_windows(matches: DataFrame, size: int, count: int) -> DataFrame:
+    """``query_id, doc_key, field, position, low, high``: the windows of a text to be shown, best first.
+
+    Every match opens a candidate: the matches that begin within ``reach`` of it, with context on both sides up to ``size``
+    characters. Most distinct terms wins, then most matches, then the first; what overlaps a chosen window is out. The rounds are
+    windows over one partitioning, that of a document's field.
+    """
+    key = ["query_id", "doc_key", "field"]
+    near = Window.partitionBy(*key).orderBy("begin").rangeBetween(0, reach(size) - 1)
+    rows = matches.select(
+        *key, "begin", F.size(F.collect_set("stem").over(near)).alias("terms"), F.count("*").over(near).alias("n"),
+        F.max("fin").over(near).alias("last"))
+    pad = F.greatest(F.lit(0), F.floor((F.lit(size) - (F.col("last") - F.col("begin"))) / 2))
+    rows = rows.withColumn("low", F.col("begin") - pad).withColumn("high", F.col("last") + pad).withColumn("position", F.lit(None).cast("int"))
+    rows = rows.withColumn("open", F.lit(True))
+    order = F.struct("terms", "n", -F.col("begin"), "low", "high")
+    for number in range(1, count + 1):
+        rows = rows.withColumn("best", F.max(F.when(F.col("open"), order)).over(Window.partitionBy(*key)))
+        chosen = F.col("open") & (order == F.col("best"))
+        apart = (F.col("low") >= F.col("best.high")) | (F.col("high") <= F.col("best.low"))
+        rows = rows.select(
+            *key, "begin", "terms", "n", "low", "high", F.when(chosen, number).otherwise(F.col("position")).alias("position"),
+            (F.col("open") & apart).alias("open"))
+    return rows.filter(F.col("position").isNotNull()).select(*key, "position", "low", "high")
+
+
+def highlight(hits: DataFrame, stem: bool = True, size: int = FRAGMENT_SIZE, count: int = FRAGMENTS) -> DataFrame:
+    """Marked title and text fragments of ``query_id, doc_key, query, title, text`` (the hits of a page only): matching words,
+    elided article included, inside <mark>; everything HTML-escaped.
+
+    A text gives at most ``count`` fragments of about ``size`` characters around its matches (``best_windows``), cut at token
+    borders; the title is kept whole. ``n_terms`` distinct terms are marked ``n_hits`` times; fields without a match give no row.
+    """
+    pieces, key = marked_pieces(hits, stem), ["query_id", "doc_key", "field"]
+    matches = pieces.filter(F.col("stem").isNotNull())
+    titles = matches.filter("field = 'title'").select(*key).distinct().select(
+        *key, F.lit(1).alias("position"), F.lit(0).alias("low"), F.lit(None).alias("high"))
+    shown = best_windows(matches.filter("field = 'text'"), size, count).unionByName(titles)
+    inside = (F.col("begin") >= F.col("low")) & (F.col("high").isNull() | (F.col("fin") <= F.col("high")))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "out")))
-    fragments = (
-        marked.withColumn("fragment", whole)
-        .groupBy("query_id", "doc_key", "field", "fragment")
-        .agg(F.count_if("hit").alias("n_hits"),
-             F.array_join(F.transform(ordered, lambda x: x["out"]), "").alias("html"))
-        .filter("n_hits > 0")
-    )
-    best = top_k_per_group(
-        fragments, ["query_id", "doc_key", "field"], [F.desc("n_hits"), F.col("fragment")], FRAGMENTS, "position")
-    return best.select("query_id", "doc_key", "field", "position", "html", "n_hits")
+    return pieces.join(shown, key).filter(inside).groupBy(*key, "position").agg(
+        F.array_join(F.transform(ordered, lambda x: x["out"]), "").alias("html"),
+        F.count("stem").alias("n_hits"), F.count_distinct("stem").alias("n_terms"))

@@ -1,6 +1,7 @@
 """Search and evaluation against brute force, plan shapes, registered queries against their SQL."""
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -99,6 +100,57 @@ def test_highlight(spark):
     assert rows["s|4", "text", 1].count("<mark>") == 2
 
 
+def plain_windows(matches, size, count):
+    """Best windows of (begin, end, word) matches, one after another, by looking at all of them each time."""
+    windows, out = [], []
+    for begin, _, _ in matches:
+        own = [m for m in matches if begin <= m[0] < begin + search.reach(size)]
+        last = max(m[1] for m in own)
+        pad = max(0, (size - (last - begin)) // 2)
+        windows.append((-len({m[2] for m in own}), -len(own), begin, begin - pad, last + pad))
+    while windows and len(out) < count:
+        best = min(windows)
+        out.append(best[3:])
+        windows = [w for w in windows if w[3] >= best[4] or w[4] <= best[3]]
+    return out
+
+
+@pytest.mark.parametrize(("size", "count"), [(150, 3), (40, 5)])
+def test_fragments_against_all_windows(spark, size, count):
+    """Texts of drawn words and spacings: the shown fragments are the best windows, whole words around them, every match marked."""
+    rng = random.Random(size)
+    words = ["gaz", "eau", "vent", "mur", "porte", "<i>", "&", "toit", "sel", "fer"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", ", ", "\n"]) for _ in range(rng.randrange(1, 400))) for _ in range(25)]
+    texts += ["", None, "gaz", "mur " * 500 + "gaz eau", "gaz " * 300, "gaz eau", "x" * 100_000 + " gaz " + "y" * 100_000]
+    rows = [(1, f"d{i:02}", "gaz vent eau", "toit gaz" if i % 2 else None, t) for i, t in enumerate(texts)]
+    hits = spark.createDataFrame(rows, "query_id int, doc_key string, query string, title string, text string")
+    got = {(r.doc_key, r.field, r.position): (r.html, r.n_hits, r.n_terms) for r in search.highlight(hits, False, size, count).collect()}
+    want = {}
+    for _, key, _, title, text in rows:
+        if title:
+            want[key, "title", 1] = ("toit <mark>gaz</mark>", 1, 1)
+        pieces, at = [], 0
+        for piece in re.findall(r"\w+|[^\w]+", text or ""):
+            pieces.append((at, at + len(piece), piece))
+            at += len(piece)
+        matches = [p for p in pieces if p[2] in ("gaz", "vent", "eau")]
+        for position, (low, high) in enumerate(plain_windows(matches, size, count), 1):
+            inside = [p for p in pieces if p[0] >= low and p[1] <= high]
+            shown = [p[2] for p in inside if p in matches]
+            marked = "".join(f"<mark>{p[2]}</mark>" if p in matches else p[2].replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;") for p in inside)
+            want[key, "text", position] = (marked, len(shown), len(set(shown)))
+    assert got == want and max(position for _, _, position in got) == count
+
+
+def test_highlights_of_a_page_keep_every_hit(spark):
+    texts = spark.createDataFrame([("a", "gaz", "l'eau du gaz"), ("b", None, None)], "doc_key string, title string, text string")
+    page = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "query_id int, doc_key string, rank int")
+    asked = spark.createDataFrame([(1, "gaz, eau")], "query_id int, query string")
+    rows = {r.doc_key: (r.rank, r.title_html, r.fragments) for r in reports.with_highlights(page, texts, asked).collect()}
+    assert rows == {"a": (1, "<mark>gaz</mark>", ["<mark>l&#x27;eau</mark> du <mark>gaz</mark>"]), "b": (2, None, [])}
+    assert reports.with_highlights(page.limit(0), texts, asked).count() == 0
+
+
 def test_number_search_never_pairs_a_shared_number(spark):
     rows = spark.range(300).select(
         F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("doc_key"), F.lit("É-1").alias("decision_number"))
