@@ -11,7 +11,7 @@ from docmill.functions.urls import host
 from docmill.functions.variants import kind
 from docmill.plans import publish
 from docmill.session import work_dir
-from docmill.sources import bronze, landed, listing, policy
+from docmill.sources import bronze, json_arrays, landed, listing, policy
 
 PAGE = 1000
 VOID, TEXT, ITEMS = "NULL", "STRING", "ARRAY"
@@ -30,7 +30,7 @@ SELECT 'https://decisions.example.org/' || CAST(p_partkey AS STRING) AS url, p_n
 FROM part
 """)
 def src_json_snapshot(spark, sf):
-    """Array files landed from part payloads, read element by element."""
+    """Array files landed from part payloads, read element by element, each file by as many tasks as it has splits."""
     path = work_dir(spark, "snapshot")
     records = authority_records(spark, sf).select(
         F.floor(F.col("p_partkey") / PAGE).alias("page"), "payload")
@@ -38,7 +38,7 @@ def src_json_snapshot(spark, sf):
     arrays.select("page", F.concat(F.lit("["), "body", F.lit("]")).alias("value")).write.partitionBy(
         "page").text(path)
     schema = "url_site STRING, titre_decision STRING, type_decision VARIANT, secteur_activite VARIANT"
-    rows = landed.read_array_snapshot(spark, path, schema)
+    rows = json_arrays.read_array(spark, path, schema)
     outer = lambda c: F.regexp_extract(kind(F.col(c)), "^[A-Z]+", 0)
     return rows.select(
         bronze.stable_id(F.col("url_site")).alias("url"), F.col("titre_decision").alias("title"),

@@ -14,7 +14,7 @@ def read_array_snapshot(spark: SparkSession, path: str, schema: str) -> DataFram
     """Elements of JSON array files; polymorphic fields are declared VARIANT in the schema.
 
     Schema inference is never used: a field that is a string here and a list there would be
-    read as text. An array file is one task, so land snapshots as many files, or as JSON lines.
+    read as text. An array file is one task: for many small files. ``json_arrays`` reads large ones by many tasks.
     """
     return spark.read.schema(schema).option("multiLine", True).json(path)
 

@@ -1,5 +1,6 @@
 """Upsert, publication, quality engine and streaming."""
 
+import json
 import random
 from pathlib import Path
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from docmill.operators import upsert
 from docmill.plans import publish, quality
 from docmill.session import work_dir
-from docmill.sources import landed, listing, policy
+from docmill.sources import json_arrays, landed, listing, policy
 from docmill.streaming import ingest
 
 BATCH = "source string, external_id string, seq bigint, payload string, payload_hash string"
@@ -152,6 +153,45 @@ def test_url_policy(spark):
     assert {r.url for r in policy.allowed_urls(urls, rules).collect()} == {"https://a.org/l", "https://b.org/l?page=1"}
 
 
+def drawn_json(rng, depth=0):
+    pick = rng.random()
+    if depth > 2 or pick < 0.4:
+        return rng.choice(["}", '{"', "a\\", '\\"}', "]},{[", 'é\n"', "", 5, None, True, "x" * rng.randrange(50)])
+    if pick < 0.7:
+        return [drawn_json(rng, depth + 1) for _ in range(rng.randrange(4))]
+    return {rng.choice(["a", "b", '}"']): drawn_json(rng, depth + 1) for _ in range(rng.randrange(4))}
+
+
+@pytest.mark.parametrize("split", [900, 6000])
+def test_array_files_are_read_by_many_tasks(spark, split):
+    """Drawn elements with braces, quotes and backslashes in strings; splits smaller than records, at any place: the elements of
+    each file are those of the whole file, broken ones give a row of nulls."""
+    rng = random.Random(split)
+    folder = work_dir(spark, "arrays")
+    Path(folder).mkdir(parents=True)
+    want = []
+    for i, n in enumerate([0, 1, 40, 60]):
+        rows = [{"id": j, "f": drawn_json(rng), "g": "long " * 400 if j % 20 == 5 else drawn_json(rng)} for j in range(n)]
+        Path(f"{folder}/f{i}.json").write_text(
+            json.dumps(rows, indent=[None, 2, None, 1][i], ensure_ascii=bool(i % 2)) + ("\n" if i % 2 else ""))
+        want += [(r["id"], json.dumps(r["f"], sort_keys=True), json.dumps(r["g"], sort_keys=True)) for r in rows]
+    Path(f"{folder}/empty.json").write_text("")
+    Path(f"{folder}/torn.json").write_text('[{"id": 7}, {"id": 8, "f": "}')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        parts = spark.read.option("lineSep", "}").text(folder).select(F.spark_partition_id()).distinct().count()
+        rows = json_arrays.read_array(spark, folder, "id bigint, f variant, g variant").selectExpr(
+            "id", "CAST(to_json(f) AS STRING) AS f", "CAST(to_json(g) AS STRING) AS g").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    text = lambda v: "null" if v is None else json.dumps(json.loads(v), sort_keys=True)
+    got = [(r.id, text(r.f), text(r.g)) for r in rows]
+    torn = [g for g in got if g not in set(want)]
+    assert parts > 4 and sorted(torn, key=str) == [(7, "null", "null"), (None, "null", "null")]
+    assert sorted(g for g in got if g not in set(torn)) == sorted(want)
+
+
 def test_stream_equals_batch_and_survives_replay(spark):
     """Three landings (new, reverted and unchanged content) give the batch result; writing the
     last micro-batch again, as after a lost driver, changes nothing."""
