@@ -1,10 +1,12 @@
 """Token ids in compressed files: an adaptive context-mixing range coder over independently reset, checksummed blocks.
 
-A block of `BLOCK` ids starts from an empty model. For each id the model has a guess of order 2 (what last followed the two
-ids before), a guess of order 1, and adaptive order-0 frequencies of the ids' bit lengths. How often guesses of each confidence
-came true sets what share of the code range each gets; the rest goes to the order-0 model, whose lower bits are coded evenly.
-A carry-less range coder turns the shares into 16-bit words. Blocks share nothing, so a task codes many in step, one numpy
-lane a block, and a damaged block (wrong checksum) harms no other.
+A block of `BLOCK` ids starts from an empty model and numbers its distinct ids by first appearance. Three orders predict the next
+number: what last followed the two ids before (order 2), what last followed the one before (order 1), each with a confidence, and
+the frequencies of all ids of the block so far (order 0), with an escape for new ones. An id's probability is the weighted sum of
+what the three give it, so a guess that two orders share, or that is frequent anyway, gets all of it. The weights stand under both
+confidences and move, after each id, towards the share that each order had in its probability. A new id follows its escape: its bit
+length by adaptive frequencies, the lower bits evenly. A carry-less range coder turns the shares into 16-bit words. Blocks share
+nothing, so a task codes many in step, one numpy lane a block, and a damaged block (wrong checksum) harms no other.
 
 Format: Parquet files as containers, in ascending id order; a row is a block: file and block number, number of ids, crc32 of
 them, the documents that begin in it (number in the file, id, place) and the code words. Vocabularies are limited to 65,536 ids.
@@ -30,151 +32,235 @@ from docmill.session import work_dir, written
 BLOCK = 4096
 LANES = 1024
 END_ID = 2
-TOTAL_BITS = 16
-SLOTS2, SLOTS1, LEVELS, LENGTHS = 2048, 1024, 8, 17
+#: Bits of the code range that the mixed shares divide, and of the one that lengths of new ids divide.
+MIXED_BITS, LENGTH_BITS = 24, 16
+SLOTS2, LEVELS, LENGTHS = 4096, 8, 17
 STEP, RATE = 32, 5
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 U16, U48 = np.uint64(16), np.uint64(48)
+WHOLE, ROOM = 1 << MIXED_BITS, (1 << LENGTH_BITS) - LENGTHS
+#: A number's two digits; row d: 1 for the digits after d, added to running sums where a number with digit d came.
+DIGIT = 64
+AFTER = np.triu(np.ones((DIGIT, DIGIT), np.int16), 1)
+ONES = np.ones(DIGIT, np.float32)
 BIT_LENGTH = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
 FILES = "file_no int, block_no long, n_ids int, ids_crc32 long, doc_nos array<long>, doc_ids array<long>, places array<int>, code binary"
 _NAMES = [x.split()[0] for x in FILES.split(", ")]
 
 
+def _last(sums: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Of each row of ascending sums, the last one that is not above its limit."""
+    return ((sums <= most[:, None]).astype(np.float32) @ ONES).astype(np.int64) - 1
+
+
 class Model:
-    """The adaptive state of n blocks, one lane each."""
+    """The adaptive state of n blocks, one lane each. Ids are numbered by first appearance in their block."""
 
     def __init__(self, n: int):
-        # A guess and its confidence (the lower three bits) in one entry: one look into memory for both.
-        self.slots2, self.slots1 = np.zeros(n * SLOTS2, np.int32), np.zeros(n * SLOTS1, np.int32)
-        start = np.array([256, *[6000 + 7000 * k for k in range(LEVELS - 1)]], np.int64)
-        self.true2, self.true1 = np.tile(start, n), np.tile(start, n)
-        # Lengths by lanes, so that running sums go over whole rows of lanes.
-        self.count = np.ones((LENGTHS, n), np.int64)
-        self.last, self.last2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.lane = lane = np.arange(n, dtype=np.int64)
-        self.base2, self.base1, self.base = lane * SLOTS2, lane * SLOTS1, lane * LEVELS
-        self.n, self.flat = n, self.count.reshape(-1)
-
-    def predict(self, n: int) -> None:
-        """Guesses of the first n lanes and the shares of the code range they get."""
+        # A guess and its confidence (the lower three bits) in one entry: one look into memory for both. Confidence 0: none.
+        self.slots2, self.slots1 = np.zeros(n * SLOTS2, np.int32), np.zeros(n * BLOCK, np.int32)
+        level = np.arange(LEVELS)
+        sure = np.where(level > 0, 4000 + 7000 * (level - 1), 0)
+        weight2 = np.repeat(sure, LEVELS)  # by confidence of order 2, then of order 1
+        self.weight2, self.weight1 = np.tile(weight2, n), np.tile((65536 - weight2) * np.tile(sure, LEVELS) >> 16, n)
+        # How often each number came, and running sums over its first digit and, for each of those, over its second.
+        self.count = np.zeros(n * BLOCK, np.int16)
+        self.high, self.low = np.zeros((n, DIGIT), np.int16), np.zeros((n * DIGIT, DIGIT), np.int16)
+        self.highs, self.lows = self.high.reshape(-1), self.low.reshape(-1)
+        self.lengths = np.ones((n, LENGTHS), np.int64)
+        self.kinds, self.last, self.last2 = (np.zeros(n, np.int64) for _ in range(3))
+        self.lane = np.arange(n, dtype=np.int64)
+        self.base2, self.base, self.mixed = self.lane * SLOTS2, self.lane * BLOCK, self.lane * LEVELS**2
+
+    def predict(self, n: int, seen: int) -> None:
+        """Guesses of the first n lanes after so many ids, and what each order weighs of the code range."""
         last = self.last[:n]
         self.at2 = self.base2[:n] + ((last * 40503 + self.last2[:n] * 30011) >> 4 & (SLOTS2 - 1))
-        self.at1 = self.base1[:n] + (last * 40503 >> 5 & (SLOTS1 - 1))
+        self.at1 = self.base[:n] + last
         held2, held1 = self.slots2.take(self.at2), self.slots1.take(self.at1)
         self.guess2, self.guess1 = held2 >> 3, held1 >> 3
         self.level2, self.level1 = held2 & 7, held1 & 7
-        self.rate2, self.rate1 = self.base[:n] + self.level2, self.base[:n] + self.level1
-        self.share2 = (self.true2[self.rate2] * 60000 >> 16) + 1
-        rest = 65536 - self.share2
-        self.share1 = (self.true1[self.rate1] * (rest - 64) >> 16) + 1
-        self.begin = self.share2 + self.share1
-        self.room = 65536 - self.begin - LENGTHS
-        self.sums = np.empty((LENGTHS, n), np.int64)
-        self.sums[0] = self.count[0, :n]
-        for k in range(1, LENGTHS):
-            np.add(self.sums[k - 1], self.count[k, :n], out=self.sums[k])
-        self.total = self.sums[-1]
-
-    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start and width of each id's share, and how many lower bits follow evenly."""
-        n = len(ids)
-        self.hit2 = ids == self.guess2
-        self.hit1 = (ids == self.guess1) & ~self.hit2
-        self.length = BIT_LENGTH[ids].astype(np.int64)
-        high = self.sums.reshape(-1).take(self.length * n + self.lane[:n])
-        low = high - self.flat.take(self.length * self.n + self.lane[:n])
-        start = self.begin + self.room * low // self.total + self.length
-        width = self.begin + self.room * high // self.total + self.length + 1 - start
-        start[self.hit1] = self.share2[self.hit1]
-        start[self.hit2] = 0
-        width[self.hit1] = self.share1[self.hit1]
-        width[self.hit2] = self.share2[self.hit2]
-        bits = np.maximum(self.length - 1, 0)
-        bits[self.hit1 | self.hit2] = 0
-        return start, width, bits
-
-    def find(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What stands at a place of the code range: the id as far as known, and start and width of its share."""
-        n, inside = len(slot), slot - self.begin
-        length = np.zeros(n, np.int64)
-        reach, begins, below = (inside + 1) * self.total, np.empty(n, np.int64), np.empty(n, bool)
-        for k in range(LENGTHS - 1):  # the share of length k + 1 begins at room * sums[k] // total + k + 1
-            reach -= self.total
-            np.multiply(self.room, self.sums[k], out=begins)
-            np.less(begins, reach, out=below)
-            length += below
-        hit2, hit1 = slot < self.share2, slot < self.begin
-        ids = np.where(length > 0, np.int64(1) << np.maximum(length - 1, 0), 0)
-        ids = np.where(hit2, self.guess2, np.where(hit1, self.guess1, ids))
-        length = np.where(hit1, 0, length)
-        high = self.sums.reshape(-1).take(length * n + self.lane[:n])
-        low = high - self.flat.take(length * self.n + self.lane[:n])
-        start = self.begin + self.room * low // self.total + length
-        width = self.begin + self.room * high // self.total + length + 1 - start
-        start = np.where(hit2, 0, np.where(hit1, self.share2, start))
-        width = np.where(hit2, self.share2, np.where(hit1, self.share1, width))
-        self.bits = np.where(hit1, 0, np.maximum(length - 1, 0))
-        return ids, start, width
-
-    def learn(self, ids: np.ndarray) -> None:
-        """Adapt to the ids that came."""
-        n = len(ids)
-        hit2 = ids == self.guess2
-        miss2 = ~hit2
-        hit1 = ids == self.guess1
-        p = self.true2[self.rate2]
-        self.true2[self.rate2] = p + np.where(hit2, (62000 - p) >> RATE, -(p >> RATE))
-        p = self.true1[self.rate1]
-        self.true1[self.rate1] = p + np.where(miss2, np.where(hit1, (62000 - p) >> RATE, -(p >> RATE)), 0)
-        self.flat[BIT_LENGTH.take(ids) * np.int64(self.n) + self.lane[:n]] += np.where(miss2 & ~hit1, STEP, 0)
-        self.slots2[self.at2] = self._entry(ids, hit2, self.guess2, self.level2)
-        self.slots1[self.at1] = self._entry(ids, hit1, self.guess1, self.level1)
+        self.at = self.mixed[:n] + self.level2 * LEVELS + self.level1
+        self.old2, self.old1 = self.weight2.take(self.at), self.weight1.take(self.at)
+        # Order 0 keeps a 64th of the range, so every share is wider than nothing.
+        self.share2 = np.where(self.level2 > 0, self.old2 * 63 >> 6, 0) << MIXED_BITS - 16
+        self.share1 = np.where(self.level1 > 0, self.old1 * 63 >> 6, 0) << MIXED_BITS - 16
+        self.guesses = self.share2 + self.share1
+        self.share0 = (WHOLE - self.guesses).astype(float)
+        self.seen, self.total = seen, (self.kinds[:n] + (seen + 1)).astype(float)  # one for each kind and one more: the escape
+
+    def interval(self, number: np.ndarray, lane: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of a known number's mixed share, in the lanes given.
+
+        Quotients are of whole numbers below 2 ** 37 by some below 2 ** 14, so their whole parts are exact in double precision.
+        """
+        at = self.base[lane] + number
+        low = self.highs.take(at >> 6) + self.lows.take(at)
+        share0, total = self.share0[lane], self.total[lane]
+        start = (share0 * low / total).astype(np.int64)
+        end = (share0 * (low + self.count.take(at)) / total).astype(np.int64)
+        for guess, share in ((self.guess2[lane], self.share2[lane]), (self.guess1[lane], self.share1[lane])):
+            start += share * (guess < number)
+            end += share * (guess <= number)
+        return start, end
+
+    def escape(self) -> np.ndarray:
+        """Where the share of new ids begins; it reaches to the end."""
+        return (self.share0 * self.seen / self.total).astype(np.int64) + self.guesses
+
+    def find(self, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What stands at a place of the code range: the number (the next one: a new id), whether it is new, start and end of its share."""
+        n = len(slot)
+        start, end = self.escape(), np.full(n, WHOLE, np.int64)
+        number, new = self.kinds[:n].copy(), slot >= start
+        rest, own = slot, np.flatnonzero(~new)
+        for guess, share, level, lane in ((self.guess2, self.share2, self.level2, slice(0, n)), (self.guess1, self.share1, self.level1, None)):
+            lane = own if lane is None else lane
+            asked = guess[lane].astype(np.int64)
+            begin, stop = self.interval(asked, lane)
+            beyond = slot[lane] >= stop
+            hit = (slot[lane] >= begin) & ~beyond & (level[lane] > 0)
+            rest = rest - share[lane] * beyond  # an order without a guess has no share
+            if lane is own:
+                got, rest, own = own[hit], rest[~hit], own[~hit]
+            else:
+                hit &= ~new
+                got, own = np.flatnonzero(hit), np.flatnonzero(~(hit | new))
+                rest = rest[own]
+            number[got], start[got], end[got] = asked[hit], begin[hit], stop[hit]
+        if len(own):
+            # The last count that begins at or before the place; then its digits, each the last whose sum is not above the rest.
+            left = np.ceil((rest + 1) * self.total[own] / self.share0[own]).astype(np.int16) - np.int16(1)
+            first = _last(self.high.take(own, axis=0), left)
+            row = own * DIGIT + first
+            left -= self.highs.take(row)
+            got = first * DIGIT + _last(self.low.take(row, axis=0), left)
+            number[own] = got
+            start[own], end[own] = self.interval(got, own)
+        return number, new, start, end
+
+    def length_interval(self, length: np.ndarray, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of the share of new ids of this bit length."""
+        sums = np.cumsum(self.lengths[lane], axis=1)
+        every, high = sums[:, -1], sums[np.arange(len(lane)), length]
+        low = high - self.lengths[lane, length]
+        start = ROOM * low // every + length
+        return start, ROOM * high // every + length + 1 - start
+
+    def find_length(self, slot: np.ndarray, lane: np.ndarray) -> np.ndarray:
+        sums = np.cumsum(self.lengths[lane], axis=1)
+        starts = ROOM * sums[:, :-1] // sums[:, -1:] + np.arange(1, LENGTHS)
+        return (starts <= slot[:, None]).sum(axis=1)
+
+    def learn_length(self, length: np.ndarray, lane: np.ndarray) -> None:
+        self.lengths[lane, length] += STEP
+
+    def learn(self, number: np.ndarray, new: np.ndarray, width: np.ndarray) -> None:
+        """Adapt to the numbers that came, each with its share's width."""
+        n = len(number)
+        hit2, hit1 = (self.guess2 == number) & ~new, (self.guess1 == number) & ~new
+        # Each order's part of the probability, of 65,536; the weights move towards it.
+        for weight, old, share, hit in ((self.weight2, self.old2, self.share2, hit2), (self.weight1, self.old1, self.share1, hit1)):
+            weight[self.at] = old + (((share * hit << 16) / width).astype(np.int64) - old >> RATE)
+        self.slots2[self.at2] = self._entry(number, hit2, self.guess2, self.level2)
+        self.slots1[self.at1] = self._entry(number, hit1, self.guess1, self.level1)
+        at = self.base[:n] + number
+        self.high[:n] += AFTER.take(number >> 6, axis=0)
+        row = at >> 6
+        self.low[row] = self.low.take(row, axis=0) + AFTER.take(number & 63, axis=0)
+        self.count[at] = self.count.take(at) + np.int16(1)
+        self.kinds[:n] += new
         self.last2[:n] = self.last[:n]
-        self.last[:n] = ids
+        self.last[:n] = number
 
     @staticmethod
-    def _entry(ids, hit, guess, level):
+    def _entry(number, hit, guess, level):
         """A right guess grows surer, a wrong one is halved, and an unsure wrong one gives way."""
         weak = (level <= 1) & ~hit
-        return np.where(weak, ids << 3 | 1, guess << 3 | np.where(hit, np.minimum(level + 1, LEVELS - 1), level >> 1))
+        return np.where(weak, number << 3 | 1, guess << 3 | np.where(hit, np.minimum(level + 1, LEVELS - 1), level >> 1))
+
+
+class _Range:
+    """The code range of n lanes: where it begins and how wide it is."""
+
+    def __init__(self, n: int):
+        self.low, self.width = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64)
+
+    def narrow(self, lane: np.ndarray | slice, start: np.ndarray, size: np.ndarray, bits: int) -> None:
+        """To a share of 2 ** bits."""
+        unit = self.width[lane] >> np.uint64(bits)
+        self.low[lane] += unit * start.view(np.uint64)
+        self.width[lane] = unit * size.view(np.uint64)
+
+    def lower_bits(self, lane: np.ndarray, value: np.ndarray, bits: np.ndarray) -> None:
+        unit = self.width[lane] >> bits.view(np.uint64)
+        self.low[lane] += unit * value.view(np.uint64)
+        self.width[lane] = unit
+
+    def full(self, lane: np.ndarray | slice) -> np.ndarray:
+        """Those of the lanes (a slice: from the first) whose first word is settled; it is shifted out by `shift`."""
+        a, b = self.low[lane], self.width[lane]
+        own = np.flatnonzero(((a ^ (a + b)) < TOP) | (b < BOTTOM))
+        return own if isinstance(lane, slice) else lane[own]
+
+    def shift(self, lane: np.ndarray) -> None:
+        a, b = self.low[lane], self.width[lane]
+        b = np.where((a ^ (a + b)) < TOP, b, (~a + np.uint64(1)) & (BOTTOM - np.uint64(1)))
+        self.low[lane], self.width[lane] = a << U16, b << U16
+
+
+def _numbered(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a block's ids by first appearance, and which of them are new."""
+    _, first, back = np.unique(block, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    number = np.empty(len(first), np.int64)
+    number[order] = np.arange(len(first))
+    new = np.zeros(len(block), bool)
+    new[first] = True
+    return number[back], new
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Code words of each block of ids."""
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     n, longest = len(blocks), len(blocks[order[0]]) if blocks else 0
-    ids = np.zeros((longest, n), np.int64)
+    ids, numbers, news = (np.zeros((longest, n), kind) for kind in (np.uint16, np.int16, bool))
     lengths = np.array([len(blocks[i]) for i in order], np.int64)
     for lane, i in enumerate(order):
-        ids[: lengths[lane], lane] = blocks[i]
-    model = Model(n)
-    low, width = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64)
-    out, at = np.zeros((n, 2 * longest + 8), np.uint16), np.zeros(n, np.int64)
+        size = lengths[lane]
+        ids[:size, lane] = blocks[i]
+        numbers[:size, lane], news[:size, lane] = _numbered(blocks[i])
+    model, code = Model(n), _Range(n)
+    out, at = np.zeros((n, 3 * longest + 8), np.uint16), np.zeros(n, np.int64)
+
+    def settle(lane: np.ndarray | slice) -> None:
+        while len(lane := code.full(lane)):
+            out[lane, at[lane]] = code.low[lane] >> U48
+            at[lane] += 1
+            code.shift(lane)
+
     live = np.searchsorted(-lengths, -np.arange(longest), side="left")
     for t in range(longest):
         k = int(live[t])
-        own, lo, w = ids[t, :k], low[:k], width[:k]
-        model.predict(k)
-        start, size, bits = model.interval(own)
-        w >>= U16
-        lo += w * start.view(np.uint64)
-        w *= size.view(np.uint64)
-        w >>= bits.view(np.uint64)
-        lo += w * (own & ((np.int64(1) << bits) - 1)).view(np.uint64)
-        while True:
-            go = np.flatnonzero(((lo ^ (lo + w)) < TOP) | (w < BOTTOM))
-            if not len(go):
-                break
-            a, b = lo[go], w[go]
-            b = np.where((a ^ (a + b)) < TOP, b, (~a + np.uint64(1)) & (BOTTOM - np.uint64(1)))
-            out[go, at[go]] = a >> U48
-            at[go] += 1
-            lo[go], w[go] = a << U16, b << U16
-        model.learn(own)
+        lane, number, new = slice(0, k), numbers[t, :k].astype(np.int64), news[t, :k]
+        model.predict(k, t)
+        start, end = model.interval(number, lane)
+        start, end = np.where(new, model.escape(), start), np.where(new, WHOLE, end)
+        code.narrow(lane, start, end - start, MIXED_BITS)
+        settle(lane)
+        fresh = np.flatnonzero(new)
+        if len(fresh):
+            own = ids[t, fresh].astype(np.int64)
+            length = BIT_LENGTH[own].astype(np.int64)
+            code.narrow(fresh, *model.length_interval(length, fresh), LENGTH_BITS)
+            bits = np.maximum(length - 1, 0)
+            code.lower_bits(fresh, own & ((np.int64(1) << bits) - 1), bits)
+            settle(fresh)
+            model.learn_length(length, fresh)
+        model.learn(number, new, end - start)
     codes: list[bytes] = [b""] * n
     for lane, i in enumerate(order):
-        rest = int(low[lane]).to_bytes(8, "big")
-        codes[i] = out[lane, : at[lane]].astype(">u2").tobytes() + rest
+        codes[i] = out[lane, : at[lane]].astype(">u2").tobytes() + int(code.low[lane]).to_bytes(8, "big")
     return codes
 
 
@@ -187,37 +273,43 @@ def decode_blocks(codes: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     words = np.zeros((n, widest), np.uint64)
     for lane, i in enumerate(order):
         words[lane, : len(codes[i]) // 2] = np.frombuffer(codes[i], ">u2")
-    words, row = words.reshape(-1), np.arange(n, dtype=np.int64) * widest
-    model = Model(n)
-    low, width, code, at = np.zeros(n, np.uint64), np.full(n, 2**64 - 1, np.uint64), np.zeros(n, np.uint64), row.copy()
+    words, at = words.reshape(-1), np.arange(n, dtype=np.int64) * widest
+    model, code, value = Model(n), _Range(n), np.zeros(n, np.uint64)
     for _ in range(4):
-        code = (code << U16) | words[at]
+        value = (value << U16) | words[at]
         at += 1
-    ids = np.zeros((longest, n), np.uint16)
+
+    def place(lane: np.ndarray | slice, bits: int) -> np.ndarray:
+        unit = code.width[lane] >> np.uint64(bits)
+        return np.minimum((value[lane] - code.low[lane]) // unit, np.uint64((1 << bits) - 1)).astype(np.int64)
+
+    def settle(lane: np.ndarray | slice) -> None:
+        while len(lane := code.full(lane)):
+            value[lane] = (value[lane] << U16) | words[at[lane]]
+            at[lane] += 1
+            code.shift(lane)
+
+    ids, known = np.zeros((longest, n), np.uint16), np.zeros(n * BLOCK, np.uint16)
     live = np.searchsorted(-lengths, -np.arange(longest), side="left")
     for t in range(longest):
         k = int(live[t])
-        lo, w, c = low[:k], width[:k], code[:k]
-        model.predict(k)
-        w >>= U16
-        own, start, size = model.find(np.minimum((c - lo) // w, np.uint64(65535)).astype(np.int64))
-        lo += w * start.view(np.uint64)
-        w *= size.view(np.uint64)
-        w >>= model.bits.view(np.uint64)
-        lower = (c - lo) // w
-        lo += w * lower
-        own = own | lower.view(np.int64)
-        ids[t, :k] = own
-        while True:
-            go = np.flatnonzero(((lo ^ (lo + w)) < TOP) | (w < BOTTOM))
-            if not len(go):
-                break
-            a, b = lo[go], w[go]
-            b = np.where((a ^ (a + b)) < TOP, b, (~a + np.uint64(1)) & (BOTTOM - np.uint64(1)))
-            c[go] = (c[go] << U16) | words[at[go]]
-            at[go] += 1
-            lo[go], w[go] = a << U16, b << U16
-        model.learn(own)
+        lane = slice(0, k)
+        model.predict(k, t)
+        number, new, start, end = model.find(place(lane, MIXED_BITS))
+        code.narrow(lane, start, end - start, MIXED_BITS)
+        settle(lane)
+        fresh = np.flatnonzero(new)
+        if len(fresh):
+            length = model.find_length(place(fresh, LENGTH_BITS), fresh)
+            code.narrow(fresh, *model.length_interval(length, fresh), LENGTH_BITS)
+            bits = np.maximum(length - 1, 0)
+            lower = (value[fresh] - code.low[fresh]) // (code.width[fresh] >> bits.view(np.uint64))
+            code.lower_bits(fresh, lower.view(np.int64), bits)
+            settle(fresh)
+            model.learn_length(length, fresh)
+            known[model.base[fresh] + number[fresh]] = np.where(length > 0, np.int64(1) << bits, 0) | lower.view(np.int64)
+        ids[t, :k] = known[model.base[:k] + number]
+        model.learn(number, new, end - start)
     back: list[np.ndarray] = [np.zeros(0, "<u4")] * n
     for lane, i in enumerate(order):
         back[i] = ids[: lengths[lane], lane].astype("<u4")

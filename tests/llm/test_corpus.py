@@ -140,6 +140,50 @@ def test_codec_round_trip_and_independence():
     assert len(codes[5]) < 0.2 * 2 * len(blocks[5])
 
 
+def test_mixed_shares_tile_the_code_range():
+    """After any ids the shares of all known numbers and of new ones lie one after another over the whole range, each is found by
+    every place in it, and a number guessed by two orders has both their shares and its frequency's."""
+    rng = np.random.default_rng(4)
+    model, whole = token_codec.Model(3), token_codec.WHOLE
+    numbers, news = zip(*(token_codec._numbered(rng.integers(0, k, 200)) for k in (6, 40, 150)), strict=True)
+    for t in range(200):
+        model.predict(3, t)
+        lane = slice(0, 3)
+        own, new = np.array([x[t] for x in numbers]), np.array([x[t] for x in news])
+        escape = model.escape()
+        edge, shares = np.zeros(3, np.int64), []
+        for k in range(int(model.kinds.max())):
+            start, end = model.interval(np.full(3, k), lane)
+            known = k < model.kinds
+            assert (start[known] == edge[known]).all() and (end > start)[known].all()
+            edge = np.where(known, end, edge)
+            shares.append((k, start, end, known))
+        assert (edge == escape).all() and (escape < whole).all()
+        for place in (np.zeros(3, np.int64), escape - 1, escape, np.full(3, whole - 1), rng.integers(0, whole, 3)):
+            place = np.maximum(place, 0)
+            got, fresh, start, end = model.find(place)
+            assert ((start <= place) & (place < end)).all() and (fresh == (place >= escape)).all()
+            for k, low, high, known in shares:
+                mine = known & (got == k) & ~fresh
+                assert (start[mine] == low[mine]).all() and (end[mine] == high[mine]).all()
+        start, end = model.interval(own, lane)
+        both = (model.guess2 == own) & (model.guess1 == own) & (model.level2 > 0) & (model.level1 > 0) & ~new
+        assert (end - start > model.share2 + model.share1)[both].all()
+        width = np.where(new, whole - escape, end - start)
+        model.learn(own, new, width)
+    assert both.any() or model.weight2.any()
+
+
+def test_blocks_without_and_with_nothing_but_repeats():
+    every = np.random.default_rng(1).permutation(65536)[:4096].astype("<u4")
+    same = np.full(4096, 65535, "<u4")
+    for lanes in ([every, same], [same], [every], []):
+        codes = token_codec.encode_blocks(lanes)
+        back = token_codec.decode_blocks(codes, [len(b) for b in lanes])
+        assert all((a == b).all() for a, b in zip(lanes, back, strict=True)) and len(back) == len(lanes)
+    assert len(token_codec.encode_blocks([same])[0]) < 200
+
+
 def test_joined_checksums():
     ids = np.random.default_rng(2).integers(0, 60000, 9000).astype("<u4")
     cut = [0, 1, 1000, 5000, 9000]
