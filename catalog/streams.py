@@ -45,18 +45,30 @@ def st_dedup_overlap(spark, sf):
     return spark.read.schema(rows.schema).parquet(out).select(*rows.columns)
 
 
-@query("st_upsert", f"""
+UPSERT_SQL = """
 WITH l AS (SELECT source, external_id, arg_max(payload, seq) AS payload FROM v_batch GROUP BY source, external_id)
 SELECT source, external_id, coalesce(l.payload, s.payload) AS payload, sha256(coalesce(l.payload, s.payload)) AS payload_hash
 FROM l FULL OUTER JOIN v_stored s USING (source, external_id)
-""")
-def st_upsert(spark, sf):
+"""
+
+
+def upserted(spark, sf, start):
     """The stored layer lands first, the batch after it; the log folds to what batch upsert gives."""
     path = work_dir(spark, "landing")
     first = stored(spark, sf).select("source", "external_id", F.lit(0).cast("bigint").alias("seq"), "payload", "payload_hash")
     first.write.mode("append").parquet(path)
     batch(spark, sf).select("source", "external_id", "seq", "payload", "payload_hash").write.mode("append").parquet(path)
     log = work_dir(spark, "log")
-    stream = ingest.read_table_stream(spark, path, BATCH)
-    ingest.start_upsert(stream, log, work_dir(spark, "log-state")).awaitTermination()
+    start(ingest.read_table_stream(spark, path, BATCH), log, work_dir(spark, "log-state")).awaitTermination()
     return ingest.current_state(spark, log).select("source", "external_id", "payload", "payload_hash")
+
+
+@query("st_upsert", UPSERT_SQL)
+def st_upsert(spark, sf):
+    return upserted(spark, sf, ingest.start_upsert)
+
+
+@query("st_upsert_keyed", UPSERT_SQL)
+def st_upsert_keyed(spark, sf):
+    """The same with the last hashes in the state store."""
+    return upserted(spark, sf, ingest.start_keyed_upsert)

@@ -4,10 +4,11 @@ What comes out is an append-only change log, one folder per micro-batch: a new o
 its payload, an unchanged one only the fact that it was seen. A micro-batch thus writes in proportion
 to itself, and a replayed one overwrites its own folder only.
 
-``start_upsert`` keeps the last hash of every key in Spark's state store (RocksDB on the executors'
-disks, changes in the checkpoint): a micro-batch looks up the keys it brings and reads nothing else,
-whatever was stored before. ``append_changes`` decides one batch without a stream or a store, from the
-log alone: in it one folder per bucket of keys, a snapshot of their hashes every COMPACT batches.
+``start_keyed_upsert`` keeps the last hash of every key in Spark's state store (RocksDB on the
+executors' disks, changes in the checkpoint): a micro-batch looks up the keys it brings and reads
+nothing else, whatever was stored before. For small batches against a large table; a look-up costs
+a Python call. ``start_upsert`` decides from the log alone, by a join: in it one folder per bucket of
+keys, a snapshot of their hashes every COMPACT batches. For large batches, such as a first load.
 """
 
 from __future__ import annotations
@@ -208,7 +209,21 @@ def changes(stream: DataFrame) -> DataFrame:
 
 
 def start_upsert(stream: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
-    """Upsert every micro-batch of a record stream; stops when all available input is read.
+    """Upsert every micro-batch of a record stream; stops when all available input is read."""
+    spark = stream.sparkSession
+    spark.createDataFrame([], LOG).write.mode("ignore").parquet(f"{log_path}/batch_id=-1/bucket=-1")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_changes(spark, batch, batch_id, log_path)
+
+    return (
+        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def start_keyed_upsert(stream: DataFrame, log_path: str, checkpoint: str) -> StreamingQuery:
+    """The same on keyed state.
 
     The number of state partitions is that of shuffle partitions at the first start; the checkpoint keeps it.
     """

@@ -229,7 +229,7 @@ def test_keyed_state_equals_batch_and_costs_what_a_batch_brings(spark):
         rows += [("hot", 1000 + i, str(i % 2)) for i in range(300)] + [("torn", 1, None)]
         batch = make_batch(spark, rows)
         batch.coalesce(1).write.mode("append").parquet(path)
-        query = ingest.start_upsert(ingest.read_table_stream(spark, path, BATCH), log, state)
+        query = ingest.start_keyed_upsert(ingest.read_table_stream(spark, path, BATCH), log, state)
         query.awaitTermination()
         operators = query.lastProgress.stateOperators
         assert any("rocksdb" in name for name in operators[0].customMetrics)
