@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docmill.functions.text import is_sql_blank, number_key, title_key
 from docmill.operators import aggregates, keys, ranking
-from docmill.plans import bounded, search
+from docmill.plans import published, search
 from docmill.session import written
 
 KEY = ["source", "external_id"]
@@ -60,8 +60,8 @@ def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: lis
     """One row per target and evaluation: ``mode, title_boost, doc_id, flags, rank, total_hits``.
 
     Targets with the same number or the same title ask the same question, which is answered once on the published index,
-    for all title weights together. A target's own score is known first, and only documents that can reach it are scored
-    (``bounded``); so the work follows the targets, not targets times matches. The rank is NULL outside the first ten.
+    for all title weights together, document by document (``docwise``): of what matches, only the first ten of each task leave it. The
+    rank is NULL outside the first ten.
     ``asked``: what of a title is searched (all of it by default).
     """
     docs = silver.withColumn("doc_key", F.concat_ws("|", "source", "external_id"))
@@ -75,10 +75,9 @@ def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: lis
     titled = written(for_mode(rows, "title", titled_source).withColumn(
         "query", F.col("title") if asked is None else asked).withColumn("query_id", F.sha2("query", 256)), "titled")
     questions = titled.groupBy("query_id").agg(F.min("query").alias("query"))
-    run = bounded.Bounded(silver.sparkSession, index_path, questions, boosts, stem=stem)
-    floors = run.own_floors(titled.select("query_id", F.col("doc_id").alias("doc_key")))
+    lists, totals = published.search_all(silver.sparkSession, index_path, questions, boosts, stem=stem)
     weights = F.array(*[F.lit(float(b)) for b in boosts])
-    title_rows = _ranks(titled.withColumn("title_boost", F.explode(weights)), run.first(floors=floors), run.totals(), ["query_id", "title_boost"])
+    title_rows = _ranks(titled.withColumn("title_boost", F.explode(weights)), lists, totals, ["query_id", "title_boost"])
 
     columns = ["title_boost", "doc_id", "decision_number", "title", *FLAGS, "rank", "total_hits"]
     return number_rows.select(F.lit("number").alias("mode"), *columns).unionByName(

@@ -347,3 +347,45 @@ def test_evaluation_scores_few_documents(spark):
         matched.append(run.totals().agg(F.sum("total_hits")).first()[0] / n)
     assert matched[1] > 3 * matched[0]
     assert per_target[1] < 2.5 * per_target[0] and per_target[1] < matched[1] / 4, (per_target, matched)
+
+
+@pytest.mark.parametrize("filtered", [False, True])
+def test_documents_are_scored_against_blocks_of_queries(spark, tmp_path, monkeypatch, filtered):
+    """Many small blocks, lists cut often: ranks, ties by key, and totals stay those of the whole search."""
+    from docmill.operators.filters import SearchFilters
+    from docmill.plans import docwise
+
+    sizes, broadcast = [], spark.sparkContext.broadcast
+
+    def sent(value):
+        sizes.append(sum(len(f[4]) for f in value.fields.values()))
+        return broadcast(value)
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", sent)
+    monkeypatch.setattr(docwise, "BLOCK", 100)
+    texts = drawn_texts(160, 3)
+    docs = published_docs(spark, texts + [("mot3", "mot0")] * 30, str(tmp_path / "v"), tasks=3)
+    asked = [(f"q{i}", f"{texts[i][0]} {texts[i][1]}") for i in range(25)] + [("absent", "absent"), ("empty", ""), ("one", "mot3")]
+    queries = spark.createDataFrame(asked, "query_id string, query string")
+    filters = SearchFilters(source=["s1"]) if filtered else None
+    want = search.ranked(search.best_field_grid(search.score_queries(search.build_index(docs), queries, filters), [1.0, 2.0]), 4, ["query_id", "title_boost"])
+    got = published.search_grid(spark, str(tmp_path / "v"), queries, [1.0, 2.0], 4, filters)
+    assert sorted(map(tuple, got.select(*COLUMNS).collect())) == sorted(map(tuple, want.select(*COLUMNS).collect()))
+    assert len(sizes) > 2 and max(sizes) < 300
+
+
+def test_best_lists_cut_in_rounds(monkeypatch):
+    import numpy as np
+
+    from docmill.plans import docwise
+
+    monkeypatch.setattr(docwise, "HELD", 7)
+    rng, best = np.random.default_rng(1), docwise.Best(3, 4)
+    best.keys = [f"k{i:03d}" for i in rng.permutation(200)]
+    rows = [(int(rng.integers(3)), float(rng.integers(5)), d) for d in range(200)]
+    for lo in range(0, 200, 5):
+        part = rows[lo : lo + 5]
+        best.add(*(np.array(x) for x in zip(*part, strict=True)))
+    got = list(zip(*(x.tolist() for x in best.cut()), strict=True))
+    want = [r for q in range(3) for r in sorted((r for r in rows if r[0] == q), key=lambda r: (-r[1], best.keys[r[2]]))[:4]]
+    assert got == want
