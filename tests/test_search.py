@@ -389,3 +389,8 @@ def test_best_lists_cut_in_rounds(monkeypatch):
     got = list(zip(*(x.tolist() for x in best.cut()), strict=True))
     want = [r for q in range(3) for r in sorted((r for r in rows if r[0] == q), key=lambda r: (-r[1], best.keys[r[2]]))[:4]]
     assert got == want
+
+
+def test_a_token_is_lowered_once(spark):
+    plan = spark.range(1).select(F.col("id").cast("string").alias("t")).select(french.terms(F.col("t")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert len(re.findall(r"\blower\(", plan)) == 1
