@@ -86,9 +86,10 @@ def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: lis
 
 def _ranks(found: DataFrame, lists: DataFrame, totals: DataFrame, by: list[str]) -> DataFrame:
     """Position of each target in the list of its question, and the question's total."""
-    positions = lists.select(*by, F.col("doc_key").alias("doc_id"), "rank")
+    # There are as many lists as targets, and of numbers as many as documents: neither side is sent to every task by the driver.
+    positions = lists.select(*by, F.col("doc_key").alias("doc_id"), "rank").hint("merge")
     return (
-        found.join(positions, [*by, "doc_id"], "left").join(totals, "query_id", "left")
+        found.join(positions, [*by, "doc_id"], "left").join(totals.hint("merge"), "query_id", "left")
         .withColumn("total_hits", F.coalesce("total_hits", F.lit(0)))
     )
 

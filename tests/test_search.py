@@ -394,3 +394,16 @@ def test_best_lists_cut_in_rounds(monkeypatch):
 def test_a_token_is_lowered_once(spark):
     plan = spark.range(1).select(F.col("id").cast("string").alias("t")).select(french.terms(F.col("t")).alias("x"))._jdf.queryExecution().analyzed().toString()
     assert len(re.findall(r"\blower\(", plan)) == 1
+
+
+def test_ranks_send_no_side_to_every_task(spark):
+    """Lists, totals and numbers grow with the documents, so the driver gathers none of them, small as they may be."""
+    rows = spark.range(5).select(F.col("id").cast("string").alias("doc_id"), F.col("id").cast("string").alias("query_id"))
+    lists = rows.withColumnRenamed("doc_id", "doc_key").withColumn("rank", F.lit(1))
+    totals = rows.select("query_id", F.lit(3).alias("total_hits"))
+    docs = rows.select(F.col("query_id").alias("decision_number"), F.col("doc_id").alias("doc_key"))
+    ranks, numbers = findability._ranks(rows, lists, totals, ["query_id"]), search.by_number(docs)
+    assert [ranks.count(), numbers.count()] == [5, 5]
+    for df in (ranks, numbers):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
