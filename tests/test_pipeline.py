@@ -246,6 +246,22 @@ def test_keyed_state_equals_batch_and_costs_what_a_batch_brings(spark):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ingest.STATE_STORE["spark.sql.streaming.stateStore.providerClass"]
 
 
+def test_keys_of_a_block_share_a_state(spark, monkeypatch):
+    """Far more keys than blocks, and a restart: one state row a block, statuses key by key, the same ids in two sources."""
+    monkeypatch.setattr(ingest, "STATE_BLOCKS", 8)
+    path, log, state, updated = work_dir(spark, "in"), work_dir(spark, "log"), work_dir(spark, "state"), []
+    for rows in ([(s, str(i), 1, "a", "a") for s in "st" for i in range(300)], [("s", str(i), i, "ab"[i % 2], "ab"[i % 2]) for i in range(295, 310)]):
+        spark.createDataFrame(rows, BATCH).coalesce(1).write.mode("append").parquet(path)
+        query = ingest.start_keyed_upsert(ingest.read_table_stream(spark, path, BATCH), log, state)
+        query.awaitTermination()
+        updated.append(query.lastProgress.stateOperators[0].numRowsUpdated)
+    second = spark.read.schema(f"{ingest.LOG}, batch_id BIGINT").parquet(log).filter("batch_id = 1")
+    want = [("s", str(i), "new" if i >= 300 else "changed" if i % 2 else "unchanged") for i in range(295, 310)]
+    assert sorted((r.source, r.external_id, r.status) for r in second.collect()) == sorted(want)
+    assert updated[0] == 8 and 0 < updated[1] <= 8
+    assert ingest.current_state(spark, log).count() == 610
+
+
 def test_unreadable_payloads_store_nothing(spark):
     rows = [("s", "good", 1, "a", "a"), ("s", "good", 2, "{", None), ("s", "only", 1, "{", None), ("s", "kept", 1, "{", None)]
     batch, stored = spark.createDataFrame(rows, BATCH), make_stored(spark, [("kept", "z")])
