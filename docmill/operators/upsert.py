@@ -34,6 +34,12 @@ def last_per_key(batch: DataFrame) -> DataFrame:
     ).select(*KEY, "last.payload", "last.payload_hash", "low_hash", "high_hash")
 
 
+def last_hashes(batch: DataFrame) -> DataFrame:
+    """The hash alone of the last readable row per key, with its ``seq``: no payload is shuffled."""
+    last = F.max(F.struct("seq", "payload_hash"))
+    return readable(batch).groupBy(*KEY).agg(last.alias("last")).select(*KEY, "last.seq", "last.payload_hash")
+
+
 def decisions(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """What becomes of each key of the batch, by keys and hashes alone: ``known`` (it is stored), ``differs`` (some row of the
     batch differed from the stored hash, so it was updated at least once), and the last row's ``seq`` and hash."""
