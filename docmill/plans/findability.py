@@ -63,11 +63,15 @@ def evaluate(silver: DataFrame, rows: DataFrame, titled_source: str, boosts: lis
     for all title weights together, document by document (``docwise``): of what matches, only the first ten of each task leave it. The
     rank is NULL outside the first ten.
     ``asked``: what of a title is searched (all of it by default).
+
+    Targets and number lists are both used twice: stored, they are made once, and what the driver plans for the result reads
+    written tables alone.
     """
     docs = silver.withColumn("doc_key", F.concat_ws("|", "source", "external_id"))
+    rows = written(rows, "targets")
     numbered = for_mode(rows, "number", titled_source).withColumn(
         "query_id", search.fold_keyword(F.col("decision_number")))
-    lists = search.by_number(docs).withColumnRenamed("number_key", "query_id")
+    lists = written(search.by_number(docs).withColumnRenamed("number_key", "query_id"), "numbers")
     totals = lists.groupBy("query_id").agg(F.max("total_hits").alias("total_hits"))
     number_rows = _ranks(numbered, lists, totals, ["query_id"]).withColumn(
         "title_boost", F.lit(None).cast("double"))

@@ -407,3 +407,13 @@ def test_ranks_send_no_side_to_every_task(spark):
     for df in (ranks, numbers):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_evaluation_plans_over_written_tables(spark):
+    """Targets and number lists are stored once; the plan of the result has neither their joins nor the documents in it."""
+    from catalog import text_search, views
+
+    silver = views.table(spark, SMALL, "v_decisions")
+    rows = findability.targets(silver, findability.sample(silver, views.TITLED, views.WHOLE))
+    found = findability.evaluate(silver, rows, views.TITLED, [1.0], text_search.published_index(spark, SMALL), stem=False)
+    assert found.count() and not [f for f in found.inputFiles() if "documents.parquet" in f]
