@@ -44,7 +44,7 @@ _RANKS = f"""{_TARGETS},
 def evaluated(spark, sf):
     docs = table(spark, sf, "v_decisions")
     rows = findability.targets(docs, findability.sample(docs, TITLED, WHOLE))
-    return written(findability.evaluate(docs, rows, TITLED, BOOSTS, published_index(spark, sf), stem=False), "evaluation")
+    return written(findability.evaluate(docs, rows, TITLED, BOOSTS, published_index(spark, sf, postings=False), stem=False), "evaluation")
 
 
 @query("fd_sample", f"WITH {_TARGETS} SELECT source, external_id, decision_number, md5(title) AS title, has_text FROM targets")
@@ -123,7 +123,7 @@ def fd_misses_hard(spark, sf):
     docs = table(spark, sf, "v_decisions")
     rows = findability.targets(docs, findability.sample(docs, TITLED, WHOLE))
     last = F.regexp_extract("title", "[^ ]*$", 0)
-    found = written(findability.evaluate(docs, rows, TITLED, BOOSTS, published_index(spark, sf), stem=False, asked=last), "evaluation")
+    found = written(findability.evaluate(docs, rows, TITLED, BOOSTS, published_index(spark, sf, postings=False), stem=False, asked=last), "evaluation")
     return findability.misses(found, [("number", None), *(("title", b) for b in BOOSTS)]).drop("shown_title")
 
 

@@ -253,6 +253,23 @@ def test_published_search_reads_its_terms_only(spark, tmp_path):
     assert re.search(r"PushedFilters: \[[^\]]*term", plan)
 
 
+def test_searches_by_document_need_no_postings(spark, tmp_path):
+    docs = spark.createDataFrame([(f"s|{i}", "s", f"titre {w}", f"texte {w} gaz gaz", None, None, None) for i, w in enumerate(("alpha", "beta", "gamma", None))],
+                                 "doc_key string, source string, title string, text string, decision_type string, decision_date date, sectors array<string>")
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    published.write_index(docs, one, tasks=3, postings=False)
+    published.write_index(docs, two, tasks=3)
+    assert not (tmp_path / "one" / "postings").exists() and not (tmp_path / "one" / "members").exists()
+    asked = spark.createDataFrame([(1, "beta"), (2, "gaz gamma"), (3, "absent")], "query_id int, query string")
+    want = sorted(map(tuple, bounded.search_index(spark, two, asked).select(*COLUMNS[:1], *COLUMNS[2:]).collect()))
+    assert sorted(map(tuple, published.search_index(spark, one, asked).select(*COLUMNS[:1], *COLUMNS[2:]).collect())) == want and len(want) == 5
+    published.write_postings(spark, one)
+    published.write_postings(spark, one)  # a second call writes them anew
+    assert sorted(map(tuple, bounded.search_index(spark, one, asked).select(*COLUMNS[:1], *COLUMNS[2:]).collect())) == want
+    stats = [sorted(map(tuple, spark.read.parquet(f"{p}/terms").select("term", "field", "df", "total_tf", "top").collect())) for p in (one, two)]
+    assert stats[0] == stats[1] and ("gaz", "text", 4, 8) in [x[:4] for x in stats[0]]
+
+
 def test_refused_index_is_deleted(spark, tmp_path):
     docs = spark.createDataFrame([("s|1", "s", "t", "x", None, None, None)], "doc_key string, source string, title string, text string, decision_type string, decision_date date, sectors array<string>")
     counts = spark.createDataFrame([("s", 2)], "source string, n bigint")
