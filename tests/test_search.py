@@ -270,6 +270,18 @@ def test_searches_by_document_need_no_postings(spark, tmp_path):
     assert stats[0] == stats[1] and ("gaz", "text", 4, 8) in [x[:4] for x in stats[0]]
 
 
+def test_postings_are_lists_of_documents(spark, tmp_path):
+    """A word of every document is a row per slice, part and field, not one per document; its entries are all there."""
+    docs = published_docs(spark, [("commun", f"commun commun mot{i}") for i in range(150)] + [(None, "rien")], str(tmp_path / "v"), stem=False, tasks=2, part_docs=100)
+    lists = spark.read.parquet(str(tmp_path / "v" / "postings"))
+    assert 0 < lists.filter("term = 'commun'").count() <= 2 * 2 * 2 and "source" not in lists.columns
+    opened = published.entries(lists, "term", "field", "part").filter("term = 'commun'").collect()
+    assert sorted((r.field, r.tf, r.dl) for r in opened) == [("text", 2, 3)] * 150 + [("title", 1, 1)] * 150
+    assert all(r.part == r.doc_no // 100 for r in opened) and len({(r.field, r.doc_no) for r in opened}) == 300
+    one = spark.createDataFrame([(1, "mot7")], "query_id int, query string")
+    assert [r.doc_key for r in bounded.search_index(spark, str(tmp_path / "v"), one, k=3, stem=False).collect()] == [docs.filter("text like '% mot7'").first().doc_key]
+
+
 def test_refused_index_is_deleted(spark, tmp_path):
     docs = spark.createDataFrame([("s|1", "s", "t", "x", None, None, None)], "doc_key string, source string, title string, text string, decision_type string, decision_date date, sectors array<string>")
     counts = spark.createDataFrame([("s", 2)], "source string, n bigint")
