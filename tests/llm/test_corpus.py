@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -251,6 +252,75 @@ def test_every_window_is_trained_on(spark):
     assert sorted(seen.tolist()) == sorted(streams.windows()[1].tolist())
 
 
+def test_blocks_are_the_same_whatever_the_batches(spark):
+    """Texts meet in blocks of a size across Arrow batches, so a batch may be as small as memory asks."""
+    rows = [(i, i % 3 == 0, f"text {i} " * (i % 5)) for i in range(40)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, found = spark.conf.get(key), []
+    for n in ("1", "7", "10000"):
+        spark.conf.set(key, n)
+        try:
+            docs = spark.createDataFrame(rows, "doc_id long, held boolean, text string").coalesce(1)
+            found.append(list(map(tuple, lm_score.build_blocks(docs, default_vocabulary()).collect())))
+        finally:
+            assert spark.conf.get(key) == n
+            spark.conf.set(key, before)
+    assert len(found[0]) == 1 and found[0] == found[1] == found[2]
+
+
+@pytest.mark.parametrize("limit", [1, 10, 11, 50, 10_000])
+def test_gathered_batches_are_the_slices_of_the_whole(limit):
+    texts = ["a" * 5, None, "", "b" * 60, "c" * 5, "é" * 3, "d", None, "e" * 9, "f" * 51, ""]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    for n in (1, 2, 3, 20):
+        cut = [whole.slice(i, n) for i in range(0, len(texts), n)]
+        got = [b.column("doc_id").to_pylist() for b in lm_score.gathered(iter([whole.slice(0, 0), *cut, whole.slice(0, 0)]), limit)]
+        assert got == [list(range(p.lo, p.hi)) for p in slices(whole.column("text"), limit=limit)]
+    assert not list(lm_score.gathered(iter([whole.slice(0, 0)]), limit))
+
+
+def test_word_store_is_small_and_right():
+    """Any number of words costs arrays of at most `kept` words, or those of one block; ids are those spelled."""
+    rng = np.random.default_rng(12)
+    all_words = np.unique(rng.integers(0, 2**64, 60_000, dtype=np.uint64))
+    ids = {int(h): rng.integers(0, 50_000, int(h) % 5).astype("<u4").tobytes() for h in all_words}
+    words = lm_score.Words(kept=20_000)
+    for n in (10, 5000, 0, 9000, 9000, 15_000, 30_000, 100):
+        asked = np.sort(rng.choice(all_words, n, replace=False))
+        spelled = []
+        got, size = words(asked, lambda i: spelled.append(i) or ids[int(asked[i])])  # noqa: B023
+        assert got.tobytes() == b"".join(ids[int(h)] for h in asked) and got.dtype == size.dtype == np.uint32
+        assert size.tolist() == [len(ids[int(h)]) // 4 for h in asked] and len(spelled) == len(set(spelled))
+        assert len(words.hashes) <= max(20_000, n) and (np.diff(words.hashes) > 0).all()
+        assert sum(x.nbytes for x in (words.hashes, words.start, words.size, words.ids)) <= 40 * max(20_000, n)
+        words(asked, None)  # all are known by now
+
+
+def test_ranges_of_words_are_bounded(spark, monkeypatch):
+    """How many words a worker sums at a time follows the words, not the session's number of partitions."""
+    monkeypatch.setattr(lm_score, "RANGE_WORDS", 100)
+    texts = {i: " ".join(f"w{(i * 37 + j) % 400}" for j in range(150)) for i in range(12)}
+    docs = spark.createDataFrame([(i, False, t) for i, t in texts.items()], "doc_id long, held boolean, text string").repartition(4)
+    blocks = lm_score.build_blocks(docs, default_vocabulary())
+    own = blocks.selectExpr("sum(length(hashes)) / 8").first()[0]
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        rows = lm_score.word_counts(blocks, int(own)).collect()
+    finally:
+        spark.conf.set(key, before)
+    sums, count = Counter(), Counter(w for t in texts.values() for w in t.split())
+    for r in rows:
+        sums[r.part] += len(r.counts) // 4
+    assert sum(sums.values()) == own and max(sums.values()) < 300 < own
+    assert sum(r.kinds for r in rows) == len(count)
+    got = {b: b"".join(r.counts for r in sorted(rows, key=lambda r: r.part) if r.block == b) for b in {r.block for r in rows}}
+    hashes = {word_hash(w.encode()): n for w, n in count.items()}
+    for b in blocks.collect():
+        assert [hashes[h] for h in np.frombuffer(b.hashes, np.uint64).tolist()] == np.frombuffer(got[b.block], np.uint32).tolist()
+
+
 def test_chances_sum_to_one_and_look_back_only():
     """Each id's class chances sum to one, and a later id changes nothing before it."""
     weights = lm_score._split(lm_score.first_weights(np.full(lm_score.CLASSES, -np.log(lm_score.CLASSES))).astype(np.float32))
